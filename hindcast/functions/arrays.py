@@ -1,0 +1,31 @@
+"""Array expressions over one response: no row leaves its task, so nothing here shuffles."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from hindcast.functions.columns import finite
+
+
+def finite_or_null(values: Column) -> Column:
+    return F.transform(values, lambda v: F.when(finite(v), v))
+
+
+def weighted_mean(members: Column, weights: Column) -> Column:
+    """Element-wise weighted mean of parallel arrays; null wherever any member is null.
+
+    Members are added in array order, so the same input gives the same bits every time, which
+    the content digest depends on.
+    """
+    scaled = F.zip_with(members, weights, lambda m, w: F.transform(m, lambda v: v * w))
+    zeros = F.transform(F.get(members, F.lit(0)), lambda _: F.lit(0.0))
+    total = F.aggregate(
+        scaled, zeros, lambda acc, m: F.zip_with(acc, m, lambda a, b: a + b)
+    )
+    weight = F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w)
+    return F.transform(total, lambda s: s / weight)
+
+
+def sha256_of_lines(lines: Column) -> Column:
+    return F.sha2(F.array_join(lines, "\n"), 256)

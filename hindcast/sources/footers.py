@@ -1,0 +1,93 @@
+"""What Parquet footers say: a file's own columns, nulls and stamp range, without its rows."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from hindcast.contract import FORECAST
+
+# The contract's columns as a footer names their types.
+CONTRACT_COLUMNS = [
+    "interval_start timestamp[us, tz=UTC]",
+    "interval_minutes int32",
+    "posted_at timestamp[us, tz=UTC]",
+    "ingested_at timestamp[us, tz=UTC]",
+    "source string",
+    "schema_version int32",
+    "series string",
+    "value double",
+]
+FOOTER = (
+    "path string, columns array<string>, nulls long, rows long, "
+    "first_ingested_us long, last_ingested_us long"
+)
+
+
+def read_footers(files: DataFrame) -> DataFrame:
+    """Add each file's footer facts; the files are spread over tasks, one open per file.
+
+    ``nulls`` and the ingestion range are null where the file carries no statistics, and
+    ``columns`` is null where the file cannot be read as Parquet.
+    """
+    spread = files.select("path").repartition("path")
+    return files.join(spread.mapInPandas(_footers, FOOTER), "path")
+
+
+def on_contract() -> F.Column:
+    wanted = F.array(*[F.lit(c) for c in CONTRACT_COLUMNS])
+    return F.coalesce(F.col("columns") == wanted, F.lit(False))
+
+
+def missing_columns(files: DataFrame) -> DataFrame:
+    """Per product, the contract's columns that none of its files has."""
+    names = F.transform("columns", lambda c: F.substring_index(c, " ", 1))
+    present = read_footers(files).select("product", F.explode_outer(names).alias("column"))
+    found = present.distinct().groupBy("product").agg(F.collect_set("column").alias("found"))
+    wanted = F.array(*[F.lit(c) for c in FORECAST.fieldNames()])
+    return found.select("product", F.array_except(wanted, F.col("found")).alias("missing"))
+
+
+def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame([_footer(path) for path in batch["path"]], columns=_NAMES)
+
+
+_NAMES = ["path", "columns", "nulls", "rows", "first_ingested_us", "last_ingested_us"]
+
+
+def _footer(path: str) -> tuple:
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    uri = f"{ {'s3a': 's3'}.get(scheme, scheme) }://{rest.lstrip('/')}"
+    if scheme == "file":
+        uri = f"file:///{rest.lstrip('/')}"
+    store, name = fs.FileSystem.from_uri(uri)
+    try:
+        with store.open_input_file(name) as source:
+            meta = pq.ParquetFile(source).metadata
+    except pa.ArrowInvalid:
+        return path, None, None, None, None, None
+    columns = [f"{f.name} {f.type}" for f in meta.schema.to_arrow_schema()]
+    groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+    chunks = [g.column(i) for g in groups for i in range(g.num_columns)]
+    stats = [c.statistics for c in chunks]
+    known = all(s is not None and s.has_null_count for s in stats)
+    ingested = [
+        c.statistics for c in chunks if c.path_in_schema == "ingested_at" and c.is_stats_set
+    ]
+    ranged = len(ingested) == len(groups) and all(s.has_min_max for s in ingested)
+    first = min((_us(s.min) for s in ingested), default=None) if ranged else None
+    last = max((_us(s.max) for s in ingested), default=None) if ranged else None
+    nulls = sum(s.null_count for s in stats) if known else None
+    return path, columns, nulls, meta.num_rows, first, last
+
+
+def _us(stamp) -> int:
+    return pd.Timestamp(stamp).value // 1000
