@@ -8,28 +8,52 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.contract import BUSINESS_KEY
-from hindcast.functions.columns import lead_minutes, variable_of, zone_of
+from hindcast.functions.columns import (
+    backfill_posted_at,
+    finite,
+    lead_days,
+    lead_minutes,
+    lead_variable,
+    variable_of,
+    zone_of,
+)
 from hindcast.operators.reads import latest
 
 # Variables that describe the hour before their stamp.
 PRECEDING_HOUR = ("precipitation", "shortwave_radiation")
 
 
-def lead_table(rows: DataFrame, lead_days: Sequence[int], *, hours_late: int = 1) -> DataFrame:
+def lead_table(rows: DataFrame, days: Sequence[int], *, hours_late: int = 1) -> DataFrame:
     """One row per business key, one ``lead_<N>d`` column per lead: the value predicted N days
     ahead, as the newest version whose lead is within ``(N - 1 day, N day]`` late by the lag."""
     minutes = lead_minutes(F.col("interval_start"), F.col("posted_at")) + hours_late * 60
     lead = F.ceil(minutes / 1440).cast("int")
     newest = latest(
-        rows.withColumn("lead", lead).where(F.col("lead").isin(list(lead_days))),
+        rows.withColumn("lead", lead).where(F.col("lead").isin(list(days))),
         (*BUSINESS_KEY, "lead"),
     )
     columns = [
-        F.max(F.when(F.col("lead") == n, F.col("value"))).alias(f"lead_{n}d") for n in lead_days
+        F.max(F.when(F.col("lead") == n, F.col("value"))).alias(f"lead_{n}d") for n in days
     ]
     return newest.groupBy(*BUSINESS_KEY).agg(*columns)
 
 
+def unpivot_leads(
+    wide: DataFrame, ids: Sequence[str], columns: Sequence[str], *, lag_minutes: int = 60
+) -> DataFrame:
+    """Turn ``<variable>_previous_dayN`` columns into rows of variable, lead and value, each
+    with the moment it was certainly known. Values that are not real numbers are left out."""
+    long = wide.unpivot(list(ids), list(columns), "column", "value").where(finite(F.col("value")))
+    lead = lead_days(F.col("column"))
+    return long.select(
+        *ids,
+        lead_variable(F.col("column")).alias("variable"),
+        lead.alias("lead"),
+        backfill_posted_at(F.col("interval_start"), lead, F.lit(lag_minutes)).alias("posted_at"),
+        "value",
+    )
+
+
 def revisions(rows: DataFrame) -> DataFrame:
     """How far each version moved from the one before it.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.contract import FORECAST
@@ -79,7 +79,7 @@ def compact(
     total = good.agg(F.sum("length")).first()[0]
     if total:
         days = good.select(*PARTITION).distinct().count()
-        rows = _rows(lake, sources).withColumn("_salt", F.col("_metadata.row_index") % 1024)
+        rows = _rows(lake, sources, _salt=F.col("_metadata.row_index") % 1024)
         ranges = max(days, -(-int(total) // target_bytes))
         lake.write_postings(
             rows.repartitionByRange(ranges, *SORT, "_salt")
@@ -169,11 +169,12 @@ def _leftovers(lake: Lake, footers: DataFrame) -> DataFrame:
     return alone.join(too_many, [*PARTITION], "left_anti")
 
 
-def _rows(lake: Lake, units: DataFrame) -> DataFrame:
+def _rows(lake: Lake, units: DataFrame, **extra: Column) -> DataFrame:
     """The rows of the given units. The units are a listing, bounded by the run's partitions."""
     days = units.select(*PARTITION).distinct().collect()
     table = lake.own_curated(sorted({day.product for day in days}))
     table = table.where(F.col("date").isin(sorted({day.date for day in days})))
+    table = table.withColumns(extra) if extra else table
     return table.join(units.select(*UNIT).distinct(), [*UNIT], "left_semi")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hindcast.contract import FORECAST, LIVE, PREVIOUS_RUNS
-from hindcast.functions.columns import instant, parse_stamp
+from hindcast.functions.columns import instant, parse_stamp, stamp
 from hindcast.session import configure
 from hindcast.sources import storage
 
@@ -27,7 +27,10 @@ CURATED_TABLE = T.StructType(
         T.StructField("posting", T.StringType()),
     ]
 )
-RESPONSES = "product string, kind string, fetched_at timestamp, first date, last date, body string"
+LANDED = (
+    "product string, kind string, fetched_at timestamp, first date, last date, body string, "
+    "date date, batch string"
+)
 POLLS = (
     "product string, fetched_at timestamp, new_posting boolean, digest string, rows long, "
     "dropped long, valid_from timestamp, valid_to timestamp, partitions array<date>, "
@@ -161,13 +164,7 @@ class Lake:
 
     def responses(self) -> DataFrame:
         """Landed bodies, in the shape of :meth:`raw_files`."""
-        rows = self._table("responses", f"{RESPONSES}, date date, batch string")
-        key = F.concat_ws(
-            "/", F.lit("responses"), "product", "kind", F.date_format("fetched_at", "yyyyMMdd'T'HHmmss")
-        )
-        return rows.select(
-            "product", "kind", "fetched_at", "first", "last", key.alias("raw_key"), "body", "date"
-        )
+        return with_raw_key(self._table("responses", LANDED))
 
     # -- logs ------------------------------------------------------------------------------
 
@@ -210,6 +207,12 @@ class Lake:
         return self.spark.read.schema(schema).parquet(folder)
 
 
+def with_raw_key(landed: DataFrame) -> DataFrame:
+    """Name each landed response, so that logs can point at it."""
+    key = F.concat_ws("/", F.lit("responses"), "product", "kind", stamp(F.col("fetched_at")))
+    return landed.withColumn("raw_key", key).drop("batch")
+
+
 def name_parts(files: DataFrame) -> DataFrame:
     """Split the names responses are kept under into product, kind, fetch time and days."""
     key = F.col("raw_key")

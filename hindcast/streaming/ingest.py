@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hindcast.contract import LIVE, PREVIOUS_RUNS
 from hindcast.plans.curate import curate_live, curate_previous_runs
 from hindcast.settings import Product
-from hindcast.sources.lake import Lake, name_parts
+from hindcast.sources.lake import LANDED, Lake, name_parts, with_raw_key
 
 
 def ingest_stream(
@@ -21,34 +21,38 @@ def ingest_stream(
     *,
     name: str = "ingest",
     unit: str = "posting",
+    landed: bool = False,
     max_files_per_batch: int = 10_000,
 ) -> StreamingQuery:
-    """Work through the raw files that have arrived since the last run, then stop.
+    """Work through the responses that have arrived since the last run, then stop.
+
+    They are read from the raw files, or with ``landed`` from the table of landed responses.
 
     A batch writes under its own id and replaces what an earlier attempt at it wrote, so a
     replay after a failure changes nothing. Responses that are not as declared go to the
     quarantine and do not hold up the rest. Polls may arrive in any order.
     """
-    files = (
-        lake.spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .load(lake.path("raw"))
-        .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_key"))
-    )
-
-    def curate(batch_files: DataFrame, batch_id: int) -> None:
-        responses, batch = name_parts(batch_files), f"{name}-{batch_id}"
-        curate_live(
-            lake, products, responses.where(F.col("kind") == LIVE), batch,
-            kept=lake.raw_files(), unit=unit,
+    reader = lake.spark.readStream.option("maxFilesPerTrigger", max_files_per_batch)
+    if landed:
+        arrived = reader.schema(LANDED).parquet(lake.path("responses"))
+    else:
+        arrived = (
+            reader.option("wholetext", True)
+            .option("recursiveFileLookup", True)
+            .text(lake.path("raw"))
+            .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_key"))
         )
+
+    def curate(rows: DataFrame, batch_id: int) -> None:
+        responses = with_raw_key(rows) if landed else name_parts(rows)
+        kept, batch = lake.responses() if landed else lake.raw_files(), f"{name}-{batch_id}"
+        live = responses.where(F.col("kind") == LIVE)
+        curate_live(lake, products, live, batch, kept=kept, unit=unit)
         past = responses.where(F.col("kind") == PREVIOUS_RUNS)
         curate_previous_runs(lake, products, past, batch)
 
     return (
-        files.writeStream.queryName(name)
+        arrived.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(curate)
