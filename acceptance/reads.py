@@ -58,26 +58,26 @@ def postings_whole(spark, sf):
 
 
 def asof_multi(spark, sf):
-    """A snapshot at noon of every day, each of the day and the next."""
-    day = F.date_trunc("day", "ts")
-    decisions = (
-        events(spark, sf).select(day.alias("valid_from")).distinct().withColumns(
-            {
-                "decision_at": F.col("valid_from") + F.expr("INTERVAL 12 HOUR"),
-                "valid_to": F.col("valid_from") + F.expr("INTERVAL 2 DAY"),
-            }
-        )
+    """A snapshot at noon of every day, each of the two days that follow."""
+    noon = F.date_trunc("day", "ts") + F.expr("INTERVAL 12 HOUR")
+    decisions = events(spark, sf).select(noon.alias("decision_at")).distinct().withColumns(
+        {
+            "valid_from": F.col("decision_at"),
+            "valid_to": F.col("decision_at") + F.expr("INTERVAL 2 DAY"),
+        }
     )
     found = multi_snapshot(decisions, lake(spark, sf))
-    return plain(found.select("decision_at", "interval_start", "series", "posted_at", "value", "source"))
+    return plain(
+        found.select("decision_at", "interval_start", "series", "posted_at", "value", "source")
+    )
 
 
 ASOF_MULTI_SQL = f"""WITH {LAKE_SQL},
-d AS (SELECT DISTINCT date_trunc('day', ts) AS valid_from FROM events)
-SELECT valid_from + INTERVAL 12 HOUR AS decision_at, interval_start, series, posted_at, value, source
-FROM d JOIN lake ON interval_start >= valid_from AND interval_start < valid_from + INTERVAL 2 DAY
-  AND posted_at <= valid_from + INTERVAL 12 HOUR
-QUALIFY row_number() OVER (PARTITION BY valid_from, interval_start, series
+d AS (SELECT DISTINCT date_trunc('day', ts) + INTERVAL 12 HOUR AS decision_at FROM events)
+SELECT decision_at, interval_start, series, posted_at, value, source
+FROM d JOIN lake ON interval_start >= decision_at AND interval_start < decision_at + INTERVAL 2 DAY
+  AND posted_at <= decision_at
+QUALIFY row_number() OVER (PARTITION BY decision_at, interval_start, series
   ORDER BY posted_at DESC, ingested_at DESC) = 1"""
 
 

@@ -78,15 +78,6 @@ def slice_start(ts: Column, seconds: int) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / F.lit(seconds)) * F.lit(seconds))
 
 
-def lead_variable(column: Column) -> Column:
-    return F.regexp_extract(column, r"^(.+)_previous_day([0-9]+)$", 1)
-
-
-def lead_days(column: Column) -> Column:
-    """N of ``<variable>_previous_dayN``; null for any other name."""
-    return F.regexp_extract(column, r"^(.+)_previous_day([0-9]+)$", 2).try_cast("int")
-
-
 def backfill_posted_at(interval_start: Column, days: Column, lag_minutes: Column) -> Column:
     """When a value predicted ``days`` x 24 h ahead was certainly known."""
     shift = lag_minutes.cast("long") * 60 - days.cast("long") * 86400

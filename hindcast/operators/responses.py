@@ -7,7 +7,7 @@ product with very many responses is spread like any other rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.contract import (
@@ -17,12 +17,95 @@ from hindcast.contract import (
     PREVIOUS_RUNS,
     SCHEMA_VERSION,
 )
-from hindcast.functions.arrays import finite_or_null, sha256_of_lines, weighted_mean
-from hindcast.functions.columns import backfill_posted_at, series_name, stamp
+from hindcast.functions.columns import backfill_posted_at, stamp
 
 BODY = """array<struct<latitude: double, longitude: double,
     hourly_units: map<string, string>, hourly: map<string, array<double>>>>"""
 
+# The first thing wrong with one declared column ``c`` of entry ``e``.
+COLUMN_PROBLEM = """
+CASE
+  WHEN try_element_at(e.hourly, c.name) IS NULL THEN concat(c.name, ' is missing')
+  WHEN NOT try_element_at(e.hourly_units, c.name) <=> c.unit THEN
+    concat(c.name, ' is in ', coalesce(try_element_at(e.hourly_units, c.name), 'no unit'),
+           ', declared in ', c.unit)
+END"""
+
+UNDECLARED = "array_except(map_keys(e.hourly), array_append(columns.name, 'time'))"
+
+# The first thing wrong with entry ``e``, which must be about point ``p``.
+ENTRY_PROBLEM = f"""
+CASE
+  WHEN e IS NULL THEN concat('no readable entry for ', p.name)
+  WHEN NOT coalesce(abs(e.latitude - p.lat) <= {MAX_SNAP_DEGREES}
+                AND abs(e.longitude - p.lon) <= {MAX_SNAP_DEGREES}, false)
+    THEN concat('location is not that of ', p.name)
+  WHEN e.hourly IS NULL
+    THEN concat('hourly values are missing or not numbers for ', p.name)
+  WHEN size({UNDECLARED}) > 0
+    THEN concat('undeclared variables in the response: ', array_join(array_sort({UNDECLARED}), ', '))
+  WHEN exists(columns, c -> {COLUMN_PROBLEM} IS NOT NULL)
+    THEN concat(get(filter(transform(columns, c -> {COLUMN_PROBLEM}), x -> x IS NOT NULL), 0),
+                ' for ', p.name)
+  WHEN NOT coalesce(try_element_at(e.hourly_units, 'time') = 'unixtime', false)
+    THEN concat('time is not unixtime for ', p.name)
+  WHEN coalesce(exists(try_element_at(e.hourly, 'time'), t -> t IS NULL), true)
+    THEN concat('valid times are missing for ', p.name)
+  WHEN NOT coalesce(
+      try_element_at(e.hourly, 'time') = try_element_at(entries[0].hourly, 'time'), false)
+    THEN concat('different valid times for ', p.name)
+  WHEN exists(columns, c -> size(e.hourly[c.name]) <> size(e.hourly['time']))
+    THEN concat('values and valid times differ in number for ', p.name)
+END"""
+
+# The first way a response differs from its declared layout, or null.
+PROBLEM = f"""
+CASE
+  WHEN points IS NULL THEN 'product declares no such responses'
+  WHEN entries IS NULL THEN 'response is neither an object nor a list'
+  WHEN size(entries) <> size(points)
+    THEN concat(size(entries), ' points in the response, ', size(points), ' requested')
+  ELSE get(filter(zip_with(entries, points, (e, p) -> {ENTRY_PROBLEM}), x -> x IS NOT NULL), 0)
+END"""
+
+# Per zone ``z`` and declared column ``c``, valid times and the weighted mean of all the zone's
+# points. Adding null gives null, so an hour with a missing point has no value and is left out.
+# Points are added in order: the same input gives the same bits, which the digest relies on.
+SERIES_VALUES = """
+CASE WHEN problem IS NULL THEN
+  flatten(transform(zones, z -> transform(columns, c -> named_struct(
+    'series', concat_ws(':', c.variable, z.zone),
+    'lead', c.lead,
+    'pairs', filter(
+      zip_with(
+        entries[0].hourly['time'],
+        aggregate(
+          zip_with(z.positions, z.weights, (i, w) -> transform(
+            entries[i].hourly[c.name],
+            v -> CASE WHEN abs(v) < double('Infinity') THEN v * w END)),
+          transform(entries[0].hourly['time'], t -> 0D),
+          (total, member) -> zip_with(total, member, (a, b) -> a + b),
+          total -> transform(total, a -> a / z.weight)),
+        (t, v) -> named_struct('time', bigint(t), 'value', v)),
+      pair -> pair.value IS NOT NULL)))))
+END"""
+
+REPEATED = """exists(series_values,
+    s -> size(array_distinct(s.pairs.time)) < size(s.pairs))"""
+
+# A backfilled hour whose computed knowledge time lies after the fetch cannot be right.
+NOT_YET_KNOWN = """exists(series_values, s ->
+    array_max(s.pairs.time) - s.lead * 86400 + lag_minutes * 60 > unix_seconds(fetched_at))"""
+
+# What was forecast as text: independent of the order it came in and of when it was fetched.
+CONTENT = """
+array_join(
+  transform(
+    array_sort(filter(series_values, s -> size(s.pairs) > 0)),
+    s -> concat(s.series, ' ', s.lead, ' ', array_join(
+      transform(array_sort(s.pairs), p -> concat(p.time, '=', p.value)), ' '))),
+  '\n')"""
+
 
 def parse(responses: DataFrame) -> DataFrame:
     """Add ``entries``: one struct per point. A single object counts as a list of one; a body
@@ -34,81 +117,39 @@ def zone_values(responses: DataFrame, layouts: DataFrame, kind: str) -> DataFram
     """One row per response: its ``problem``, or its zone values as arrays.
 
     Adds ``problem`` (null when the response is as declared), ``series_values`` (per series and
-    lead, the valid times and values, rows without a value left out), ``rows``, ``dropped``
-    (zone-hours lost to a missing point), ``valid_from``/``valid_to``, ``days`` and ``digest``.
+    lead, the valid times and values), ``rows``, ``dropped`` (zone-hours lost to a missing
+    point), ``valid_from``/``valid_to``, ``days`` and ``digest``.
     """
-    wanted = responses.where(F.col("kind") == kind) if "kind" in responses.columns else responses
-    parsed = parse(wanted.join(layouts, "product", "left"))
-    checked = parsed.withColumn("problem", _problem(kind)).withColumn(
-        "_series", F.when(F.col("problem").isNull(), _zone_series())
-    )
-    kept = checked.withColumn(
-        "series_values",
-        F.transform(
-            "_series",
-            lambda s: F.struct(
-                s["series"].alias("series"),
-                s["lead"].alias("lead"),
-                F.filter(s["pairs"], lambda p: p["value"].isNotNull()).alias("pairs"),
-            ),
-        ),
-    )
-    total = F.aggregate("_series", F.lit(0), lambda n, s: n + F.size(s["pairs"]))
-    rows = F.aggregate("series_values", F.lit(0), lambda n, s: n + F.size(s["pairs"]))
-    times = F.flatten(F.transform("series_values", lambda s: s["pairs"]["time"]))
-    measured = kept.withColumns(
-        {"rows": rows, "dropped": total - rows, "_times": F.array_distinct(times)}
-    )
-    repeated = F.exists(
-        "series_values",
-        lambda s: F.size(F.array_distinct(s["pairs"]["time"])) < F.size(s["pairs"]),
-    )
-    problem = F.coalesce(
-        F.col("problem"),
-        F.when(repeated, F.lit("a business key repeats within one posting")),
-    )
+    kept = [c for c in responses.columns if c != "body"]
+    wanted = responses.where(F.col("kind") == kind) if "kind" in kept else responses
+    refused = f"""CASE
+        WHEN problem IS NOT NULL THEN problem
+        WHEN {REPEATED} THEN 'a business key repeats within one posting'"""
     if kind == PREVIOUS_RUNS:
-        problem = F.coalesce(problem, _not_yet_known())
-    drop = [c for c in layouts.columns if c not in ("product", "lag_minutes")]
+        refused += f"""
+        WHEN {NOT_YET_KNOWN} THEN 'valid hours would be posted after they were ingested'"""
     return (
-        measured.withColumn("problem", problem)
-        .withColumns(
-            {
-                "valid_from": F.timestamp_seconds(F.array_min("_times")),
-                "valid_to": F.timestamp_seconds(F.array_max("_times")),
-                "days": F.array_sort(
-                    F.array_distinct(
-                        F.transform("_times", lambda t: F.to_date(F.timestamp_seconds(t)))
-                    )
-                ),
-                "digest": F.when(F.col("problem").isNull(), content_digest("series_values")),
-            }
+        parse(wanted.join(layouts, "product", "left"))
+        .selectExpr("*", f"{PROBLEM} AS problem")
+        .selectExpr(
+            *kept, "lag_minutes", "problem", f"{SERIES_VALUES} AS series_values",
+            "CASE WHEN problem IS NULL THEN "
+            "size(zones) * size(columns) * size(entries[0].hourly['time']) END AS _cells",
+        )
+        .selectExpr(
+            *kept, "lag_minutes", "series_values", "_cells",
+            f"{refused} END AS problem",
+            "aggregate(series_values, 0, (n, s) -> n + size(s.pairs)) AS rows",
+            "array_distinct(flatten(transform(series_values, s -> s.pairs.time))) AS _times",
+        )
+        .selectExpr(
+            *kept, "lag_minutes", "problem", "series_values", "rows", "_cells - rows AS dropped",
+            "timestamp_seconds(array_min(_times)) AS valid_from",
+            "timestamp_seconds(array_max(_times)) AS valid_to",
+            "array_sort(array_distinct(transform(_times, t -> date(timestamp_seconds(t))))) AS days",
+            f"CASE WHEN problem IS NULL THEN sha2({CONTENT}, 256) END AS digest",
         )
-        .drop("_series", "_times", "entries", "body", *drop)
-    )
-
-
-def content_digest(series_values: str) -> Column:
-    """What was forecast, whatever the order it came in and whenever it was fetched."""
-    lines = F.transform(
-        F.array_sort(series_values),
-        lambda s: F.concat_ws(
-            " ",
-            s["series"],
-            s["lead"].cast("string"),
-            F.array_join(
-                F.transform(
-                    F.array_sort(s["pairs"]),
-                    lambda p: F.concat_ws(
-                        "=", p["time"].cast("long").cast("string"), p["value"].cast("string")
-                    ),
-                ),
-                " ",
-            ),
-        ),
     )
-    kept = F.filter(lines, lambda line: ~line.endswith(" "))
-    return sha256_of_lines(kept)
 
 
 def forecast_rows(values: DataFrame, kind: str) -> DataFrame:
@@ -152,126 +193,3 @@ def trim(responses: DataFrame, hours: int) -> DataFrame:
         ),
     )
     return responses.withColumn("body", F.to_json(short))
-
-
-# -- checks ----------------------------------------------------------------------------------
-
-
-def _problem(kind: str) -> Column:
-    """The first way a response differs from its declared layout, or null."""
-    entries, points = F.col("entries"), F.col("points")
-    times = F.get(entries, F.lit(0))["hourly"]["time"]
-    per_point = F.zip_with(entries, points, lambda e, p: _entry_problem(e, p, times))
-    first = F.get(F.filter(per_point, lambda p: p.isNotNull()), F.lit(0))
-    return (
-        F.when(points.isNull(), F.lit(f"product declares no {kind} responses"))
-        .when(entries.isNull(), F.lit("response is neither an object nor a list"))
-        .when(
-            F.size(entries) != F.size(points),
-            F.concat(
-                F.size(entries).cast("string"), F.lit(" points in the response, "),
-                F.size(points).cast("string"), F.lit(" requested"),
-            ),
-        )
-        .otherwise(first)
-    )
-
-
-def _entry_problem(entry: Column, point: Column, first_times: Column) -> Column:
-    hourly, units, columns = entry["hourly"], entry["hourly_units"], F.col("columns")
-    names = F.transform(columns, lambda c: c["column"])
-    near = (F.abs(entry["latitude"] - point["lat"]) <= MAX_SNAP_DEGREES) & (
-        F.abs(entry["longitude"] - point["lon"]) <= MAX_SNAP_DEGREES
-    )
-    extra = F.array_except(F.map_keys(hourly), F.array_append(names, "time"))
-    wrong = F.get(
-        F.filter(
-            F.transform(columns, lambda c: _column_problem(c, hourly, units)),
-            lambda p: p.isNotNull(),
-        ),
-        F.lit(0),
-    )
-    times = F.try_element_at(hourly, F.lit("time"))
-    uneven = F.exists(columns, lambda c: F.size(F.try_element_at(hourly, c["column"])) != F.size(times))
-    time_unit = F.try_element_at(units, F.lit("time"))
-
-    def about(text: str) -> Column:
-        return F.concat(F.lit(text), point["name"])
-
-    return (
-        F.when(entry.isNull(), about("no readable entry for "))
-        .when(~F.coalesce(near, F.lit(False)), about("location is not that of "))
-        .when(hourly.isNull(), about("hourly values are missing or not numbers for "))
-        .when(
-            F.size(extra) > 0,
-            F.concat(
-                F.lit("undeclared variables in the response: "),
-                F.array_join(F.array_sort(extra), ", "),
-            ),
-        )
-        .when(wrong.isNotNull(), F.concat(wrong, about(" for ")))
-        .when(~F.coalesce(time_unit == "unixtime", F.lit(False)), about("time is not unixtime for "))
-        .when(
-            times.isNull() | F.exists(times, lambda t: t.isNull()),
-            about("valid times are missing for "),
-        )
-        .when(~F.coalesce(times == first_times, F.lit(False)), about("different valid times for "))
-        .when(uneven, about("values and valid times differ in number for "))
-    )
-
-
-def _column_problem(column: Column, hourly: Column, units: Column) -> Column:
-    name, unit = column["column"], F.try_element_at(units, column["column"])
-    return F.when(
-        F.try_element_at(hourly, name).isNull(), F.concat(name, F.lit(" is missing"))
-    ).when(
-        ~unit.eqNullSafe(column["unit"]),
-        F.concat(
-            name, F.lit(" is in "), F.coalesce(unit, F.lit("no unit")),
-            F.lit(", declared in "), column["unit"],
-        ),
-    )
-
-
-def _not_yet_known() -> Column:
-    """Backfilled hours whose computed knowledge time lies after the fetch cannot be right."""
-    known = F.unix_seconds("fetched_at") - F.col("lag_minutes") * 60
-    early = F.exists(
-        "series_values",
-        lambda s: F.array_max(s["pairs"]["time"]) - s["lead"] * 86400 > known,
-    )
-    return F.when(early, F.lit("valid hours would be posted after they were ingested"))
-
-
-def _zone_series() -> Column:
-    """Per zone and declared column, pairs of valid time and the mean of all the zone's points."""
-    entries = F.col("entries")
-    times = F.transform(
-        F.get(entries, F.lit(0))["hourly"]["time"], lambda t: t.cast("long")
-    )
-
-    def values(zone: Column, column: Column) -> Column:
-        members = F.transform(
-            zone["positions"],
-            lambda i: finite_or_null(
-                F.try_element_at(F.get(entries, i)["hourly"], column["column"])
-            ),
-        )
-        return weighted_mean(members, zone["weights"])
-
-    def series(zone: Column, column: Column) -> Column:
-        return F.struct(
-            series_name(column["variable"], zone["zone"]).alias("series"),
-            column["lead"].alias("lead"),
-            F.zip_with(
-                times,
-                values(zone, column),
-                lambda t, v: F.struct(t.alias("time"), v.alias("value")),
-            ).alias("pairs"),
-        )
-
-    return F.flatten(
-        F.transform(
-            F.col("zones"), lambda z: F.transform(F.col("columns"), lambda c: series(z, c))
-        )
-    )

@@ -11,9 +11,7 @@ from hindcast.contract import BUSINESS_KEY
 from hindcast.functions.columns import (
     backfill_posted_at,
     finite,
-    lead_days,
     lead_minutes,
-    lead_variable,
     variable_of,
     zone_of,
 )
@@ -43,15 +41,21 @@ def unpivot_leads(
 ) -> DataFrame:
     """Turn ``<variable>_previous_dayN`` columns into rows of variable, lead and value, each
     with the moment it was certainly known. Values that are not real numbers are left out."""
-    long = wide.unpivot(list(ids), list(columns), "column", "value").where(finite(F.col("value")))
-    lead = lead_days(F.col("column"))
-    return long.select(
-        *ids,
-        lead_variable(F.col("column")).alias("variable"),
-        lead.alias("lead"),
-        backfill_posted_at(F.col("interval_start"), lead, F.lit(lag_minutes)).alias("posted_at"),
-        "value",
-    )
+    cells = []
+    for column in columns:
+        variable, found, n = column.rpartition("_previous_day")
+        if not found or not n.isdigit():
+            raise ValueError(f"{column!r} is not named <variable>_previous_day<N>")
+        cells.append(
+            F.struct(
+                F.lit(variable).alias("variable"),
+                F.lit(int(n)).alias("lead"),
+                F.col(column).cast("double").alias("value"),
+            )
+        )
+    long = wide.select(*ids, F.inline(F.array(*cells))).where(finite(F.col("value")))
+    known = backfill_posted_at(F.col("interval_start"), F.col("lead"), F.lit(lag_minutes))
+    return long.select(*ids, "variable", "lead", known.alias("posted_at"), "value")
 
 
 def revisions(rows: DataFrame) -> DataFrame:

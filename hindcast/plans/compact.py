@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hindcast.contract import FORECAST
 from hindcast.operators.checks import any_null
 from hindcast.session import shared_folder
+from hindcast.settings import frame
 from hindcast.sources import storage
 from hindcast.sources.footers import on_contract, read_footers
 from hindcast.sources.lake import Lake, older_than
@@ -19,11 +20,15 @@ MIN_AGE_MINUTES = 60
 PARTITION = ("product", "date")
 UNIT = ("product", "date", "posting")
 SORT = ("product", "date", "interval_start", "series", "posted_at", "ingested_at")
+MERGEABLE = r"^((part|merged)-\d{8}T\d{6}Z|previous-runs|batch-.+)$"
+
+Partition = tuple[str, date]
 
 
 @dataclass(frozen=True)
 class Compaction:
-    """What a run did, per partition: ``merged``, or ``skipped`` as off the contract."""
+    """What a run did: per partition the outcome (``merged``, or ``skipped`` as off the
+    contract), units, leftover units and rows."""
 
     partitions: DataFrame
     stopped: bool  # there was more to do than this run's bound
@@ -54,69 +59,91 @@ def compact(
     earlier run merged but did not get to delete are recognised by their rows. Partitions with
     a file off the contract are left alone and reported.
 
-    ``max_partitions`` bounds a run; the next one goes on where this one stopped.
+    ``max_partitions`` bounds a run, and with it what the driver learns: one row of counts per
+    partition. The next run goes on where this one stopped.
     """
-    spark = lake.spark
     target = f"merged-{now.astimezone(UTC):%Y%m%dT%H%M%SZ}"
-    files = _written(lake, _units_to_merge(lake, now, min_age_minutes))
-    partitions = (
-        files.groupBy(*PARTITION)
-        .agg(F.count_distinct("posting").alias("units"), F.sum("length").alias("bytes"))
+    listing = _written(lake, _units_to_merge(lake, now, min_age_minutes))
+    due = (
+        listing.groupBy(*PARTITION)
+        .agg(F.count_distinct("posting").alias("units"), F.sum("length").alias("bytes"),
+             F.bool_or(F.col("posting") == target).alias("clash"))
         .where("units >= 2")
+        .orderBy("date", "product")
+        .limit(max_partitions + 1)
+        .collect()
     )
-    due = partitions.orderBy("date", "product").limit(max_partitions)
-    chosen = _written(lake, files.join(F.broadcast(due.select(*PARTITION)), [*PARTITION], "left_semi"))
-    if not chosen.where(F.col("posting") == target).isEmpty():
+    due, stopped = due[:max_partitions], len(due) > max_partitions
+    if not due:
+        return Compaction(_outcomes(lake, []), stopped)
+    if any(p.clash for p in due):
         raise ValueError(f"{target} is already there; merge again a second later")
-    stopped = partitions.count() > max_partitions
-
-    footers = _written(lake, read_footers(chosen))
-    bad = _off_contract(lake, footers)
-    good = footers.join(F.broadcast(bad), [*PARTITION], "left_anti")
-    leftovers = _written(lake, _leftovers(lake, good))
-    sources = good.select(*UNIT).distinct().join(leftovers, [*UNIT], "left_anti")
-
-    total = good.agg(F.sum("length")).first()[0]
-    if total:
-        days = good.select(*PARTITION).distinct().count()
-        rows = _rows(lake, sources, _salt=F.col("_metadata.row_index") % 1024)
-        ranges = max(days, -(-int(total) // target_bytes))
-        lake.write_postings(
-            rows.repartitionByRange(ranges, *SORT, "_salt")
-            .sortWithinPartitions(*SORT)
-            .withColumn("posting", F.lit(target))
-        )
-    merged = _checked(lake, sources, target)
-    for unit in good.select(*UNIT).distinct().toLocalIterator():
-        folder = lake.path(
-            "curated", f"product={unit.product}", f"date={unit.date}", f"posting={unit.posting}"
-        )
-        storage.delete_below(spark, folder, guard=lake.path("curated"))
-    return Compaction(_outcomes(footers, bad, leftovers, merged), stopped)
+
+    chosen = [(p.product, p.date) for p in due]
+    footers = _written(lake, read_footers(_only(listing, chosen)))
+    skipped = _off_contract(lake, footers)
+    good = [p for p in chosen if p not in skipped]
+    leftovers = _leftovers(lake, _only(footers, good))
+    sources = _only(footers, good).select(*UNIT).distinct().join(leftovers, [*UNIT], "left_anti")
+
+    rows: dict[Partition, int] = {}
+    if good:
+        total = sum(p.bytes for p in due)
+        ranges = max(len(good), -(-total // target_bytes))
+        _merge(lake, sources, good, target, ranges)
+        rows = _checked(lake, sources, good, target)
+        for unit in _only(footers, good).select(*UNIT).distinct().toLocalIterator():
+            folder = lake.path(
+                "curated", f"product={unit.product}", f"date={unit.date}", f"posting={unit.posting}"
+            )
+            storage.delete_below(lake.spark, folder, guard=lake.path("curated"))
+    left = {
+        (p.product, p.date): p["count"] for p in leftovers.groupBy(*PARTITION).count().collect()
+    }
+    return Compaction(
+        _outcomes(
+            lake,
+            [
+                {
+                    "product": p.product,
+                    "date": p.date,
+                    "outcome": "skipped" if (p.product, p.date) in skipped else "merged",
+                    "units": p.units,
+                    "leftovers": left.get((p.product, p.date), 0),
+                    "rows": rows.get((p.product, p.date)),
+                }
+                for p in due
+            ],
+        ),
+        stopped,
+    )
 
 
 def _units_to_merge(lake: Lake, now: datetime, min_age_minutes: int) -> DataFrame:
     """Files of units none of whose files may still be in the making."""
-    files = lake.curated_files().where(
-        F.col("own") & F.col("posting").rlike(r"^((part|merged)-\d{8}T\d{6}Z|previous-runs|batch-.+)$")
-    )
+    files = lake.curated_files().where(F.col("own") & F.col("posting").rlike(MERGEABLE))
     newest = files.groupBy(*UNIT).agg(F.max("modified_at").alias("modified_at"))
     return files.drop("own").join(
         older_than(newest, now, min_age_minutes).select(*UNIT), [*UNIT], "left_semi"
     )
 
 
-def _off_contract(lake: Lake, footers: DataFrame) -> DataFrame:
+def _off_contract(lake: Lake, footers: DataFrame) -> set[Partition]:
     """Partitions with a file of other columns or types, or with a null where none may be.
 
-    Footers count nulls; only files without statistics are scanned for them.
+    Footers count nulls; only partitions with a file that has no statistics are scanned.
     """
-    by_footer = footers.where(~on_contract() | (F.col("nulls") > 0)).select(*PARTITION)
-    unknown = footers.where(on_contract() & F.col("nulls").isNull()).select(*UNIT).distinct()
-    if unknown.isEmpty():
-        return _written(lake, by_footer.distinct())
-    scanned = _rows(lake, unknown).where(any_null(FORECAST.fieldNames())).select(*PARTITION)
-    return _written(lake, by_footer.union(scanned).distinct())
+    state = footers.groupBy(*PARTITION).agg(
+        F.bool_or(~on_contract() | (F.coalesce("nulls", F.lit(0)) > 0)).alias("bad"),
+        F.bool_or(F.col("nulls").isNull()).alias("unknown"),
+    ).where("bad OR unknown").collect()
+    bad = {(p.product, p.date) for p in state if p.bad}
+    unknown = [(p.product, p.date) for p in state if not p.bad]
+    if unknown:
+        units = _only(footers, unknown).select(*UNIT)
+        nulls = _rows(lake, units, unknown).where(any_null(FORECAST.fieldNames()))
+        bad |= {(p.product, p.date) for p in nulls.select(*PARTITION).distinct().collect()}
+    return bad
 
 
 def _leftovers(lake: Lake, footers: DataFrame) -> DataFrame:
@@ -134,18 +161,21 @@ def _leftovers(lake: Lake, footers: DataFrame) -> DataFrame:
         .groupBy(*PARTITION)
         .agg(F.max_by(F.struct("posting", "last"), "posting").alias("held"))
     )
-    suspects = units.join(F.broadcast(merged), [*PARTITION]).where(
-        (F.col("posting") != F.col("held.posting"))
-        & F.coalesce(F.col("first") <= F.col("held.last"), F.lit(True))
+    possible = F.coalesce(F.col("first") <= F.col("held.last"), F.lit(True))
+    suspects = units.join(merged, [*PARTITION]).where(
+        (F.col("posting") != F.col("held.posting")) & possible
     )
     suspects = _written(lake, suspects)
-    if suspects.isEmpty():
+    held_units = suspects.select(*PARTITION, F.col("held.posting").alias("posting")).distinct()
+    partitions = [(p.product, p.date) for p in held_units.collect()]
+    if not partitions:
         return suspects.select(*UNIT)
     columns = [*PARTITION, *FORECAST.fieldNames()]
-    held_units = suspects.select(*PARTITION, F.col("held.posting").alias("posting")).distinct()
-    held = _rows(lake, held_units).groupBy(*columns).agg(F.count("*").alias("_held"))
+    held = (
+        _rows(lake, held_units, partitions).groupBy(*columns).agg(F.count("*").alias("_held"))
+    )
     found = (
-        _rows(lake, suspects.select(*UNIT))
+        _rows(lake, suspects.select(*UNIT), partitions)
         .groupBy(*columns, "posting")
         .agg(F.count("*").alias("_n"))
         .join(held, columns, "left")
@@ -166,59 +196,69 @@ def _leftovers(lake: Lake, footers: DataFrame) -> DataFrame:
         .select(*PARTITION)
         .distinct()
     )
-    return alone.join(too_many, [*PARTITION], "left_anti")
+    return _written(lake, alone.join(too_many, [*PARTITION], "left_anti"))
+
+
+def _merge(
+    lake: Lake, sources: DataFrame, partitions: list[Partition], target: str, ranges: int
+) -> None:
+    """Write the sources' rows sorted by key. Ranges of the sort order make even files whatever
+    a partition's size; the row number splits even a run of equal rows."""
+    rows = _rows(lake, sources, partitions, _salt=F.col("_metadata.row_index") % 1024)
+    lake.write_postings(
+        rows.repartitionByRange(ranges, *SORT, "_salt")
+        .sortWithinPartitions(*SORT)
+        .withColumn("posting", F.lit(target))
+    )
 
 
-def _rows(lake: Lake, units: DataFrame, **extra: Column) -> DataFrame:
-    """The rows of the given units. The units are a listing, bounded by the run's partitions."""
-    days = units.select(*PARTITION).distinct().collect()
-    table = lake.own_curated(sorted({day.product for day in days}))
-    table = table.where(F.col("date").isin(sorted({day.date for day in days})))
+def _rows(
+    lake: Lake, units: DataFrame, partitions: list[Partition], **extra: Column
+) -> DataFrame:
+    """The rows of the given units, all of which lie in the given partitions."""
+    table = lake.own_curated(sorted({product for product, _ in partitions}))
+    table = table.where(F.col("date").isin(sorted({day for _, day in partitions})))
     table = table.withColumns(extra) if extra else table
     return table.join(units.select(*UNIT).distinct(), [*UNIT], "left_semi")
 
 
-def _fingerprint(rows: DataFrame) -> DataFrame:
-    """Count and two order-free sums of row hashes per partition."""
-    digest = F.xxhash64(*FORECAST.fieldNames())
-    return rows.groupBy(*PARTITION).agg(
-        F.count("*").alias("rows"),
-        F.bit_xor(digest).alias("xor"),
-        F.sum(digest.cast("decimal(20,0)")).alias("sum"),
-    )
+def _only(rows: DataFrame, partitions: list[Partition]) -> DataFrame:
+    keys = [f"{product} {day}" for product, day in partitions]
+    return rows.where(F.concat_ws(" ", *PARTITION).isin(keys))
 
 
-def _checked(lake: Lake, sources: DataFrame, target: str) -> DataFrame:
-    """Rows per merged partition, once every partition proved equal to its sources."""
-    if sources.isEmpty():
-        return sources.select(*PARTITION, F.lit(0).cast("long").alias("rows"))
+def _checked(
+    lake: Lake, sources: DataFrame, partitions: list[Partition], target: str
+) -> dict[Partition, int]:
+    """Rows per merged partition, once every partition proved to hold exactly its sources' rows:
+    the same count and the same two order-free sums of row hashes."""
     written = sources.select(*PARTITION, F.lit(target).alias("posting")).distinct()
-    before, after = _fingerprint(_rows(lake, sources)), _fingerprint(_rows(lake, written))
-    wrong = before.join(after, before.columns, "left_anti")
-    first = wrong.first()
-    if first is not None:
-        raise RuntimeError(f"merged rows differ from their sources in {first}; nothing deleted")
-    return _written(lake, after.select(*PARTITION, "rows"))
-
-
-def _outcomes(
-    footers: DataFrame, bad: DataFrame, leftovers: DataFrame, merged: DataFrame
-) -> DataFrame:
-    units = footers.groupBy(*PARTITION).agg(F.count_distinct("posting").alias("units"))
-    left = leftovers.groupBy(*PARTITION).agg(F.count("*").alias("leftovers"))
-    skipped = bad.select(*PARTITION, F.lit("skipped").alias("outcome"))
-    return (
-        units.join(left, [*PARTITION], "left")
-        .join(skipped, [*PARTITION], "left")
-        .join(merged, [*PARTITION], "left")
-        .select(
-            *PARTITION,
-            F.coalesce("outcome", F.lit("merged")).alias("outcome"),
-            "units",
-            F.coalesce("leftovers", F.lit(0)).alias("leftovers"),
-            "rows",
+    units = sources.unionByName(written)
+    digest = F.xxhash64(*FORECAST.fieldNames())
+    sides = (
+        _rows(lake, units, partitions)
+        .groupBy(*PARTITION, (F.col("posting") == target).alias("merged"))
+        .agg(
+            F.count("*").alias("rows"),
+            F.bit_xor(digest).alias("xor"),
+            F.sum(digest.cast("decimal(20,0)")).alias("sum"),
         )
+        .collect()
+    )
+    before = {(s.product, s.date): (s.rows, s.xor, s.sum) for s in sides if not s.merged}
+    after = {(s.product, s.date): (s.rows, s.xor, s.sum) for s in sides if s.merged}
+    if before != after:
+        wrong = sorted(p for p in {*before, *after} if before.get(p) != after.get(p))
+        raise RuntimeError(f"merged rows differ from their sources in {wrong[0]}; nothing deleted")
+    return {partition: rows for partition, (rows, _, _) in after.items()}
+
+
+def _outcomes(lake: Lake, rows: list[dict]) -> DataFrame:
+    shape = (
+        "array<struct<product: string, date: date, outcome: string, units: bigint, "
+        "leftovers: bigint, rows: bigint>>"
     )
+    return frame(lake.spark, rows, shape)
 
 
 def _written(lake: Lake, rows: DataFrame) -> DataFrame:

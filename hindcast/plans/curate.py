@@ -44,6 +44,8 @@ def curate_live(
     """
     spark = lake.spark
     values = _stage(lake, zone_values(_named(responses), layouts(spark, products, LIVE), LIVE))
+    if values.isEmpty():
+        return
     _quarantine(lake, values, LIVE, batch)
 
     fresh = values.where("problem IS NULL").withColumnRenamed("days", "partitions")
@@ -107,8 +109,15 @@ def _published(values: DataFrame, polls: DataFrame, unit: str, batch: str) -> Da
         return rows
     if unit != "batch":
         raise ValueError(f"unit is 'posting' or 'batch', not {unit!r}")
-    return rows.withColumn("posting", F.lit(f"batch-{batch}")).repartitionByRange(
-        "product", "date", "interval_start", "series", "posted_at"
+    return _even(rows.withColumn("posting", F.lit(f"batch-{batch}")))
+
+
+def _even(rows: DataFrame) -> DataFrame:
+    """Rows in key order over the session's shuffle partitions, whatever their keys. The number
+    is given, as merging small ones would leave one task to write very many files."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(
+        partitions, "product", "date", "interval_start", "series", "posted_at"
     )
 
 
@@ -121,6 +130,8 @@ def curate_previous_runs(
     """
     columns = layouts(lake.spark, products, PREVIOUS_RUNS)
     values = _stage(lake, zone_values(_named(responses), columns, PREVIOUS_RUNS))
+    if values.isEmpty():
+        return
     _quarantine(lake, values, PREVIOUS_RUNS, batch)
 
     good = values.where("problem IS NULL")
@@ -162,6 +173,4 @@ def land_forecast(lake: Lake, rows: DataFrame, unit: str) -> None:
         "product", *FORECAST.fieldNames(),
         F.to_date("interval_start").alias("date"), F.lit(unit).alias("posting"),
     )
-    lake.write_postings(
-        placed.repartitionByRange("product", "date", "interval_start", "series", "posted_at")
-    )
+    lake.write_postings(_even(placed))

@@ -53,8 +53,9 @@ class Product:
 LAYOUT = """array<struct<
     product: string,
     points: array<struct<name: string, lat: double, lon: double>>,
-    zones: array<struct<zone: string, positions: array<int>, weights: array<double>>>,
-    columns: array<struct<column: string, variable: string, lead: int, unit: string>>,
+    zones: array<struct<
+        zone: string, positions: array<int>, weights: array<double>, weight: double>>,
+    columns: array<struct<name: string, variable: string, lead: int, unit: string>>,
     lag_minutes: int>>"""
 
 
@@ -82,11 +83,12 @@ def layouts(spark: SparkSession, products: Sequence[Product], kind: str) -> Data
                         "zone": zone,
                         "positions": [i for i, (z, _) in enumerate(points) if z == zone],
                         "weights": [p.weight for p in members],
+                        "weight": sum(p.weight for p in members),
                     }
                     for zone, members in product.zones.items()
                 ],
                 "columns": [
-                    dict(zip(("column", "variable", "lead", "unit"), c, strict=True))
+                    dict(zip(("name", "variable", "lead", "unit"), c, strict=True))
                     for c in columns
                 ],
                 "lag_minutes": product.backfill.publication_lag_min if product.backfill else 0,

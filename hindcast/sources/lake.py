@@ -82,7 +82,7 @@ class Lake:
             if product in folders:
                 parts.append(self._flat_curated(product, f"{base}/{product}"))
         if not parts:
-            return self.spark.createDataFrame([], CURATED_TABLE)
+            return empty(self.spark, CURATED_TABLE)
         return reduce(DataFrame.unionByName, parts)
 
     def own_curated(self, products: Sequence[str]) -> DataFrame:
@@ -121,7 +121,7 @@ class Lake:
             "modified_at timestamp, length long"
         )
         if not self.curated_products():
-            return self.spark.createDataFrame([], shape)
+            return empty(self.spark, T.StructType.fromDDL(shape))
         listing = (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
@@ -153,13 +153,16 @@ class Lake:
         )
 
     def land_responses(self, responses: DataFrame, batch: str) -> None:
-        """Keep bodies before anything parses them; landing the same batch again replaces it."""
+        """Keep bodies before anything parses them; landing the same batch again replaces it.
+
+        Nothing is shuffled: a batch should come in as many tasks as it is worth files a day.
+        """
         self._append(
             responses.select(
                 "product", "kind", "fetched_at", "first", "last", "body",
                 F.to_date("fetched_at").alias("date"),
             ),
-            "responses", batch, "product", "date",
+            "responses", batch, "kind", "date",
         )
 
     def responses(self) -> DataFrame:
@@ -203,10 +206,16 @@ class Lake:
     def _table(self, table: str, schema: str) -> DataFrame:
         folder = self.path(table)
         if not storage.exists(self.spark, folder):
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, T.StructType.fromDDL(schema))
         return self.spark.read.schema(schema).parquet(folder)
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, in a form the optimizer sees through."""
+    nothing = spark.range(1).where(F.lit(False))
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def with_raw_key(landed: DataFrame) -> DataFrame:
     """Name each landed response, so that logs can point at it."""
     key = F.concat_ws("/", F.lit("responses"), "product", "kind", stamp(F.col("fetched_at")))

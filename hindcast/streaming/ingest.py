@@ -1,4 +1,4 @@
-"""Incremental ingest: new raw files become postings, each batch exactly once."""
+"""Incremental ingest: new responses become postings, each batch exactly once."""
 
 from __future__ import annotations
 
@@ -13,21 +13,22 @@ from hindcast.plans.curate import curate_live, curate_previous_runs
 from hindcast.settings import Product
 from hindcast.sources.lake import LANDED, Lake, name_parts, with_raw_key
 
+FILE_NAMES = {LIVE: "fetched=*.json*", PREVIOUS_RUNS: "previous-runs-*.json*"}
+
 
 def ingest_stream(
     lake: Lake,
     products: Sequence[Product],
     checkpoint: str,
     *,
-    name: str = "ingest",
+    kind: str = LIVE,
     unit: str = "posting",
     landed: bool = False,
     max_files_per_batch: int = 10_000,
 ) -> StreamingQuery:
-    """Work through the responses that have arrived since the last run, then stop.
+    """Work through the responses of one kind that have arrived since the last run, then stop.
 
     They are read from the raw files, or with ``landed`` from the table of landed responses.
-
     A batch writes under its own id and replaces what an earlier attempt at it wrote, so a
     replay after a failure changes nothing. Responses that are not as declared go to the
     quarantine and do not hold up the rest. Polls may arrive in any order.
@@ -35,24 +36,27 @@ def ingest_stream(
     reader = lake.spark.readStream.option("maxFilesPerTrigger", max_files_per_batch)
     if landed:
         arrived = reader.schema(LANDED).parquet(lake.path("responses"))
+        arrived = arrived.where(F.col("kind") == kind)
     else:
         arrived = (
             reader.option("wholetext", True)
             .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", FILE_NAMES[kind])
             .text(lake.path("raw"))
             .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_key"))
         )
 
     def curate(rows: DataFrame, batch_id: int) -> None:
         responses = with_raw_key(rows) if landed else name_parts(rows)
-        kept, batch = lake.responses() if landed else lake.raw_files(), f"{name}-{batch_id}"
-        live = responses.where(F.col("kind") == LIVE)
-        curate_live(lake, products, live, batch, kept=kept, unit=unit)
-        past = responses.where(F.col("kind") == PREVIOUS_RUNS)
-        curate_previous_runs(lake, products, past, batch)
+        batch = f"{kind}-{batch_id}"
+        if kind == PREVIOUS_RUNS:
+            curate_previous_runs(lake, products, responses, batch)
+        else:
+            kept = lake.responses() if landed else lake.raw_files()
+            curate_live(lake, products, responses, batch, kept=kept, unit=unit)
 
     return (
-        arrived.writeStream.queryName(name)
+        arrived.writeStream.queryName(f"ingest-{kind}")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(curate)

@@ -122,7 +122,7 @@ def test_drift_is_named_and_neighbours_survive(spark):
 def test_an_unconfigured_product_is_a_problem(spark):
     rows = responses(spark, live_response(), product="other")
     got = zone_values(rows, layouts(spark, [GFS_SEAMLESS], LIVE), LIVE).collect()[0]
-    assert "declares no live responses" in got.problem
+    assert got.problem == "product declares no such responses"
 
 
 def test_weights_replay_another_weighting(spark):
