@@ -119,6 +119,9 @@ def zone_values(responses: DataFrame, layouts: DataFrame, kind: str) -> DataFram
     Adds ``problem`` (null when the response is as declared), ``series_values`` (per series and
     lead, the valid times and values), ``rows``, ``dropped`` (zone-hours lost to a missing
     point), ``valid_from``/``valid_to``, ``days`` and ``digest``.
+
+    Write the result to a table before filtering it: a filter would be pushed below the
+    parsing, and parse every body once more for each column it mentions.
     """
     kept = [c for c in responses.columns if c != "body"]
     wanted = responses.where(F.col("kind") == kind) if "kind" in kept else responses
@@ -143,7 +146,9 @@ def zone_values(responses: DataFrame, layouts: DataFrame, kind: str) -> DataFram
             "array_distinct(flatten(transform(series_values, s -> s.pairs.time))) AS _times",
         )
         .selectExpr(
-            *kept, "lag_minutes", "problem", "series_values", "rows", "_cells - rows AS dropped",
+            *kept, "lag_minutes", "problem",
+            "CASE WHEN problem IS NULL THEN series_values END AS series_values",
+            "rows", "_cells - rows AS dropped",
             "timestamp_seconds(array_min(_times)) AS valid_from",
             "timestamp_seconds(array_max(_times)) AS valid_to",
             "array_sort(array_distinct(transform(_times, t -> date(timestamp_seconds(t))))) AS days",
@@ -153,13 +158,17 @@ def zone_values(responses: DataFrame, layouts: DataFrame, kind: str) -> DataFram
 
 
 def forecast_rows(values: DataFrame, kind: str) -> DataFrame:
-    """The curated rows of accepted responses, with the partition columns of their table."""
-    series = values.where("problem IS NULL").select(
-        "product", "fetched_at", "lag_minutes", F.explode("series_values").alias("s")
+    """The curated rows of accepted responses, with the partition columns of their table.
+
+    Refused responses have no values. The outer forms keep Spark from deriving a filter on the
+    arrays and computing them twice; the rows they add are taken out again.
+    """
+    series = values.select(
+        "product", "fetched_at", "lag_minutes", F.explode_outer("series_values").alias("s")
     )
     pairs = series.select(
-        "product", "fetched_at", "lag_minutes", "s.series", "s.lead", F.inline("s.pairs")
-    )
+        "product", "fetched_at", "lag_minutes", "s.series", "s.lead", F.inline_outer("s.pairs")
+    ).where("time IS NOT NULL")
     start = F.timestamp_seconds("time")
     posted = F.col("fetched_at")
     unit = F.concat(F.lit("part-"), stamp(F.col("fetched_at")))
