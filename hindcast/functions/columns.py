@@ -75,7 +75,8 @@ def lead_minutes(interval_start: Column, posted_at: Column) -> Column:
 
 def slice_start(ts: Column, seconds: int) -> Column:
     """The start of the fixed-width time slice a stamp falls into."""
-    return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / F.lit(seconds)) * F.lit(seconds))
+    at = F.unix_seconds(ts)
+    return F.timestamp_seconds(at - F.pmod(at, F.lit(seconds)))
 
 
 def backfill_posted_at(interval_start: Column, days: Column, lag_minutes: Column) -> Column:

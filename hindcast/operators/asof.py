@@ -21,97 +21,160 @@ def asof_join(
     decision_at: str = "decision_at",
     payload: Sequence[str] = ("value", "source"),
     how: str = "inner",
+    hot_rows: int = 1_000_000,
     slice_seconds: int = DAY,
-    unique_decisions: bool = False,
 ) -> DataFrame:
     """Attach to each decision the newest version of its key with ``posted_at <= decision_at``.
 
-    No task ever holds a whole key. Versions are first reduced to one per key and instant with
-    map-side combining, so copies cost nothing. Time is then cut into slices: inside a slice a
-    running ``last`` finds the answer, and the newest version of all earlier slices is carried
-    in as the slice's first row, found from one row per key and slice. A slice holds at most
-    one version per distinct instant, so ``slice_seconds`` bounds the largest group.
+    Versions and decisions of a key go into one sorted run, where a running ``last`` finds the
+    answers: one shuffle, and no pair is ever formed.
 
-    ``unique_decisions`` skips deduplicating and joining back decisions that are known to hold
-    one row per key and ``decision_at``.
+    A key too big for one task is handled apart. Its rows are first counted, over the key
+    columns alone; keys above both ``hot_rows`` and an even share of all rows per shuffle
+    partition, of which there can be no more than shuffle partitions, take the way of
+    :func:`_sliced`.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how is 'inner' or 'left', not {how!r}")
     keys = list(on)
-    cell = [*keys, "_slice"]
-    newest = (
-        versions.select(*keys, F.struct("posted_at", "ingested_at", *payload).alias("_version"))
-        .groupBy(*keys, F.col("_version.posted_at").alias("_at"))
-        .agg(F.max("_version").alias("_version"))
-        .withColumn("_slice", slice_start(F.col("_at"), slice_seconds))
+    newest = versions.select(
+        *keys,
+        F.col("posted_at").alias("_at"),
+        F.struct("posted_at", "ingested_at", *payload).alias("_version"),
+    )
+    asked = decisions.withColumn("_at", F.col(decision_at)).select(
+        *keys, "_at", F.struct(*[c for c in decisions.columns if c not in keys]).alias("_decision")
     )
-    asked = decisions.select(*keys, F.col(decision_at).alias("_at"))
-    if not unique_decisions:
-        asked = asked.distinct()
-    asked = asked.withColumn("_slice", slice_start(F.col("_at"), slice_seconds))
-
-    version_type = newest.schema["_version"].dataType
-    no_version = F.lit(None).cast(version_type).alias("_version")
-    cells = (
-        newest.select(*cell, "_version", F.lit(False).alias("_asked"))
-        .unionByName(asked.select(*cell, no_version, F.lit(True).alias("_asked")))
-        .groupBy(*cell)
-        .agg(F.max("_version").alias("_version"), F.max("_asked").alias("_asked"))
+    hot = _hot_keys(newest, asked, keys, hot_rows)
+    if hot is None:
+        answers = _running(newest, asked, keys)
+    else:
+        cold = [t.join(F.broadcast(hot), keys, "left_anti") for t in (newest, asked)]
+        rest = [t.join(F.broadcast(hot), keys, "left_semi") for t in (newest, asked)]
+        answers = _running(*cold, keys).unionByName(_sliced(*rest, keys, slice_seconds))
+    if how == "inner":
+        answers = answers.where("_version IS NOT NULL")
+    return answers.select(*keys, "_decision.*", "_version.*").select(
+        *decisions.columns, "posted_at", "ingested_at", *payload
     )
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
+
+
+def _hot_keys(
+    newest: DataFrame, asked: DataFrame, keys: Sequence[str], hot_rows: int
+) -> DataFrame | None:
+    rows = newest.select(*keys).unionAll(asked.select(*keys))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    share = (total or 0) // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(hot_rows, share)
+    return counts.where(F.col("n") > limit).select(*keys) if (largest or 0) > limit else None
+
+
+def _running(newest: DataFrame, asked: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The answer to every question of a group: the last version at or before it."""
+    rows = _timeline(newest, asked)
+    so_far = (
+        Window.partitionBy(*group)
+        .orderBy("_at", "_question", "_version")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = cells.withColumn(
-        "_version", F.last("_version", ignorenulls=True).over(earlier)
-    ).where(F.col("_asked") & F.col("_version").isNotNull())
-
-    timeline = (
-        carried.select(*cell, F.col("_slice").alias("_at"), F.lit(0).alias("_kind"), "_version")
-        .unionByName(newest.select(*cell, "_at", F.lit(1).alias("_kind"), "_version"))
-        .unionByName(asked.select(*cell, "_at", F.lit(2).alias("_kind"), no_version))
+    return (
+        rows.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+        .where("_question")
+        .drop("_question", "_at")
+    )
+
+
+def _timeline(newest: DataFrame, asked: DataFrame) -> DataFrame:
+    no_version = F.lit(None).cast(newest.schema["_version"].dataType)
+    no_decision = F.lit(None).cast(asked.schema["_decision"].dataType)
+    return newest.withColumns(
+        {"_question": F.lit(False), "_decision": no_decision}
+    ).unionByName(asked.withColumns({"_question": F.lit(True), "_version": no_version}))
+
+
+def _sliced(
+    newest: DataFrame, asked: DataFrame, keys: Sequence[str], slice_seconds: int
+) -> DataFrame:
+    """The same for keys no task could hold.
+
+    Copies collapse first, to one version and one question per key and instant, with map-side
+    combining. Time is then cut into slices, each a group of its own, that holds at most one
+    version per instant. What was known before a slice is carried in as its first row, found
+    from one row per key and slice.
+    """
+    cell = [*keys, "_slice"]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_slice", slice_start(F.col("_at"), slice_seconds))
+
+    single = placed(newest.groupBy(*keys, "_at").agg(F.max("_version").alias("_version")))
+    instants = asked.select(*keys, "_at").distinct()
+    questions = placed(instants.withColumn("_decision", F.struct(F.col("_at").alias("asked_at"))))
+    ends = _timeline(single, questions).groupBy(*cell).agg(
+        F.max("_version").alias("_version"), F.bool_or("_question").alias("_question")
     )
-    so_far = Window.partitionBy(*cell).orderBy("_at", "_kind").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        ends.withColumn("_version", F.last("_version", ignorenulls=True).over(before))
+        .where("_question AND _version IS NOT NULL")
+        .select(*cell, F.col("_slice").alias("_at"), "_version")
     )
-    answers = (
-        timeline.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
-        .where("_kind = 2")
-        .select(*keys, F.col("_at").alias(decision_at), "_version")
+    answers = _running(single.unionByName(carried), questions, cell).select(
+        *keys, F.col("_decision.asked_at").alias("_at"), "_version"
     )
-    if not unique_decisions:
-        answers = decisions.join(answers, [*keys, decision_at])
-    if how == "inner":
-        answers = answers.where("_version IS NOT NULL")
-    elif how != "left":
-        raise ValueError(f"how is 'inner' or 'left', not {how!r}")
-    return answers.select("*", "_version.*").drop("_version")
+    return asked.join(answers, [*keys, "_at"]).drop("_at")
 
 
-def decision_grid(
+def multi_snapshot(
     decisions: DataFrame,
     versions: DataFrame,
     *,
-    decision_at: str = "decision_at",
-    valid_from: str = "valid_from",
-    valid_to: str = "valid_to",
-    series: str = "series",
+    payload: Sequence[str] = ("value", "source"),
     interval_minutes: int = 60,
+    max_decisions: int = 256,
 ) -> DataFrame:
-    """One row per decision, valid interval it covers and series known for that interval.
+    """A snapshot for every decision at once: ``(decision_at, valid_from, valid_to)`` in, one
+    row per decision and business key out, equal to one snapshot per decision.
+
+    Each version is put down to the first decision that could know it, and only the newest per
+    key and decision goes through the shuffle, whatever a key's number of versions. It then
+    answers that decision and the ones after it, up to the next version's.
 
-    Joins on the interval, so no decision is compared with hours it does not cover.
+    Looking up that decision takes time in proportion to the decisions about one valid hour;
+    beyond ``max_decisions`` of them an as-of join over the decisions' hours is used instead.
     """
+    key = list(BUSINESS_KEY)
     step = F.make_dt_interval(mins=F.lit(interval_minutes))
-    hours = decisions.select(
-        decision_at,
-        F.explode(F.sequence(F.col(valid_from), F.col(valid_to) - step, step)).alias(
-            "interval_start"
-        ),
-    ).distinct()
-    return hours.join(versions.select("interval_start", series).distinct(), "interval_start")
-
-
-def multi_snapshot(decisions: DataFrame, versions: DataFrame, **options) -> DataFrame:
-    """A snapshot for every decision at once: ``(decision_at, valid_from, valid_to)`` in,
-    one row per decision and business key out, equal to one snapshot per decision."""
-    return asof_join(
-        decision_grid(decisions, versions), versions, unique_decisions=True, **options
+    covered = F.explode(F.sequence(F.col("valid_from"), F.col("valid_to") - step, step))
+    hours = decisions.where("valid_from < valid_to").select(
+        "decision_at", covered.alias("interval_start")
+    )
+    about = hours.groupBy("interval_start").agg(F.count_distinct("decision_at").alias("n"))
+    if (about.agg(F.max("n")).first()[0] or 0) > max_decisions:
+        known = versions.select(*key).distinct()
+        asked = hours.distinct().join(known, "interval_start")
+        found = asof_join(asked, versions, payload=payload)
+        return found.select("decision_at", *key, "posted_at", "ingested_at", *payload)
+
+    asked = hours.groupBy("interval_start").agg(
+        F.array_sort(F.collect_set("decision_at")).alias("_asked")
+    )
+    first = F.filter("_asked", lambda at: at >= F.col("posted_at"))
+    newest = (
+        versions.join(asked, "interval_start")
+        .withColumn("_first", F.get(first, F.lit(0)))
+        .where("_first IS NOT NULL")
+        .groupBy(*key, "_first")
+        .agg(F.max(F.struct("posted_at", "ingested_at", *payload)).alias("_version"))
+    )
+    following = F.lead("_first").over(Window.partitionBy(*key).orderBy("_first"))
+    answered = F.filter(
+        "_asked",
+        lambda at: (at >= F.col("_first")) & (F.col("_next").isNull() | (at < F.col("_next"))),
+    )
+    return (
+        newest.withColumn("_next", following)
+        .join(asked, "interval_start")
+        .select(F.explode(answered).alias("decision_at"), *key, "_version.*")
     )
