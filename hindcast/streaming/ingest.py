@@ -39,10 +39,9 @@ def ingest_stream(
         arrived = arrived.where(F.col("kind") == kind)
     else:
         arrived = (
-            reader.option("wholetext", True)
-            .option("recursiveFileLookup", True)
+            reader.option("recursiveFileLookup", True)
             .option("pathGlobFilter", FILE_NAMES[kind])
-            .text(lake.path("raw"))
+            .text(lake.path("raw"), wholetext=True)
             .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_key"))
         )
 
