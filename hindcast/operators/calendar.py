@@ -33,3 +33,12 @@ def coverage_gaps(requests: DataFrame, windows: DataFrame) -> DataFrame:
     """Requested days no recorded window covers."""
     covered = days_of(windows).distinct()
     return days_of(requests).distinct().join(covered, ["product", "day"], "left_anti")
+
+
+def window_totals(windows: DataFrame) -> DataFrame:
+    """What a backfill amounts to per product: windows, rows, dropped zone-hours and days."""
+    covered = days_of(windows).distinct().groupBy("product").agg(F.count("*").alias("days"))
+    sums = latest_windows(windows).groupBy("product").agg(
+        F.count("*").alias("windows"), F.sum("rows").alias("rows"), F.sum("dropped").alias("dropped")
+    )
+    return sums.join(covered, "product")

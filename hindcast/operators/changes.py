@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions.columns import age_minutes, instant, slice_start
@@ -65,13 +65,17 @@ def latest_manifest(polls: DataFrame) -> DataFrame:
 
 
 def freshness(
-    postings: DataFrame, now: datetime, *, stale_after_min: float, posted_at: str = "posted_at"
+    postings: DataFrame,
+    now: datetime,
+    *,
+    stale_after_min: float | Column,
+    posted_at: str = "posted_at",
 ) -> DataFrame:
     """Minutes since each product's newest posting, and whether that is too long."""
     newest = postings.groupBy("product").agg(F.max(posted_at).alias("last_posted_at"))
     age = age_minutes(F.col("last_posted_at"), instant(now))
     return newest.withColumn("age_minutes", age).withColumn(
-        "stale", F.col("age_minutes") > F.lit(float(stale_after_min))
+        "stale", F.col("age_minutes") > F.lit(stale_after_min)
     )
 
 

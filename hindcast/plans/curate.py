@@ -37,7 +37,7 @@ def curate_live(
 
     A poll older than ones already logged is fitted in by fetch time. If that turns a poll
     that was suppressed into a change, its body is read again from ``kept``, all landed
-    responses, and published now.
+    responses, of which only the days concerned are touched, and published now.
 
     ``unit="posting"`` writes one folder per posting and valid day; ``"batch"`` writes one per
     batch and day, for loads where the former would mean a flood of tiny files.
@@ -63,10 +63,9 @@ def curate_live(
     if kept is not None:
         revived = new.where(~F.col("fresh"))
         if not revived.isEmpty():
-            again = kept.join(
-                revived.select("product", "fetched_at", F.to_date("fetched_at").alias("date")),
-                ["product", "fetched_at", "date"],
-                "left_semi",
+            days = revived.select(F.to_date("fetched_at").alias("date")).distinct().collect()
+            again = kept.where(F.col("date").isin([d.date for d in days])).join(
+                revived.select("product", "fetched_at"), ["product", "fetched_at"], "left_semi"
             )
             reread = _stage(lake, zone_values(again, layouts(spark, products, LIVE), LIVE))
             lake.write_postings(_published(reread, revived, unit, f"{batch}-revived"))

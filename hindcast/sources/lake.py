@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,34 +68,58 @@ class Lake:
         names = storage.children(self.spark, self.path("curated"))
         return sorted({n.removeprefix("product=") for n in names if not n.startswith(("_", "."))})
 
-    def curated(self, products: Sequence[str] | None = None) -> DataFrame:
+    def curated(
+        self,
+        products: Sequence[str] | None = None,
+        first: date | None = None,
+        last: date | None = None,
+    ) -> DataFrame:
         """Every curated row of the products, read by name: a missing column comes back null.
 
-        The scan is lazy, so a filter on ``date`` prunes folders and one on ``interval_start``
-        or ``posted_at`` skips row groups.
+        With a day range only those days' folders are listed, so a read costs nothing for the
+        rest of the product's history. The scan is lazy: a filter on ``interval_start`` or
+        ``posted_at`` still skips row groups.
         """
         wanted = self.curated_products() if products is None else list(products)
         base = self.path("curated")
-        folders = set(storage.children(self.spark, base))
-        own = [p for p in wanted if f"product={p}" in folders]
-        parts = [self.own_curated(own)] if own else []
+        there = set(storage.children(self.spark, base))
+        parts = []
+        own = [p for p in wanted if f"product={p}" in there]
+        if own and first is None:
+            parts.append(self.own_curated(own))
+        elif own:
+            folders = [f"{base}/product={p}" for p in own]
+            days = [d for folder in folders for d in self._day_folders(folder, first, last)]
+            if days:
+                parts.append(self._own(days))
         for product in wanted:
-            if product in folders:
-                parts.append(self._flat_curated(product, f"{base}/{product}"))
+            folder = f"{base}/{product}"
+            if product in there:
+                days = [folder] if first is None else self._day_folders(folder, first, last)
+                if days:
+                    parts.append(self._flat_curated(product, folder, days))
         if not parts:
             return empty(self.spark, CURATED_TABLE)
         return reduce(DataFrame.unionByName, parts)
 
     def own_curated(self, products: Sequence[str]) -> DataFrame:
         """The same for products in this package's own layout, as one plain scan."""
-        base = self.path("curated")
-        reader = self.spark.read.schema(CURATED_TABLE).option("basePath", base)
-        return reader.parquet(*[f"{base}/product={p}" for p in products])
+        return self._own([self.path("curated", f"product={p}") for p in products])
+
+    def _own(self, folders: Sequence[str]) -> DataFrame:
+        reader = self.spark.read.schema(CURATED_TABLE).option("basePath", self.path("curated"))
+        return reader.parquet(*folders)
 
-    def _flat_curated(self, product: str, folder: str) -> DataFrame:
+    def _day_folders(self, folder: str, first: date, last: date) -> list[str]:
+        lower, upper = f"date={first}", f"date={last}"
+        names = storage.children(self.spark, folder)
+        return [f"{folder}/{name}" for name in names if lower <= name <= upper]
+
+    def _flat_curated(self, product: str, folder: str, days: Sequence[str]) -> DataFrame:
         schema = T.StructType([*FORECAST.fields, T.StructField("date", T.DateType())])
         name = F.substring_index(F.col("_metadata.file_path"), "/", -1)
-        return self.spark.read.schema(schema).parquet(folder).select(
+        reader = self.spark.read.schema(schema).option("basePath", folder)
+        return reader.parquet(*days).select(
             *FORECAST.fieldNames(),
             F.lit(product).alias("product"),
             "date",
@@ -145,12 +170,24 @@ class Lake:
     # -- raw -------------------------------------------------------------------------------
 
     def raw_files(self) -> DataFrame:
-        """Responses kept as files, one row per body, with what their names say about them."""
-        return name_parts(
-            self.spark.read.option("recursiveFileLookup", "true")
-            .text(self.path("raw"), wholetext=True)
-            .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_key"))
-        )
+        """Responses kept as files, one row per body, with what their names say about them.
+
+        ``date``, the day of the fetch, is a partition column: filter on it.
+        """
+        names = storage.children(self.spark, self.path("raw"))
+        parts = [
+            self.spark.read.schema("value string, date date")
+            .text(self.path("raw", name), wholetext=True)
+            .select(
+                F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_key"), "date"
+            )
+            for name in names
+            if not name.startswith(("_", "."))
+        ]
+        if not parts:
+            shape = T.StructType.fromDDL("body string, raw_key string, date date")
+            return name_parts(empty(self.spark, shape))
+        return name_parts(reduce(DataFrame.unionByName, parts))
 
     def land_responses(self, responses: DataFrame, batch: str) -> None:
         """Keep bodies before anything parses them; landing the same batch again replaces it.
@@ -246,7 +283,7 @@ def name_parts(files: DataFrame) -> DataFrame:
         F.when(~is_live, F.to_date(F.regexp_extract(key, past, 3))).alias("last"),
         "raw_key",
         "body",
-        F.to_date(fetched).alias("date"),
+        F.col("date") if "date" in files.columns else F.to_date(fetched).alias("date"),
     )
 
 

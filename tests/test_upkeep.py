@@ -1,20 +1,42 @@
 import json
 import os
 import time
+from dataclasses import replace
 from datetime import UTC, date, datetime, timedelta
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from helpers import H0, P, T1, T2, catalog_doc, forecast, golden_rows, row, write_catalog
+from helpers import (
+    H0,
+    P,
+    SMALL,
+    T1,
+    T2,
+    catalog_doc,
+    forecast,
+    golden_rows,
+    live_response,
+    past_response,
+    responses,
+    row,
+    write_catalog,
+)
 from pyspark.sql import functions as F
 
 from hindcast.operators import checks, reads
-from hindcast.operators.calendar import coverage_gaps, latest_windows, window_plan
+from hindcast.operators.calendar import (
+    coverage_gaps,
+    latest_windows,
+    window_plan,
+    window_totals,
+)
 from hindcast.operators.sets import excess, union_by_name
 from hindcast.plans import catalog as catalogs
+from hindcast.plans import report
 from hindcast.plans.compact import compact
+from hindcast.plans.curate import curate_live, curate_previous_runs
 from hindcast.plans.verify import problems, verify_lake
 from hindcast.settings import GFS_SEAMLESS
 from hindcast.sources import storage
@@ -196,8 +218,8 @@ def report_of(lake):
 
 def test_a_sound_lake_verifies(spark, lake):
     write_catalog(lake.root)
-    report = report_of(lake)
-    assert report["rows"][0] == 4 and report["series"][0] == 1 and report["live_postings"][0] == 2
+    found = report_of(lake)
+    assert found["rows"][0] == 4 and found["series"][0] == 1 and found["live_postings"][0] == 2
     assert problems(verify_lake(lake)).count() == 0
 
 
@@ -207,14 +229,14 @@ def test_broken_rules_are_counted(spark, lake):
     rows += [row(H0, SERIES, 1, T1 + DAY, ingested=T1), row(H0, SERIES, 1, T2, version=9)]
     rows += [row(H0, SERIES, 1, T1, source="previous_runs")]
     write(lake, "part-20261003T000000Z", rows)
-    report = report_of(lake)
-    assert report["series_not_in_catalog"] == (
+    found = report_of(lake)
+    assert found["series_not_in_catalog"] == (
         7, "odd0:Coast, odd1:Coast, odd2:Coast, odd3:Coast, odd4:Coast"
     )
-    assert report["posted_after_ingested"][0] == 1
-    assert report["unknown_schema_version"] == (1, "9")
-    assert report["key_repeated_in_posting"][0] == 2
-    assert report["key_repeated_in_posting_and_source"][0] == 1
+    assert found["posted_after_ingested"][0] == 1
+    assert found["unknown_schema_version"] == (1, "9")
+    assert found["key_repeated_in_posting"][0] == 2
+    assert found["key_repeated_in_posting_and_source"][0] == 1
     broken = {r.check for r in problems(verify_lake(lake)).collect()}
     assert broken == {
         "series_not_in_catalog", "posted_after_ingested", "unknown_schema_version",
@@ -228,8 +250,8 @@ def test_missing_files_and_columns_stop_a_product(spark, tmp_path):
     assert report_of(lake) == {"no_curated_files": (1, None), "missing_columns": (0, None)}
     write(lake, "part-20261001T060000Z", golden_rows()[:1])
     _replace_file(lake, "part-20261001T060000Z", lambda t: t.drop_columns(["value", "source"]))
-    report = report_of(lake)
-    assert report["missing_columns"] == (2, "source, value") and "rows" not in report
+    found = report_of(lake)
+    assert found["missing_columns"] == (2, "source, value") and "rows" not in found
 
 
 def test_null_rows_are_counted(spark):
@@ -296,6 +318,45 @@ def test_coverage_and_gaps(spark):
     assert [r.day.day for r in gaps] == [4, 5, 8]
 
 
+def test_backfill_requests_are_checked(spark, tmp_path):
+    lake, d = Lake(spark, tmp_path), lambda n: date(2024, 1, n)
+    got = report.backfill_windows(lake, GFS_SEAMLESS, d(1), d(31), now=T1)
+    assert [r.first.day for r in got.orderBy("first").collect()] == [1, 15, 29]
+    for first, last, now in (
+        (date(2023, 12, 31), d(2), T1), (d(3), d(2), T1), (d(1), date(2026, 10, 2), T1),
+    ):
+        with pytest.raises(ValueError, match="2"):
+            report.backfill_windows(lake, GFS_SEAMLESS, first, last, now=now)
+    with pytest.raises(ValueError, match="no backfill"):
+        report.backfill_windows(lake, replace(GFS_SEAMLESS, backfill=None), d(1), d(2), now=T1)
+
+
+def test_manifests_and_freshness_of_a_lake(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    assert report.freshness_report(lake, [SMALL], T1).collect()[0].stale
+    body = live_response(hours=2, product=SMALL)
+    curate_live(lake, [SMALL], responses(spark, body, body, product="small"), "b0")
+    day = date(2024, 3, 2)
+    past = responses(
+        spark, past_response(day, product=SMALL), product="small", kind="previous_runs",
+        first=day, last=day,
+    )
+    curate_previous_runs(lake, [SMALL], past, "b0")
+    got = report.freshness_report(lake, [SMALL], T1 + timedelta(hours=5)).collect()[0]
+    assert (got.age_minutes, got.stale) == (300.0, True)
+    report.publish_manifests(lake, [SMALL])
+    folder = Path(lake.root, "manifests", "small")
+    latest = json.loads((folder / "latest.json").read_text())
+    assert latest["last_posted_at"] == "2026-10-01T06:00:00Z"
+    assert latest["last_checked_at"] == "2026-10-01T07:00:00Z"
+    assert (latest["rows"], latest["model"], latest["partitions"]) == (8, "m", ["2026-10-01"])
+    covered = json.loads((folder / "previous_runs.json").read_text())["windows"]
+    assert covered["2024-03-02_2024-03-02"]["rows"] == 192
+    assert lake.manifests().collect()[0].content_hash == latest["content_hash"]
+    totals = window_totals(lake.windows()).collect()[0]
+    assert (totals.windows, totals.rows, totals.dropped, totals.days) == (1, 192, 0, 1)
+
+
 def test_bags_respect_multiplicity(spark):
     shape = "a int, b string"
     left = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (2, None)], shape)
