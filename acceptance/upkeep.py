@@ -25,9 +25,18 @@ from hindcast.operators.calendar import latest_windows
 from hindcast.operators.calendar import window_plan as plan
 from hindcast.operators.changes import alarm_hours as alarms
 from hindcast.operators.reads import snapshot
-from hindcast.plans.catalog import expected_series, merge_entries, variables, zone_points
+from hindcast.plans.catalog import (
+    expected_series,
+    merge_entries,
+    publish_catalog,
+    variables,
+    zone_points,
+)
 from hindcast.plans.compact import compact
+from hindcast.plans.curate import land_forecast
+from hindcast.reader import ForecastReader
 from hindcast.session import shared_folder
+from hindcast.settings import Point, Product
 from hindcast.sources.lake import Lake
 from hindcast.streaming.freshness import hourly_ages
 
@@ -96,6 +105,22 @@ def compacted_snapshot(spark, sf):
     return plain(known)
 
 
+def lake_snapshot(spark, sf):
+    """The whole way: rows landed in a lake, its catalog published, and read through it."""
+    kept = Lake(spark, shared_folder(spark, "lake"))
+    land_forecast(kept, _named(spark, sf), "batch-load")
+    collected = Product(
+        key="events", name="events", model="events",
+        variables={"click": "1", "purchase": "EUR"}, zones={"Z0": [Point("p", 0.0, 0.0)]},
+    )
+    publish_catalog(spark, kept.root, [collected], NOW)
+    reader = ForecastReader(spark, kept.root)
+    known = reader.snapshot(
+        "events", FIRST, FIRST + timedelta(days=40), as_of=AS_OF, sources=["live"]
+    )
+    return plain(known)
+
+
 def window_plan(spark, sf):
     """Backfill requests per event type, from its first to its last day, in weekly windows."""
     requests = events(spark, sf).groupBy(F.col("event_type").alias("product")).agg(
@@ -248,6 +273,11 @@ CASES = {
         compacted_snapshot,
         f"WITH {LAKE_SQL} {SNAPSHOT_SQL} posted_at <= TIMESTAMP '2024-01-15 12:00:00' {RANK_SQL}",
     ),
+    "lake_snapshot": (
+        lake_snapshot,
+        f"""WITH {LAKE_SQL} {SNAPSHOT_SQL} posted_at <= TIMESTAMP '2024-01-15 12:00:00'
+            AND source = 'live' {RANK_SQL}""",
+    ),
     "window_plan": (window_plan, WINDOW_PLAN_SQL),
     "coverage": (
         coverage,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hindcast.contract import FORECAST
 from hindcast.operators.checks import any_null
-from hindcast.session import shared_folder
+from hindcast.session import Scratch
 from hindcast.settings import frame
 from hindcast.sources import storage
 from hindcast.sources.footers import on_contract, read_footers
@@ -63,60 +63,60 @@ def compact(
     partition. The next run goes on where this one stopped.
     """
     target = f"merged-{now.astimezone(UTC):%Y%m%dT%H%M%SZ}"
-    listing = _written(lake, _units_to_merge(lake, now, min_age_minutes))
-    due = (
-        listing.groupBy(*PARTITION)
-        .agg(F.count_distinct("posting").alias("units"), F.sum("length").alias("bytes"),
-             F.bool_or(F.col("posting") == target).alias("clash"))
-        .where("units >= 2")
-        .orderBy("date", "product")
-        .limit(max_partitions + 1)
-        .collect()
-    )
-    due, stopped = due[:max_partitions], len(due) > max_partitions
-    if not due:
-        return Compaction(_outcomes(lake, []), stopped)
-    if any(p.clash for p in due):
-        raise ValueError(f"{target} is already there; merge again a second later")
-
-    chosen = [(p.product, p.date) for p in due]
-    footers = _written(lake, read_footers(_only(listing, chosen)))
-    skipped = _off_contract(lake, footers)
-    good = [p for p in chosen if p not in skipped]
-    leftovers = _leftovers(lake, _only(footers, good))
-    sources = _only(footers, good).select(*UNIT).distinct().join(leftovers, [*UNIT], "left_anti")
-
-    rows: dict[Partition, int] = {}
-    if good:
-        total = sum(p.bytes for p in due)
-        ranges = max(len(good), -(-total // target_bytes))
-        _merge(lake, sources, good, target, ranges)
-        rows = _checked(lake, sources, good, target)
-        for unit in _only(footers, good).select(*UNIT).distinct().toLocalIterator():
-            folder = lake.path(
-                "curated", f"product={unit.product}", f"date={unit.date}", f"posting={unit.posting}"
+    with Scratch(lake.spark, "compact") as scratch:
+        listing = scratch.keep(_units_to_merge(lake, now, min_age_minutes))
+        due = (
+            listing.groupBy(*PARTITION)
+            .agg(
+                F.count_distinct("posting").alias("units"),
+                F.sum("length").alias("bytes"),
+                F.bool_or(F.col("posting") == target).alias("clash"),
             )
-            storage.delete_below(lake.spark, folder, guard=lake.path("curated"))
-    left = {
-        (p.product, p.date): p["count"] for p in leftovers.groupBy(*PARTITION).count().collect()
-    }
-    return Compaction(
-        _outcomes(
-            lake,
-            [
-                {
-                    "product": p.product,
-                    "date": p.date,
-                    "outcome": "skipped" if (p.product, p.date) in skipped else "merged",
-                    "units": p.units,
-                    "leftovers": left.get((p.product, p.date), 0),
-                    "rows": rows.get((p.product, p.date)),
-                }
-                for p in due
-            ],
-        ),
-        stopped,
-    )
+            .where("units >= 2")
+            .orderBy("date", "product")
+            .limit(max_partitions + 1)
+            .collect()
+        )
+        due, stopped = due[:max_partitions], len(due) > max_partitions
+        if not due:
+            return Compaction(_outcomes(lake, []), stopped)
+        if any(p.clash for p in due):
+            raise ValueError(f"{target} is already there; merge again a second later")
+
+        chosen = [(p.product, p.date) for p in due]
+        footers = scratch.keep(read_footers(_only(listing, chosen)))
+        skipped = _off_contract(lake, footers)
+        good = [p for p in chosen if p not in skipped]
+        merging = _only(footers, good)
+        leftovers = _leftovers(lake, merging, scratch)
+        units = merging.select(*UNIT).distinct()
+        sources = units.join(leftovers, [*UNIT], "left_anti")
+
+        rows: dict[Partition, int] = {}
+        if good:
+            total = sum(p.bytes for p in due if (p.product, p.date) not in skipped)
+            _merge(lake, sources, good, target, max(len(good), -(-total // target_bytes)))
+            rows = _checked(lake, sources, good, target)
+            for unit in units.toLocalIterator():
+                names = (f"product={unit.product}", f"date={unit.date}", f"posting={unit.posting}")
+                folder = lake.path("curated", *names)
+                storage.delete_below(lake.spark, folder, guard=lake.path("curated"))
+        left = {
+            (p.product, p.date): p["count"]
+            for p in leftovers.groupBy(*PARTITION).count().collect()
+        }
+    outcomes = [
+        {
+            "product": p.product,
+            "date": p.date,
+            "outcome": "skipped" if (p.product, p.date) in skipped else "merged",
+            "units": p.units,
+            "leftovers": left.get((p.product, p.date), 0),
+            "rows": rows.get((p.product, p.date)),
+        }
+        for p in due
+    ]
+    return Compaction(_outcomes(lake, outcomes), stopped)
 
 
 def _units_to_merge(lake: Lake, now: datetime, min_age_minutes: int) -> DataFrame:
@@ -146,7 +146,7 @@ def _off_contract(lake: Lake, footers: DataFrame) -> set[Partition]:
     return bad
 
 
-def _leftovers(lake: Lake, footers: DataFrame) -> DataFrame:
+def _leftovers(lake: Lake, footers: DataFrame, scratch: Scratch) -> DataFrame:
     """Units whose every row, with multiplicity, is in the partition's newest merged unit.
 
     Units ingested wholly after the merged one are ruled out by their footers, which in the
@@ -165,7 +165,7 @@ def _leftovers(lake: Lake, footers: DataFrame) -> DataFrame:
     suspects = units.join(merged, [*PARTITION]).where(
         (F.col("posting") != F.col("held.posting")) & possible
     )
-    suspects = _written(lake, suspects)
+    suspects = scratch.keep(suspects)
     held_units = suspects.select(*PARTITION, F.col("held.posting").alias("posting")).distinct()
     partitions = [(p.product, p.date) for p in held_units.collect()]
     if not partitions:
@@ -181,7 +181,7 @@ def _leftovers(lake: Lake, footers: DataFrame) -> DataFrame:
         .join(held, columns, "left")
         .withColumn("_held", F.coalesce("_held", F.lit(0)))
     )
-    found = _written(lake, found)
+    found = scratch.keep(found)
     alone = (
         found.groupBy(*UNIT)
         .agg(F.bool_and(F.col("_n") <= F.col("_held")).alias("_fits"))
@@ -196,7 +196,7 @@ def _leftovers(lake: Lake, footers: DataFrame) -> DataFrame:
         .select(*PARTITION)
         .distinct()
     )
-    return _written(lake, alone.join(too_many, [*PARTITION], "left_anti"))
+    return scratch.keep(alone.join(too_many, [*PARTITION], "left_anti"))
 
 
 def _merge(
@@ -259,10 +259,3 @@ def _outcomes(lake: Lake, rows: list[dict]) -> DataFrame:
         "leftovers: bigint, rows: bigint>>"
     )
     return frame(lake.spark, rows, shape)
-
-
-def _written(lake: Lake, rows: DataFrame) -> DataFrame:
-    """Fix a decision: later listings see files this run writes, so none may be made twice."""
-    folder = shared_folder(lake.spark, "compact")
-    rows.write.parquet(folder)
-    return lake.spark.read.schema(rows.schema).parquet(folder)

@@ -11,7 +11,7 @@ from hindcast.contract import FORECAST, LIVE, PREVIOUS_RUNS
 from hindcast.functions.columns import is_product_key
 from hindcast.operators.changes import mark_changes, one_per_poll
 from hindcast.operators.responses import forecast_rows, zone_values
-from hindcast.session import shared_folder
+from hindcast.session import Scratch
 from hindcast.settings import Product, layouts
 from hindcast.sources.lake import Lake
 
@@ -42,38 +42,37 @@ def curate_live(
     ``unit="posting"`` writes one folder per posting and valid day; ``"batch"`` writes one per
     batch and day, for loads where the former would mean a flood of tiny files.
     """
-    spark = lake.spark
-    values = _stage(lake, zone_values(_named(responses), layouts(spark, products, LIVE), LIVE))
-    if values.isEmpty():
-        return
-    _quarantine(lake, values, LIVE, batch)
-
-    fresh = values.where("problem IS NULL").withColumnRenamed("days", "partitions")
-    fresh = one_per_poll(
-        fresh.select("product", "fetched_at", F.lit(False).alias("new_posting"), *POLL_COLUMNS)
-    )
-    logged = one_per_poll(
-        lake.polls().where(F.col("batch") != batch).drop("batch")
-    ).select("product", "fetched_at", "new_posting", *POLL_COLUMNS)
-    marked = _stage(lake, _with_history(fresh, logged))
-
-    new = marked.where("changed AND (fresh OR NOT new_posting)")
-    rows = _published(values, new, unit, batch)
-    lake.write_postings(rows)
-    if kept is not None:
+    with Scratch(lake.spark, "curate") as scratch:
+        expected = layouts(lake.spark, products, LIVE)
+        values = scratch.keep(zone_values(_named(responses), expected, LIVE))
+        if values.isEmpty():
+            return
+        _quarantine(lake, values, LIVE, batch)
+
+        fresh = values.where("problem IS NULL").withColumnRenamed("days", "partitions")
+        fresh = one_per_poll(
+            fresh.select("product", "fetched_at", F.lit(False).alias("new_posting"), *POLL_COLUMNS)
+        )
+        logged = one_per_poll(
+            lake.polls().where(F.col("batch") != batch).drop("batch")
+        ).select("product", "fetched_at", "new_posting", *POLL_COLUMNS)
+        marked = scratch.keep(_with_history(fresh, logged))
+
+        new = marked.where("changed AND (fresh OR NOT new_posting)")
+        lake.write_postings(_published(values, new, unit, batch))
         revived = new.where(~F.col("fresh"))
-        if not revived.isEmpty():
+        if kept is not None and not revived.isEmpty():
             days = revived.select(F.to_date("fetched_at").alias("date")).distinct().collect()
             again = kept.where(F.col("date").isin([d.date for d in days])).join(
                 revived.select("product", "fetched_at"), ["product", "fetched_at"], "left_semi"
             )
-            reread = _stage(lake, zone_values(again, layouts(spark, products, LIVE), LIVE))
+            reread = scratch.keep(zone_values(again, expected, LIVE))
             lake.write_postings(_published(reread, revived, unit, f"{batch}-revived"))
 
-    log = marked.where("fresh OR (changed AND NOT new_posting)").withColumn(
-        "new_posting", F.col("changed")
-    )
-    lake.log_polls(log.drop("fresh", "changed"), batch)
+        log = marked.where("fresh OR (changed AND NOT new_posting)").withColumn(
+            "new_posting", F.col("changed")
+        )
+        lake.log_polls(log.drop("fresh", "changed"), batch)
 
 
 def _with_history(fresh: DataFrame, logged: DataFrame) -> DataFrame:
@@ -127,23 +126,24 @@ def curate_previous_runs(
 
     A day fetched again replaces what was there; within a batch the newest fetch of a day wins.
     """
-    columns = layouts(lake.spark, products, PREVIOUS_RUNS)
-    values = _stage(lake, zone_values(_named(responses), columns, PREVIOUS_RUNS))
-    if values.isEmpty():
-        return
-    _quarantine(lake, values, PREVIOUS_RUNS, batch)
-
-    good = values.where("problem IS NULL")
-    newest = (
-        good.select("product", "fetched_at", F.explode("days").alias("date"))
-        .groupBy("product", "date")
-        .agg(F.max("fetched_at").alias("ingested_at"))
-    )
-    rows = forecast_rows(good, PREVIOUS_RUNS).join(newest, ["product", "date", "ingested_at"])
-    lake.write_postings(rows)
-    lake.log_windows(
-        good.select("product", "first", "last", "fetched_at", "rows", "dropped", "days"), batch
-    )
+    with Scratch(lake.spark, "curate") as scratch:
+        expected = layouts(lake.spark, products, PREVIOUS_RUNS)
+        values = scratch.keep(zone_values(_named(responses), expected, PREVIOUS_RUNS))
+        if values.isEmpty():
+            return
+        _quarantine(lake, values, PREVIOUS_RUNS, batch)
+
+        good = values.where("problem IS NULL")
+        newest = (
+            good.select("product", "fetched_at", F.explode("days").alias("date"))
+            .groupBy("product", "date")
+            .agg(F.max("fetched_at").alias("ingested_at"))
+        )
+        rows = forecast_rows(good, PREVIOUS_RUNS)
+        lake.write_postings(rows.join(newest, ["product", "date", "ingested_at"]))
+        lake.log_windows(
+            good.select("product", "first", "last", "fetched_at", "rows", "dropped", "days"), batch
+        )
 
 
 def _named(responses: DataFrame) -> DataFrame:
@@ -158,14 +158,6 @@ def _quarantine(lake: Lake, values: DataFrame, kind: str, batch: str) -> None:
     lake.log_quarantine(bad, f"{batch}-{kind}")
 
 
-def _stage(lake: Lake, rows: DataFrame) -> DataFrame:
-    """Compute once and read back: several outputs need the result, and a lost executor must
-    not mean parsing again."""
-    folder = shared_folder(lake.spark, "stage")
-    rows.write.parquet(folder)
-    return lake.spark.read.schema(rows.schema).parquet(folder)
-
-
 def land_forecast(lake: Lake, rows: DataFrame, unit: str) -> None:
     """Write rows that already are curated under one unit, split evenly whatever their keys."""
     placed = rows.select(
