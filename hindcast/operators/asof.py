@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -132,49 +133,68 @@ def multi_snapshot(
     *,
     payload: Sequence[str] = ("value", "source"),
     interval_minutes: int = 60,
-    max_decisions: int = 256,
+    max_instants: int = 100_000,
 ) -> DataFrame:
     """A snapshot for every decision at once: ``(decision_at, valid_from, valid_to)`` in, one
     row per decision and business key out, equal to one snapshot per decision.
 
-    Each version is put down to the first decision that could know it, and only the newest per
-    key and decision goes through the shuffle, whatever a key's number of versions. It then
-    answers that decision and the ones after it, up to the next version's.
+    Decisions are nearly always taken on a grid, at noon or on the hour. Each version is put
+    down to the first grid instant that could know it and only the newest per key and instant
+    goes through the shuffle, whatever a key's number of versions. It then answers every
+    decision up to the next version's instant.
 
-    Looking up that decision takes time in proportion to the decisions about one valid hour;
-    beyond ``max_decisions`` of them an as-of join over the decisions' hours is used instead.
+    Decisions too many or too irregular for a grid go through :func:`asof_join` instead.
     """
     key = list(BUSINESS_KEY)
     step = F.make_dt_interval(mins=F.lit(interval_minutes))
     covered = F.explode(F.sequence(F.col("valid_from"), F.col("valid_to") - step, step))
-    hours = decisions.where("valid_from < valid_to").select(
-        "decision_at", covered.alias("interval_start")
+    hours = (
+        decisions.where("valid_from < valid_to")
+        .select("decision_at", covered.alias("interval_start"))
+        .distinct()
     )
-    about = hours.groupBy("interval_start").agg(F.count_distinct("decision_at").alias("n"))
-    if (about.agg(F.max("n")).first()[0] or 0) > max_decisions:
+    instants = hours.select(F.unix_micros("decision_at").alias("at")).distinct()
+    grid = _grid([row.at for row in instants.limit(max_instants + 1).collect()], max_instants)
+    columns = ["decision_at", *key, "posted_at", "ingested_at", *payload]
+    if grid is None:
         known = versions.select(*key).distinct()
-        asked = hours.distinct().join(known, "interval_start")
-        found = asof_join(asked, versions, payload=payload)
-        return found.select("decision_at", *key, "posted_at", "ingested_at", *payload)
-
-    asked = hours.groupBy("interval_start").agg(
-        F.array_sort(F.collect_set("decision_at")).alias("_asked")
+        asked = hours.join(known, "interval_start")
+        return asof_join(asked, versions, payload=payload).select(*columns)
+
+    first, width = grid
+    spans = hours.groupBy("interval_start").agg(
+        F.min(F.unix_micros("decision_at")).alias("_from"),
+        F.max(F.unix_micros("decision_at")).alias("_to"),
+        F.count("*").alias("_n"),
     )
-    first = F.filter("_asked", lambda at: at >= F.col("posted_at"))
+    gaps = not spans.where(f"_n <= (_to - _from) div {width}").isEmpty()
+    posted = f"unix_micros(posted_at) - {first}"
     newest = (
-        versions.join(asked, "interval_start")
-        .withColumn("_first", F.get(first, F.lit(0)))
-        .where("_first IS NOT NULL")
-        .groupBy(*key, "_first")
-        .agg(F.max(F.struct("posted_at", "ingested_at", *payload)).alias("_version"))
-    )
-    following = F.lead("_first").over(Window.partitionBy(*key).orderBy("_first"))
-    answered = F.filter(
-        "_asked",
-        lambda at: (at >= F.col("_first")) & (F.col("_next").isNull() | (at < F.col("_next"))),
+        versions.join(spans.drop("_n"), "interval_start")
+        .where("unix_micros(posted_at) <= _to")
+        .withColumn("_since", F.expr(
+            f"greatest(_from, {first} + ({posted} + {width - 1}) div {width} * {width})"
+        ))
+        .groupBy(*key, "_since")
+        .agg(
+            F.max(F.struct("posted_at", "ingested_at", *payload)).alias("_version"),
+            F.max("_to").alias("_to"),
+        )
     )
-    return (
-        newest.withColumn("_next", following)
-        .join(asked, "interval_start")
-        .select(F.explode(answered).alias("decision_at"), *key, "_version.*")
+    following = F.lead("_since").over(Window.partitionBy(*key).orderBy("_since"))
+    until = F.coalesce(following - F.lit(width), F.col("_to"))
+    answers = newest.withColumn("_until", until).select(
+        F.explode(F.sequence("_since", "_until", F.lit(width))).alias("_at"), *key, "_version.*"
     )
+    answers = answers.withColumn("decision_at", F.timestamp_micros("_at")).select(*columns)
+    return answers.join(hours, ["decision_at", "interval_start"], "left_semi") if gaps else answers
+
+
+def _grid(instants: Sequence[int], most: int) -> tuple[int, int] | None:
+    """The first instant and the widest step that reach all instants, in microseconds; none if
+    there are too many, or most steps would reach no instant."""
+    if len(instants) > most:
+        return None
+    first, last = min(instants, default=0), max(instants, default=0)
+    width = math.gcd(*(at - first for at in instants)) or DAY * 1_000_000
+    return (first, width) if (last - first) // width < 8 * max(len(instants), 1) else None

@@ -72,24 +72,33 @@ def test_asof_join_equals_the_read_rule(spark, versions, how, hot_rows):
     assert len(got) == len(want) and set(got) == want
 
 
-@pytest.mark.parametrize("max_decisions", [256, 1])
-def test_multi_snapshot_equals_one_snapshot_per_decision(spark, versions, max_decisions):
-    moments = [T1 - timedelta(hours=h) for h in (0, 3, 50, 200, 2000)]
-    rows = [(at, H0, H0 + 3 * HOUR) for at in moments] + [(moments[1], H0 + HOUR, H0 + 4 * HOUR)]
-    rows.append((moments[0], H0, H0))
+@pytest.mark.parametrize("moments", ["grid", "grid with gaps", "irregular", "one"])
+def test_multi_snapshot_equals_one_snapshot_per_decision(spark, versions, moments):
+    back = {
+        "grid": [0, 60, 120, 180, 240, 300],
+        "grid with gaps": [0, 180, 1500, 1560, 6000],
+        "irregular": [0, 7, 1000, 9999],
+        "one": [45],
+    }[moments]
+    taken = [T1 - timedelta(minutes=m) for m in back]
+    rows = [(at, H0, H0 + 3 * HOUR) for at in taken] + [(taken[-1], H0 + HOUR, H0 + 4 * HOUR)]
+    empty = [(taken[0], H0, H0)]
     shape = "decision_at timestamp, valid_from timestamp, valid_to timestamp"
-    found = multi_snapshot(
-        spark.createDataFrame(rows, shape), versions, max_decisions=max_decisions
-    )
+    found = multi_snapshot(spark.createDataFrame(rows + empty, shape), versions)
     got = {(r.decision_at, r.interval_start, r.series, r.value) for r in found.collect()}
     want = set()
-    for at, start, end in rows[:-1]:
+    for at, start, end in rows:
         for r in reads.snapshot(versions, start, end, as_of=at).collect():
             naive = spark.createDataFrame([(at,)], "t timestamp").first().t
             want.add((naive, r.interval_start, r.series, r.value))
     assert got == want and found.count() == len(got)
 
 
+def test_no_decisions_give_no_rows(spark, versions):
+    shape = "decision_at timestamp, valid_from timestamp, valid_to timestamp"
+    assert multi_snapshot(spark.createDataFrame([], shape), versions).count() == 0
+
+
 def test_asof_plans_form_no_pairs(spark, versions, capsys):
     decisions = versions.select("interval_start", "series", F.col("posted_at").alias("decision_at"))
     for hot_rows in (1_000_000, 20):
