@@ -32,12 +32,12 @@ FORECAST = T.StructType(
     ]
 )
 
-PRODUCT_PATTERN = r"^[a-z0-9]+(-[a-z0-9]+)*$"
+PRODUCT_PATTERN = r"[a-z0-9]+(-[a-z0-9]+)*"
 
 
 def checked_product(product: str) -> str:
     """Product keys become path segments, so only lower-case hyphenated words are let through."""
-    if not re.fullmatch(PRODUCT_PATTERN[1:-1], product):
+    if not re.fullmatch(PRODUCT_PATTERN, product):
         raise ValueError(f"product keys are lower-case words joined by hyphens, not {product!r}")
     return product
 

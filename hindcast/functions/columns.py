@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hindcast.contract import PRODUCT_PATTERN, STAMP_FORMAT
+from hindcast.contract import STAMP_FORMAT
 
 
 def stamp(ts: Column) -> Column:
@@ -41,10 +41,6 @@ def zone_of(series: Column) -> Column:
     return F.try_element_at(F.split(series, ":"), F.lit(2))
 
 
-def is_product_key(product: Column) -> Column:
-    return product.rlike(PRODUCT_PATTERN)
-
-
 def finite(value: Column) -> Column:
     """True for a real number, false for null, NaN and the infinities."""
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))

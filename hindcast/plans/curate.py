@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.contract import FORECAST, LIVE, PREVIOUS_RUNS
-from hindcast.functions.columns import is_product_key
 from hindcast.operators.changes import mark_changes, one_per_poll
 from hindcast.operators.responses import forecast_rows, zone_values
 from hindcast.session import Scratch
@@ -26,7 +26,7 @@ def curate_live(
     responses: DataFrame,
     batch: str,
     *,
-    kept: DataFrame | None = None,
+    kept: Callable[[Sequence[date]], DataFrame] | None = None,
     unit: str = "posting",
 ) -> None:
     """Publish the polls of a batch that changed something, and log every poll.
@@ -36,15 +36,15 @@ def curate_live(
     replace what an earlier attempt at the same batch wrote, so a batch can be repeated.
 
     A poll older than ones already logged is fitted in by fetch time. If that turns a poll
-    that was suppressed into a change, its body is read again from ``kept``, all landed
-    responses, of which only the days concerned are touched, and published now.
+    that was suppressed into a change, it is published now, its body read again from ``kept``,
+    which gives the responses fetched on the days asked for.
 
     ``unit="posting"`` writes one folder per posting and valid day; ``"batch"`` writes one per
     batch and day, for loads where the former would mean a flood of tiny files.
     """
     with Scratch(lake.spark, "curate") as scratch:
         expected = layouts(lake.spark, products, LIVE)
-        values = scratch.keep(zone_values(_named(responses), expected, LIVE))
+        values = scratch.keep(zone_values(responses, expected, LIVE))
         if values.isEmpty():
             return
         _quarantine(lake, values, LIVE, batch)
@@ -63,7 +63,7 @@ def curate_live(
         revived = new.where(~F.col("fresh"))
         if kept is not None and not revived.isEmpty():
             days = revived.select(F.to_date("fetched_at").alias("date")).distinct().collect()
-            again = kept.where(F.col("date").isin([d.date for d in days])).join(
+            again = kept([d.date for d in days]).join(
                 revived.select("product", "fetched_at"), ["product", "fetched_at"], "left_semi"
             )
             reread = scratch.keep(zone_values(again, expected, LIVE))
@@ -128,7 +128,7 @@ def curate_previous_runs(
     """
     with Scratch(lake.spark, "curate") as scratch:
         expected = layouts(lake.spark, products, PREVIOUS_RUNS)
-        values = scratch.keep(zone_values(_named(responses), expected, PREVIOUS_RUNS))
+        values = scratch.keep(zone_values(responses, expected, PREVIOUS_RUNS))
         if values.isEmpty():
             return
         _quarantine(lake, values, PREVIOUS_RUNS, batch)
@@ -146,11 +146,6 @@ def curate_previous_runs(
         )
 
 
-def _named(responses: DataFrame) -> DataFrame:
-    """Only well-formed product keys may become folder names."""
-    return responses.where(is_product_key(F.col("product")))
-
-
 def _quarantine(lake: Lake, values: DataFrame, kind: str, batch: str) -> None:
     bad = values.where("problem IS NOT NULL").select(
         "product", F.lit(kind).alias("kind"), "fetched_at", "raw_key", "problem"

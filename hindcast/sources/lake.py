@@ -169,25 +169,33 @@ class Lake:
 
     # -- raw -------------------------------------------------------------------------------
 
-    def raw_files(self) -> DataFrame:
+    def raw_files(self, days: Sequence[date] | None = None) -> DataFrame:
         """Responses kept as files, one row per body, with what their names say about them.
 
-        ``date``, the day of the fetch, is a partition column: filter on it.
+        With ``days`` only the folders of those days of fetching are listed.
         """
-        names = storage.children(self.spark, self.path("raw"))
-        parts = [
-            self.spark.read.schema("value string, date date")
-            .text(self.path("raw", name), wholetext=True)
-            .select(
-                F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_key"), "date"
-            )
-            for name in names
-            if not name.startswith(("_", "."))
-        ]
+        parts = []
+        for product in storage.children(self.spark, self.path("raw")):
+            if product.startswith(("_", ".")):
+                continue
+            folder = self.path("raw", product)
+            folders = [folder]
+            if days is not None:
+                there = set(storage.children(self.spark, folder))
+                folders = [f"{folder}/date={d}" for d in days if f"date={d}" in there]
+            if folders:
+                reader = self.spark.read.schema("value string, date date")
+                parts.append(reader.option("basePath", folder).text(folders, wholetext=True))
         if not parts:
             shape = T.StructType.fromDDL("body string, raw_key string, date date")
             return name_parts(empty(self.spark, shape))
-        return name_parts(reduce(DataFrame.unionByName, parts))
+        files = [
+            part.select(
+                F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_key"), "date"
+            )
+            for part in parts
+        ]
+        return name_parts(reduce(DataFrame.unionByName, files))
 
     def land_responses(self, responses: DataFrame, batch: str) -> None:
         """Keep bodies before anything parses them; landing the same batch again replaces it.
@@ -202,9 +210,10 @@ class Lake:
             "responses", batch, "kind", "date",
         )
 
-    def responses(self) -> DataFrame:
+    def responses(self, days: Sequence[date] | None = None) -> DataFrame:
         """Landed bodies, in the shape of :meth:`raw_files`."""
-        return with_raw_key(self._table("responses", LANDED))
+        landed = with_raw_key(self._table("responses", LANDED))
+        return landed if days is None else landed.where(F.col("date").isin(list(days)))
 
     # -- logs ------------------------------------------------------------------------------
 

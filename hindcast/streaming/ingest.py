@@ -51,7 +51,7 @@ def ingest_stream(
         if kind == PREVIOUS_RUNS:
             curate_previous_runs(lake, products, responses, batch)
         else:
-            kept = lake.responses() if landed else lake.raw_files()
+            kept = lake.responses if landed else lake.raw_files
             curate_live(lake, products, responses, batch, kept=kept, unit=unit)
 
     return (

@@ -26,6 +26,7 @@ from hindcast.operators.reads import snapshot
 from hindcast.plans.curate import curate_live, curate_previous_runs
 from hindcast.settings import GFS_SEAMLESS
 from hindcast.sources.lake import Lake
+from hindcast.streaming.freshness import hourly_ages
 from hindcast.streaming.ingest import ingest_stream
 
 HOUR = timedelta(hours=1)
@@ -72,6 +73,7 @@ def test_a_failing_response_does_not_stop_the_others(spark, tmp_path):
     bad = responses(spark, small(), product="../evil")
     curate_live(lake, [SMALL], bad, "b1")
     assert lake.curated_products() == ["small"]
+    assert "../evil" in [r.product for r in lake.quarantine().collect()]
 
 
 def test_a_late_poll_is_fitted_in_by_time(spark, tmp_path):
@@ -81,9 +83,10 @@ def test_a_late_poll_is_fitted_in_by_time(spark, tmp_path):
         "date", F.to_date("fetched_at")
     )
     on_time, late = all_polls.where("raw_key <> 'raw/1'"), all_polls.where("raw_key = 'raw/1'")
-    curate_live(lake, [SMALL], on_time, "b0", kept=all_polls)
+    kept = lambda days: all_polls.where(F.col("date").isin(days))
+    curate_live(lake, [SMALL], on_time, "b0", kept=kept)
     assert polls_of(lake) == [True, False]
-    curate_live(lake, [SMALL], late, "b1", kept=all_polls)
+    curate_live(lake, [SMALL], late, "b1", kept=kept)
     assert polls_of(lake) == [True, True, True]
 
     straight = Lake(spark, tmp_path / "straight")
@@ -144,12 +147,17 @@ def test_streams_pick_up_new_files_once(spark, tmp_path, unit):
     write_raw(root, "small", T1 + 3 * HOUR, small(2))
     ingest()
     assert polls_of(lake) == [True, False, True]
+    write_raw(root, "small", T1 + HOUR / 2, small(7))
+    ingest()
+    assert polls_of(lake) == [True, True, True, True]
     known = snapshot(
         lake.curated().drop("product", "posting"), utc(datetime(2026, 10, 1)),
         utc(datetime(2026, 10, 2)), as_of=T1 + 2 * HOUR,
     )
     assert sorted(r.value for r in known.where("series = 't:B'").collect()) == [2.0, 2.01, 2.02]
-    assert lake.raw_files().count() == 5
+    assert lake.raw_files().count() == 6
+    assert lake.raw_files([date(2026, 10, 1)]).where("kind = 'live'").count() == 5
+    assert lake.raw_files([date(2026, 10, 2)]).count() == 0
 
 
 def test_the_default_product_end_to_end(spark, tmp_path):
@@ -191,6 +199,20 @@ def test_changes_across_slices(spark):
         assert [r.changed for r in marked.collect()] == want
 
 
+def test_hourly_ages_as_a_stream(spark, tmp_path):
+    rows = [(T1 + timedelta(minutes=m), float(m)) for m in (1, 30, 61, 62, 300)]
+    made = spark.createDataFrame(rows, "checked_at timestamp, age_minutes double")
+    made.write.parquet(str(tmp_path / "checks"))
+    stream = spark.readStream.schema(made.schema).parquet(str(tmp_path / "checks"))
+    query = (
+        hourly_ages(stream).writeStream.format("memory").queryName("ages").outputMode("append")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = [r.max_age_minutes for r in spark.table("ages").orderBy("hour").collect()]
+    assert got == [30.0, 62.0]
+
+
 def test_freshness_and_alarm(spark):
     posted = spark.createDataFrame(
         [("a", T1), ("a", T1 - HOUR), ("b", T1 - 5 * HOUR)], "product string, posted_at timestamp"
