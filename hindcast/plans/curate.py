@@ -107,16 +107,21 @@ def _published(values: DataFrame, polls: DataFrame, unit: str, batch: str) -> Da
         return rows
     if unit != "batch":
         raise ValueError(f"unit is 'posting' or 'batch', not {unit!r}")
-    return _even(rows.withColumn("posting", F.lit(f"batch-{batch}")))
+    return _even(rows, f"batch-{batch}")
 
 
-def _even(rows: DataFrame) -> DataFrame:
-    """Rows in key order over the session's shuffle partitions, whatever their keys. The number
-    is given, as merging small ones would leave one task to write very many files."""
+def _even(rows: DataFrame, unit: str) -> DataFrame:
+    """Rows of one unit in key order over the session's shuffle partitions, whatever their keys,
+    so that files are even and their row groups cover few hours. The number is given, as merging
+    small ones would leave one task to write very many files.
+
+    The unit is named after the sort: Spark takes a constant out of a sort order, and would then
+    sort again, by folder only.
+    """
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(
-        partitions, "product", "date", "interval_start", "series", "posted_at"
-    )
+    order = ("product", "date", "interval_start", "series", "posted_at")
+    ranged = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    return ranged.withColumn("posting", F.lit(unit))
 
 
 def curate_previous_runs(
@@ -156,7 +161,6 @@ def _quarantine(lake: Lake, values: DataFrame, kind: str, batch: str) -> None:
 def land_forecast(lake: Lake, rows: DataFrame, unit: str) -> None:
     """Write rows that already are curated under one unit, split evenly whatever their keys."""
     placed = rows.select(
-        "product", *FORECAST.fieldNames(),
-        F.to_date("interval_start").alias("date"), F.lit(unit).alias("posting"),
+        "product", *FORECAST.fieldNames(), F.to_date("interval_start").alias("date")
     )
-    lake.write_postings(_even(placed))
+    lake.write_postings(_even(placed, unit))
