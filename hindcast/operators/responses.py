@@ -157,17 +157,19 @@ def zone_values(responses: DataFrame, layouts: DataFrame, kind: str) -> DataFram
     )
 
 
-def forecast_rows(values: DataFrame, kind: str) -> DataFrame:
-    """The curated rows of accepted responses, with the partition columns of their table.
+def forecast_rows(values: DataFrame, kind: str, *extra: str) -> DataFrame:
+    """The curated rows of accepted responses, with the partition columns of their table and
+    any ``extra`` columns of the response.
 
     Refused responses have no values. The outer forms keep Spark from deriving a filter on the
     arrays and computing them twice; the rows they add are taken out again.
     """
     series = values.select(
-        "product", "fetched_at", "lag_minutes", F.explode_outer("series_values").alias("s")
+        "product", "fetched_at", "lag_minutes", *extra, F.explode_outer("series_values").alias("s")
     )
     pairs = series.select(
-        "product", "fetched_at", "lag_minutes", "s.series", "s.lead", F.inline_outer("s.pairs")
+        "product", "fetched_at", "lag_minutes", *extra, "s.series", "s.lead",
+        F.inline_outer("s.pairs"),
     ).where("time IS NOT NULL")
     start = F.timestamp_seconds("time")
     posted = F.col("fetched_at")
@@ -187,6 +189,7 @@ def forecast_rows(values: DataFrame, kind: str) -> DataFrame:
         "product",
         F.to_date(start).alias("date"),
         unit.alias("posting"),
+        *extra,
     )
 
 

@@ -44,35 +44,46 @@ def curate_live(
     """
     with Scratch(lake.spark, "curate") as scratch:
         expected = layouts(lake.spark, products, LIVE)
-        values = scratch.keep(zone_values(responses, expected, LIVE))
+        values = scratch.keep(_numbered(zone_values(responses, expected, LIVE)))
         if values.isEmpty():
             return
         _quarantine(lake, values, LIVE, batch)
 
         fresh = values.where("problem IS NULL").withColumnRenamed("days", "partitions")
         fresh = one_per_poll(
-            fresh.select("product", "fetched_at", F.lit(False).alias("new_posting"), *POLL_COLUMNS)
+            fresh.select(
+                "product", "fetched_at", F.lit(False).alias("new_posting"), *POLL_COLUMNS, "copy"
+            )
         )
         logged = one_per_poll(
             lake.polls().where(F.col("batch") != batch).drop("batch")
-        ).select("product", "fetched_at", "new_posting", *POLL_COLUMNS)
+        ).select(
+            "product", "fetched_at", "new_posting", *POLL_COLUMNS,
+            F.lit(None).cast("long").alias("copy"),
+        )
         marked = scratch.keep(_with_history(fresh, logged))
 
         new = marked.where("changed AND (fresh OR NOT new_posting)")
-        lake.write_postings(_published(values, new, unit, batch))
+        lake.write_postings(_published(values, new.where("fresh"), unit, batch))
         revived = new.where(~F.col("fresh"))
         if kept is not None and not revived.isEmpty():
             days = revived.select(F.to_date("fetched_at").alias("date")).distinct().collect()
             again = kept([d.date for d in days]).join(
                 revived.select("product", "fetched_at"), ["product", "fetched_at"], "left_semi"
             )
-            reread = scratch.keep(zone_values(again, expected, LIVE))
-            lake.write_postings(_published(reread, revived, unit, f"{batch}-revived"))
+            reread = scratch.keep(_numbered(zone_values(again, expected, LIVE)))
+            one = reread.groupBy("product", "fetched_at").agg(F.max("copy").alias("copy"))
+            lake.write_postings(_published(reread, one, unit, f"{batch}-revived"))
 
         log = marked.where("fresh OR (changed AND NOT new_posting)").withColumn(
             "new_posting", F.col("changed")
         )
-        lake.log_polls(log.drop("fresh", "changed"), batch)
+        lake.log_polls(log.drop("fresh", "changed", "copy"), batch)
+
+
+def _numbered(values: DataFrame) -> DataFrame:
+    """Tell responses apart that were landed more than once: one ``copy`` of each is used."""
+    return values.withColumn("copy", F.monotonically_increasing_id())
 
 
 def _with_history(fresh: DataFrame, logged: DataFrame) -> DataFrame:
@@ -101,7 +112,7 @@ def _with_history(fresh: DataFrame, logged: DataFrame) -> DataFrame:
 
 
 def _published(values: DataFrame, polls: DataFrame, unit: str, batch: str) -> DataFrame:
-    chosen = values.join(polls.select("product", "fetched_at"), ["product", "fetched_at"], "left_semi")
+    chosen = values.join(polls.select("copy"), "copy", "left_semi")
     rows = forecast_rows(chosen, LIVE)
     if unit == "posting":
         return rows
@@ -133,19 +144,19 @@ def curate_previous_runs(
     """
     with Scratch(lake.spark, "curate") as scratch:
         expected = layouts(lake.spark, products, PREVIOUS_RUNS)
-        values = scratch.keep(zone_values(responses, expected, PREVIOUS_RUNS))
+        values = scratch.keep(_numbered(zone_values(responses, expected, PREVIOUS_RUNS)))
         if values.isEmpty():
             return
         _quarantine(lake, values, PREVIOUS_RUNS, batch)
 
         good = values.where("problem IS NULL")
         newest = (
-            good.select("product", "fetched_at", F.explode("days").alias("date"))
+            good.select("product", "fetched_at", "copy", F.explode("days").alias("date"))
             .groupBy("product", "date")
-            .agg(F.max("fetched_at").alias("ingested_at"))
+            .agg(F.max_by("copy", F.struct("fetched_at", "copy")).alias("copy"))
         )
-        rows = forecast_rows(good, PREVIOUS_RUNS)
-        lake.write_postings(rows.join(newest, ["product", "date", "ingested_at"]))
+        rows = forecast_rows(good, PREVIOUS_RUNS, "copy")
+        lake.write_postings(rows.join(newest, ["product", "date", "copy"]))
         lake.log_windows(
             good.select("product", "first", "last", "fetched_at", "rows", "dropped", "days"), batch
         )

@@ -94,6 +94,22 @@ def test_a_late_poll_is_fitted_in_by_time(spark, tmp_path):
     assert stored(lake) == stored(straight)
 
 
+def test_a_response_landed_twice_is_published_once(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    polled = responses(spark, small(), small(1), product="small")
+    curate_live(lake, [SMALL], polled.unionAll(polled), "b0")
+    assert lake.curated().count() == 24 and polls_of(lake) == [True, True]
+    curate_live(lake, [SMALL], polled, "b1")
+    assert lake.curated().count() == 24
+    day = date(2024, 3, 2)
+    past = responses(
+        spark, past_response(day, product=SMALL), product="small", kind="previous_runs",
+        first=day, last=day,
+    )
+    curate_previous_runs(lake, [SMALL], past.unionAll(past), "b2")
+    assert lake.curated().count() == 24 + 192
+
+
 def test_batch_units_hold_the_same_rows(spark, tmp_path):
     lake, other = Lake(spark, tmp_path / "a"), Lake(spark, tmp_path / "b")
     polled = responses(spark, small(), small(1), product="small")
