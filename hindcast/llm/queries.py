@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hindcast.llm import mixing, simhash
+from hindcast.llm import mixing, simhash, substring
 from hindcast.llm.common import table
 
 
@@ -47,7 +47,14 @@ def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op8_substring(spark, sf_dir):
+    """Words in windows of 20 that occur earlier in the corpus."""
+    found = substring.removals(table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 CASES = {
     "op1_mix": (op1_mix, OP1_SQL),
     "op6_simhash": (op6_simhash, None),
+    "op8_substring": (op8_substring, None),
 }
