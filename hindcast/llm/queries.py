@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
-from hindcast.llm import mixing, simhash, substring
+from hindcast.llm import mixing, packing, simhash, substring
 from hindcast.llm.common import table
 
 
@@ -53,8 +53,15 @@ def op8_substring(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_packing(spark, sf_dir):
+    """Places of all documents in sequences of 4096 tokens."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end=1)
+
+
 CASES = {
     "op1_mix": (op1_mix, OP1_SQL),
     "op6_simhash": (op6_simhash, None),
     "op8_substring": (op8_substring, None),
+    "op9_packing": (op9_packing, None),
 }
