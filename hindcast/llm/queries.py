@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from hindcast.llm import mixing, packing, simhash, substring
+from hindcast.llm import mixing, packing, quality, simhash, substring
 from hindcast.llm.common import table
 
 
@@ -42,6 +42,12 @@ SELECT doc_id, size, source_size, target,
 FROM placed"""
 
 
+def op5_quality(spark, sf_dir):
+    """Quality of all documents, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op6_simhash(spark, sf_dir):
     """Groups of documents whose fingerprints differ in two bits or fewer."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -61,6 +67,7 @@ def op9_packing(spark, sf_dir):
 
 CASES = {
     "op1_mix": (op1_mix, OP1_SQL),
+    "op5_quality": (op5_quality, None),
     "op6_simhash": (op6_simhash, None),
     "op8_substring": (op8_substring, None),
     "op9_packing": (op9_packing, None),
