@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+import corpus_pipeline
 from hindcast.llm import mixing, packing, quality, simhash, substring
 from hindcast.llm.common import table
 
@@ -66,6 +67,7 @@ def op9_packing(spark, sf_dir):
 
 
 CASES = {
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_mix": (op1_mix, OP1_SQL),
     "op5_quality": (op5_quality, None),
     "op6_simhash": (op6_simhash, None),
