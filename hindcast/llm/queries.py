@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from hindcast.llm import mixing, packing, quality, simhash, substring
+from hindcast.llm import mixing, packing, ppm, quality, simhash, substring
 from hindcast.llm.common import table
 
 
@@ -66,6 +66,11 @@ def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end=1)
 
 
+def op10_ppm(spark, sf_dir):
+    """Code lengths of all documents under a byte-context model, and word frequencies."""
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 CASES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_mix": (op1_mix, OP1_SQL),
@@ -73,4 +78,5 @@ CASES = {
     "op6_simhash": (op6_simhash, None),
     "op8_substring": (op8_substring, None),
     "op9_packing": (op9_packing, None),
+    "op10_ppm": (op10_ppm, None),
 }
