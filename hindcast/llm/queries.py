@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from hindcast.llm import mixing, packing, ppm, quality, simhash, substring
+from hindcast.llm import mixing, packing, ppm, quality, simhash, substring, vectors
 from hindcast.llm.common import table
 
 
@@ -43,6 +43,27 @@ SELECT doc_id, size, source_size, target,
 FROM placed"""
 
 
+def op2_vectors(spark, sf_dir):
+    """Vectors linked by a cosine of 0.9 or more, and the groups they form."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+OP2_SQL = """WITH RECURSIVE sound AS (
+  SELECT vec_id, row_number() OVER () AS n, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+  ON a.n <> b.n AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(a, b) AS (SELECT vec_id, vec_id FROM sound UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links,
+  coalesce(component_id, vec_id) AS component_id,
+  coalesce(vec_id = coalesce(component_id, vec_id), false) AS kept
+FROM embeddings e LEFT JOIN least ON least.a = e.vec_id"""
+
+
 def op5_quality(spark, sf_dir):
     """Quality of all documents, learnt from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -74,6 +95,7 @@ def op10_ppm(spark, sf_dir):
 CASES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_mix": (op1_mix, OP1_SQL),
+    "op2_vectors": (op2_vectors, OP2_SQL),
     "op5_quality": (op5_quality, None),
     "op6_simhash": (op6_simhash, None),
     "op8_substring": (op8_substring, None),
