@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from hindcast.llm import mixing, packing, ppm, quality, simhash, substring, vectors
+from hindcast.llm import mixing, packing, ppm, quality, rules, simhash, substring, vectors
 from hindcast.llm.common import table
 
 
@@ -75,6 +75,11 @@ def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op7_rules(spark, sf_dir):
+    """Counts and verdicts on all documents."""
+    return rules.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_substring(spark, sf_dir):
     """Words in windows of 20 that occur earlier in the corpus."""
     found = substring.removals(table(spark, sf_dir, "documents"), window=20)
@@ -98,6 +103,7 @@ CASES = {
     "op2_vectors": (op2_vectors, OP2_SQL),
     "op5_quality": (op5_quality, None),
     "op6_simhash": (op6_simhash, None),
+    "op7_rules": (op7_rules, None),
     "op8_substring": (op8_substring, None),
     "op9_packing": (op9_packing, None),
     "op10_ppm": (op10_ppm, None),
