@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from hindcast.llm import mixing, packing, ppm, quality, rules, simhash, substring, vectors
+from hindcast.llm import licenses, mixing, packing, ppm, quality, quotes, rules, simhash, substring, vectors
 from hindcast.llm.common import table
 
 
@@ -64,6 +64,43 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links,
 FROM embeddings e LEFT JOIN least ON least.a = e.vec_id"""
 
 
+def op3_licenses(spark, sf_dir):
+    """License phrases and notices in all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
+def op4_quotes(spark, sf_dir):
+    """All conversations without quotations, messages linked to what they quote."""
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
+OP4_SQL = r"""WITH RECURSIVE lines AS (
+  SELECT conv_id, turn, place, length(regexp_replace(regexp_extract(line, '^[ \t>]*'), '[^>]', '', 'g')) AS depth,
+    lower(trim(regexp_replace(regexp_replace(line, '^[ \t>]*', ''), '[ \t\r\n\x0B\f]+', ' ', 'g'))) AS said
+  FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS place FROM conversations)),
+firsts AS (SELECT conv_id, said, min(turn) AS source_turn FROM lines
+  WHERE depth = 0 AND said <> '' AND turn IS NOT NULL GROUP BY ALL),
+quoted AS (SELECT l.conv_id, turn, place, depth, source_turn FROM lines l JOIN firsts USING (conv_id, said)
+  WHERE depth > 0 AND source_turn < turn),
+parents AS (SELECT conv_id, turn, arg_max(source_turn, (-depth, source_turn)) AS parent_turn,
+  count(DISTINCT place) AS n_linked FROM quoted GROUP BY conv_id, turn),
+up AS (SELECT conv_id, turn, parent_turn AS root_turn, 1 AS depth FROM parents
+  UNION ALL SELECT up.conv_id, up.turn, p.parent_turn, up.depth + 1
+  FROM up JOIN parents p ON p.conv_id = up.conv_id AND p.turn = up.root_turn),
+roots AS (SELECT conv_id, turn, min(root_turn) AS root_turn, max(depth) AS depth FROM up GROUP BY ALL),
+own AS (SELECT *, list_filter(string_split(text, chr(10)),
+    lambda x: NOT contains(regexp_extract(x, '^[ \t>]*'), '>')) AS plain,
+  list_filter(string_split(text, chr(10)), lambda x: contains(regexp_extract(x, '^[ \t>]*'), '>')
+    AND trim(regexp_replace(regexp_replace(x, '^[ \t>]*', ''), '[ \t\r\n\x0B\f]+', ' ', 'g')) <> '') AS marked
+  FROM conversations)
+SELECT o.conv_id, o.turn, role, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(plain, chr(10)) END AS text,
+  coalesce(len(marked), 0)::BIGINT AS n_quoted, coalesce(n_linked, 0)::BIGINT AS n_linked, parent_turn,
+  coalesce(root_turn, o.turn) AS root_turn, coalesce(depth, 0)::BIGINT AS depth
+FROM own o LEFT JOIN parents p ON p.conv_id = o.conv_id AND p.turn = o.turn
+  LEFT JOIN roots r ON r.conv_id = o.conv_id AND r.turn = o.turn"""
+
+
 def op5_quality(spark, sf_dir):
     """Quality of all documents, learnt from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -101,6 +138,8 @@ CASES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_mix": (op1_mix, OP1_SQL),
     "op2_vectors": (op2_vectors, OP2_SQL),
+    "op3_licenses": (op3_licenses, None),
+    "op4_quotes": (op4_quotes, OP4_SQL),
     "op5_quality": (op5_quality, None),
     "op6_simhash": (op6_simhash, None),
     "op7_rules": (op7_rules, None),
