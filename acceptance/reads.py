@@ -19,7 +19,7 @@ from acceptance.inputs import (
 )
 from hindcast.operators import checks
 from hindcast.operators.asof import asof_join, multi_snapshot
-from hindcast.operators.reads import postings, snapshot
+from hindcast.operators.reads import postings, snapshot, visible
 from hindcast.operators.sets import excess, union_by_name
 from hindcast.operators.vintages import (
     join_zone_series,
@@ -120,6 +120,121 @@ FROM d ASOF LEFT JOIN v ON d.interval_start = v.interval_start AND d.series = v.
   AND d.decision_at >= v.posted_at"""
 
 
+def asof_offgrid(spark, sf):
+    """Decisions and valid times at 25 past the hour, read for 30 and for 90 minutes."""
+    later = F.expr("INTERVAL 25 MINUTES")
+    moved = lake(spark, sf).withColumn(
+        "interval_start",
+        F.when(F.col("series").like("%Z1"), F.col("interval_start") + later).otherwise(
+            F.col("interval_start")
+        ),
+    )
+    noon = F.date_trunc("day", "ts") + F.expr("INTERVAL 12 HOUR") + later
+    decisions = events(spark, sf).select(noon.alias("decision_at")).distinct()
+    decisions = decisions.withColumn("valid_from", F.col("decision_at") + F.expr("INTERVAL 11 HOUR"))
+    decisions = decisions.select(
+        "*", F.explode(F.array(*[F.expr(f"valid_from + INTERVAL {m} MINUTES") for m in (30, 90)])).alias("valid_to")
+    )
+    found = multi_snapshot(decisions, moved)
+    return plain(found.select("decision_at", "interval_start", "series", "posted_at", "value"))
+
+
+ASOF_OFFGRID_SQL = f"""WITH {LAKE_SQL},
+moved AS (SELECT * REPLACE (CASE WHEN series LIKE '%Z1' THEN interval_start + INTERVAL 25 MINUTE
+  ELSE interval_start END AS interval_start) FROM lake),
+d AS (SELECT DISTINCT date_trunc('day', ts) + INTERVAL 745 MINUTE AS decision_at FROM events)
+SELECT decision_at, interval_start, series, posted_at, value
+FROM d JOIN moved ON interval_start >= decision_at + INTERVAL 11 HOUR
+  AND interval_start < decision_at + INTERVAL 11 HOUR + INTERVAL 90 MINUTE
+  AND posted_at <= decision_at
+QUALIFY row_number() OVER (PARTITION BY decision_at, interval_start, series
+  ORDER BY posted_at DESC, ingested_at DESC, source DESC, value DESC) = 1"""
+
+
+def _with_product(rows):
+    """The zone as the product, so that business keys repeat between products."""
+    parts = F.split("series", ":")
+    return rows.withColumn("product", parts[1]).withColumn("series", parts[0])
+
+
+def asof_products(spark, sf):
+    """Decisions of one product, and of all, over a table of several."""
+    versions = _with_product(lake(spark, sf))
+    days = events(spark, sf).select(F.date_trunc("day", "ts").alias("valid_from")).distinct()
+    days = days.select(
+        (F.col("valid_from") - F.expr("INTERVAL 6 HOUR")).alias("decision_at"), "valid_from",
+        (F.col("valid_from") + F.expr("INTERVAL 1 DAY")).alias("valid_to"),
+    )
+    one = multi_snapshot(days.withColumn("product", F.lit("Z5")), versions)
+    both = union_by_name(
+        one.withColumn("asked", F.lit("one")),
+        multi_snapshot(days, versions).withColumn("asked", F.lit("all")),
+    )
+    return plain(both.select("asked", "decision_at", "product", "interval_start", "series", "posted_at", "value"))
+
+
+ASOF_PRODUCTS_SQL = f"""WITH {LAKE_SQL},
+v AS (SELECT split_part(series, ':', 2) AS product, split_part(series, ':', 1) AS kind, * FROM lake),
+d AS (SELECT DISTINCT date_trunc('day', ts) AS valid_from FROM events),
+f AS (SELECT valid_from - INTERVAL 6 HOUR AS decision_at, product, interval_start, kind AS series,
+    posted_at, value
+  FROM d JOIN v ON interval_start >= valid_from AND interval_start < valid_from + INTERVAL 1 DAY
+    AND posted_at <= valid_from - INTERVAL 6 HOUR
+  QUALIFY row_number() OVER (PARTITION BY valid_from, product, interval_start, kind
+    ORDER BY posted_at DESC, ingested_at DESC, source DESC, value DESC) = 1)
+SELECT 'all' AS asked, * FROM f UNION ALL SELECT 'one', * FROM f WHERE product = 'Z5'"""
+
+
+def asof_nulls(spark, sf):
+    """Versions without a stamp and decisions without an instant know and are known by nothing."""
+    lost = (F.col("source") == "previous_runs") & F.col("series").like("error%")
+    versions = lake(spark, sf).withColumn("posted_at", F.when(~lost, F.col("posted_at")))
+    asked = events(spark, sf).select(
+        "event_id",
+        valid_hour().alias("interval_start"),
+        F.concat("event_type", F.lit(":Z"), F.col("user_id") % 8).alias("series"),
+        F.when(F.col("event_id") % 7 != 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("decision_at"),
+    )
+    found = asof_join(asked, versions, how="left")
+    return plain(found.select("event_id", "decision_at", "posted_at", "value"))
+
+
+ASOF_NULLS_SQL = f"""WITH {LAKE_SQL},
+d AS (SELECT event_id, interval_start, series,
+  CASE WHEN event_id % 7 <> 0 THEN posted_at + INTERVAL 1 DAY END AS decision_at FROM b),
+v AS (SELECT * FROM lake WHERE NOT (source = 'previous_runs' AND series LIKE 'error%')
+  QUALIFY row_number() OVER (PARTITION BY interval_start, series, posted_at
+    ORDER BY ingested_at DESC, source DESC, value DESC) = 1)
+SELECT event_id, decision_at, v.posted_at, v.value
+FROM d ASOF LEFT JOIN v ON d.interval_start = v.interval_start AND d.series = v.series
+  AND d.decision_at >= v.posted_at"""
+
+
+def snapshots_second_clock(spark, sf):
+    """A snapshot per day from what the system held at one time, of one source."""
+    rows = visible(
+        lake(spark, sf), FIRST, BEYOND, as_of=BEYOND, known_to_system_at=AS_OF,
+        sources=["previous_runs"], max_days=None,
+    )
+    days = events(spark, sf).select(F.date_trunc("day", "ts").alias("decision_at")).distinct()
+    days = days.select(
+        "decision_at", F.col("decision_at").alias("valid_from"),
+        (F.col("decision_at") + F.expr("INTERVAL 3 DAY")).alias("valid_to"),
+    )
+    found = multi_snapshot(days, rows)
+    return plain(found.select("decision_at", "interval_start", "series", "posted_at", "value"))
+
+
+SNAPSHOTS_SECOND_CLOCK_SQL = f"""WITH {LAKE_SQL},
+d AS (SELECT DISTINCT date_trunc('day', ts) AS decision_at FROM events)
+SELECT decision_at, interval_start, series, posted_at, value
+FROM d JOIN lake ON interval_start >= decision_at AND interval_start < decision_at + INTERVAL 3 DAY
+  AND posted_at <= decision_at AND source = 'previous_runs'
+  AND ingested_at <= TIMESTAMP '2024-01-15 12:00:00'
+QUALIFY row_number() OVER (PARTITION BY decision_at, interval_start, series
+  ORDER BY posted_at DESC, ingested_at DESC, source DESC, value DESC) = 1"""
+
+
 def dup_posting_keys(spark, sf):
     """Keys repeated within a posting, per whether one source alone repeats them."""
     repeated = checks.repeated_keys(lake(spark, sf).withColumn("product", F.lit("events")))
@@ -291,6 +406,10 @@ CASES = {
     "postings": (postings_read, f"WITH {LAKE_SQL} {POSTINGS_SQL} {WINDOW_SQL}"),
     "postings_whole": (postings_whole, f"WITH {LAKE_SQL} {POSTINGS_SQL} true"),
     "asof_multi": (asof_multi, ASOF_MULTI_SQL),
+    "asof_offgrid": (asof_offgrid, ASOF_OFFGRID_SQL),
+    "asof_products": (asof_products, ASOF_PRODUCTS_SQL),
+    "asof_nulls": (asof_nulls, ASOF_NULLS_SQL),
+    "snapshots_second_clock": (snapshots_second_clock, SNAPSHOTS_SECOND_CLOCK_SQL),
     "asof_join": (asof_join_left, ASOF_JOIN_SQL),
     "dup_posting_keys": (dup_posting_keys, DUP_SQL),
     "live_postings": (

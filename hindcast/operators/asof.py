@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.contract import BUSINESS_KEY
 from hindcast.functions.columns import slice_start
+from hindcast.operators.reads import NEWEST
 
 DAY = 86400
 
@@ -18,113 +18,77 @@ def asof_join(
     decisions: DataFrame,
     versions: DataFrame,
     *,
-    on: Sequence[str] = BUSINESS_KEY,
+    on: Sequence[str] | None = None,
     decision_at: str = "decision_at",
     payload: Sequence[str] = ("value", "source"),
     how: str = "inner",
-    hot_rows: int = 1_000_000,
     slice_seconds: int = DAY,
 ) -> DataFrame:
     """Attach to each decision the newest version of its key with ``posted_at <= decision_at``.
 
-    Versions and decisions of a key go into one sorted run, where a running ``last`` finds the
-    answers: one shuffle, and no pair is ever formed.
+    The key is the business key, and the product where both sides name it. All keys go the same
+    way. Versions collapse to one per key and stamp, decisions to one question per key and instant,
+    both with map-side combining. Time is cut into slices; a slice of a key is one sorted run, in
+    which a running ``last`` finds the answers. What was known before a slice is carried in as its
+    first row, from one row per key and slice. No pair of versions and decisions is formed, and no
+    job runs before the result is used.
 
-    A key too big for one task is handled apart. Its rows are first counted, over the key
-    columns alone; keys above both ``hot_rows`` and an even share of all rows per shuffle
-    partition, of which there can be no more than shuffle partitions, take the way of
-    :func:`_sliced`.
+    A version without ``posted_at`` is never known. A decision without an instant or a key part
+    knows nothing; ``how="left"`` keeps it.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how is 'inner' or 'left', not {how!r}")
-    keys = list(on)
-    newest = versions.select(
-        *keys,
-        F.col("posted_at").alias("_at"),
-        F.struct("posted_at", "ingested_at", *payload).alias("_version"),
+    keys = list(on or shared_key(decisions, versions))
+    cell = [*keys, "_slice"]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_slice", slice_start(F.col("_at"), slice_seconds))
+
+    known = versions.where("posted_at IS NOT NULL").withColumn("_at", F.col("posted_at"))
+    single = placed(
+        known.groupBy(*keys, "_at").agg(F.max(newest_first(versions, payload)).alias("_version"))
     )
-    asked = decisions.withColumn("_at", F.col(decision_at)).select(
-        *keys, "_at", F.struct(*[c for c in decisions.columns if c not in keys]).alias("_decision")
+    questions = placed(
+        decisions.select(*keys, F.col(decision_at).alias("_at")).where("_at IS NOT NULL").distinct()
     )
-    hot = _hot_keys(newest, asked, keys, hot_rows)
-    if hot is None:
-        answers = _running(newest, asked, keys)
-    else:
-        cold = [t.join(F.broadcast(hot), keys, "left_anti") for t in (newest, asked)]
-        rest = [t.join(F.broadcast(hot), keys, "left_semi") for t in (newest, asked)]
-        answers = _running(*cold, keys).unionByName(_sliced(*rest, keys, slice_seconds))
-    if how == "inner":
-        answers = answers.where("_version IS NOT NULL")
-    return answers.select(*keys, "_decision.*", "_version.*").select(
-        *decisions.columns, "posted_at", "ingested_at", *payload
+    nothing = F.lit(None).cast(single.schema["_version"].dataType)
+    timeline = single.withColumn("_question", F.lit(False)).unionByName(
+        questions.withColumns({"_question": F.lit(True), "_version": nothing})
+    )
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        timeline.groupBy(*cell)
+        .agg(F.max("_version").alias("_version"), F.bool_or("_question").alias("_asked"))
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(before))
+        .where("_asked AND _version IS NOT NULL")
+        .select(*cell, F.col("_slice").alias("_at"), "_version", F.lit(False).alias("_question"))
     )
-
-
-def _hot_keys(
-    newest: DataFrame, asked: DataFrame, keys: Sequence[str], hot_rows: int
-) -> DataFrame | None:
-    rows = newest.select(*keys).unionAll(asked.select(*keys))
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    share = (total or 0) // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(hot_rows, share)
-    return counts.where(F.col("n") > limit).select(*keys) if (largest or 0) > limit else None
-
-
-def _running(newest: DataFrame, asked: DataFrame, group: Sequence[str]) -> DataFrame:
-    """The answer to every question of a group: the last version at or before it."""
-    rows = _timeline(newest, asked)
     so_far = (
-        Window.partitionBy(*group)
+        Window.partitionBy(*cell)
         .orderBy("_at", "_question", "_version")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        rows.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
-        .where("_question")
-        .drop("_question", "_at")
+    answers = (
+        timeline.unionByName(carried)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+        .where("_question AND _version IS NOT NULL")
+        .select(*keys, F.col("_at").alias(decision_at), "_version")
     )
+    found = decisions.join(answers, [*keys, decision_at], how)
+    version = [F.col("_version")[c].alias(c) for c in ("posted_at", "ingested_at", *payload)]
+    return found.select(*[decisions[c] for c in decisions.columns], *version)
 
 
-def _timeline(newest: DataFrame, asked: DataFrame) -> DataFrame:
-    no_version = F.lit(None).cast(newest.schema["_version"].dataType)
-    no_decision = F.lit(None).cast(asked.schema["_decision"].dataType)
-    return newest.withColumns(
-        {"_question": F.lit(False), "_decision": no_decision}
-    ).unionByName(asked.withColumns({"_question": F.lit(True), "_version": no_version}))
-
-
-def _sliced(
-    newest: DataFrame, asked: DataFrame, keys: Sequence[str], slice_seconds: int
-) -> DataFrame:
-    """The same for keys no task could hold.
-
-    Copies collapse first, to one version and one question per key and instant, with map-side
-    combining. Time is then cut into slices, each a group of its own, that holds at most one
-    version per instant. What was known before a slice is carried in as its first row, found
-    from one row per key and slice.
-    """
-    cell = [*keys, "_slice"]
+def shared_key(decisions: DataFrame, versions: DataFrame) -> tuple[str, ...]:
+    """The business key, with the product where both tables have one."""
+    both = "product" in decisions.columns and "product" in versions.columns
+    return ("product", *BUSINESS_KEY) if both else BUSINESS_KEY
 
-    def placed(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_slice", slice_start(F.col("_at"), slice_seconds))
 
-    single = placed(newest.groupBy(*keys, "_at").agg(F.max("_version").alias("_version")))
-    instants = asked.select(*keys, "_at").distinct()
-    questions = placed(instants.withColumn("_decision", F.struct(F.col("_at").alias("asked_at"))))
-    ends = _timeline(single, questions).groupBy(*cell).agg(
-        F.max("_version").alias("_version"), F.bool_or("_question").alias("_question")
-    )
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        ends.withColumn("_version", F.last("_version", ignorenulls=True).over(before))
-        .where("_question AND _version IS NOT NULL")
-        .select(*cell, F.col("_slice").alias("_at"), "_version")
-    )
-    answers = _running(single.unionByName(carried), questions, cell).select(
-        *keys, F.col("_decision.asked_at").alias("_at"), "_version"
-    )
-    return asked.join(answers, [*keys, "_at"]).drop("_at")
+def newest_first(versions: DataFrame, payload: Sequence[str]) -> Column:
+    """A version as a struct whose maximum is the one a snapshot takes."""
+    order = [c for c in NEWEST if c in versions.columns]
+    return F.struct(*order, *[c for c in payload if c not in order])
 
 
 def multi_snapshot(
@@ -132,69 +96,69 @@ def multi_snapshot(
     versions: DataFrame,
     *,
     payload: Sequence[str] = ("value", "source"),
-    interval_minutes: int = 60,
-    max_instants: int = 100_000,
 ) -> DataFrame:
-    """A snapshot for every decision at once: ``(decision_at, valid_from, valid_to)`` in, one
-    row per decision and business key out, equal to one snapshot per decision.
-
-    Decisions are nearly always taken on a grid, at noon or on the hour. Each version is put
-    down to the first grid instant that could know it and only the newest per key and instant
-    goes through the shuffle, whatever a key's number of versions. It then answers every
-    decision up to the next version's instant.
-
-    Decisions too many or too irregular for a grid go through :func:`asof_join` instead.
+    """A snapshot for every decision at once: ``(decision_at, valid_from, valid_to)`` in, one row
+    per decision and business key out, equal to one snapshot per decision.
+
+    Decisions that read an interval are numbered in their order. Each version is put down to the
+    first of them that could know it, and only the newest per key and number goes on; it answers
+    every decision up to the next one's number. So no version meets the decisions it could serve.
+    Where versions name a product it is part of the key; where decisions do too, each applies to
+    its own product alone.
     """
-    key = list(BUSINESS_KEY)
-    step = F.make_dt_interval(mins=F.lit(interval_minutes))
-    covered = F.explode(F.sequence(F.col("valid_from"), F.col("valid_to") - step, step))
-    hours = (
-        decisions.where("valid_from < valid_to")
-        .select("decision_at", covered.alias("interval_start"))
-        .distinct()
+    key = (["product"] if "product" in versions.columns else []) + list(BUSINESS_KEY)
+    own = ["product"] if "product" in decisions.columns and "product" in versions.columns else []
+    interval = [*own, "interval_start"]
+    asked = _asked_intervals(decisions, versions, own).withColumnRenamed("decision_at", "_at")
+
+    in_order = Window.partitionBy(*interval).orderBy("_at")
+    numbered = asked.withColumn("_number", F.row_number().over(in_order))
+    # The first decision at or after each stamp: one more than there are before it.
+    stamps = versions.where("posted_at IS NOT NULL").select(
+        *interval, F.col("posted_at").alias("_at"), F.lit(0).alias("_asks")
+    )
+    timeline = stamps.distinct().unionByName(asked.withColumn("_asks", F.lit(1)))
+    passed = Window.partitionBy(*interval).orderBy("_at", "_asks").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    instants = hours.select(F.unix_micros("decision_at").alias("at")).distinct()
-    grid = _grid([row.at for row in instants.limit(max_instants + 1).collect()], max_instants)
-    columns = ["decision_at", *key, "posted_at", "ingested_at", *payload]
-    if grid is None:
-        known = versions.select(*key).distinct()
-        asked = hours.join(known, "interval_start")
-        return asof_join(asked, versions, payload=payload).select(*columns)
-
-    first, width = grid
-    spans = hours.groupBy("interval_start").agg(
-        F.min(F.unix_micros("decision_at")).alias("_from"),
-        F.max(F.unix_micros("decision_at")).alias("_to"),
-        F.count("*").alias("_n"),
+    all_of_it = Window.partitionBy(*interval)
+    first_known = (
+        timeline.withColumn("_since", F.sum("_asks").over(passed) + 1)
+        .withColumn("_most", F.sum("_asks").over(all_of_it))
+        .where("_asks = 0 AND _since <= _most")
+        .select(*interval, F.col("_at").alias("posted_at"), "_since", "_most")
     )
-    gaps = not spans.where(f"_n <= (_to - _from) div {width}").isEmpty()
-    posted = f"unix_micros(posted_at) - {first}"
     newest = (
-        versions.join(spans.drop("_n"), "interval_start")
-        .where("unix_micros(posted_at) <= _to")
-        .withColumn("_since", F.expr(
-            f"greatest(_from, {first} + ({posted} + {width - 1}) div {width} * {width})"
-        ))
+        versions.join(first_known, [*interval, "posted_at"])
         .groupBy(*key, "_since")
         .agg(
-            F.max(F.struct("posted_at", "ingested_at", *payload)).alias("_version"),
-            F.max("_to").alias("_to"),
+            F.max(newest_first(versions, payload)).alias("_version"), F.max("_most").alias("_most")
         )
     )
     following = F.lead("_since").over(Window.partitionBy(*key).orderBy("_since"))
-    until = F.coalesce(following - F.lit(width), F.col("_to"))
+    until = F.coalesce(following - 1, F.col("_most"))
     answers = newest.withColumn("_until", until).select(
-        F.explode(F.sequence("_since", "_until", F.lit(width))).alias("_at"), *key, "_version.*"
+        *key, F.explode(F.sequence("_since", "_until")).alias("_number"), "_version"
+    )
+    return (
+        answers.join(numbered, [*interval, "_number"])
+        .select(F.col("_at").alias("decision_at"), *key, "_version.*")
+        .select("decision_at", *key, "posted_at", "ingested_at", *payload)
+    )
+
+
+def _asked_intervals(decisions: DataFrame, versions: DataFrame, own: list[str]) -> DataFrame:
+    """Each decision with every interval in its range that has versions at all, days matched first."""
+    day = F.to_date("interval_start").alias("_day")
+    there = versions.select(*own, "interval_start").distinct().withColumn("_day", day)
+    last = F.to_date(F.col("valid_to") - F.expr("INTERVAL 1 MICROSECOND"))
+    days = F.explode(F.sequence(F.to_date("valid_from"), last)).alias("_day")
+    wanted = decisions.where("valid_from < valid_to AND decision_at IS NOT NULL").select(
+        *own, "decision_at", "valid_from", "valid_to", days
+    )
+    return (
+        wanted.join(there, [*own, "_day"])
+        .where("interval_start >= valid_from AND interval_start < valid_to")
+        .select(*own, "decision_at", "interval_start")
+        .distinct()
     )
-    answers = answers.withColumn("decision_at", F.timestamp_micros("_at")).select(*columns)
-    return answers.join(hours, ["decision_at", "interval_start"], "left_semi") if gaps else answers
-
-
-def _grid(instants: Sequence[int], most: int) -> tuple[int, int] | None:
-    """The first instant and the widest step that reach all instants, in microseconds; none if
-    there are too many, or most steps would reach no instant."""
-    if len(instants) > most:
-        return None
-    first, last = min(instants, default=0), max(instants, default=0)
-    width = math.gcd(*(at - first for at in instants)) or DAY * 1_000_000
-    return (first, width) if (last - first) // width < 8 * max(len(instants), 1) else None

@@ -17,6 +17,9 @@ from hindcast.contract import (
 from hindcast.functions.columns import instant, matches_series
 
 MAX_DAYS = 62
+#: The newest version of a key is the greatest in these columns, the first of them first. Only the
+#: clocks are the contract's rule; the others settle ties, so that reruns and all reads agree.
+NEWEST = ("posted_at", "ingested_at", "source", "value")
 
 
 def valid_days(
@@ -72,10 +75,9 @@ def latest(rows: DataFrame, key: Sequence[str] = BUSINESS_KEY) -> DataFrame:
     """The newest version per key: greatest ``posted_at``, then greatest ``ingested_at``.
 
     Spark limits each map task to one row per key before the shuffle, so a key with very many
-    versions costs one row per task. Rows equal in both clocks are ordered by their content so
-    that reruns agree.
+    versions costs one row per task.
     """
-    order = [F.col(c).desc() for c in ("posted_at", "ingested_at", "source", "value")]
+    order = [F.col(c).desc() for c in NEWEST]
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 

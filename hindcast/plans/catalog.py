@@ -16,7 +16,7 @@ from hindcast.contract import (
     INTERVAL_MINUTES,
     SCHEMA_VERSION,
     SUPPORTED_SCHEMA_VERSIONS,
-    compatibility_line,
+    readable_contract,
 )
 from hindcast.errors import (
     CatalogNotFoundError,
@@ -43,14 +43,17 @@ class Catalog:
     generated_at: str
     products: Mapping[str, Mapping]
 
-    def require(self, product: str) -> Mapping:
-        if product not in self.products:
-            known = ", ".join(sorted(self.products)) or "none"
-            raise UnknownProductError(f"no product {product!r} here; there is: {known}")
-        version = self.products[product]["schema_version"]
-        if version not in SUPPORTED_SCHEMA_VERSIONS:
-            raise UnsupportedSchemaVersionError(f"{product} is at schema_version {version}")
-        return self.products[product]
+    def entry(self, product: str) -> Mapping:
+        """A product's entry, if it is listed and at a schema version this package reads."""
+        found = self.products.get(product)
+        if found is None:
+            raise UnknownProductError(f"{product} is not in the catalog, which lists {[*self.products]}")
+        if found["schema_version"] in SUPPORTED_SCHEMA_VERSIONS:
+            return found
+        raise UnsupportedSchemaVersionError(
+            f"{product} has rows of schema {found['schema_version']}; "
+            f"readable are {SUPPORTED_SCHEMA_VERSIONS}"
+        )
 
 
 def catalog_path(root: str) -> str:
@@ -60,8 +63,7 @@ def catalog_path(root: str) -> str:
 def parse_catalog(text: str) -> Catalog:
     doc = json.loads(text)
     catalog = Catalog(doc["contract_version"], doc["generated_at"], doc["products"])
-    ours, theirs = compatibility_line(CONTRACT_VERSION), compatibility_line(doc["contract_version"])
-    if ours != theirs:
+    if not readable_contract(catalog.contract_version):
         raise IncompatibleContractError(
             f"the lake follows contract {catalog.contract_version}, this package {CONTRACT_VERSION}"
         )

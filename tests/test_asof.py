@@ -49,9 +49,9 @@ def brute_force(versions, decisions):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 20])
+@pytest.mark.parametrize("slice_seconds", [7200, 10**9])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_asof_join_equals_the_read_rule(spark, versions, how, hot_rows):
+def test_asof_join_equals_the_read_rule(spark, versions, how, slice_seconds):
     rng = random.Random(8)
     instants = [r.posted_at for r in versions.collect()]
     starts = [r.interval_start for r in versions.select("interval_start").distinct().collect()]
@@ -64,7 +64,7 @@ def test_asof_join_equals_the_read_rule(spark, versions, how, hot_rows):
     rows += [(1000 + i, *r[1:]) for i, r in enumerate(rows[:40])]
     shape = "id int, interval_start timestamp, series string, decision_at timestamp"
     decisions = spark.createDataFrame(rows, shape)
-    found = asof_join(decisions, versions, how=how, hot_rows=hot_rows, slice_seconds=7200)
+    found = asof_join(decisions, versions, how=how, slice_seconds=slice_seconds)
     got = [(r.id, r.value, r.posted_at) for r in found.collect()]
     want = brute_force(versions, [r.asDict() for r in decisions.collect()])
     if how == "inner":
@@ -101,13 +101,70 @@ def test_no_decisions_give_no_rows(spark, versions):
 
 def test_asof_plans_form_no_pairs(spark, versions, capsys):
     decisions = versions.select("interval_start", "series", F.col("posted_at").alias("decision_at"))
-    for hot_rows in (1_000_000, 20):
-        asof_join(decisions, versions, hot_rows=hot_rows).explain()
+    asked = decisions.select(
+        F.col("decision_at"), F.col("interval_start").alias("valid_from"),
+        (F.col("interval_start") + F.expr("INTERVAL 90 MINUTES")).alias("valid_to"),
+    )
+    for found in (asof_join(decisions, versions), multi_snapshot(asked, versions)):
+        found.explain()
         plan = capsys.readouterr().out
         assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
         assert "posted_at <= " not in plan.replace("#", " ")
 
 
+def test_no_job_runs_before_the_result_is_used(spark, versions):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans-only", "building a plan")
+    decisions = versions.select("interval_start", "series", F.col("posted_at").alias("decision_at"))
+    asof_join(decisions, versions)
+    multi_snapshot(decisions.withColumnsRenamed({"interval_start": "valid_from"}).withColumn(
+        "valid_to", F.col("valid_from") + F.expr("INTERVAL 1 HOUR")), versions)
+    assert not tracker.getJobIdsForGroup("plans-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_null_stamps_and_instants_know_nothing(spark):
+    rows = spark.createDataFrame(
+        [("k", None, "2024-01-01", 9.0), ("k", "2024-01-02", "2024-01-02", 1.0)],
+        "series string, p string, i string, value double",
+    ).selectExpr(
+        "timestamp'2024-01-05' AS interval_start", "series", "to_timestamp(p) AS posted_at",
+        "to_timestamp(i) AS ingested_at", "'live' AS source", "value",
+    )
+    asked = spark.createDataFrame(
+        [(1, "k", "2024-01-01"), (2, "k", "2024-01-03"), (3, "k", None), (4, None, "2024-01-03")],
+        "id int, series string, d string",
+    ).selectExpr("id", "timestamp'2024-01-05' AS interval_start", "series", "to_timestamp(d) AS decision_at")
+    left = {r.id: r.value for r in asof_join(asked, rows, how="left").collect()}
+    assert left == {1: None, 2: 1.0, 3: None, 4: None}
+    assert [r.id for r in asof_join(asked, rows).collect()] == [2]
+
+
+def test_products_do_not_mix(spark):
+    rows = forecast(spark, [row(H0, "a:X", 1, T1), row(H0, "a:X", 2, T1 - HOUR)])
+    rows = rows.withColumn("product", F.when(F.col("value") == 1, "one").otherwise("two"))
+    asked = spark.createDataFrame([(T1, H0, H0 + HOUR)], "decision_at timestamp, valid_from timestamp, valid_to timestamp")
+    both = {(r.product, r.value) for r in multi_snapshot(asked, rows).collect()}
+    assert both == {("one", 1.0), ("two", 2.0)}
+    only = multi_snapshot(asked.withColumn("product", F.lit("two")), rows).collect()
+    assert [(r.product, r.value) for r in only] == [("two", 2.0)]
+    single = asked.select("decision_at", F.col("valid_from").alias("interval_start"), F.lit("a:X").alias("series"), F.lit("two").alias("product"))
+    assert [r.value for r in asof_join(single, rows).collect()] == [2.0]
+
+
+@pytest.mark.parametrize("minutes", [30, 90, 200])
+def test_ranges_off_the_hour(spark, minutes):
+    start = H0 + timedelta(minutes=25)
+    rows = forecast(spark, [row(start + HOUR * k, "a:X", k, T1 + timedelta(minutes=25 * k)) for k in range(5)])
+    shape = "decision_at timestamp, valid_from timestamp, valid_to timestamp"
+    for back in (0, 25, 50):
+        at, begin = T1 + timedelta(minutes=25 + back), H0 + timedelta(minutes=back)
+        asked = spark.createDataFrame([(at, begin, begin + timedelta(minutes=minutes))], shape)
+        got = {(r.interval_start, r.value) for r in multi_snapshot(asked, rows).collect()}
+        want = reads.snapshot(rows, begin, begin + timedelta(minutes=minutes), as_of=at).collect()
+        assert got == {(r.interval_start, r.value) for r in want}
+
+
 def test_revisions_compare_with_the_version_before(spark, versions):
     got = {
         (r.interval_start, r.series, r.posted_at): (r.value, r.previous)
