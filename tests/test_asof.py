@@ -2,7 +2,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from helpers import H0, T1, forecast, row
+from helpers import VALID, MORNING, forecast, row
 from pyspark.sql import functions as F
 
 from hindcast.operators import reads
@@ -25,9 +25,9 @@ def versions(spark):
     rows = []
     for i in range(400):
         hot = i % 2
-        start = H0 if hot else H0 + HOUR * rng.randrange(4)
+        start = VALID if hot else VALID + HOUR * rng.randrange(4)
         series = "a:X" if hot else rng.choice(["a:X", "b:X", "b:Y"])
-        posted = T1 - timedelta(minutes=15 * rng.randrange(1000))
+        posted = MORNING - timedelta(minutes=15 * rng.randrange(1000))
         source = rng.choice(["live", "previous_runs"])
         late = posted + timedelta(days=rng.randrange(3), seconds=i)
         rows.append(row(start, series, i, posted, ingested=late, source=source))
@@ -80,9 +80,9 @@ def test_multi_snapshot_equals_one_snapshot_per_decision(spark, versions, moment
         "irregular": [0, 7, 1000, 9999],
         "one": [45],
     }[moments]
-    taken = [T1 - timedelta(minutes=m) for m in back]
-    rows = [(at, H0, H0 + 3 * HOUR) for at in taken] + [(taken[-1], H0 + HOUR, H0 + 4 * HOUR)]
-    empty = [(taken[0], H0, H0)]
+    taken = [MORNING - timedelta(minutes=m) for m in back]
+    rows = [(at, VALID, VALID + 3 * HOUR) for at in taken] + [(taken[-1], VALID + HOUR, VALID + 4 * HOUR)]
+    empty = [(taken[0], VALID, VALID)]
     shape = "decision_at timestamp, valid_from timestamp, valid_to timestamp"
     found = multi_snapshot(spark.createDataFrame(rows + empty, shape), versions)
     got = {(r.decision_at, r.interval_start, r.series, r.value) for r in found.collect()}
@@ -141,9 +141,9 @@ def test_null_stamps_and_instants_know_nothing(spark):
 
 
 def test_products_do_not_mix(spark):
-    rows = forecast(spark, [row(H0, "a:X", 1, T1), row(H0, "a:X", 2, T1 - HOUR)])
+    rows = forecast(spark, [row(VALID, "a:X", 1, MORNING), row(VALID, "a:X", 2, MORNING - HOUR)])
     rows = rows.withColumn("product", F.when(F.col("value") == 1, "one").otherwise("two"))
-    asked = spark.createDataFrame([(T1, H0, H0 + HOUR)], "decision_at timestamp, valid_from timestamp, valid_to timestamp")
+    asked = spark.createDataFrame([(MORNING, VALID, VALID + HOUR)], "decision_at timestamp, valid_from timestamp, valid_to timestamp")
     both = {(r.product, r.value) for r in multi_snapshot(asked, rows).collect()}
     assert both == {("one", 1.0), ("two", 2.0)}
     only = multi_snapshot(asked.withColumn("product", F.lit("two")), rows).collect()
@@ -154,11 +154,11 @@ def test_products_do_not_mix(spark):
 
 @pytest.mark.parametrize("minutes", [30, 90, 200])
 def test_ranges_off_the_hour(spark, minutes):
-    start = H0 + timedelta(minutes=25)
-    rows = forecast(spark, [row(start + HOUR * k, "a:X", k, T1 + timedelta(minutes=25 * k)) for k in range(5)])
+    start = VALID + timedelta(minutes=25)
+    rows = forecast(spark, [row(start + HOUR * k, "a:X", k, MORNING + timedelta(minutes=25 * k)) for k in range(5)])
     shape = "decision_at timestamp, valid_from timestamp, valid_to timestamp"
     for back in (0, 25, 50):
-        at, begin = T1 + timedelta(minutes=25 + back), H0 + timedelta(minutes=back)
+        at, begin = MORNING + timedelta(minutes=25 + back), VALID + timedelta(minutes=back)
         asked = spark.createDataFrame([(at, begin, begin + timedelta(minutes=minutes))], shape)
         got = {(r.interval_start, r.value) for r in multi_snapshot(asked, rows).collect()}
         want = reads.snapshot(rows, begin, begin + timedelta(minutes=minutes), as_of=at).collect()
@@ -183,14 +183,14 @@ def test_revisions_compare_with_the_version_before(spark, versions):
 
 
 def test_lead_table_has_one_column_per_lead(spark):
-    back = lambda n: H0 - timedelta(days=n) + HOUR
-    rows = [row(H0, "t:X", 10 * n, back(n)) for n in (1, 2, 3)]
+    back = lambda n: VALID - timedelta(days=n) + HOUR
+    rows = [row(VALID, "t:X", 10 * n, back(n)) for n in (1, 2, 3)]
     got = lead_table(forecast(spark, rows), [1, 2, 4]).collect()
     assert [(r.lead_1d, r.lead_2d, r.lead_4d) for r in got] == [(10.0, 20.0, None)]
 
 
 def test_unpivot_names_lead_and_knowledge_time(spark):
-    wide = forecast(spark, [row(H0, "t:X", 1, T1)]).select(
+    wide = forecast(spark, [row(VALID, "t:X", 1, MORNING)]).select(
         "interval_start", F.lit(5.0).alias("t_previous_day3"),
         F.lit(float("nan")).alias("t_previous_day1"),
     )
@@ -204,10 +204,10 @@ def test_unpivot_names_lead_and_knowledge_time(spark):
 
 
 def test_preceding_hour_variables_move_back(spark):
-    rows = forecast(spark, [row(H0, "precipitation:X", 1, T1), row(H0, "temperature_2m:X", 2, T1)])
+    rows = forecast(spark, [row(VALID, "precipitation:X", 1, MORNING), row(VALID, "temperature_2m:X", 2, MORNING)])
     got = {r.series: r.interval_start for r in hour_starting(rows).collect()}
     assert got["temperature_2m:X"] - got["precipitation:X"] == HOUR
-    load = forecast(spark, [row(H0 - HOUR, "load", 7, T1)]).select(
+    load = forecast(spark, [row(VALID - HOUR, "load", 7, MORNING)]).select(
         "interval_start", F.lit("X").alias("zone"), F.col("value").alias("load")
     )
     joined = join_zone_series(rows, load).collect()

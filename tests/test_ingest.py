@@ -3,9 +3,8 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import (
-    P,
+    MORNING,
     SMALL,
-    T1,
     live_response,
     past_response,
     responses,
@@ -55,13 +54,13 @@ def test_only_changed_polls_become_postings(spark, tmp_path):
     curate_live(lake, [SMALL], polled, "b0")
     assert lake.curated().count() == 36 and polls_of(lake) == [True, False, True, True]
 
-    later = responses(spark, small(), product="small", fetched=T1 + 9 * HOUR)
+    later = responses(spark, small(), product="small", fetched=MORNING + 9 * HOUR)
     curate_live(lake, [SMALL], later, "b1")
     assert polls_of(lake) == [True, False, True, True, False]
     manifest = latest_manifest(one_per_poll(lake.polls())).collect()[0]
     assert manifest.last_checked_at - manifest.last_posted_at == 6 * HOUR
     assert (manifest.rows, manifest.dropped, manifest.raw_key) == (12, 0, "raw/3")
-    assert manifest.partitions == [date(2026, 10, 1)]
+    assert manifest.partitions == [date(2025, 6, 20)]
 
 
 def test_a_failing_response_does_not_stop_the_others(spark, tmp_path):
@@ -126,11 +125,11 @@ def test_refetched_days_replace_what_was_there(spark, tmp_path):
         spark, body, product="small", kind="previous_runs", fetched=at, first=day, last=day
     )
     body = past_response(day, product=SMALL)
-    curate_previous_runs(lake, [SMALL], past(body, T1), "b0")
+    curate_previous_runs(lake, [SMALL], past(body, MORNING), "b0")
     first = lake.curated().count()
     assert first == 24 * 4 * 2
-    both = past(body, T1 + HOUR).unionByName(
-        past(past_response(day, product=SMALL, hole=False), T1 + 2 * HOUR)
+    both = past(body, MORNING + HOUR).unionByName(
+        past(past_response(day, product=SMALL, hole=False), MORNING + 2 * HOUR)
     )
     curate_previous_runs(lake, [SMALL], both, "b1")
     assert lake.curated().count() == first
@@ -147,11 +146,11 @@ def test_streams_pick_up_new_files_once(spark, tmp_path, unit):
         where = str(tmp_path / f"progress-{kind}")
         ingest_stream(lake, [SMALL], where, kind=kind, unit=unit).awaitTermination()
 
-    write_raw(root, "small", T1, small())
-    write_raw(root, "small", T1 + HOUR, small())
-    write_raw(root, "small", T1 + 2 * HOUR, "not json")
+    write_raw(root, "small", MORNING, small())
+    write_raw(root, "small", MORNING + HOUR, small())
+    write_raw(root, "small", MORNING + 2 * HOUR, "not json")
     day = date(2024, 3, 2)
-    write_raw_past(root, "small", T1, day, day, past_response(day, product=SMALL))
+    write_raw_past(root, "small", MORNING, day, day, past_response(day, product=SMALL))
     ingest()
     assert polls_of(lake) == [True, False] and lake.quarantine().count() == 1
     ingest("previous_runs")
@@ -160,29 +159,29 @@ def test_streams_pick_up_new_files_once(spark, tmp_path, unit):
     assert (window.first, window.last, window.rows) == (day, day, 192)
     ingest()
     assert lake.polls().count() == 2
-    write_raw(root, "small", T1 + 3 * HOUR, small(2))
+    write_raw(root, "small", MORNING + 3 * HOUR, small(2))
     ingest()
     assert polls_of(lake) == [True, False, True]
-    write_raw(root, "small", T1 + HOUR / 2, small(7))
+    write_raw(root, "small", MORNING + HOUR / 2, small(7))
     ingest()
     assert polls_of(lake) == [True, True, True, True]
     known = snapshot(
-        lake.curated().drop("product", "posting"), utc(datetime(2026, 10, 1)),
-        utc(datetime(2026, 10, 2)), as_of=T1 + 2 * HOUR,
+        lake.curated().drop("product", "posting"), utc(datetime(2025, 6, 20)),
+        utc(datetime(2025, 6, 21)), as_of=MORNING + 2 * HOUR,
     )
     assert sorted(r.value for r in known.where("series = 't:B'").collect()) == [2.0, 2.01, 2.02]
     assert lake.raw_files().count() == 6
-    assert lake.raw_files([date(2026, 10, 1)]).where("kind = 'live'").count() == 5
-    assert lake.raw_files([date(2026, 10, 2)]).count() == 0
+    assert lake.raw_files([date(2025, 6, 20)]).where("kind = 'live'").count() == 5
+    assert lake.raw_files([date(2025, 6, 21)]).count() == 0
 
 
 def test_the_default_product_end_to_end(spark, tmp_path):
     lake = Lake(spark, tmp_path)
-    write_raw(tmp_path, P, T1, live_response())
+    write_raw(tmp_path, GFS_SEAMLESS.key, MORNING, live_response())
     curate_live(lake, [GFS_SEAMLESS], lake.raw_files().where("kind = 'live'"), "b0")
-    assert lake.curated([P]).count() == 432
+    assert lake.curated([GFS_SEAMLESS.key]).count() == 432
     poll = lake.polls().collect()[0]
-    assert poll.raw_key.endswith(f"raw/{P}/date=2026-10-01/fetched=20261001T060000Z.json.gz")
+    assert poll.raw_key.endswith(f"raw/{GFS_SEAMLESS.key}/date=2025-06-20/fetched=20250620T021000Z.json.gz")
 
 
 def test_landing_a_batch_twice_keeps_it_once(spark, tmp_path):
@@ -190,24 +189,24 @@ def test_landing_a_batch_twice_keeps_it_once(spark, tmp_path):
     polled = responses(spark, small(), small(1), product="small")
     lake.land_responses(polled, "l0")
     lake.land_responses(polled, "l0")
-    lake.land_responses(responses(spark, small(2), product="small", fetched=T1 + 5 * HOUR), "l1")
+    lake.land_responses(responses(spark, small(2), product="small", fetched=MORNING + 5 * HOUR), "l1")
     assert lake.responses().count() == 3
     curate_live(lake, [SMALL], lake.responses(), "b0")
     assert polls_of(lake) == [True, True, True]
 
 
 def test_manifests_kept_as_files_can_be_read(spark, tmp_path):
-    path = tmp_path / "manifests" / P
+    path = tmp_path / "manifests" / GFS_SEAMLESS.key
     path.mkdir(parents=True)
-    doc = {"product": P, "rows": 3, "last_posted_at": "2026-10-01T06:00:00Z", "new_field": 1}
+    doc = {"product": GFS_SEAMLESS.key, "rows": 3, "last_posted_at": "2025-06-20T02:10:00Z", "new_field": 1}
     (path / "latest.json").write_text(json.dumps(doc, indent=1))
     got = Lake(spark, tmp_path).manifests().collect()
-    assert [(r.product, r.rows) for r in got] == [(P, 3)]
+    assert [(r.product, r.rows) for r in got] == [(GFS_SEAMLESS.key, 3)]
 
 
 def test_changes_across_slices(spark):
     digests = "AABBBABBCA"
-    rows = [("p", T1 + i * HOUR, d) for i, d in enumerate(digests)]
+    rows = [("p", MORNING + i * HOUR, d) for i, d in enumerate(digests)]
     polls = spark.createDataFrame(rows, "product string, fetched_at timestamp, digest string")
     want = [i == 0 or digests[i] != digests[i - 1] for i in range(len(digests))]
     for seconds in (3600, 7200, 10**9):
@@ -216,7 +215,7 @@ def test_changes_across_slices(spark):
 
 
 def test_hourly_ages_as_a_stream(spark, tmp_path):
-    rows = [(T1 + timedelta(minutes=m), float(m)) for m in (1, 30, 61, 62, 300)]
+    rows = [(MORNING + timedelta(minutes=m), float(m)) for m in (1, 30, 61, 62, 300)]
     made = spark.createDataFrame(rows, "checked_at timestamp, age_minutes double")
     made.write.parquet(str(tmp_path / "checks"))
     stream = spark.readStream.schema(made.schema).parquet(str(tmp_path / "checks"))
@@ -231,13 +230,13 @@ def test_hourly_ages_as_a_stream(spark, tmp_path):
 
 def test_freshness_and_alarm(spark):
     posted = spark.createDataFrame(
-        [("a", T1), ("a", T1 - HOUR), ("b", T1 - 5 * HOUR)], "product string, posted_at timestamp"
+        [("a", MORNING), ("a", MORNING - HOUR), ("b", MORNING - 5 * HOUR)], "product string, posted_at timestamp"
     )
-    got = freshness(posted, T1 + HOUR, stale_after_min=240).orderBy("product").collect()
+    got = freshness(posted, MORNING + HOUR, stale_after_min=240).orderBy("product").collect()
     assert [(r.age_minutes, r.stale) for r in got] == [(60.0, False), (360.0, True)]
 
     made = [(0, 10.0), (1, 300.0), (1, 20.0), (2, 250.0), (3, 240.0), (6, 5.0)]
-    start = T1
+    start = MORNING
     checks = spark.createDataFrame(
         [(start + h * HOUR + timedelta(minutes=9), age) for h, age in made],
         "checked_at timestamp, age_minutes double",

@@ -3,7 +3,7 @@ import math
 from datetime import date, datetime
 
 import pytest
-from helpers import H0, P, SMALL, T1, live_response, past_response, responses
+from helpers import MORNING, SMALL, live_response, past_response, responses
 from pyspark.sql import functions as F
 
 from hindcast.contract import LIVE, PREVIOUS_RUNS
@@ -24,7 +24,7 @@ def test_a_good_response_becomes_zone_means(spark):
     values = run(spark, live_response())
     got = values.collect()[0]
     assert (got.problem, got.rows, got.dropped) == (None, 432, 0)
-    assert got.days == [date(2026, 10, 1)]
+    assert got.days == [date(2025, 6, 20)]
     rows = forecast_rows(values, LIVE)
     assert rows.count() == 432
     coast = rows.where("series = 'temperature_2m:Coast'").orderBy("interval_start").collect()
@@ -166,7 +166,7 @@ def test_previous_runs_become_vintages(spark):
 
 
 def test_vintages_from_the_future_are_refused(spark):
-    got = one(spark, past_response(date(2026, 10, 9)), kind=PREVIOUS_RUNS, fetched=T1)
+    got = one(spark, past_response(date(2025, 6, 28)), kind=PREVIOUS_RUNS, fetched=MORNING)
     assert got.problem == "valid hours would be posted after they were ingested"
 
 

@@ -9,18 +9,17 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from helpers import (
-    H0,
-    P,
+    AFTERNOON,
+    HILLS,
+    MORNING,
     SMALL,
-    T1,
-    T2,
-    catalog_doc,
+    VALID,
     forecast,
-    golden_rows,
     live_response,
     past_response,
     responses,
     row,
+    two_postings,
     write_catalog,
 )
 from pyspark.sql import functions as F
@@ -43,13 +42,13 @@ from hindcast.sources import storage
 from hindcast.sources.lake import Lake
 
 DAY = timedelta(days=1)
-MIDNIGHT = datetime(2026, 10, 1, tzinfo=UTC)
+MIDNIGHT = datetime(2025, 6, 20, tzinfo=UTC)
 LATER = datetime(2099, 1, 1, tzinfo=UTC)
-SERIES = "temperature_2m:Coast"
+SERIES = "temperature_2m:Bay"
 
 
 def write(lake, unit, rows):
-    df = forecast(lake.spark, rows).withColumn("product", F.lit(P))
+    df = forecast(lake.spark, rows).withColumn("product", F.lit(HILLS))
     lake.write_postings(
         df.withColumn("date", F.to_date("interval_start")).withColumn("posting", F.lit(unit))
     )
@@ -60,19 +59,19 @@ def lake(spark, tmp_path):
     """Two live postings and a backfilled one of the same day; four rows in three units."""
     lake = Lake(spark, tmp_path)
     hour = timedelta(hours=1)
-    write(lake, "part-20261001T060000Z", [row(H0, SERIES, 1, T1), row(H0 + hour, SERIES, 2, T1)])
-    write(lake, "part-20261001T090000Z", [row(H0, SERIES, 1.5, T2)])
-    past = T1 - DAY
+    write(lake, "part-20250620T021000Z", [row(VALID, SERIES, 1, MORNING), row(VALID + hour, SERIES, 2, MORNING)])
+    write(lake, "part-20250620T144000Z", [row(VALID, SERIES, 1.5, AFTERNOON)])
+    past = MORNING - DAY
     write(
         lake, "previous-runs",
-        [row(H0, SERIES, 0.5, past, ingested=T1, source="previous_runs")],
+        [row(VALID, SERIES, 0.5, past, ingested=MORNING, source="previous_runs")],
     )
     return lake
 
 
 def answers(lake):
-    rows = lake.curated([P]).drop("product", "posting")
-    moments = [T1 - 2 * DAY, T1 - timedelta(hours=1), T1, T2]
+    rows = lake.curated([HILLS]).drop("product", "posting")
+    moments = [MORNING - 2 * DAY, MORNING - timedelta(hours=1), MORNING, AFTERNOON]
     return [
         [tuple(r) for r in reads.snapshot(rows, MIDNIGHT, MIDNIGHT + DAY, as_of=at).collect()]
         for at in moments
@@ -80,7 +79,7 @@ def answers(lake):
 
 
 def bag(lake):
-    return sorted(tuple(r) for r in lake.curated([P]).drop("posting").collect())
+    return sorted(tuple(r) for r in lake.curated([HILLS]).drop("posting").collect())
 
 
 def units(lake):
@@ -120,10 +119,10 @@ def test_leftovers_of_a_dead_run_are_not_merged_twice(spark, lake):
     rows = bag(lake)
     compact(lake, now=LATER)
     hour = timedelta(hours=1)
-    write(lake, "part-20261001T060000Z", [row(H0, SERIES, 1, T1), row(H0 + hour, SERIES, 2, T1)])
-    fresh = row(H0, SERIES, 9, T2 + hour)
-    write(lake, "part-20261001T100000Z", [fresh])
-    late = row(H0, SERIES, 0.7, T1 - DAY, ingested=T1, source="previous_runs")
+    write(lake, "part-20250620T021000Z", [row(VALID, SERIES, 1, MORNING), row(VALID + hour, SERIES, 2, MORNING)])
+    fresh = row(VALID, SERIES, 9, AFTERNOON + hour)
+    write(lake, "part-20250620T154000Z", [fresh])
+    late = row(VALID, SERIES, 0.7, MORNING - DAY, ingested=MORNING, source="previous_runs")
     write(lake, "previous-runs", [late])
     done = compact(lake, now=LATER + DAY).by_product().collect()[0]
     assert (done.units_in, done.leftovers_removed, done.rows) == (4, 1, 6)
@@ -132,16 +131,16 @@ def test_leftovers_of_a_dead_run_are_not_merged_twice(spark, lake):
 
 def test_units_that_only_fit_one_by_one_are_all_kept(spark, lake):
     compact(lake, now=LATER)
-    twice = [row(H0, SERIES, 1.5, T2)]
-    write(lake, "part-20261001T090000Z", twice)
-    write(lake, "part-20261001T090001Z", twice)
+    twice = [row(VALID, SERIES, 1.5, AFTERNOON)]
+    write(lake, "part-20250620T144000Z", twice)
+    write(lake, "part-20250620T144001Z", twice)
     done = compact(lake, now=LATER + DAY).by_product().collect()[0]
     assert (done.leftovers_removed, done.rows) == (0, 6)
 
 
 def test_copies_inside_a_posting_survive(spark, lake):
-    copies = [row(H0, SERIES, 4, T2 + DAY)] * 5
-    write(lake, "part-20261002T090000Z", copies)
+    copies = [row(VALID, SERIES, 4, AFTERNOON + DAY)] * 5
+    write(lake, "part-20250621T144000Z", copies)
     rows = bag(lake)
     compact(lake, now=LATER, target_bytes=500)
     assert bag(lake) == rows
@@ -149,13 +148,13 @@ def test_copies_inside_a_posting_survive(spark, lake):
 
 def test_a_run_is_bounded_and_the_next_goes_on(spark, lake):
     for day in (1, 2):
-        at = H0 + day * DAY
-        write(lake, "part-20261001T060000Z", [row(at, SERIES, day, T1)])
-        write(lake, "part-20261001T090000Z", [row(at, SERIES, day, T2)])
+        at = VALID + day * DAY
+        write(lake, "part-20250620T021000Z", [row(at, SERIES, day, MORNING)])
+        write(lake, "part-20250620T144000Z", [row(at, SERIES, day, AFTERNOON)])
     first = compact(lake, now=LATER, max_partitions=2)
     assert first.stopped
     assert [r.date for r in first.partitions.orderBy("date").collect()] == [
-        date(2026, 10, 1), date(2026, 10, 2),
+        date(2025, 6, 20), date(2025, 6, 21),
     ]
     second = compact(lake, now=LATER + DAY, max_partitions=2)
     assert not second.stopped and second.partitions.count() == 1
@@ -178,16 +177,16 @@ def test_partitions_off_the_contract_are_skipped(spark, lake, how):
             return table.remove_column(at)
         return table.set_column(at, "value", pa.array([None] * table.num_rows, pa.float64()))
 
-    _replace_file(lake, "part-20261001T090000Z", change)
+    _replace_file(lake, "part-20250620T144000Z", change)
     if how == "null without statistics":
-        path = next(Path(lake.root).rglob("posting=part-20261001T090000Z/*.parquet"))
+        path = next(Path(lake.root).rglob("posting=part-20250620T144000Z/*.parquet"))
         pq.write_table(pq.read_table(path, partitioning=None), path, write_statistics=False)
-    other = H0 + DAY
-    write(lake, "part-20261001T060000Z", [row(other, SERIES, 1, T1)])
-    write(lake, "part-20261001T090000Z", [row(other, SERIES, 2, T2)])
+    other = VALID + DAY
+    write(lake, "part-20250620T021000Z", [row(other, SERIES, 1, MORNING)])
+    write(lake, "part-20250620T144000Z", [row(other, SERIES, 2, AFTERNOON)])
     done = compact(lake, now=LATER).by_product().collect()[0]
-    assert (done.partitions_merged, done.skipped) == (1, [date(2026, 10, 1)])
-    left = lake.curated_files().where("date = DATE'2026-10-01'").select("posting").distinct()
+    assert (done.partitions_merged, done.skipped) == (1, [date(2025, 6, 20)])
+    left = lake.curated_files().where("date = DATE'2025-06-20'").select("posting").distinct()
     assert left.count() == 3
 
 
@@ -200,7 +199,7 @@ def test_a_nullable_flag_is_no_difference(spark, lake):
          pa.field("source", pa.string(), False), pa.field("schema_version", pa.int32(), False),
          pa.field("series", pa.string(), False), pa.field("value", pa.float64(), False)]
     )
-    _replace_file(lake, "part-20261001T090000Z", lambda t: t.cast(strict))
+    _replace_file(lake, "part-20250620T144000Z", lambda t: t.cast(strict))
     done = compact(lake, now=LATER).by_product().collect()[0]
     assert (done.partitions_merged, done.skipped) == (1, [])
 
@@ -225,13 +224,13 @@ def test_a_sound_lake_verifies(spark, lake):
 
 def test_broken_rules_are_counted(spark, lake):
     write_catalog(lake.root)
-    rows = [row(H0, f"odd{i}:Coast", 1, T1) for i in range(7)]
-    rows += [row(H0, SERIES, 1, T1 + DAY, ingested=T1), row(H0, SERIES, 1, T2, version=9)]
-    rows += [row(H0, SERIES, 1, T1, source="previous_runs")]
-    write(lake, "part-20261003T000000Z", rows)
+    rows = [row(VALID, f"odd{i}:Bay", 1, MORNING) for i in range(7)]
+    rows += [row(VALID, SERIES, 1, MORNING + DAY, ingested=MORNING), row(VALID, SERIES, 1, AFTERNOON, version=9)]
+    rows += [row(VALID, SERIES, 1, MORNING, source="previous_runs")]
+    write(lake, "part-20250622T000000Z", rows)
     found = report_of(lake)
     assert found["series_not_in_catalog"] == (
-        7, "odd0:Coast, odd1:Coast, odd2:Coast, odd3:Coast, odd4:Coast"
+        7, "odd0:Bay, odd1:Bay, odd2:Bay, odd3:Bay, odd4:Bay"
     )
     assert found["posted_after_ingested"][0] == 1
     assert found["unknown_schema_version"] == (1, "9")
@@ -248,29 +247,29 @@ def test_missing_files_and_columns_stop_a_product(spark, tmp_path):
     lake = Lake(spark, tmp_path)
     write_catalog(tmp_path)
     assert report_of(lake) == {"no_curated_files": (1, None), "missing_columns": (0, None)}
-    write(lake, "part-20261001T060000Z", golden_rows()[:1])
-    _replace_file(lake, "part-20261001T060000Z", lambda t: t.drop_columns(["value", "source"]))
+    write(lake, "part-20250620T021000Z", two_postings()[:1])
+    _replace_file(lake, "part-20250620T021000Z", lambda t: t.drop_columns(["value", "source"]))
     found = report_of(lake)
     assert found["missing_columns"] == (2, "source, value") and "rows" not in found
 
 
 def test_null_rows_are_counted(spark):
-    rows = forecast(spark, golden_rows()).withColumns(
-        {"product": F.lit(P), "value": F.when(F.col("value") > 25, F.col("value"))}
+    rows = forecast(spark, two_postings()).withColumns(
+        {"product": F.lit(HILLS), "value": F.when(F.col("value") > 9.5, F.col("value"))}
     )
-    expected = spark.createDataFrame([(P, SERIES)], "product string, series string")
+    expected = spark.createDataFrame([(HILLS, SERIES)], "product string, series string")
     got = {r.check: r.n for r in checks.verify(rows, expected).collect()}
-    assert got["null_in_required_column"] == 2 and got["series_not_in_catalog"] == 1
+    assert got["null_in_required_column"] == 3 and got["series_not_in_catalog"] == 2
 
 
 def test_catalog_is_published_only_when_it_changes(spark, tmp_path):
     root = str(tmp_path)
-    assert catalogs.publish_catalog(spark, root, [GFS_SEAMLESS], T1)
+    assert catalogs.publish_catalog(spark, root, [GFS_SEAMLESS], MORNING)
     first = Path(catalogs.catalog_path(root)).read_text()
-    assert not catalogs.publish_catalog(spark, root, [GFS_SEAMLESS], T2)
+    assert not catalogs.publish_catalog(spark, root, [GFS_SEAMLESS], AFTERNOON)
     assert Path(catalogs.catalog_path(root)).read_text() == first
     doc = json.loads(first)
-    entry = doc["products"][P]
+    entry = doc["products"][GFS_SEAMLESS.key]
     assert entry["variables"]["shortwave_radiation"] == "W/m²" and entry["live"] is True
     assert len(entry["zones"]["Coast"]) == 3 and doc["business_key"] == ["interval_start", "series"]
     catalog = catalogs.load_catalog(spark, root)
@@ -282,16 +281,13 @@ def test_catalog_is_published_only_when_it_changes(spark, tmp_path):
 
 def test_a_vanished_product_stays_but_is_not_live(spark, tmp_path):
     root = str(tmp_path)
-    doc = catalog_doc()
-    doc["products"] = {"old-model": doc["products"][P]}
-    path = Path(catalogs.catalog_path(root))
-    path.parent.mkdir(parents=True)
-    path.write_text(json.dumps(doc))
-    assert catalogs.publish_catalog(spark, root, [GFS_SEAMLESS], T2)
+    write_catalog(root, "old-model")
+    before = json.loads(Path(catalogs.catalog_path(root)).read_text())["products"]["old-model"]
+    assert catalogs.publish_catalog(spark, root, [GFS_SEAMLESS], AFTERNOON)
     products = catalogs.load_catalog(spark, root).products
-    assert {k: v["live"] for k, v in products.items()} == {"old-model": False, P: True}
-    assert products["old-model"]["variables"] == doc["products"]["old-model"]["variables"]
-    assert not catalogs.publish_catalog(spark, root, [GFS_SEAMLESS], T2)
+    assert {k: v["live"] for k, v in products.items()} == {"old-model": False, GFS_SEAMLESS.key: True}
+    assert products["old-model"]["variables"] == before["variables"]
+    assert not catalogs.publish_catalog(spark, root, [GFS_SEAMLESS], AFTERNOON)
 
 
 def test_windows_cover_a_range_without_overlap(spark):
@@ -308,7 +304,7 @@ def test_coverage_and_gaps(spark):
     shape = "product string, first date, last date, fetched_at timestamp, rows long, dropped long"
     d = lambda n: date(2024, 1, n)
     windows = spark.createDataFrame(
-        [("p", d(1), d(3), T1, 5, 0), ("p", d(1), d(3), T2, 6, 1), ("p", d(6), d(7), T1, 1, 0)],
+        [("p", d(1), d(3), MORNING, 5, 0), ("p", d(1), d(3), AFTERNOON, 6, 1), ("p", d(6), d(7), MORNING, 1, 0)],
         shape,
     )
     newest = latest_windows(windows).orderBy("first").collect()
@@ -320,20 +316,20 @@ def test_coverage_and_gaps(spark):
 
 def test_backfill_requests_are_checked(spark, tmp_path):
     lake, d = Lake(spark, tmp_path), lambda n: date(2024, 1, n)
-    got = report.backfill_windows(lake, GFS_SEAMLESS, d(1), d(31), now=T1)
+    got = report.backfill_windows(lake, GFS_SEAMLESS, d(1), d(31), now=MORNING)
     assert [r.first.day for r in got.orderBy("first").collect()] == [1, 15, 29]
     for first, last, now in (
-        (date(2023, 12, 31), d(2), T1), (d(3), d(2), T1), (d(1), date(2026, 10, 2), T1),
+        (date(2023, 12, 31), d(2), MORNING), (d(3), d(2), MORNING), (d(1), date(2025, 6, 21), MORNING),
     ):
         with pytest.raises(ValueError, match="2"):
             report.backfill_windows(lake, GFS_SEAMLESS, first, last, now=now)
     with pytest.raises(ValueError, match="no backfill"):
-        report.backfill_windows(lake, replace(GFS_SEAMLESS, backfill=None), d(1), d(2), now=T1)
+        report.backfill_windows(lake, replace(GFS_SEAMLESS, backfill=None), d(1), d(2), now=MORNING)
 
 
 def test_manifests_and_freshness_of_a_lake(spark, tmp_path):
     lake = Lake(spark, tmp_path)
-    assert report.freshness_report(lake, [SMALL], T1).collect()[0].stale
+    assert report.freshness_report(lake, [SMALL], MORNING).collect()[0].stale
     body = live_response(hours=2, product=SMALL)
     curate_live(lake, [SMALL], responses(spark, body, body, product="small"), "b0")
     day = date(2024, 3, 2)
@@ -342,14 +338,14 @@ def test_manifests_and_freshness_of_a_lake(spark, tmp_path):
         first=day, last=day,
     )
     curate_previous_runs(lake, [SMALL], past, "b0")
-    got = report.freshness_report(lake, [SMALL], T1 + timedelta(hours=5)).collect()[0]
+    got = report.freshness_report(lake, [SMALL], MORNING + timedelta(hours=5)).collect()[0]
     assert (got.age_minutes, got.stale) == (300.0, True)
     report.publish_manifests(lake, [SMALL])
     folder = Path(lake.root, "manifests", "small")
     latest = json.loads((folder / "latest.json").read_text())
-    assert latest["last_posted_at"] == "2026-10-01T06:00:00Z"
-    assert latest["last_checked_at"] == "2026-10-01T07:00:00Z"
-    assert (latest["rows"], latest["model"], latest["partitions"]) == (8, "m", ["2026-10-01"])
+    assert latest["last_posted_at"] == "2025-06-20T02:10:00Z"
+    assert latest["last_checked_at"] == "2025-06-20T03:10:00Z"
+    assert (latest["rows"], latest["model"], latest["partitions"]) == (8, "m", ["2025-06-20"])
     covered = json.loads((folder / "previous_runs.json").read_text())["windows"]
     assert covered["2024-03-02_2024-03-02"]["rows"] == 192
     assert lake.manifests().collect()[0].content_hash == latest["content_hash"]
