@@ -19,3 +19,15 @@ class UnknownProductError(LakeError):
 
 class UnsupportedSchemaVersionError(LakeError):
     """The product, or a row, is at a schema version this package does not read."""
+
+
+class BatchMixUpError(LakeError):
+    """A batch of this name is logged already, with other responses."""
+
+
+class MissingBodyError(LakeError):
+    """A poll has to be published now, but its response is nowhere to be read again."""
+
+
+class QuarantinedError(LakeError):
+    """Responses of a run were not as declared; the others are published."""

@@ -25,6 +25,8 @@ def instant(ts: datetime) -> Column:
 
 
 def micros(ts: datetime) -> int:
+    if ts.tzinfo is None or ts.utcoffset() is None:
+        raise ValueError(f"a stamp must be timezone-aware, got {ts!r}")
     whole = int(ts.replace(microsecond=0).timestamp())
     return whole * 1_000_000 + ts.microsecond
 

@@ -82,16 +82,18 @@ def freshness(
 def alarm_hours(
     checks: DataFrame, start: datetime, end: datetime, *, threshold_min: float
 ) -> DataFrame:
-    """Per hour of ``[start, end)``: the greatest age checked, whether the hour breaches, and
-    whether it and the hour before both do. An hour without a check breaches."""
+    """Per hour that ``[start, end)`` touches: the greatest age checked, whether the hour breaches,
+    and whether it and the hour before both do. An hour without a check breaches. The hour before
+    the first is looked at too, from checks of the whole hour."""
     hour = F.make_dt_interval(hours=F.lit(1))
+    first = F.date_trunc("hour", instant(start))
     hours = checks.sparkSession.range(1).select(
-        F.explode(F.sequence(instant(start), instant(end) - hour, hour)).alias("hour")
+        F.explode(
+            F.sequence(first - hour, instant(end) - F.expr("INTERVAL 1 MICROSECOND"), hour)
+        ).alias("hour")
     )
     worst = (
-        checks.where(
-            (F.col("checked_at") >= instant(start)) & (F.col("checked_at") < instant(end))
-        )
+        checks.where((F.col("checked_at") >= first - hour) & (F.col("checked_at") < instant(end)))
         .groupBy(F.date_trunc("hour", "checked_at").alias("hour"))
         .agg(F.max("age_minutes").alias("max_age_minutes"))
     )
@@ -99,11 +101,10 @@ def alarm_hours(
     breaches = hours.join(worst, "hour", "left").withColumn(
         "breach", F.coalesce(over, F.lit(True))
     )
-    before = breaches.select(
-        (F.col("hour") + hour).alias("hour"), F.col("breach").alias("_before")
-    )
+    before = breaches.select((F.col("hour") + hour).alias("hour"), F.col("breach").alias("_before"))
     return (
-        breaches.join(before, "hour", "left")
-        .withColumn("alarm", F.col("breach") & F.coalesce("_before", F.lit(False)))
+        breaches.where(F.col("hour") >= first)
+        .join(before, "hour")
+        .withColumn("alarm", F.col("breach") & F.col("_before"))
         .drop("_before")
     )

@@ -9,7 +9,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hindcast.contract import SCHEMA_VERSION
+from hindcast.contract import LIVE, PREVIOUS_RUNS, SCHEMA_VERSION
+from hindcast.errors import QuarantinedError
 from hindcast.functions.columns import instant
 from hindcast.operators.calendar import latest_windows, window_plan
 from hindcast.operators.changes import freshness, latest_manifest, one_per_poll
@@ -47,6 +48,57 @@ def manifests(lake: Lake, products: Sequence[Product]) -> DataFrame:
     )
 
 
+def batch_summary(lake: Lake, batch: str) -> DataFrame:
+    """What a batch did, per product and kind: ``responses``, ``postings`` (new ones, those it
+    revived included), ``unchanged`` (polls that brought nothing new), ``rows``, ``dropped``,
+    ``days``, ``quarantined``. Read from the logs, so it can be asked at any time."""
+    polls = lake.polls().where(F.col("batch").isin(batch, f"{batch}-revived"))
+    new = F.col("new_posting")
+    own = F.col("batch") == batch
+    live = polls.groupBy("product", F.lit(LIVE).alias("kind")).agg(
+        F.count_if(own).alias("responses"),
+        F.count_if(new).alias("postings"),
+        F.count_if(~new).alias("unchanged"),
+        F.sum(F.when(new, F.col("rows")).otherwise(0)).alias("rows"),
+        F.sum(F.when(new, F.col("dropped")).otherwise(0)).alias("dropped"),
+        F.collect_set(F.when(new, F.col("partitions"))).alias("_days"),
+    )
+    windows = lake.windows().where(own)
+    past = windows.groupBy("product", F.lit(PREVIOUS_RUNS).alias("kind")).agg(
+        F.count("*").alias("responses"),
+        F.lit(0).cast("long").alias("postings"),
+        F.lit(0).cast("long").alias("unchanged"),
+        F.sum("rows").alias("rows"),
+        F.sum("dropped").alias("dropped"),
+        F.collect_set("days").alias("_days"),
+    )
+    done = live.unionByName(past)
+    done = done.withColumn("days", F.size(F.array_distinct(F.flatten("_days")))).drop("_days")
+    bad = quarantined(lake, batch).groupBy("product", "kind").agg(F.count("*").alias("quarantined"))
+    both = done.join(bad, ["product", "kind"], "full")
+    numbers = ("responses", "postings", "unchanged", "rows", "dropped", "days", "quarantined")
+    return both.select(
+        "product", "kind", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers]
+    )
+
+
+def quarantined(lake: Lake, batch: str | None = None) -> DataFrame:
+    """Responses refused and why, of one batch or of all."""
+    found = lake.quarantine()
+    if batch is not None:
+        found = found.where(F.col("batch").isin(f"{batch}-{LIVE}", f"{batch}-{PREVIOUS_RUNS}"))
+    return found.drop("batch")
+
+
+def raise_if_quarantined(bad: DataFrame, shown: int = 20) -> None:
+    """Fail a run that refused responses, after everything else of it is done."""
+    rows = bad.orderBy("product", "fetched_at", "problem").limit(shown + 1).collect()
+    if rows:
+        causes = "; ".join(f"{r.product} {r.raw_key}: {r.problem}" for r in rows[:shown])
+        more = " and more" if len(rows) > shown else ""
+        raise QuarantinedError(f"responses not as declared: {causes}{more}")
+
+
 def coverage(lake: Lake) -> DataFrame:
     """The newest fetch of each backfilled window."""
     return latest_windows(lake.windows())

@@ -35,7 +35,7 @@ LANDED = (
 POLLS = (
     "product string, fetched_at timestamp, new_posting boolean, digest string, rows long, "
     "dropped long, valid_from timestamp, valid_to timestamp, partitions array<date>, "
-    "raw_key string, batch string"
+    "raw_key string, date date, batch string"
 )
 WINDOWS = (
     "product string, first date, last date, fetched_at timestamp, rows long, dropped long, "
@@ -198,17 +198,26 @@ class Lake:
         return name_parts(reduce(DataFrame.unionByName, files))
 
     def land_responses(self, responses: DataFrame, batch: str) -> None:
-        """Keep bodies before anything parses them; landing the same batch again replaces it.
+        """Keep bodies before anything parses them. Nothing landed is ever replaced: landing a
+        batch again adds only what is not there yet.
 
-        Nothing is shuffled: a batch should come in as many tasks as it is worth files a day.
+        Nothing is shuffled for a new batch: it should come in as many tasks as it is worth files
+        a day.
         """
-        self._append(
-            responses.select(
-                "product", "kind", "fetched_at", "first", "last", "body",
-                F.to_date("fetched_at").alias("date"),
-            ),
-            "responses", batch, "kind", "date",
-        )
+        rows = responses.select(
+            "product", "kind", "fetched_at", "first", "last", "body",
+            F.to_date("fetched_at").alias("date"), F.lit(batch).alias("batch"),
+        )
+        there = self._table("responses", LANDED).where(F.col("batch") == batch)
+        if not there.isEmpty():
+            same = [rows[c].eqNullSafe(there[c]) for c in ("product", "kind", "fetched_at", "body")]
+            rows = rows.join(there, reduce(Column.__and__, same), "left_anti")
+        parts = ("kind", "date", "batch")
+        rows.write.mode("append").partitionBy(*parts).parquet(self.path("responses"))
+
+    def kept_responses(self, days: Sequence[date]) -> DataFrame:
+        """Bodies fetched on some days, landed or kept as files."""
+        return self.responses(days).unionByName(self.raw_files(days))
 
     def responses(self, days: Sequence[date] | None = None) -> DataFrame:
         """Landed bodies, in the shape of :meth:`raw_files`."""
@@ -217,8 +226,17 @@ class Lake:
 
     # -- logs ------------------------------------------------------------------------------
 
-    def polls(self) -> DataFrame:
-        return self._table("polls", POLLS)
+    def polls(self, first: date | None = None, last: date | None = None) -> DataFrame:
+        """Polls logged, of some days of fetching only if these are given."""
+        found = self._table("polls", POLLS)
+        if first is not None:
+            found = found.where(F.col("date") >= F.lit(first))
+        return found if last is None else found.where(F.col("date") <= F.lit(last))
+
+    def has_polls_before(self, day: date) -> bool:
+        """From the names of the log's folders."""
+        names = storage.children(self.spark, self.path("polls"))
+        return any(name.startswith("date=") and name < f"date={day}" for name in names)
 
     def windows(self) -> DataFrame:
         return self._table("windows", WINDOWS)
@@ -227,17 +245,26 @@ class Lake:
         return self._table("quarantine", QUARANTINE)
 
     def log_polls(self, polls: DataFrame, batch: str) -> None:
-        self._append(polls, "polls", batch, "product")
+        self._append(polls.withColumn("date", F.to_date("fetched_at")), "polls", batch, "date")
 
     def log_windows(self, windows: DataFrame, batch: str) -> None:
         self._append(windows, "windows", batch, "product")
 
     def log_quarantine(self, rows: DataFrame, batch: str) -> None:
-        self._append(rows, "quarantine", batch)
+        """A batch repeated without bad responses leaves none of its earlier ones behind."""
+        if rows.isEmpty():
+            folder = self.path("quarantine", f"batch={batch}")
+            storage.delete_below(self.spark, folder, guard=self.path("quarantine"))
+        else:
+            self._append(rows, "quarantine", batch)
 
     def manifests(self) -> DataFrame:
         """``manifests/<product>/latest.json`` of a lake that keeps them as files."""
-        files = self.path("manifests", "*", "latest.json")
+        base = self.path("manifests")
+        files = [f"{base}/{name}/latest.json" for name in storage.children(self.spark, base)]
+        files = [file for file in files if storage.exists(self.spark, file)]
+        if not files:
+            return empty(self.spark, T.StructType.fromDDL(MANIFEST))
         return self.spark.read.schema(MANIFEST).json(files, multiLine=True)
 
     def _append(self, rows: DataFrame, table: str, batch: str, *partitions: str) -> None:

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hourly_ages(checks: DataFrame, *, lateness: str = "1 hour") -> DataFrame:
+def hourly_ages(checks: DataFrame) -> DataFrame:
     """Greatest age checked per hour, from a stream or table of ``(checked_at, age_minutes)``.
 
-    On a stream an hour is final once the watermark has passed it. Hours without any check are
-    found afterwards, against the calendar, by ``alarm_hours``.
+    On a stream it is written in update mode: an hour is given again whenever a check of it comes
+    in, however late. The state is one row per hour, so there is no need for a watermark, which
+    would drop late checks for good. Hours without any check are found afterwards, against the
+    calendar, by ``alarm_hours``.
     """
     return (
-        checks.withWatermark("checked_at", lateness)
-        .groupBy(F.window("checked_at", "1 hour").alias("w"))
+        checks.groupBy(F.window("checked_at", "1 hour").alias("w"))
         .agg(F.max("age_minutes").alias("max_age_minutes"))
         .select(F.col("w.start").alias("hour"), "max_age_minutes")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hindcast.contract import LIVE, PREVIOUS_RUNS
 from hindcast.plans.curate import curate_live, curate_previous_runs
+from hindcast.plans.report import raise_if_quarantined
 from hindcast.settings import Product
+from hindcast.sources import storage
 from hindcast.sources.lake import LANDED, Lake, name_parts, with_raw_key
 
 FILE_NAMES = {LIVE: "fetched=*.json*", PREVIOUS_RUNS: "previous-runs-*.json*"}
@@ -30,9 +33,12 @@ def ingest_stream(
 
     They are read from the raw files, or with ``landed`` from the table of landed responses.
     A batch writes under its own id and replaces what an earlier attempt at it wrote, so a
-    replay after a failure changes nothing. Responses that are not as declared go to the
-    quarantine and do not hold up the rest. Polls may arrive in any order.
+    replay after a failure changes nothing. The id names the stream, by a mark kept with its
+    checkpoint, so several streams may feed a lake and a lost checkpoint starts a new one.
+    Responses that are not as declared go to the quarantine and do not hold up the rest;
+    :func:`ingest` says so in the end. Polls may arrive in any order.
     """
+    stream = _stream_name(lake, checkpoint, kind)
     reader = lake.spark.readStream.option("maxFilesPerTrigger", max_files_per_batch)
     if landed:
         arrived = reader.schema(LANDED).parquet(lake.path("responses"))
@@ -47,12 +53,11 @@ def ingest_stream(
 
     def curate(rows: DataFrame, batch_id: int) -> None:
         responses = with_raw_key(rows) if landed else name_parts(rows)
-        batch = f"{kind}-{batch_id}"
+        batch = f"{stream}-{batch_id}"
         if kind == PREVIOUS_RUNS:
             curate_previous_runs(lake, products, responses, batch)
         else:
-            kept = lake.responses if landed else lake.raw_files
-            curate_live(lake, products, responses, batch, kept=kept, unit=unit)
+            curate_live(lake, products, responses, batch, unit=unit)
 
     return (
         arrived.writeStream.queryName(f"ingest-{kind}")
@@ -61,3 +66,32 @@ def ingest_stream(
         .foreachBatch(curate)
         .start()
     )
+
+
+def ingest(lake: Lake, products: Sequence[Product], checkpoint: str, **how) -> DataFrame:
+    """Run :func:`ingest_stream` to its end and return what it has done so far, batch by batch.
+
+    If responses were quarantined in this run, it fails with all their causes, after the others
+    have been published.
+    """
+    before = lake.quarantine().select("batch").distinct().collect()
+    query = ingest_stream(lake, products, checkpoint, **how)
+    query.awaitTermination()
+    known = [r.batch for r in before]
+    raise_if_quarantined(lake.quarantine().where(~F.col("batch").isin(known)))
+    stream = _stream_name(lake, checkpoint, how.get("kind", LIVE))
+    mine = F.col("batch").startswith(f"{stream}-")
+    return lake.polls().where(mine).groupBy("product", "batch").agg(
+        F.count("*").alias("polls"),
+        F.count_if("new_posting").alias("postings"),
+        F.sum("rows").alias("rows"),
+        F.sum("dropped").alias("dropped"),
+    )
+
+
+def _stream_name(lake: Lake, checkpoint: str, kind: str) -> str:
+    """A name as old as the checkpoint."""
+    mark = f"{checkpoint.rstrip('/')}/stream-name"
+    if not storage.exists(lake.spark, mark):
+        storage.write_text(lake.spark, mark, f"{kind}-{uuid.uuid4().hex[:12]}")
+    return storage.read_text(lake.spark, mark)

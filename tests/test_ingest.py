@@ -14,6 +14,7 @@ from helpers import (
 )
 from pyspark.sql import functions as F
 
+from hindcast.errors import BatchMixUpError, MissingBodyError, QuarantinedError
 from hindcast.operators.changes import (
     alarm_hours,
     freshness,
@@ -26,7 +27,7 @@ from hindcast.plans.curate import curate_live, curate_previous_runs
 from hindcast.settings import GFS_SEAMLESS
 from hindcast.sources.lake import Lake
 from hindcast.streaming.freshness import hourly_ages
-from hindcast.streaming.ingest import ingest_stream
+from hindcast.streaming.ingest import ingest, ingest_stream
 
 HOUR = timedelta(hours=1)
 
@@ -82,17 +83,96 @@ def test_a_late_poll_is_fitted_in_by_time(spark, tmp_path):
         "date", F.to_date("fetched_at")
     )
     on_time, late = all_polls.where("raw_key <> 'raw/1'"), all_polls.where("raw_key = 'raw/1'")
-    kept = lambda days: all_polls.where(F.col("date").isin(days))
-    curate_live(lake, [SMALL], on_time, "b0", kept=kept)
+    curate_live(lake, [SMALL], on_time, "b0")
     assert polls_of(lake) == [True, False]
-    curate_live(lake, [SMALL], late, "b1", kept=kept)
+    before = stored(lake)
+    with pytest.raises(MissingBodyError, match="small"):
+        curate_live(lake, [SMALL], late, "b1")
+    assert polls_of(lake) == [True, False]
+    lake.land_responses(on_time, "landed")
+    done = {r.product: r for r in curate_live(lake, [SMALL], late, "b1").collect()}["small"]
+    assert (done.responses, done.postings, done.rows) == (1, 2, 24) and stored(lake) > before
     assert polls_of(lake) == [True, True, True]
+    curate_live(lake, [SMALL], late, "b1")
+    assert polls_of(lake) == [True, True, True] and lake.curated().count() == 36
 
     straight = Lake(spark, tmp_path / "straight")
     curate_live(straight, [SMALL], all_polls, "b0")
     assert stored(lake) == stored(straight)
 
 
+def test_a_batch_name_is_not_used_for_other_responses(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    polled = responses(spark, small(), small(1), product="small")
+    curate_live(lake, [SMALL], polled.where("raw_key = 'raw/0'"), "b0")
+    with pytest.raises(BatchMixUpError):
+        curate_live(lake, [SMALL], polled.where("raw_key = 'raw/1'"), "b0")
+    assert polls_of(lake) == [True] and lake.curated().count() == 12
+
+
+def test_two_streams_keep_out_of_each_others_way(spark, tmp_path):
+    lake = Lake(spark, tmp_path / "lake")
+    write_raw(tmp_path / "lake", "small", MORNING, small())
+    for where in ("one", "two"):
+        ingest(lake, [SMALL], str(tmp_path / where), unit="batch")
+    assert lake.curated().count() == 24 and len(stored(lake)) == 12
+    lake.land_responses(responses(spark, small(3), product="small", fetched=MORNING + HOUR), "l")
+    did = ingest(lake, [SMALL], str(tmp_path / "three"), unit="batch", landed=True)
+    assert [(r.polls, r.postings, r.rows) for r in did.collect()] == [(1, 1, 12)]
+    assert polls_of(lake) == [True, True] and len(stored(lake)) == 24
+
+
+def test_a_run_with_refused_responses_fails_in_the_end(spark, tmp_path):
+    lake = Lake(spark, tmp_path / "lake")
+    write_raw(tmp_path / "lake", "small", MORNING, "not json")
+    write_raw(tmp_path / "lake", "small", MORNING + HOUR, small())
+    with pytest.raises(QuarantinedError, match="small .*fetched="):
+        ingest(lake, [SMALL], str(tmp_path / "progress"))
+    assert polls_of(lake) == [True] and lake.curated().count() == 12
+    ingest(lake, [SMALL], str(tmp_path / "progress"))
+
+
+def test_landed_bodies_are_never_replaced(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    first = responses(spark, small(), small(1), product="small")
+    lake.land_responses(first, "l0")
+    lake.land_responses(first, "l0")
+    assert lake.responses().count() == 2
+    lake.land_responses(responses(spark, small(2), product="small"), "l0")
+    assert lake.responses().count() == 3
+
+
+def test_an_older_fetch_does_not_replace_a_newer_one(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    day = date(2024, 3, 2)
+
+    def past(at, hole):
+        body = past_response(day, product=SMALL)
+        if hole:
+            body[2]["hourly"]["t_previous_day2"][5] = None
+        return responses(
+            spark, body, product="small", kind="previous_runs", fetched=at, first=day, last=day
+        )
+
+    curate_previous_runs(lake, [SMALL], past(MORNING + HOUR, False), "b0")
+    whole = stored(lake)
+    done = curate_previous_runs(lake, [SMALL], past(MORNING, True), "b1").collect()[0]
+    assert stored(lake) == whole and (done.responses, done.days) == (1, 1)
+    assert lake.windows().count() == 2
+    curate_previous_runs(lake, [SMALL], past(MORNING + 2 * HOUR, True), "b2")
+    assert lake.curated().count() == len(whole) - 1
+
+
+def test_the_log_is_read_from_the_batch_on(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    for k in range(3):
+        polled = responses(spark, small(k), product="small", fetched=MORNING + 30 * k * 24 * HOUR)
+        curate_live(lake, [SMALL], polled, f"b{k}")
+    assert polls_of(lake) == [True, True, True]
+    plan = lake.polls(date(2025, 7, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
 def test_a_response_landed_twice_is_published_once(spark, tmp_path):
     lake = Lake(spark, tmp_path)
     polled = responses(spark, small(), small(1), product="small")
@@ -220,12 +300,12 @@ def test_hourly_ages_as_a_stream(spark, tmp_path):
     made.write.parquet(str(tmp_path / "checks"))
     stream = spark.readStream.schema(made.schema).parquet(str(tmp_path / "checks"))
     query = (
-        hourly_ages(stream).writeStream.format("memory").queryName("ages").outputMode("append")
+        hourly_ages(stream).writeStream.format("memory").queryName("ages").outputMode("update")
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
     got = [r.max_age_minutes for r in spark.table("ages").orderBy("hour").collect()]
-    assert got == [30.0, 62.0]
+    assert got == [30.0, 62.0, 300.0]
 
 
 def test_freshness_and_alarm(spark):
@@ -236,7 +316,7 @@ def test_freshness_and_alarm(spark):
     assert [(r.age_minutes, r.stale) for r in got] == [(60.0, False), (360.0, True)]
 
     made = [(0, 10.0), (1, 300.0), (1, 20.0), (2, 250.0), (3, 240.0), (6, 5.0)]
-    start = MORNING
+    start = MORNING.replace(minute=0)
     checks = spark.createDataFrame(
         [(start + h * HOUR + timedelta(minutes=9), age) for h, age in made],
         "checked_at timestamp, age_minutes double",
