@@ -25,11 +25,17 @@ from hindcast.operators.changes import latest_manifest as manifest_of
 from hindcast.operators.changes import mark_changes
 from hindcast.operators.reads import snapshot
 from hindcast.operators.responses import forecast_rows, trim, zone_values
+from hindcast.plans import report
 from hindcast.plans.curate import curate_live, curate_previous_runs
+from hindcast.plans.report import quarantined
 from hindcast.session import shared_folder
 from hindcast.settings import Backfill, layouts
+from hindcast.sources import storage
 from hindcast.sources.lake import Lake
-from hindcast.streaming.ingest import ingest_stream
+from hindcast.streaming.ingest import ingest, ingest_stream
+
+
+STALE_AFTER = products()[0].stale_after_min
 
 
 def _values(spark, responses, specs=None):
@@ -75,6 +81,14 @@ def response_summary(spark, sf):
     )
 
 
+SUMMARY_PARTS = f"""{DAILY_SQL},
+kept AS (SELECT product, fetched_at, interval_start, variable, zone, avg(value) AS value FROM zoned
+         GROUP BY product, fetched_at, interval_start, variable, zone HAVING count(*) = 2),
+summed AS (SELECT r.product, r.fetched_at, count(interval_start) AS rows,
+    string_agg(concat(interval_start, variable, zone, value), ',' ORDER BY interval_start, variable, zone) AS hash_of
+  FROM (SELECT DISTINCT product, fetched_at FROM zoned) r LEFT JOIN kept USING (product, fetched_at)
+  GROUP BY r.product, r.fetched_at)"""
+
 SUMMARY_SQL = f"""WITH {DAILY_SQL},
 kept AS (SELECT product, fetched_at, interval_start FROM zoned
          GROUP BY product, fetched_at, interval_start, variable, zone HAVING count(*) = 2)
@@ -307,14 +321,7 @@ WHERE new_posting"""
 def late_ingest(spark, sf):
     """The later half arrives first. What was known at any time is answered all the same."""
     lake = _ingested(spark, sf, [F.col("fetched_at") >= AS_OF, F.col("fetched_at") < AS_OF])
-    answers = None
-    for as_of in (AS_OF, NOW):
-        known = snapshot(lake.curated().drop("posting"), BASE, BEYOND, as_of=as_of, max_days=None)
-        known = known.select(
-            F.lit(as_of.isoformat()).alias("as_of"), "product", "interval_start", "series", "value"
-        )
-        answers = known if answers is None else answers.unionByName(known)
-    return plain(answers)
+    return _answers(lake)
 
 
 LATE_SQL = f"""WITH {POLLED_SQL},
@@ -328,6 +335,130 @@ QUALIFY row_number() OVER (PARTITION BY as_of, m.product, interval_start, series
   ORDER BY m.fetched_at DESC) = 1"""
 
 
+def _write_raw(lake, responses):
+    """Bodies as the files a poller keeps, one per response."""
+    stamp = F.date_format("fetched_at", "yyyyMMdd'T'HHmmss'Z'")
+    day = F.date_format("fetched_at", "yyyy-MM-dd")
+    name = F.concat(F.lit("raw/"), "product", F.lit("/date="), day, F.lit("/fetched="), stamp, F.lit(".json"))
+    for row in responses.select(name.alias("name"), "body").toLocalIterator():
+        storage.write_text(lake.spark, lake.path(row.name), row.body)
+
+
+def two_streams(spark, sf):
+    """One lake fed by a stream over raw files and one over landed responses, each with a progress
+    of its own."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    responses = polled_responses(spark, sf)
+    _write_raw(lake, responses.where(F.col("fetched_at") < AS_OF))
+    lake.land_responses(responses.where(F.col("fetched_at") >= AS_OF), "landing")
+    for landed in (False, True):
+        where = shared_folder(spark, "progress")
+        ingest(lake, products(), where, unit="batch", landed=landed)
+    rows = lake.curated()
+    return plain(rows.select("product", "interval_start", "posted_at", "series", "value", "source"))
+
+
+def raw_files(spark, sf):
+    """Responses kept as files, scanned with what their names and bodies say."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    _write_raw(lake, daily_responses(spark, sf))
+    found = _values(spark, lake.raw_files())
+    return plain(found.select("product", "fetched_at", "rows", "dropped", "problem"))
+
+
+def _answers(lake):
+    """What was known at two times, from a lake."""
+    answers = None
+    for as_of in (AS_OF, NOW):
+        known = snapshot(lake.curated().drop("posting"), BASE, BEYOND, as_of=as_of, max_days=None)
+        known = known.select(
+            F.lit(as_of.isoformat()).alias("as_of"), "product", "interval_start", "series", "value"
+        )
+        answers = known if answers is None else answers.unionByName(known)
+    return plain(answers)
+
+
+def late_ingest_direct(spark, sf):
+    """The later half curated first, the earlier one after it, without streams: bodies are read
+    again from where they were landed."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    responses = polled_responses(spark, sf)
+    lake.land_responses(responses, "landing")
+    for name, half in (("b", F.col("fetched_at") >= AS_OF), ("a", F.col("fetched_at") < AS_OF)):
+        curate_live(lake, products(), responses.where(half), name, unit="batch")
+    return _answers(lake)
+
+
+def relanded(spark, sf):
+    """A batch landed twice, the second time with other bodies for one product: all are kept."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    responses = daily_responses(spark, sf)
+    other = F.when(F.col("product") == "click", F.lit("[]")).otherwise(F.col("body"))
+    lake.land_responses(responses, "landing")
+    lake.land_responses(responses.withColumn("body", other), "landing")
+    return lake.responses().groupBy("product").agg(
+        F.count("*").alias("bodies"), F.count_if(F.col("body") == "[]").alias("empty")
+    )
+
+
+RELANDED_SQL = """SELECT event_type AS product,
+  count(DISTINCT date_trunc('day', ts)) * CASE event_type WHEN 'click' THEN 2 ELSE 1 END AS bodies,
+  CASE event_type WHEN 'click' THEN count(DISTINCT date_trunc('day', ts)) ELSE 0 END AS empty
+FROM events GROUP BY event_type"""
+
+
+def _spoiled(spark, sf):
+    """Daily responses, those of every eighth day with another time unit."""
+    wrong = F.replace(F.col("body"), F.lit('"unixtime"'), F.lit('"iso8601"'))
+    body = F.when(F.dayofmonth("fetched_at") % 8 == 1, wrong).otherwise(F.col("body"))
+    return daily_responses(spark, sf).withColumn("body", body)
+
+
+def run_summary(spark, sf):
+    """What a batch did, per product: responses, postings, rows, and what it refused."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    done = curate_live(lake, products(), _spoiled(spark, sf), "b0", unit="batch")
+    return done.select("product", "kind", "responses", "postings", "unchanged", "rows", "dropped", "days", "quarantined")
+
+
+RUN_SUMMARY_SQL = f"""WITH {SUMMARY_PARTS},
+good AS (SELECT *, hash_of IS DISTINCT FROM lag(hash_of) OVER (PARTITION BY product ORDER BY fetched_at) AS new
+  FROM summed WHERE day(fetched_at) % 8 <> 1),
+bad AS (SELECT product, count(*) AS quarantined FROM summed WHERE day(fetched_at) % 8 = 1 GROUP BY product)
+SELECT product, 'live' AS kind, count(*) AS responses, count(*) FILTER (new) AS postings,
+  count(*) FILTER (NOT new) AS unchanged, CAST(sum(rows) FILTER (new) AS BIGINT) AS rows,
+  CAST(sum(144 - rows) FILTER (new) AS BIGINT) AS dropped,
+  count(*) FILTER (new AND rows > 0) AS days, any_value(quarantined) AS quarantined
+FROM good JOIN bad USING (product) GROUP BY product"""
+
+
+def quarantine_report(spark, sf):
+    """Each refused response with the reason."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    curate_live(lake, products(), _spoiled(spark, sf), "b0", unit="batch")
+    return plain(quarantined(lake, "b0").select("product", "kind", "fetched_at", "problem"))
+
+
+QUARANTINE_SQL = """SELECT DISTINCT event_type AS product, 'live' AS kind,
+  date_trunc('day', ts) + INTERVAL 1 DAY AS fetched_at, 'time is not unixtime for n1' AS problem
+FROM events WHERE day(date_trunc('day', ts) + INTERVAL 1 DAY) % 8 = 1"""
+
+
+def freshness_report(spark, sf):
+    """Age of each product's newest posting, from the log of a lake."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    curate_live(lake, products(), polled_responses(spark, sf), "b0", unit="batch")
+    return plain(report.freshness_report(lake, products(), NOW))
+
+
+FRESHNESS_REPORT_SQL = f"""WITH {POLLED_SQL},
+n AS (SELECT product, max(fetched_at) AS last_posted_at FROM polls WHERE new_posting GROUP BY product)
+SELECT product, {STALE_AFTER}::DOUBLE AS stale_after_min, last_posted_at,
+  (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(last_posted_at)) / 6e7 AS age_minutes,
+  (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(last_posted_at)) / 6e7 > {STALE_AFTER} AS stale,
+  TIMESTAMP '2024-01-31' AS checked_at FROM n"""
+
+
 def curated_lake(spark, sf):
     """The whole job: publish changed polls, then read the newest value of everything."""
     lake = Lake(spark, shared_folder(spark, "lake"))
@@ -346,9 +477,38 @@ FROM zoned GROUP BY product, interval_start, variable, zone HAVING count(*) = 2"
 
 def previous_runs_lake(spark, sf):
     """Two lead days per hour from backfilled responses, written, logged and read back."""
-    backfill = Backfill(lead_days=(1, 2))
-    specs = products(backfill=backfill)
     lake = Lake(spark, shared_folder(spark, "lake"))
+    curate_previous_runs(lake, products(backfill=LEADS), _past(spark, sf), "backfill")
+    return _backfilled(lake)
+
+
+def previous_runs_refetched(spark, sf):
+    """An older fetch of the same days, with other values, arrives last: the newer one stands."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    specs = products(backfill=LEADS)
+    older = _past(spark, sf, more=500).withColumn(
+        "fetched_at", F.col("fetched_at") - F.expr("INTERVAL 1 HOUR")
+    )
+    curate_previous_runs(lake, specs, _past(spark, sf), "first")
+    curate_previous_runs(lake, specs, older, "second")
+    return _backfilled(lake)
+
+
+LEADS = Backfill(lead_days=(1, 2))
+
+
+def _backfilled(lake):
+    rows = lake.curated()
+    return plain(
+        rows.select(
+            "product", "interval_start", "posted_at", "source", "series",
+            F.round("value", 6).alias("value"),
+        )
+    )
+
+
+def _past(spark, sf, more=0):
+    """Daily responses as previous runs, each value raised by its lead, and ``more``."""
     past = daily_responses(spark, sf)
     shape = (
         "array<struct<latitude: double, longitude: double, hourly_units: map<string, string>,"
@@ -358,7 +518,7 @@ def previous_runs_lake(spark, sf):
     def by_lead(block, raised):
         """Each variable once per lead day, its value raised by the lead."""
         parts = [F.map_filter(block, lambda name, _: name == "time")]
-        for n in backfill.lead_days:
+        for n in LEADS.lead_days:
             for name in UNITS:
                 column = raised(F.try_element_at(block, F.lit(name)), n)
                 parts.append(F.create_map(F.lit(f"{name}_previous_day{n}"), column))
@@ -369,21 +529,13 @@ def previous_runs_lake(spark, sf):
         lambda e: e.withField(
             "hourly_units", by_lead(e["hourly_units"], lambda unit, _: unit)
         ).withField(
-            "hourly", by_lead(e["hourly"], lambda column, n: F.transform(column, lambda v: v + n))
+            "hourly", by_lead(e["hourly"], lambda column, n: F.transform(column, lambda v: v + n + more))
         ),
     )
     day = F.to_date(F.col("fetched_at") - F.expr("INTERVAL 1 DAY"))
-    past = past.withColumns(
+    return past.withColumns(
         {"kind": F.lit(PREVIOUS_RUNS), "first": day, "last": day, "body": F.to_json(entries)}
     )
-    curate_previous_runs(lake, specs, past, "backfill")
-    rows = lake.curated()
-    return plain(
-        rows.select(
-            "product", "interval_start", "posted_at", "source", "series",
-            F.round("value", 6).alias("value"),
-        )
-    )
 
 
 PREVIOUS_RUNS_SQL = f"""WITH {DAILY_SQL}
@@ -410,4 +562,16 @@ CASES = {
     "late_ingest": (late_ingest, LATE_SQL),
     "curated_lake": (curated_lake, CURATED_LAKE_SQL),
     "previous_runs_lake": (previous_runs_lake, PREVIOUS_RUNS_SQL),
+    "previous_runs_refetched": (previous_runs_refetched, PREVIOUS_RUNS_SQL),
+    "two_streams": (two_streams, STREAM_SQL),
+    "late_ingest_direct": (late_ingest_direct, LATE_SQL),
+    "relanded": (relanded, RELANDED_SQL),
+    "raw_files": (
+        raw_files,
+        f"""WITH {SUMMARY_PARTS} SELECT product, fetched_at, CAST(rows AS INTEGER) AS rows,
+          CAST(144 - rows AS INTEGER) AS dropped, CAST(NULL AS VARCHAR) AS problem FROM summed""",
+    ),
+    "run_summary": (run_summary, RUN_SUMMARY_SQL),
+    "quarantine_report": (quarantine_report, QUARANTINE_SQL),
+    "freshness_report": (freshness_report, FRESHNESS_REPORT_SQL),
 }

@@ -146,7 +146,7 @@ def polled_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("user_id") % 6).alias("pos"),
             F.floor(F.hour("ts") / 6).cast("int").alias("hour"),
         )
-        .agg(F.least(F.count("*"), F.lit(2)).cast("double").alias("events"))
+        .agg(F.floor(F.log2(F.count("*"))).cast("double").alias("events"))
         .withColumn("amount", F.col("events") / 2)
     )
     return _bodies(
@@ -228,7 +228,7 @@ zoned AS (
 
 POLLED_SQL = """cells AS (
   SELECT event_type AS product, date_trunc('day', ts) + INTERVAL 1 DAY AS fetched_at,
-         user_id % 6 AS pos, hour(ts) // 6 AS hour, least(count(*), 2) AS events
+         user_id % 6 AS pos, hour(ts) // 6 AS hour, floor(log2(count(*))) AS events
   FROM events GROUP BY ALL),
 zoned AS (
   SELECT product, fetched_at, TIMESTAMP '2024-02-01' + hour * INTERVAL 1 HOUR AS interval_start,
