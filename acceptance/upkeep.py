@@ -138,10 +138,10 @@ FROM r, (SELECT CAST(range AS INTEGER) AS i FROM range(0, 400)) WHERE first + i
 
 
 def _fetched_windows(spark, sf):
-    """A window of one to three days for every event of great value."""
+    """A window of one to three days for every event, in very many small products."""
     day = F.to_date("ts")
-    return events(spark, sf).where("value > 150").select(
-        F.concat("event_type", F.lit("-"), F.col("user_id") % 4).alias("product"),
+    return events(spark, sf).select(
+        F.concat("event_type", F.lit("-"), F.col("user_id") % 1000).alias("product"),
         day.alias("first"),
         F.date_add(day, (F.col("user_id") % 3).cast("int")).alias("last"),
         F.col("ts").alias("fetched_at"),
@@ -151,10 +151,10 @@ def _fetched_windows(spark, sf):
 
 
 WINDOWS_SQL = """w AS (
-  SELECT concat(event_type, '-', user_id % 4) AS product, CAST(ts AS DATE) AS first,
+  SELECT concat(event_type, '-', user_id % 1000) AS product, CAST(ts AS DATE) AS first,
          CAST(CAST(ts AS DATE) + CAST(user_id % 3 AS INTEGER) AS DATE) AS last, ts AS fetched_at,
          event_id AS rows, 0 AS dropped
-  FROM events WHERE value > 150)"""
+  FROM events)"""
 
 
 def coverage(spark, sf):
