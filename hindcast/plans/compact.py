@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
@@ -9,14 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.contract import FORECAST
+from hindcast.functions.columns import instant
 from hindcast.operators.checks import any_null
 from hindcast.session import Scratch
 from hindcast.settings import frame
 from hindcast.sources import storage
-from hindcast.sources.footers import on_contract, read_footers
+from hindcast.sources.conformance import off_contract
 from hindcast.sources.lake import Lake, older_than
 
 MIN_AGE_MINUTES = 60
+#: Day folders worked on together, and units deleted at once.
+FOLDERS = 256
+DELETES = 16
 PARTITION = ("product", "date")
 UNIT = ("product", "date", "posting")
 SORT = ("product", "date", "interval_start", "series", "posted_at", "ingested_at")
@@ -49,63 +54,85 @@ def compact(
     *,
     now: datetime,
     min_age_minutes: int = MIN_AGE_MINUTES,
-    max_partitions: int = 256,
+    max_partitions: int | None = None,
     target_bytes: int = 256 * 1024 * 1024,
 ) -> Compaction:
     """Merge partitions that hold two or more old enough units, oldest day first.
 
-    The merged unit is written and compared with its sources before any source is deleted, so
-    a run that dies leaves extra rows at most, and the read rule sees through those. Units an
-    earlier run merged but did not get to delete are recognised by their rows. Partitions with
-    a file off the contract are left alone and reported.
+    The merged unit is written and compared with its sources, row by row, before any source is
+    deleted, so a run that dies leaves extra rows at most, and the read rule sees through those.
+    Units an earlier run merged but did not get to delete are recognised by their rows. Partitions
+    with a file off the contract, or a null where none may be, are left alone and reported.
 
-    ``max_partitions`` bounds a run, and with it what the driver learns: one row of counts per
-    partition. The next run goes on where this one stopped.
+    Work goes on day folder by day folder, ``FOLDERS`` at a time, so the driver lists the files of
+    so many and keeps one row of counts per merged partition. Only a caller that passes
+    ``max_partitions`` bounds a run; the next one goes on where it stopped. Lakes in the flat layout
+    are read but not merged.
     """
     target = f"merged-{now.astimezone(UTC):%Y%m%dT%H%M%SZ}"
-    with Scratch(lake.spark, "compact") as scratch:
-        listing = scratch.keep(_units_to_merge(lake, now, min_age_minutes))
-        due = (
-            listing.groupBy(*PARTITION)
-            .agg(
-                F.count_distinct("posting").alias("units"),
-                F.sum("length").alias("bytes"),
-                F.bool_or(F.col("posting") == target).alias("clash"),
+    instant(now)  # refuses a naive stamp even if there is nothing to merge
+    outcomes: list[dict] = []
+    folders = lake.day_folders()
+    for k in range(0, len(folders), FOLDERS):
+        most = None if max_partitions is None else max_partitions - len(outcomes)
+        some = [folder for _, _, folder in folders[k : k + FOLDERS]]
+        with Scratch(lake.spark, "compact") as scratch:
+            done, more = _compact_some(
+                lake, scratch, some, target, now, min_age_minutes, most, target_bytes
             )
-            .where("units >= 2")
-            .orderBy("date", "product")
-            .limit(max_partitions + 1)
-            .collect()
+        outcomes += done
+        if more:
+            return Compaction(_outcomes(lake, outcomes), True)
+    return Compaction(_outcomes(lake, outcomes), False)
+
+
+def _compact_some(
+    lake: Lake, scratch: Scratch, folders: list[str], target: str, now: datetime,
+    min_age_minutes: int, most: int | None, target_bytes: int,
+) -> tuple[list[dict], bool]:
+    """Outcomes of some day folders, and whether more was due than ``most``."""
+    listing = scratch.keep(_units_to_merge(lake, folders, now, min_age_minutes))
+    due = (
+        listing.groupBy(*PARTITION)
+        .agg(
+            F.count_distinct("posting").alias("units"),
+            F.sum("length").alias("bytes"),
+            F.bool_or(F.col("posting") == target).alias("clash"),
         )
-        due, stopped = due[:max_partitions], len(due) > max_partitions
-        if not due:
-            return Compaction(_outcomes(lake, []), stopped)
-        if any(p.clash for p in due):
-            raise ValueError(f"{target} is already there; merge again a second later")
-
-        chosen = [(p.product, p.date) for p in due]
-        footers = scratch.keep(read_footers(_only(listing, chosen)))
-        skipped = _off_contract(lake, footers)
-        good = [p for p in chosen if p not in skipped]
-        merging = _only(footers, good)
-        leftovers = _leftovers(lake, merging, scratch)
-        units = merging.select(*UNIT).distinct()
-        sources = units.join(leftovers, [*UNIT], "left_anti")
-
-        rows: dict[Partition, int] = {}
-        if good:
-            total = sum(p.bytes for p in due if (p.product, p.date) not in skipped)
-            _merge(lake, sources, good, target, max(len(good), -(-total // target_bytes)))
-            rows = _checked(lake, sources, good, target)
-            for unit in units.toLocalIterator():
-                names = (f"product={unit.product}", f"date={unit.date}", f"posting={unit.posting}")
-                folder = lake.path("curated", *names)
-                storage.delete_below(lake.spark, folder, guard=lake.path("curated"))
-        left = {
-            (p.product, p.date): p["count"]
-            for p in leftovers.groupBy(*PARTITION).count().collect()
-        }
-    outcomes = [
+        .where("units >= 2")
+        .orderBy("date", "product")
+        .collect()  # no more than the folders
+    )
+    more = most is not None and len(due) > most
+    due = due[:most] if more else due
+    if not due:
+        return [], more
+    if any(p.clash for p in due):
+        raise ValueError(f"{target} is already there; merge again a second later")
+
+    chosen = [(p.product, p.date) for p in due]
+    named = {_folder(lake, partition): partition for partition in chosen}
+    skipped = {named[f] for f in off_contract(lake.spark, list(named))}
+    readable = [p for p in chosen if p not in skipped]
+    units = _only(listing, readable).select(*UNIT).distinct()
+    facts = scratch.keep(_facts(lake, units, readable))
+    nulls = facts.where("nulls > 0").select(*PARTITION).distinct().collect()
+    skipped |= {(p.product, p.date) for p in nulls}
+    good = [p for p in chosen if p not in skipped]
+    units = _only(units, good)
+    leftovers = _leftovers(lake, _only(facts, good), scratch)
+    sources = units.join(leftovers, [*UNIT], "left_anti")
+
+    rows: dict[Partition, int] = {}
+    if good:
+        total = sum(p.bytes for p in due if (p.product, p.date) not in skipped)
+        _merge(lake, sources, good, target, max(len(good), -(-total // target_bytes)))
+        rows = _checked(lake, sources, good, target)
+        _delete(lake, [tuple(u) for u in units.select(*UNIT).collect()])
+    left = {
+        (p.product, p.date): p["count"] for p in leftovers.groupBy(*PARTITION).count().collect()
+    }
+    return [
         {
             "product": p.product,
             "date": p.date,
@@ -115,47 +142,54 @@ def compact(
             "rows": rows.get((p.product, p.date)),
         }
         for p in due
-    ]
-    return Compaction(_outcomes(lake, outcomes), stopped)
+    ], more
+
+
+def _folder(lake: Lake, partition: Partition) -> str:
+    return lake.path("curated", f"product={partition[0]}", f"date={partition[1]}")
 
 
-def _units_to_merge(lake: Lake, now: datetime, min_age_minutes: int) -> DataFrame:
+def _delete(lake: Lake, units: list[tuple[str, date, str]]) -> None:
+    """Remove units, several at a time: most of the time goes into waiting for the store."""
+
+    def remove(unit: tuple[str, date, str]) -> None:
+        folder = f"{_folder(lake, unit[:2])}/posting={unit[2]}"
+        storage.delete_below(lake.spark, folder, guard=lake.path("curated"))
+
+    with ThreadPoolExecutor(DELETES) as pool:
+        list(pool.map(remove, units))
+
+
+def _facts(lake: Lake, units: DataFrame, partitions: list[Partition]) -> DataFrame:
+    """Per unit, from one scan: rows with a null where none may be, and when they were ingested."""
+    if not partitions:
+        return units.select(*UNIT, *[F.lit(0).cast("long").alias(c) for c in ("nulls", "first", "last")])
+    rows = _rows(lake, units, partitions)
+    return rows.groupBy(*UNIT).agg(
+        F.count_if(any_null(FORECAST.fieldNames())).alias("nulls"),
+        F.min(F.unix_micros("ingested_at")).alias("first"),
+        F.max(F.unix_micros("ingested_at")).alias("last"),
+    )
+
+
+def _units_to_merge(
+    lake: Lake, folders: list[str], now: datetime, min_age_minutes: int
+) -> DataFrame:
     """Files of units none of whose files may still be in the making."""
-    files = lake.curated_files().where(F.col("own") & F.col("posting").rlike(MERGEABLE))
+    files = lake.curated_files(folders).where(F.col("own") & F.col("posting").rlike(MERGEABLE))
     newest = files.groupBy(*UNIT).agg(F.max("modified_at").alias("modified_at"))
     return files.drop("own").join(
         older_than(newest, now, min_age_minutes).select(*UNIT), [*UNIT], "left_semi"
     )
 
 
-def _off_contract(lake: Lake, footers: DataFrame) -> set[Partition]:
-    """Partitions with a file of other columns or types, or with a null where none may be.
-
-    Footers count nulls; only partitions with a file that has no statistics are scanned.
-    """
-    state = footers.groupBy(*PARTITION).agg(
-        F.bool_or(~on_contract() | (F.coalesce("nulls", F.lit(0)) > 0)).alias("bad"),
-        F.bool_or(F.col("nulls").isNull()).alias("unknown"),
-    ).where("bad OR unknown").collect()
-    bad = {(p.product, p.date) for p in state if p.bad}
-    unknown = [(p.product, p.date) for p in state if not p.bad]
-    if unknown:
-        units = _only(footers, unknown).select(*UNIT)
-        nulls = _rows(lake, units, unknown).where(any_null(FORECAST.fieldNames()))
-        bad |= {(p.product, p.date) for p in nulls.select(*PARTITION).distinct().collect()}
-    return bad
-
-
-def _leftovers(lake: Lake, footers: DataFrame, scratch: Scratch) -> DataFrame:
+def _leftovers(lake: Lake, units: DataFrame, scratch: Scratch) -> DataFrame:
     """Units whose every row, with multiplicity, is in the partition's newest merged unit.
 
-    Units ingested wholly after the merged one are ruled out by their footers, which in the
-    normal case is all of them. What remains is compared by content, and all of a partition's
+    Units ingested wholly after the merged one are ruled out by that, which in the normal case is
+    all of them. What remains is compared by content, and all of a partition's
     leftovers must fit into the merged unit together.
     """
-    units = footers.groupBy(*UNIT).agg(
-        F.min("first_ingested_us").alias("first"), F.max("last_ingested_us").alias("last")
-    )
     merged = (
         units.where(F.col("posting").startswith("merged-"))
         .groupBy(*PARTITION)
@@ -215,9 +249,9 @@ def _merge(
 def _rows(
     lake: Lake, units: DataFrame, partitions: list[Partition], **extra: Column
 ) -> DataFrame:
-    """The rows of the given units, all of which lie in the given partitions."""
-    table = lake.own_curated(sorted({product for product, _ in partitions}))
-    table = table.where(F.col("date").isin(sorted({day for _, day in partitions})))
+    """The rows of the given units, all of which lie in the given partitions; only those days'
+    folders are listed."""
+    table = lake.own_days([_folder(lake, p) for p in partitions])
     table = table.withColumns(extra) if extra else table
     return table.join(units.select(*UNIT).distinct(), [*UNIT], "left_semi")
 
@@ -230,27 +264,22 @@ def _only(rows: DataFrame, partitions: list[Partition]) -> DataFrame:
 def _checked(
     lake: Lake, sources: DataFrame, partitions: list[Partition], target: str
 ) -> dict[Partition, int]:
-    """Rows per merged partition, once every partition proved to hold exactly its sources' rows:
-    the same count and the same two order-free sums of row hashes."""
+    """Rows per merged partition, once each is shown to hold exactly its sources' rows, with
+    multiplicity: every distinct row is counted on both sides."""
     written = sources.select(*PARTITION, F.lit(target).alias("posting")).distinct()
-    units = sources.unionByName(written)
-    digest = F.xxhash64(*FORECAST.fieldNames())
-    sides = (
-        _rows(lake, units, partitions)
-        .groupBy(*PARTITION, (F.col("posting") == target).alias("merged"))
-        .agg(
-            F.count("*").alias("rows"),
-            F.bit_xor(digest).alias("xor"),
-            F.sum(digest.cast("decimal(20,0)")).alias("sum"),
-        )
-        .collect()
+    merged = F.col("posting") == target
+    balance = (
+        _rows(lake, sources.unionByName(written), partitions)
+        .groupBy(*PARTITION, *FORECAST.fieldNames())
+        .agg(F.count_if(merged).alias("after"), F.count_if(~merged).alias("before"))
     )
-    before = {(s.product, s.date): (s.rows, s.xor, s.sum) for s in sides if not s.merged}
-    after = {(s.product, s.date): (s.rows, s.xor, s.sum) for s in sides if s.merged}
-    if before != after:
-        wrong = sorted(p for p in {*before, *after} if before.get(p) != after.get(p))
+    sides = balance.groupBy(*PARTITION).agg(
+        F.sum("after").alias("rows"), F.count_if(F.col("after") != F.col("before")).alias("wrong")
+    ).collect()
+    wrong = sorted((s.product, s.date) for s in sides if s.wrong)
+    if wrong:
         raise RuntimeError(f"merged rows differ from their sources in {wrong[0]}; nothing deleted")
-    return {partition: rows for partition, (rows, _, _) in after.items()}
+    return {(s.product, s.date): s.rows for s in sides}
 
 
 def _outcomes(lake: Lake, rows: list[dict]) -> DataFrame:

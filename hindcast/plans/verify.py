@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from hindcast.operators import checks
 from hindcast.plans.catalog import entries, expected_series, load_catalog
-from hindcast.sources.footers import missing_columns
+from hindcast.settings import frame
+from hindcast.sources.conformance import missing_columns
 from hindcast.sources.lake import Lake
 
 
@@ -18,28 +19,27 @@ def verify_lake(lake: Lake) -> DataFrame:
     and is not looked at further.
     """
     products = entries(lake.spark, load_catalog(lake.spark, lake.root))
-    files = lake.curated_files()
-    counted = (
-        products.select("product")
-        .join(files.groupBy("product").agg(F.count("*").alias("n")), "product", "left")
-        .select("product", F.coalesce("n", F.lit(0)).alias("files"))
-        .join(missing_columns(files), "product", "left")
-    )
-    state = counted.collect()  # one row per catalogued product
-    sound = [s.product for s in state if s.files and not s.missing]
-    listed = counted.select(
+    state = []  # one row per catalogued product
+    for product in [r["product"] for r in products.select("product").collect()]:
+        folders = lake.product_folders(product)
+        filled = bool(folders) and not lake.curated_files(folders).limit(1).isEmpty()
+        missing = missing_columns(lake.spark, folders) if filled else []
+        state.append({"product": product, "empty": int(not filled), "missing": missing})
+    sound = [s["product"] for s in state if not s["empty"] and not s["missing"]]
+    shape = "array<struct<product: string, empty: bigint, missing: array<string>>>"
+    listed = frame(lake.spark, state, shape).select(
         "product",
         F.inline(
             F.array(
                 F.struct(
                     F.lit("no_curated_files").alias("check"),
-                    (F.col("files") == 0).cast("long").alias("n"),
+                    F.col("empty").alias("n"),
                     F.lit(None).cast("string").alias("sample"),
                 ),
                 F.struct(
                     F.lit("missing_columns").alias("check"),
-                    F.coalesce(F.size("missing"), F.lit(0)).cast("long").alias("n"),
-                    F.array_join("missing", ", ").alias("sample"),
+                    F.size("missing").cast("long").alias("n"),
+                    F.when(F.col("empty") == 0, F.array_join("missing", ", ")).alias("sample"),
                 ),
             )
         ),

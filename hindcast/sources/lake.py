@@ -106,6 +106,10 @@ class Lake:
         """The same for products in this package's own layout, as one plain scan."""
         return self._own([self.path("curated", f"product={p}") for p in products])
 
+    def own_days(self, folders: Sequence[str]) -> DataFrame:
+        """The rows of some day folders of the own layout."""
+        return self._own(folders) if folders else empty(self.spark, CURATED_TABLE)
+
     def _own(self, folders: Sequence[str]) -> DataFrame:
         reader = self.spark.read.schema(CURATED_TABLE).option("basePath", self.path("curated"))
         return reader.parquet(*folders)
@@ -137,8 +141,30 @@ class Lake:
             .parquet(self.path("curated"))
         )
 
-    def curated_files(self) -> DataFrame:
-        """One row per data file, from the listing alone; ``own`` marks this package's layout."""
+    def day_folders(self) -> list[tuple[str, str, str]]:
+        """``(day, product, folder)`` of this package's own layout, the oldest day first. Only names
+        of folders are listed."""
+        base, found = self.path("curated"), []
+        for name in storage.children(self.spark, base):
+            if name.startswith("product="):
+                days = storage.children(self.spark, f"{base}/{name}")
+                product = name.removeprefix("product=")
+                found += [
+                    (day.removeprefix("date="), product, f"{base}/{name}/{day}")
+                    for day in days
+                    if day.startswith("date=")
+                ]
+        return sorted(found)
+
+    def product_folders(self, product: str) -> list[str]:
+        """Where a product's files are, in either layout."""
+        names = storage.children(self.spark, self.path("curated"))
+        own = [n for n in (f"product={product}", product) if n in names]
+        return [self.path("curated", n) for n in own]
+
+    def curated_files(self, folders: Sequence[str] | None = None) -> DataFrame:
+        """One row per data file, from the listing alone; ``own`` marks this package's layout.
+        With folders only those are listed."""
         base = self.path("curated")
         pattern = r"/(product=)?([^/]+)/date=(\d{4}-\d{2}-\d{2})/(posting=([^/]+)/)?([^/]+)\.parquet$"
         shape = (
@@ -151,7 +177,7 @@ class Lake:
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet")
-            .load(base)
+            .load(base if folders is None else list(folders))
         )
         path = F.col("path")
         own = F.regexp_extract(path, pattern, 4) != ""
