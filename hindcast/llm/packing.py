@@ -43,27 +43,40 @@ PARTS = 1024
 class _Tokens(dict):
     """Token ids of words between white space, as little-endian unsigned 32-bit numbers.
 
-    No pre-token crosses ASCII white space, so a text's ids are those of its words in a row.
+    No pre-token crosses ASCII white space, so a text's ids are those of its words in a row. Words
+    of Latin-1 letters are one pre-token; the model itself takes them, which saves half the time.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.as_characters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if word[-1] in b".," and word[:-1].isalnum():  # the mark is a pre-token of its own
-            return self._remember(word, self[word[:-1]] + self[word[-1:]])
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return self._remember(word, np.array(ids, dtype="<u4").tobytes())
-
-    def _remember(self, word: bytes, ids: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
+        ids = self.older.pop(word, None)
+        if ids is None:
+            if word[-1] in b".," and word[:-1].isalnum():  # the mark is a pre-token of its own
+                ids = self[word[:-1]] + self[word[-1:]]
+            else:
+                ids = np.array(self._ids(word.decode()), dtype="<u4").tobytes()
+        if len(self) >= REMEMBERED:  # words used since then come back from the older ones
+            self.older = dict(self)
             self.clear()
         if len(word) <= 64:
             self[word] = ids
         return ids
 
+    def _ids(self, word: str) -> list[int]:
+        if word.isalpha() and max(word) <= "\xff":
+            word = word.lower()
+            if not word.isascii():
+                word = self.as_characters.pre_tokenize_str(word)[0][0]
+            return [t.id for t in self.model.tokenize(word)]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
     def of(self, text: bytes) -> bytes:
         if b"<|" not in text:  # else a special token in capitals would become one
             text = text.translate(LOWER)

@@ -51,7 +51,7 @@ def test_plan_is_near_the_least_number():
 
 def test_round_trip(documents):
     rng = random.Random(4)
-    odd = ["Ünï", "don't", "IT'S", "<|endoftext|>", "<|ENDOFTEXT|>", "a.b,c", "ΟΔΟΣ.", "ΟΔΟΣ,x", "12.", "…", "é", "x" * 90]
+    odd = ["Ünï", "ABC", "ÉCOLE,", "e\u0301a", "straße.", "µªÿ", "ŒIL", "漢字", "\u2167", "don't", "IT'S", "<|endoftext|>", "<|ENDOFTEXT|>", "a.b,c", "ΟΔΟΣ.", "ΟΔΟΣ,x", "12.", "…", "é", "x" * 90]
     rows = [(i, " ".join(rng.choices(["the", "Reas,", "onth.", *odd], k=rng.randrange(80)))) for i in range(60)]
     rows += [(60, None), (61, ""), (None, "a b"), (None, "a b"), (7, "again"), (99, "long word, " * 5000)]
     packed = packing.pack(documents(rows), PATH, capacity=256, with_ids=True).cache()
