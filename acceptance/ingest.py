@@ -459,6 +459,30 @@ SELECT product, {STALE_AFTER}::DOUBLE AS stale_after_min, last_posted_at,
   TIMESTAMP '2024-01-31' AS checked_at FROM n"""
 
 
+def manifest_files(spark, sf):
+    """Manifests written for readers that look for files, scanned back."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    none = lake.manifests()
+    curate_live(lake, products(), polled_responses(spark, sf), "b0", unit="batch")
+    report.publish_manifests(lake, products())
+    found = lake.manifests().unionByName(none)
+    return plain(
+        found.select(
+            "product", "model", "schema_version", "last_posted_at", "last_checked_at", "rows",
+            F.array_join("partitions", ",").alias("partitions"),
+        )
+    )
+
+
+MANIFEST_FILES_SQL = f"""WITH {POLLED_SQL}
+SELECT p.product, 'events' AS model, 1 AS schema_version, p.fetched_at AS last_posted_at,
+  last_checked_at, n AS rows, CASE WHEN n > 0 THEN '2024-02-01' ELSE '' END AS partitions
+FROM polls p JOIN (SELECT product, max(fetched_at) AS last_checked_at FROM polls GROUP BY product) c
+  ON p.product = c.product
+WHERE new_posting
+QUALIFY row_number() OVER (PARTITION BY p.product ORDER BY p.fetched_at DESC) = 1"""
+
+
 def curated_lake(spark, sf):
     """The whole job: publish changed polls, then read the newest value of everything."""
     lake = Lake(spark, shared_folder(spark, "lake"))
@@ -573,5 +597,6 @@ CASES = {
     ),
     "run_summary": (run_summary, RUN_SUMMARY_SQL),
     "quarantine_report": (quarantine_report, QUARANTINE_SQL),
+    "manifest_files": (manifest_files, MANIFEST_FILES_SQL),
     "freshness_report": (freshness_report, FRESHNESS_REPORT_SQL),
 }
