@@ -18,7 +18,6 @@ up at least ``support`` of the training text. This bounds the model for any corp
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -230,12 +229,12 @@ def score(
     found = kept(
         rows.mapInArrow(
             lambda batches: _tokens(batches, shared.value),
-            "doc_id long, learn boolean, n_tokens long, score double, "
-            "word string, rows array<long>, counts array<long>, in_training long",
+            "row long, doc_id long, learn boolean, n_tokens long, score double, "
+            "word string, users array<short>, times array<int>, in_training long",
         ),
         "tokens",
     )
-    words = found.where("word IS NOT NULL").select("word", "rows", "counts", "in_training")
+    words = found.where("word IS NOT NULL").select("row", "word", "users", "times", "in_training")
     vocabulary = words.groupBy("word").agg(F.sum("in_training").alias("c")).where("c > 0")
     vocabulary = kept(vocabulary, "vocabulary")
     total = vocabulary.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
@@ -244,16 +243,15 @@ def score(
     each = F.log10((c + 0.5) / F.lit(n + 0.5 * (v + 1)))
     uses = words.drop("in_training").join(vocabulary.hint("merge"), "word", "left")
     uses = uses.select(
-        each.alias("each"), (c > 0).alias("known"),
-        F.explode(F.arrays_zip("rows", "counts")).alias("use"),
+        "row", each.alias("each"), (c > 0).alias("known"),
+        F.explode(F.arrays_zip("users", "times")).alias("use"),
     )
-    sums = uses.groupBy(F.col("use.rows").alias("row")).agg(
-        F.sum(F.col("each") * F.col("use.counts")).alias("base_score"),
-        F.sum(F.when(F.col("known"), F.col("use.counts")).otherwise(0)).alias("n_known"),
-    )
-    heads = found.where("word IS NULL").select(
-        "doc_id", "learn", "n_tokens", "score", F.col("rows")[0].alias("row")
+    times = F.col("use.times")
+    sums = uses.groupBy((F.col("row") + F.col("use.users")).alias("row")).agg(
+        F.sum(F.col("each") * times).alias("base_score"),
+        F.sum(F.when(F.col("known"), times).otherwise(0)).alias("n_known"),
     )
+    heads = found.where("word IS NULL").select("row", "doc_id", "learn", "n_tokens", "score")
     return heads.join(sums, "row").select(
         "doc_id",
         (~F.col("learn")).alias("held_out"),
@@ -265,51 +263,56 @@ def score(
     )
 
 
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def _tokens(batches: Iterator[pa.RecordBatch], model: Automaton) -> Iterator[pa.RecordBatch]:
     """A row per document, and for each group of documents a row per word: who uses it how often.
 
-    The end of a text is the empty word.
+    ``row`` numbers documents, and in a word's row the group's first one. The end of a text is the
+    empty word.
     """
     row = TaskContext.get().partitionId() << 40
-    for batch in sliced(batches, 500):
+    for batch in sliced(batches, 1000):
         lowered = [t.translate(LOWER) for t in texts(batch)]
-        learn = batch.column("learn").to_pylist()
-        scores = model.scores(lowered)
-        users: dict[bytes, list[int]] = defaultdict(list)
-        in_training: Counter = Counter()
-        lengths = []
-        for i, text in enumerate(lowered):
-            words = text.split()
-            lengths.append(len(words) + 1)
-            uses = Counter(words)
-            uses[b""] = 1
-            for word, n in uses.items():
-                users[word] += (row + i, n)
-            if learn[i]:
-                in_training.update(uses)
+        learn = batch.column("learn").to_numpy(zero_copy_only=False)
         many = batch.num_rows
-        mine = pa.array([[row + i] for i in range(many)], pa.list_(pa.int64()))
+        numbers = _Numbers()
+        split = [[*t.split(), b""] for t in lowered]
+        lengths = np.array([len(w) for w in split])
+        used = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        pairs, times = np.unique(
+            used * many + np.repeat(np.arange(many), lengths), return_counts=True
+        )
+        user = pairs % many
+        starts = np.flatnonzero(np.diff(pairs // many, prepend=-1))
         yield _filled(
-            many, doc_id=batch.column("doc_id"), learn=batch.column("learn"),
-            n_tokens=pa.array(lengths, pa.int64()), score=pa.array(scores, pa.float64()), rows=mine,
+            many, row=pa.array(np.arange(row, row + many)), doc_id=batch.column("doc_id"),
+            learn=batch.column("learn"), n_tokens=pa.array(lengths, pa.int64()),
+            score=pa.array(model.scores(lowered), pa.float64()),
         )
-        ends = np.concatenate(([0], np.cumsum([len(u) // 2 for u in users.values()])))
-        flat = np.fromiter(chain.from_iterable(users.values()), dtype=np.int64)
-        ends = pa.array(ends.astype(np.int32))
+        ends = pa.array(np.append(starts, len(pairs)).astype(np.int32))
         yield _filled(
-            len(users), word=pa.array([w.decode() for w in users], pa.string()),
-            rows=pa.ListArray.from_arrays(ends, pa.array(flat[::2])),
-            counts=pa.ListArray.from_arrays(ends, pa.array(flat[1::2])),
-            in_training=pa.array([in_training[w] for w in users], pa.int64()),
+            len(numbers), row=pa.array(np.full(len(numbers), row)),
+            word=pa.array([w.decode() for w in numbers], pa.string()),
+            users=pa.ListArray.from_arrays(ends, pa.array(user, pa.int16())),
+            times=pa.ListArray.from_arrays(ends, pa.array(times, pa.int32())),
+            in_training=pa.array(np.add.reduceat(times * learn[user], starts), pa.int64()),
         )
         row += many
 
 
 def _filled(many: int, **columns: pa.Array) -> pa.RecordBatch:
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("learn", pa.bool_()), ("n_tokens", pa.int64()),
-        ("score", pa.float64()), ("word", pa.string()), ("rows", pa.list_(pa.int64())),
-        ("counts", pa.list_(pa.int64())), ("in_training", pa.int64()),
+        ("row", pa.int64()), ("doc_id", pa.int64()), ("learn", pa.bool_()),
+        ("n_tokens", pa.int64()), ("score", pa.float64()), ("word", pa.string()),
+        ("users", pa.list_(pa.int16())), ("times", pa.list_(pa.int32())),
+        ("in_training", pa.int64()),
     ])
     return pa.RecordBatch.from_arrays(
         [columns.get(f.name, pa.nulls(many, f.type)) for f in schema], schema=schema
