@@ -137,7 +137,7 @@ def schedule(goals: DataFrame, block: int) -> DataFrame:
         "key", "range", F.coalesce(F.sum("here").over(earlier), F.lit(0)).alias("passed")
     )
     numbered = slots.withColumn("local", F.row_number().over(inside) - 1)
-    return numbered.join(counts, ["key", "range"]).select(
+    return numbered.join(counts.hint("merge"), ["key", "range"]).select(
         "key", "slot", (F.col("local") + F.col("passed")).alias("nth")
     )
 
@@ -182,7 +182,9 @@ def mix(
         .drop("place")
     )
     starts = lines.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = starts.join(parts, ["key", "part"]).withColumn("start", F.expr("local + passed"))
+    # Both sides are shuffled by these keys already; sizes read from compressed files mislead
+    # Spark into broadcasting one of them.
+    placed = starts.join(parts.hint("merge"), ["key", "part"]).withColumn("start", F.expr("local + passed"))
     copies = int(-(-limit // 1))
     wanted = _wanted()
     spans = (
@@ -209,7 +211,7 @@ def mix(
         *[F.when(taken, F.col(c)).alias(c) for c in ("copy", "word_from", "word_to")],
     )
     slots = schedule(goals, block).withColumnRenamed("nth", "block")
-    return spans.join(slots, ["key", "block"], "left").drop("key", "block")
+    return spans.join(slots.hint("merge"), ["key", "block"], "left").drop("key", "block")
 
 
 def taken_words(spans: DataFrame) -> DataFrame:
