@@ -131,7 +131,7 @@ def measured(docs: DataFrame, table: np.ndarray, columns: list[str]) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Hashes(0)
+        memory = _Hashes()
         for batch in sliced(batches):
             found = texts(batch)
             counts = [_measures(t, memory) for t in found]

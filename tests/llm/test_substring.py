@@ -30,14 +30,14 @@ def brute(rows, window):
     )
 
 
-def got(docs, window):
-    found = substring.removals(docs, window=window)
+def got(docs, window, **how):
+    found = substring.removals(docs, window=window, **how)
     found = found.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     return sorted((tuple(r) for r in found), key=str)
 
 
-@pytest.mark.parametrize("window", [20, 7])
-def test_same_as_brute_force(documents, window):
+@pytest.mark.parametrize("window, shortest", [(20, 10), (20, 3), (7, 10)])
+def test_same_as_brute_force(documents, window, shortest):
     rng = random.Random(window)
     vocabulary = [f"w{i}" for i in range(300)]
     passages = [rng.choices(vocabulary, k=rng.randrange(5, 60)) for _ in range(12)]
@@ -53,7 +53,7 @@ def test_same_as_brute_force(documents, window):
             text = words(rows[rng.randrange(len(rows))][1])
         rows.append((i * 7 % 80, rng.choice([" ", "\n", " \t"]).join(text)))
     rows += [rows[5], rows[5]]
-    found = got(documents(rows), window)
+    found = got(documents(rows), window, shortest=shortest)
     assert found == brute(rows, window)
     assert sum(r[2] for r in found) > 300
 
