@@ -47,9 +47,12 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.9, tile: int = T
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))),
         F.lit(False),
     )
-    rows = rows.withColumn("v", F.when(sound, F.col("v").cast("array<double>")))
-    # -0.0 and 0.0 are one component.
-    rows = kept(rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))), "vectors")
+    # Single precision is shuffled as such; tasks compute in double. -0.0 and 0.0 are one component.
+    single = dict(rows.dtypes)["v"] == "array<float>"
+    kind = "float" if single else "double"
+    rows = rows.withColumn("v", F.when(sound, F.col("v").cast(f"array<{kind}>")))
+    zero = F.lit(0.0).cast(kind)
+    rows = kept(rows.withColumn("v", F.transform("v", lambda x: x + zero)), "vectors")
     usable = rows.where("v IS NOT NULL")
     classes = usable.groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     # Two classes may have the same smallest id where ids repeat.
@@ -143,7 +146,7 @@ def _linked(group: pa.Table, threshold: float) -> pa.Table:
     vectors = group.column("v").combine_chunks()
     lengths = np.diff(vectors.offsets.to_numpy())
     starts = vectors.offsets.to_numpy()[:-1]
-    values = vectors.values.to_numpy()
+    values = vectors.values.to_numpy().astype(np.float64)
     one, two = group.column("i")[0].as_py(), group.column("j")[0].as_py()
     out_a, out_b, out_n = [], [], []
     for length in np.unique(lengths):
