@@ -11,21 +11,26 @@ depends on the next longer one alone, and the probability of each byte in each c
 computed once. Contexts and bytes form an automaton (state: the longest context held that the text
 so far ends in), and a text's code length is a walk over it; many pieces of text walk at once.
 
-The trie grows level by level, one pass over the training text each. A context is held if it makes
-up at least ``support`` of the training text. This bounds the model for any corpus: at most
-``1 / support`` contexts a level, ``257`` symbols each. All training text is counted.
+The trie is a Spark table and grows with the corpus: every context of the training text is held.
+One pass cuts texts into groups and counts in each group the distinct keys, a key being the bytes
+before a place and the symbol there. Shorter contexts are keys cut off, so levels are aggregated
+from that table and each level's probabilities come from the next shorter one's by a join. Each
+group is then joined to the probabilities of its own keys and the counts of its own words, never
+to the whole model.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.llm.common import LOWER, column_or_null, kept, sliced, texts, training_side
@@ -37,6 +42,13 @@ SYMBOLS = 257
 STRIDE = 256
 #: Symbols walked over at once.
 TOGETHER = 4_000_000
+#: Bytes of text whose keys and words are counted together, and those worked on at once.
+GROUP = 16_000_000
+PIECE = 4_000_000
+#: Bits of the symbol in a key and of each byte before it: 0 for none, otherwise the byte and one.
+BITS = 9
+#: Longest context whose keys are longs.
+MOST_ORDER = 6
 
 
 @dataclass(frozen=True)
@@ -112,7 +124,11 @@ def _automaton(order: int, column: np.ndarray, contexts: list[tuple[int, ...]])
 
 
 def train(docs: DataFrame, *, order: int = 4, support: float = 2**-14) -> Automaton:
-    """The model of all texts in ``docs``, lower-cased (A-Z), null being empty."""
+    """The model of all texts in ``docs``, lower-cased (A-Z), null being empty, in one piece.
+
+    For corpora whose trie fits the driver: level by level, one pass over the text each, contexts
+    that make up at least ``support`` of it. :func:`score` does not use it.
+    """
     column = np.arange(2, SYMBOLS + 2, dtype=np.int32)
     held = _automaton(0, column, [()])
     counts = _counted(docs, held)
@@ -210,7 +226,7 @@ def score(
     modulus: int = 5,
     held_out: int = 1,
     order: int = 4,
-    support: float = 2**-14,
+    support: float = 0.0,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score``, ``score``.
@@ -220,38 +236,44 @@ def score(
     there. ``score`` is the model's log10 probability of the lower-cased text and its end. Null
     texts are empty, a null id counts as the empty string when sides are dealt, repeated rows are
     documents of their own, and an empty table gives an empty result. Without any training
-    document every symbol is as likely as any other.
+    document every symbol is as likely as any other. Every context of the training text is held,
+    unless ``support`` asks for those alone that make up so much of it.
     """
+    if not 0 <= order <= MOST_ORDER:
+        raise ValueError(f"the keys are made for contexts of up to {MOST_ORDER} bytes")
     side = training_side(column_or_null(docs, "doc_id", "long"), modulus, held_out)
     rows = docs.select(column_or_null(docs, "doc_id", "long"), side.alias("learn"), "text")
-    model = train(rows.where("learn"), order=order, support=support)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     found = kept(
         rows.mapInArrow(
-            lambda batches: _tokens(batches, shared.value),
-            "row long, doc_id long, learn boolean, n_tokens long, score double, "
-            "word string, users array<short>, times array<int>, in_training long",
+            lambda batches: _tokens(batches, order),
+            "row long, doc_id long, learn boolean, n_tokens long, word string, in_training long, "
+            "key long, learnt long, lengths array<int>, bytes binary",
         ),
         "tokens",
     )
-    words = found.where("word IS NOT NULL").select("row", "word", "users", "times", "in_training")
+    words = found.where("word IS NOT NULL").select("row", "word", "in_training")
     vocabulary = words.groupBy("word").agg(F.sum("in_training").alias("c")).where("c > 0")
     vocabulary = kept(vocabulary, "vocabulary")
     total = vocabulary.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = total["n"] or 0, total["v"]
-    c = F.coalesce(F.col("c"), F.lit(0))
-    each = F.log10((c + 0.5) / F.lit(n + 0.5 * (v + 1)))
-    uses = words.drop("in_training").join(vocabulary.hint("merge"), "word", "left")
-    uses = uses.select(
-        "row", each.alias("each"), (c > 0).alias("known"),
-        F.explode(F.arrays_zip("users", "times")).alias("use"),
+    keys = found.where("key IS NOT NULL").select("row", "key", "learnt")
+    chances = _chances(keys, order=order, support=support)
+    # Written, so that the shuffle of the join is gone before the one by group.
+    model = kept(
+        keys.select("row", "key").join(chances.hint("merge"), "key").select(
+            "row", "key", F.log10("chance").cast("float").alias("chance"),
+            F.lit(None).cast("string").alias("word"), F.lit(None).cast("long").alias("c"),
+        ).unionByName(
+            words.select("row", "word").join(vocabulary.hint("merge"), "word"), allowMissingColumns=True
+        ),
+        "ppm-model",
     )
-    times = F.col("use.times")
-    sums = uses.groupBy((F.col("row") + F.col("use.users")).alias("row")).agg(
-        F.sum(F.col("each") * times).alias("base_score"),
-        F.sum(F.when(F.col("known"), times).otherwise(0)).alias("n_known"),
+    groups = found.where("lengths IS NOT NULL").select(F.col("row").alias("first"), "lengths", "bytes")
+    sums = groups.groupBy("first").cogroup(model.groupBy("row")).applyInArrow(
+        lambda left, right: _group_scores(left, right, order, n, v),
+        "row long, n_known long, base_score double, score double",
     )
-    heads = found.where("word IS NULL").select("row", "doc_id", "learn", "n_tokens", "score")
+    heads = found.where("n_tokens IS NOT NULL").select("row", "doc_id", "learn", "n_tokens")
     return heads.join(sums, "row").select(
         "doc_id",
         (~F.col("learn")).alias("held_out"),
@@ -263,56 +285,168 @@ def score(
     )
 
 
-class _Numbers(dict):
-    """Words numbered as they come."""
+def _chances(keys: DataFrame, *, order: int, support: float) -> DataFrame:
+    """``key`` and ``chance``: the probability of each key's symbol after its context.
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
+    ``keys`` has ``learnt``, how often a key is in training text; keys found elsewhere have 0 and
+    get their probability by escapes. Symbols after one context are at most 257 rows.
+    """
+    counts = kept(keys.groupBy("key").agg(F.sum("learnt").alias("n")), "ppm-keys")
+    least = max(support * (counts.agg(F.sum("n")).first()[0] or 0), 1.0)
+    inside = Window.partitionBy(F.shiftright("key", BITS))
+    levels = []
+    for depth in range(order + 1):
+        here = counts
+        if depth:  # places with so many bytes before them
+            here = here.where(F.shiftright("key", BITS * depth).bitwiseAND((1 << BITS) - 1) > 0)
+        low = F.col("key").bitwiseAND(F.lit((1 << BITS * (depth + 1)) - 1))
+        here = here.groupBy(low.alias("key")).agg(F.sum("n").alias("n"))
+        seen = F.col("n") > 0
+        if depth:
+            before = levels[-1].select(
+                F.col("key").alias("shorter"), *[F.col(c).alias(f"{c}_1") for c in levels[-1].columns if c != "key"]
+            )
+            here = here.withColumn(
+                "shorter", F.col("key").bitwiseAND(F.lit((1 << BITS * depth) - 1))
+            ).join(before.hint("merge"), "shorter")
+            here = here.withColumn("covered", F.sum(F.when(seen, F.col("n_1")).otherwise(0)).over(inside))
+        here = here.withColumn("total", F.sum("n").over(inside)).withColumn(
+            "kinds", F.sum(seen.cast("long")).over(inside)
+        )
+        whole = F.greatest(F.col("total") + F.col("kinds"), F.lit(1))
+        escape = F.when(F.col("kinds") > 0, F.col("kinds") / whole).otherwise(1.0)
+        if depth:  # what remains in the shorter context without the symbols seen in this one
+            kinds = F.col("kinds_1") - F.col("kinds")
+            rest = F.greatest(F.col("total_1") - F.col("covered") + kinds, F.lit(1))
+            on = F.when(kinds > 0, kinds / rest).otherwise(1.0)
+            below = F.when(F.col("n_1") > 0, F.col("n_1") / rest).otherwise(on * F.col("below_1"))
+        else:
+            below = 1 / F.greatest(SYMBOLS - F.col("kinds"), F.lit(1))
+        here = here.withColumn("below", below)
+        chance = F.when(seen, F.col("n") / whole).otherwise(escape * F.col("below"))
+        if depth:
+            chance = F.when(F.col("total") < least, F.col("chance_1")).otherwise(chance)
+        here = here.withColumn("chance", chance)
+        levels.append(kept(here.select("key", "n", "total", "kinds", "below", "chance"), "ppm-level"))
+    found = levels[0].select("key", "chance")
+    for level in levels[1:]:  # contexts of different lengths have different keys
+        found = found.union(level.select("key", "chance"))
+    return found
+
+
+def _keyed(found: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For pieces of a group: the number of the text, and the key, of every place."""
+    symbols = np.frombuffer(b"".join(t + b"\0" for t in found), dtype=np.uint8).astype(np.int16)
+    lengths = np.array([len(t) + 1 for t in found], dtype=np.int64)
+    ends = np.cumsum(lengths) - 1
+    symbols[ends] = END
+    held = np.zeros(order + len(symbols), dtype=np.int16)
+    held[order:] = symbols + 1
+    held[order + ends] = 0
+    owner = np.repeat(np.arange(len(found), dtype=np.int32), lengths)
+    for start in range(0, len(symbols), PIECE):
+        key = symbols[start : start + PIECE].astype(np.int64)
+        alive = np.ones(len(key), dtype=bool)
+        for k in range(1, order + 1):
+            byte = held[order + start - k : order + start - k + len(key)]
+            alive &= byte > 0
+            key |= (byte * alive).astype(np.int64) << (BITS * k)
+        yield owner[start : start + PIECE], key
+
+
+def _group(row: int, found: list[bytes], learn: list[bool], order: int) -> Iterator[pa.RecordBatch]:
+    """Keys and words of a group of documents, and the documents themselves, packed."""
+    side = np.array(learn, dtype=np.int64)
+    kinds, times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    for owner, key in _keyed(found, order):
+        key <<= 1
+        key |= side[owner]
+        some, many = np.unique(key, return_counts=True)
+        kinds, at = np.unique(np.concatenate((kinds, some)), return_inverse=True)
+        times = np.bincount(at, weights=np.concatenate((times, many))).astype(np.int64)
+    starts = np.flatnonzero(np.diff(kinds >> 1, prepend=-1))
+    yield _filled(
+        len(starts), row=pa.array(np.full(len(starts), row)), key=pa.array(kinds[starts] >> 1),
+        learnt=pa.array(np.add.reduceat(times * (kinds & 1), starts), pa.int64()),
+    )
+    in_training, used = Counter(), {b""}
+    for text, learns in zip(found, learn, strict=True):
+        (in_training if learns else used).update(text.split())
+    in_training[b""] = sum(learn)
+    used = [*(used | in_training.keys())]
+    yield _filled(
+        len(used), row=pa.array(np.full(len(used), row)),
+        word=pa.array([w.decode() for w in used], pa.string()),
+        in_training=pa.array([in_training[w] for w in used], pa.int64()),
+    )
+    packed = zstandard.ZstdCompressor(level=1).compress(b"".join(found))
+    yield _filled(
+        1, row=pa.array([row], pa.int64()), bytes=pa.array([packed], pa.binary()),
+        lengths=pa.array([[len(t) for t in found]], pa.list_(pa.int32())),
+    )
+
+
+def _group_scores(group: pa.Table, model: pa.Table, order: int, n: int, v: int) -> pa.Table:
+    """Scores of a group's documents; ``model`` has its keys and those of its words that are known."""
+    row, lengths = group.column("first")[0].as_py(), group.column("lengths")[0].as_py()
+    whole = zstandard.ZstdDecompressor().decompress(group.column("bytes")[0].as_py())
+    ends = np.cumsum([0, *lengths])
+    found = [whole[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    known = model.filter(pc.is_valid(model.column("word")))
+    known = dict(zip(known.column("word").cast(pa.binary()).to_pylist(), known.column("c").to_pylist(), strict=True))
+    base, n_known = np.zeros(len(found)), np.zeros(len(found), dtype=np.int64)
+    for i, text in enumerate(found):
+        c = np.array([known.get(w, 0) for w in [*text.split(), b""]])
+        n_known[i] = np.count_nonzero(c)
+        base[i] = np.log10((c + 0.5) / (n + 0.5 * (v + 1))).sum()
+    model = model.filter(pc.is_valid(model.column("key")))
+    keys = model.column("key").to_numpy()
+    by = np.argsort(keys)
+    keys, chance = keys[by], model.column("chance").to_numpy()[by].astype(np.float64)
+    scores = np.zeros(len(found))
+    for owner, key in _keyed(found, order):
+        scores += np.bincount(owner, weights=chance[np.searchsorted(keys, key)], minlength=len(found))
+    return pa.table(
+        {"row": np.arange(row, row + len(found)), "n_known": n_known, "base_score": base, "score": scores}
+    )
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], model: Automaton) -> Iterator[pa.RecordBatch]:
-    """A row per document, and for each group of documents a row per word: who uses it how often.
+def _tokens(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    """A row per document, and for each group of documents a row per key and word, and the texts.
 
-    ``row`` numbers documents, and in a word's row the group's first one. The end of a text is the
-    empty word.
+    ``row`` numbers documents, and in the other rows it is the group's first one. The end of a text
+    is the empty word.
     """
-    row = TaskContext.get().partitionId() << 40
+    row = first = TaskContext.get().partitionId() << 40
+    waiting: list[bytes] = []
+    sides: list[bool] = []
+    size = 0
     for batch in sliced(batches, 1000):
         lowered = [t.translate(LOWER) for t in texts(batch)]
-        learn = batch.column("learn").to_numpy(zero_copy_only=False)
         many = batch.num_rows
-        numbers = _Numbers()
-        split = [[*t.split(), b""] for t in lowered]
-        lengths = np.array([len(w) for w in split])
-        used = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), dtype=np.int64)
-        pairs, times = np.unique(
-            used * many + np.repeat(np.arange(many), lengths), return_counts=True
-        )
-        user = pairs % many
-        starts = np.flatnonzero(np.diff(pairs // many, prepend=-1))
         yield _filled(
             many, row=pa.array(np.arange(row, row + many)), doc_id=batch.column("doc_id"),
-            learn=batch.column("learn"), n_tokens=pa.array(lengths, pa.int64()),
-            score=pa.array(model.scores(lowered), pa.float64()),
-        )
-        ends = pa.array(np.append(starts, len(pairs)).astype(np.int32))
-        yield _filled(
-            len(numbers), row=pa.array(np.full(len(numbers), row)),
-            word=pa.array([w.decode() for w in numbers], pa.string()),
-            users=pa.ListArray.from_arrays(ends, pa.array(user, pa.int16())),
-            times=pa.ListArray.from_arrays(ends, pa.array(times, pa.int32())),
-            in_training=pa.array(np.add.reduceat(times * learn[user], starts), pa.int64()),
+            learn=batch.column("learn"),
+            n_tokens=pa.array([len(t.split()) + 1 for t in lowered], pa.int64()),
         )
         row += many
+        for text, side in zip(lowered, batch.column("learn").to_pylist(), strict=True):
+            if waiting and size + len(text) > GROUP:
+                yield from _group(first, waiting, sides, order)
+                first, waiting, sides, size = first + len(waiting), [], [], 0
+            waiting.append(text)
+            sides.append(side)
+            size += len(text) + 1
+    if waiting:
+        yield from _group(first, waiting, sides, order)
 
 
 def _filled(many: int, **columns: pa.Array) -> pa.RecordBatch:
     schema = pa.schema([
         ("row", pa.int64()), ("doc_id", pa.int64()), ("learn", pa.bool_()),
-        ("n_tokens", pa.int64()), ("score", pa.float64()), ("word", pa.string()),
-        ("users", pa.list_(pa.int16())), ("times", pa.list_(pa.int32())),
-        ("in_training", pa.int64()),
+        ("n_tokens", pa.int64()), ("word", pa.string()),
+        ("in_training", pa.int64()), ("key", pa.int64()), ("learnt", pa.int64()),
+        ("lengths", pa.list_(pa.int32())), ("bytes", pa.binary()),
     ])
     return pa.RecordBatch.from_arrays(
         [columns.get(f.name, pa.nulls(many, f.type)) for f in schema], schema=schema

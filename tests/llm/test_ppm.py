@@ -119,3 +119,28 @@ def test_very_long_text_and_nothing_to_learn(documents):
     assert alone.score == pytest.approx(3 * math.log10(1 / 257), rel=1e-5)
     assert (alone.n_known, alone.train_tokens) == (0, 0)
     assert ppm.score(documents([])).collect() == []
+
+
+def test_rare_contexts_are_held_whatever_the_size_of_the_corpus(documents):
+    rows = corpus(400, 7)
+    learnt_from = [i for i in range(1000, 1020) if side(i) != 1][:2]
+    rare = "quixotic zephyrs jinxed my vow"
+    rows += [(i, rare) for i in learnt_from]
+    rows.append((next(i for i in range(2000, 2020) if side(i) == 1), rare + "s"))
+    lowered = {i: t.translate(LOWER) for i, t in rows}
+    learnt = [t for i, t in lowered.items() if side(i) != 1]
+    assert sum(len(t) + 1 for t in learnt) > 3 * 2**14
+    model = brute_model(learnt, 4, 0.0)
+    found = {r.doc_id: r.score for r in ppm.score(documents(rows)).collect()}
+    for i, _ in rows[-20:]:
+        assert found[i] == pytest.approx(brute_score(model, 4, lowered[i]), rel=1e-6)
+    with pytest.raises(ValueError):
+        ppm.score(documents(rows), order=7)
+
+
+def test_groups_cut_anywhere(monkeypatch):
+    texts = [t.encode() for _, t in corpus(30, 2)] + [b"", b"ab"]
+    whole = [(o, k) for owner, key in ppm._keyed(texts, 4) for o, k in zip(owner, key, strict=True)]
+    monkeypatch.setattr(ppm, "PIECE", 7)
+    cut = [(o, k) for owner, key in ppm._keyed(texts, 4) for o, k in zip(owner, key, strict=True)]
+    assert cut == whole and len(whole) == sum(len(t) + 1 for t in texts)
