@@ -30,8 +30,10 @@ SEGMENTS = ((42, 22), (21, 21), (0, 21))
 MOST_BITS = 2
 
 
-def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (long) of every document.
+def fingerprints(
+    docs: DataFrame, *, shingle: int = 3, seed: int = 42, numbered: bool = False
+) -> DataFrame:
+    """``doc_id`` and ``fingerprint`` (long) of every document; ``row`` too if ``numbered``.
 
     A bit is set if it is in more than half of the XXH64 hashes of the lower-cased word shingles,
     repeats included. With fewer words than a shingle the whole sequence is the shingle; without
@@ -42,11 +44,14 @@ def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42) -> DataFr
         for batch in sliced(batches):
             found = [_fingerprint(t.translate(LOWER).split(), shingle, seed) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fingerprint"]
+                [*[batch.column(c) for c in carried], pa.array(found, pa.int64())],
+                [*carried, "fingerprint"],
             )
 
-    rows = docs.select(column_or_null(docs, "doc_id", "long"), "text")
-    return rows.mapInArrow(run, "doc_id long, fingerprint long")
+    carried = ["row", "doc_id"] if numbered else ["doc_id"]
+    number = ["row"] if numbered else []
+    rows = docs.select(*number, column_or_null(docs, "doc_id", "long"), "text")
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*carried, "fingerprint"]))
 
 
 def links(prints: DataFrame, *, max_bits: int = MOST_BITS) -> DataFrame:
@@ -77,13 +82,7 @@ def near_duplicates(
     but null, its ``component_id`` is null. An empty table gives an empty result.
     """
     prints = kept(fingerprints(docs, shingle=shingle, seed=seed), "fingerprints")
-    classes = kept(
-        prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "fingerprint-classes"
-    )
-    groups = components(links(classes, max_bits=max_bits)).withColumnRenamed("node", "fingerprint")
-    classes = classes.join(groups, "fingerprint", "left").withColumn(
-        "component", F.coalesce("component", "fingerprint")
-    )
+    classes = _classes(prints, max_bits)
     least = classes.groupBy("component").agg(F.min("first").alias("component_id"))
     named = classes.join(least, "component").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(
@@ -93,21 +92,44 @@ def near_duplicates(
     )
 
 
-def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """The documents that are the first of their component, with the columns of the input.
+def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
+    """Per fingerprint its least id, ``first``, and ``component``, the least fingerprint linked."""
+    classes = kept(
+        prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "fingerprint-classes"
+    )
+    groups = components(links(classes, max_bits=max_bits)).withColumnRenamed("node", "fingerprint")
+    return classes.join(groups, "fingerprint", "left").withColumn(
+        "component", F.coalesce("component", "fingerprint")
+    )
+
+
+def without_near_duplicates(
+    docs: DataFrame, *, shingle: int = 3, max_bits: int = MOST_BITS, seed: int = 42
+) -> DataFrame:
+    """One document of each component, the first by id (null last), with the columns of the input.
 
-    Of rows that repeat the first id one stays, the one whose text comes first.
+    Of rows of the component that repeat the first id, or have none where no row has one, the one
+    stays whose text comes first. Rows are numbered, so what an id does elsewhere does not matter.
     """
-    found = near_duplicates(docs, **how)
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    stays = found.where(first).select(F.col("doc_id").alias("stays")).distinct()
-    rows = docs.join(stays, docs["doc_id"].eqNullSafe(stays["stays"]), "left_semi")
-    repeated = rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again"))
-    again = rows["doc_id"].eqNullSafe(repeated["again"])
-    whole = F.struct(*[docs[c] for c in ("text", *[c for c in docs.columns if c != "text"])])
-    one = rows.join(repeated, again, "left_semi").groupBy("doc_id").agg(F.min(whole).alias("row"))
-    one = one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
-    return rows.join(repeated, again, "left_anti").select(*docs.columns).unionByName(one)
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("doc")
+    rows = kept(docs.select(F.monotonically_increasing_id().alias("row"), whole), "numbered-documents")
+    named = [F.col("doc")[c].alias(c) for c in ("doc_id", "text") if c in docs.columns]
+    prints = fingerprints(rows.select("row", *named), shingle=shingle, seed=seed, numbered=True)
+    prints = kept(prints, "fingerprints")
+    members = prints.join(_classes(prints, max_bits).select("fingerprint", "component"), "fingerprint")
+    members = kept(members.select("row", "doc_id", "component"), "members")
+    least = members.groupBy("component").agg(F.min("doc_id").alias("least"))
+    first = members.join(least, "component").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    found = first.groupBy("component").agg(F.count("*").alias("n"), F.min("row").alias("row"))
+    found = kept(found, "firsts")
+    tied = first.join(found.where("n > 1").select("component"), "component").select("component", "row")
+    order = ["text", *[c for c in docs.columns if c != "text"]]
+    order = F.struct(*[F.col("doc")[c].alias(c) for c in order])
+    tied = tied.join(rows, "row").groupBy("component").agg(
+        F.min(F.struct(order.alias("doc"), F.col("row").alias("row"))).alias("kept")
+    )
+    stays = found.where("n = 1").select("row").union(tied.select("kept.row"))
+    return rows.join(stays, "row", "left_semi").select("doc.*")
 
 
 def _fingerprint(words: list[bytes], shingle: int, seed: int) -> int:

@@ -71,6 +71,14 @@ def test_empty_table_and_extra_columns(spark, documents):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 9]
 
 
+def test_one_row_of_each_group_whatever_the_ids(documents):
+    a, b, c = "one two three four", "five six seven eight", "nine ten eleven twelve"
+    rows = [(None, a), (None, b), (None, c), (None, c), (5, "aa bb cc dd"), (5, "A0 ee ff gg"), (3, "a0 ee ff gg")]
+    found = simhash.without_near_duplicates(documents(rows)).collect()
+    want = [(None, a), (None, b), (None, c), (5, "aa bb cc dd"), (3, "a0 ee ff gg")]
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(want, key=str)
+
+
 def test_every_error_of_two_bits_shares_a_key():
     rng = np.random.default_rng(1)
     prints = rng.integers(-(2**63), 2**63, 20, dtype=np.int64)
