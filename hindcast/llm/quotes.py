@@ -2,19 +2,23 @@
 
 Lines that start with ``>`` are quoted, as deep as there are ``>``. A quoted line is looked up by a
 hash of its normalised text among the unquoted lines of its conversation; the message that said it
-first is its source. A message replies to the source of what it quotes least deep, the latest one
+first is its source. Lines that find none, since a mail client wrapped them anew or they are part of
+a line, are looked up as passages: the quoted lines around them at one depth, joined, must be in the
+unquoted text of a message, whatever its line breaks. A message replies to the source of what it quotes least deep, the latest one
 if there are several. Replies form trees, whose roots are found by doubling the steps up.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.llm.common import column_or_null, kept
 
 MARKS = r"^[ \t>]*"
 KEY = ["conv_id", "turn"]
+#: Words in the windows by which passages are looked up; shorter passages must be whole lines.
+WINDOW = 4
 
 
 def _depth(line: Column) -> Column:
@@ -29,10 +33,10 @@ def _normalised(line: Column) -> Column:
 
 
 def _lines(messages: DataFrame) -> DataFrame:
-    """Lines with something in them: the message, ``place``, ``depth``, ``hash``."""
-    rows = messages.select(*KEY, F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    rows = rows.select(*KEY, "place", _depth(F.col("line")).alias("depth"), _normalised(F.col("line")).alias("said"))
-    return rows.where("said <> ''").select(*KEY, "place", "depth", F.md5("said").alias("hash"))
+    """Lines with something in them: the message, ``place``, ``depth``, ``said``, ``hash``."""
+    rows = messages.select(*KEY, F.md5("text").alias("message"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    rows = rows.select(*KEY, "message", "place", _depth(F.col("line")).alias("depth"), _normalised(F.col("line")).alias("said"))
+    return rows.where("said <> ''").withColumn("hash", F.md5("said"))
 
 
 def links(messages: DataFrame) -> DataFrame:
@@ -44,8 +48,57 @@ def links(messages: DataFrame) -> DataFrame:
     lines = _lines(messages)
     said = lines.where("depth = 0 AND conv_id IS NOT NULL AND turn IS NOT NULL")
     first = said.groupBy("conv_id", "hash").agg(F.min("turn").alias("source_turn"))
-    quoted = lines.where("depth > 0")
-    return quoted.join(first, ["conv_id", "hash"]).where("source_turn < turn").drop("hash")
+    quoted = lines.where("depth > 0 AND conv_id IS NOT NULL AND turn IS NOT NULL")
+    by_line = quoted.join(first, ["conv_id", "hash"]).where("source_turn < turn")
+    by_line = kept(by_line.select(*KEY, "place", "depth", "source_turn"), "quoted-lines")
+    rest = kept(_passages(quoted, by_line), "quoted-passages")
+    if rest.isEmpty():
+        return by_line
+    return by_line.union(_passage_links(rest, first, said))
+
+
+def _passages(quoted: DataFrame, linked: DataFrame) -> DataFrame:
+    """Passages with lines that are not linked: ``said``, its ``hash``, and those lines' ``places``."""
+    lines = quoted.select(*KEY, "message", "depth", "place", "said").distinct()
+    known = linked.select(*KEY, "place").distinct().withColumn("known", F.lit(True))
+    lines = lines.join(known, [*KEY, "place"], "left")
+    run = Window.partitionBy(*KEY, "message", "depth").orderBy("place")
+    lines = lines.withColumn("run", F.col("place") - F.row_number().over(run))
+    parts = F.sort_array(F.collect_list(F.struct("place", "said")))
+    found = lines.groupBy(*KEY, "message", "depth", "run").agg(
+        F.array_join(parts["said"], " ").alias("said"),
+        F.collect_list(F.when(F.col("known").isNull(), F.col("place"))).alias("places"),
+    )
+    return found.where(F.size("places") > 0).withColumn("hash", F.md5("said"))
+
+
+def _windows(said: Column) -> Column:
+    words = F.split(said, " ")
+    starts = F.sequence(F.lit(1), F.size(words) - WINDOW + 1)
+    each = F.transform(starts, lambda k: F.xxhash64(F.array_join(F.slice(words, k, WINDOW), " ")))
+    return F.when(F.size(words) >= WINDOW, F.array_distinct(each))
+
+
+def _passage_links(rest: DataFrame, first: DataFrame, said: DataFrame) -> DataFrame:
+    """As :func:`links`, for lines of passages: the first message that holds the whole passage."""
+    whole = rest.join(first, ["conv_id", "hash"]).where("source_turn < turn")
+    found = whole.select(*KEY, "message", "depth", "run", "places", "source_turn")
+    parts = F.sort_array(F.collect_list(F.struct("place", "said")))
+    here = said.join(rest.select("conv_id").distinct(), "conv_id", "left_semi")
+    here = here.select(*KEY, "message", "place", "said").distinct()
+    here = here.groupBy("conv_id", F.col("turn").alias("source_turn"), "message").agg(
+        F.array_join(parts["said"], " ").alias("text")
+    )
+    here = kept(here.withColumnRenamed("message", "source"), "quote-sources")
+    places = here.select("conv_id", "source_turn", "source", F.explode(_windows(F.col("text"))).alias("window"))
+    asked = rest.withColumn("window", _windows(F.col("said"))[0]).where("window IS NOT NULL")
+    maybe = asked.join(places, ["conv_id", "window"]).where("source_turn < turn")
+    blank = F.lit(" ")
+    holds = F.contains(F.concat(blank, "text", blank), F.concat(blank, "said", blank))
+    inside = maybe.join(here, ["conv_id", "source_turn", "source"]).where(holds)
+    found = found.union(inside.select(*found.columns))
+    found = found.groupBy(*KEY, "message", "depth", "run", "places").agg(F.min("source_turn").alias("source_turn"))
+    return found.select(*KEY, F.explode("places").alias("place"), "depth", "source_turn")
 
 
 def reply_trees(quoted: DataFrame) -> DataFrame:

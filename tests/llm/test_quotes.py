@@ -104,3 +104,20 @@ def test_sql_says_the_same(spark):
     clean = lambda x: None if x is None or x != x else x  # noqa: E731  pandas turns null turns to NaN
     want = sorted((tuple(map(clean, r)) for r in found.fetchall()), key=str)
     assert sorted((tuple(r) for r in quotes.conversations(frame).select(*names).collect()), key=str) == want
+
+
+def test_wrapped_anew_and_partial_quotes(spark):
+    rows = [
+        (1, 0, "user", "Alpha beta gamma delta epsilon zeta. And one more sentence stands here.\nshort line"),
+        (1, 1, "user", "nothing\nof\nthe kind"),
+        (1, 2, "user", "> alpha beta  gamma\n> DELTA epsilon zeta.\nyes"),
+        (1, 3, "user", "> one more sentence stands\nno"),
+        (1, 4, "user", "> nothing of the kind\nwell"),
+        (1, 5, "user", "> pha beta gamma delta\n> gamma\n\n> beta of"),
+        (1, 6, "user", "> short\n> line"),
+        (2, 0, "user", "> one more sentence stands"),
+    ]
+    frame = quotes.conversations(spark.createDataFrame(rows, MESSAGES))
+    found = {(r.conv_id, r.turn): (r.n_quoted, r.n_linked, r.parent_turn) for r in frame.collect()}
+    assert [found[1, t] for t in range(2, 7)] == [(2, 2, 0), (1, 1, 0), (1, 1, 1), (3, 0, None), (2, 2, 0)]
+    assert found[2, 0] == (1, 0, None)
