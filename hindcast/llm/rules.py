@@ -46,20 +46,18 @@ def ratios(
     labels: DataFrame,
     *,
     label: str = "quality",
-    sample: int = 20_000,
     smoothing: float = 1.0,
 ) -> np.ndarray:
     """Log ratio of trusted to raw probability, by bucket.
 
-    Raw counts are those of all documents. Trusted are documents labelled 1: ``sample`` of them,
-    in the order of a hash of their id, so that their ids can be broadcast. Without trusted text
-    all ratios are 0.
+    Raw counts are those of all documents. Trusted are all documents labelled 1. Without trusted
+    text all ratios are 0.
     """
     trusted = labels.where(F.col(label) == 1).select(F.col("doc_id").cast("long").alias("id"))
     trusted = trusted.where("id IS NOT NULL").distinct()
-    trusted = trusted.orderBy(F.md5(F.col("id").cast("string")), "id").limit(sample)
     rows = docs.select(column_or_null(docs, "doc_id", "long"), "text")
-    rows = rows.join(F.broadcast(trusted), F.col("doc_id") == F.col("id"), "left")
+    nameless = rows.where("doc_id IS NULL").withColumn("id", F.lit(None).cast("long"))
+    rows = rows.where("doc_id IS NOT NULL").join(trusted, F.col("doc_id") == F.col("id"), "left").union(nameless)
     counted = rows.select(F.col("id").isNotNull().alias("trusted"), "text").mapInArrow(
         _count, "bucket int, raw long, trusted long"
     )

@@ -95,3 +95,9 @@ def test_long_texts_empty_tables_and_extra_columns(spark, documents):
     assert kept.columns == docs.columns
     assert [r.doc_id for r in kept.collect()] == [1, 1]
     assert rules.rules(documents([]), labels).collect() == []
+
+
+def test_all_trusted_documents_count(spark, documents):
+    rows = [(i, f"text {i} of many") for i in range(20_050)]
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in rows], LABELS)
+    assert not rules.ratios(documents(rows), labels).any()
