@@ -3,9 +3,22 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hindcast.llm import licenses, mixing, packing, ppm, quality, quotes, rules, simhash, substring, vectors
+from hindcast.llm import (
+    licenses,
+    mixing,
+    packing,
+    periodic,
+    ppm,
+    quality,
+    quotes,
+    rules,
+    simhash,
+    substring,
+    vectors,
+)
 from hindcast.llm.common import table
 
 
@@ -134,6 +147,31 @@ def op10_ppm(spark, sf_dir):
     return ppm.score(table(spark, sf_dir, "documents"))
 
 
+def op13_runs(spark, sf_dir):
+    """Periodic runs of all documents, some made periodic, and the texts without them."""
+    return op13_rows(table(spark, sf_dir, "documents"))
+
+
+def op13_rows(docs):
+    """The digest columns of the runs of these documents."""
+    found = periodic.collapsed(periodic.planted(docs), least=12)
+    found = found.withColumn("best", periodic.longest(F.col("runs")))
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 CASES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_mix": (op1_mix, OP1_SQL),
@@ -146,4 +184,5 @@ CASES = {
     "op8_substring": (op8_substring, None),
     "op9_packing": (op9_packing, None),
     "op10_ppm": (op10_ppm, None),
+    "op13_runs": (op13_runs, None),
 }
