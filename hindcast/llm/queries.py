@@ -17,6 +17,7 @@ from hindcast.llm import (
     rules,
     simhash,
     substring,
+    toxicity,
     vectors,
 )
 from hindcast.llm.common import table
@@ -147,6 +148,12 @@ def op10_ppm(spark, sf_dir):
     return ppm.score(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark, sf_dir):
+    """Toxicity of all documents, learnt from all votes and the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.5)
+
+
 def op13_runs(spark, sf_dir):
     """Periodic runs of all documents, some made periodic, and the texts without them."""
     return op13_rows(table(spark, sf_dir, "documents"))
@@ -184,5 +191,6 @@ CASES = {
     "op8_substring": (op8_substring, None),
     "op9_packing": (op9_packing, None),
     "op10_ppm": (op10_ppm, None),
+    "op11_toxicity": (op11_toxicity, None),
     "op13_runs": (op13_runs, None),
 }
