@@ -14,6 +14,7 @@ from hindcast.llm import (
     ppm,
     quality,
     quotes,
+    repair,
     rules,
     simhash,
     substring,
@@ -154,6 +155,12 @@ def op11_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.5)
 
 
+def op12_repair(spark, sf_dir):
+    """All conversations, damaged by a hash of their rows' places and repaired at least cost."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(rows), rows)
+
+
 def op13_runs(spark, sf_dir):
     """Periodic runs of all documents, some made periodic, and the texts without them."""
     return op13_rows(table(spark, sf_dir, "documents"))
@@ -192,5 +199,6 @@ CASES = {
     "op9_packing": (op9_packing, None),
     "op10_ppm": (op10_ppm, None),
     "op11_toxicity": (op11_toxicity, None),
+    "op12_repair": (op12_repair, None),
     "op13_runs": (op13_runs, None),
 }
