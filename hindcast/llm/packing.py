@@ -17,18 +17,21 @@ Spark numbers the pieces of each length and joins them to their places.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hindcast.llm.common import LOWER, column_or_null, kept, sliced, texts
+from hindcast.llm.common import column_or_null, kept, sliced
 
 #: Words whose tokens a Python worker remembers.
 REMEMBERED = 400_000
@@ -40,19 +43,43 @@ GROUPS = (8, 16, 32)
 PARTS = 1024
 
 
+def _splits_at_blanks(path: str) -> bool:
+    """Whether the file describes what ``_Tokens`` relies on: small letters, no pre-token across
+    white space, letters apart from marks, characters of bytes for the model."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    normal = spec.get("normalizer") or {}
+    steps = [n.get("type") for n in normal.get("normalizers", [normal])]
+    before = spec.get("pre_tokenizer") or {}
+    cuts = before.get("pretokenizers", [])
+    return (
+        spec["model"].get("type") == "BPE"
+        and steps == ["NFC", "Replace", "Lowercase"]
+        and [c.get("type") for c in cuts] == ["Split", "ByteLevel"]
+        and cuts[0].get("invert") is True
+        and "[\\p{L}]+" in cuts[0]["pattern"].get("Regex", "")
+        and cuts[1].get("use_regex") is False
+        and cuts[1].get("add_prefix_space") is False
+    )
+
+
 class _Tokens(dict):
     """Token ids of words between white space, as little-endian unsigned 32-bit numbers.
 
     No pre-token crosses ASCII white space, so a text's ids are those of its words in a row. Words
     of Latin-1 letters are one pre-token; the model itself takes them, which saves half the time.
+    A tokenizer that is made otherwise gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = _splits_at_blanks(path)
         self.model = self.tokenizer.model
-        self.as_characters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        as_characters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        #: What the model reads for each letter above ASCII.
+        self.letters = {c: as_characters.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
         self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
@@ -73,14 +100,31 @@ class _Tokens(dict):
         if word.isalpha() and max(word) <= "\xff":
             word = word.lower()
             if not word.isascii():
-                word = self.as_characters.pre_tokenize_str(word)[0][0]
+                word = word.translate(self.letters)
             return [t.id for t in self.model.tokenize(word)]
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
-    def of(self, text: bytes) -> bytes:
-        if b"<|" not in text:  # else a special token in capitals would become one
-            text = text.translate(LOWER)
-        return b"".join(map(self.__getitem__, text.split()))
+    def of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin (one more: where the last ends)."""
+        found = pc.fill_null(column.cast(pa.string()), "")
+        if not self.by_words:
+            each = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in found.to_pylist()]
+            flat = np.fromiter((i for ids in each for i in ids), dtype="<u4")
+            return flat, np.cumsum([0, *map(len, each)])
+        if not pc.any(pc.match_substring(found, "<|")).as_py():  # capitals could make a special token
+            found = pc.ascii_lower(found)
+        words = pc.ascii_split_whitespace(found)
+        coded = words.flatten().dictionary_encode()
+        # Python sees each distinct word of the texts once.
+        ids = [self[w] if w else b"" for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        code = coded.indices.to_numpy()
+        lengths = size[code]
+        ends = np.cumsum(lengths)
+        first = (np.cumsum(size) - size)[code] - (ends - lengths)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")[np.repeat(first, lengths) + np.arange(lengths.sum())]
+        offsets = words.offsets.to_numpy()
+        return flat, np.append(0, ends)[offsets - offsets[0]]
 
 
 @cache
@@ -92,10 +136,11 @@ def _cut(
     batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int, end: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
     tokens, last, step = _tokens(tokenizer), np.array([end], dtype="<u4").tobytes(), 4 * capacity
-    for batch in sliced(batches, 200):
+    for batch in sliced(batches, 500):
         from_doc, piece, start, length, crc, ids = [], [], [], [], [], []
-        for i, text in enumerate(texts(batch)):
-            whole = tokens.of(text) + last
+        flat, edges = tokens.of(batch.column("text"))
+        for i, (first, beyond) in enumerate(pairwise(edges.tolist())):
+            whole = flat[first:beyond].tobytes() + last
             for k, at in enumerate(range(0, len(whole), step)):
                 part = whole[at : at + step]
                 from_doc.append(i)
