@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,11 @@ SYMBOLS = b"#*$%&|<>"
 #: Bytes in an n-gram, and bits of its bucket.
 GRAM = 4
 BITS = 16
+#: Bits of the filter of trusted ids, as a power of two.
+SIFT = 24
+#: Buckets whose counts share a row, and lots in which tasks' counts are added up first.
+CHUNK, LOTS = 4096, 256
+COUNTED = "chunk int, lot int, buckets array<int>, n array<long>"
 #: Words in the windows whose repetition within a text counts.
 REPEATED = 5
 COUNTS = "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
@@ -56,40 +62,81 @@ def ratios(
     trusted = labels.where(F.col(label) == 1).select(F.col("doc_id").cast("long").alias("id"))
     trusted = trusted.where("id IS NOT NULL").distinct()
     rows = docs.select(column_or_null(docs, "doc_id", "long"), "text")
-    nameless = rows.where("doc_id IS NULL").withColumn("id", F.lit(None).cast("long"))
-    rows = rows.where("doc_id IS NOT NULL").join(trusted, F.col("doc_id") == F.col("id"), "left").union(nameless)
-    counted = rows.select(F.col("id").isNotNull().alias("trusted"), "text").mapInArrow(
-        _count, "bucket int, raw long, trusted long"
-    )
-    found = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
+    # Texts are only shuffled if they may be trusted, and always in the same way, whatever the sizes.
+    maybe = _sifted(rows, trusted).join(trusted.hint("merge"), F.col("doc_id") == F.col("id"))
+    found = None
+    for part, side in ((rows, 0), (maybe, 1)):
+        counted = part.select("text").mapInArrow(_count, COUNTED).withColumn("side", F.lit(side))
+        found = counted if found is None else found.union(counted)
+    # Counts travel as arrays, some rows a task, and are added up in two steps: of 256 lots, then all.
+    for keys in (("side", "chunk", "lot"), ("side", "chunk")):
+        found = found.groupBy(*keys).applyInArrow(_added, f"{COUNTED}, side int")
     counts = np.zeros((2, 1 << BITS))
-    for r in found.collect():  # a row per bucket
-        counts[:, r["bucket"]] = r["raw"], r["trusted"]
+    for r in found.collect():  # a row per chunk of buckets
+        counts[r["side"], r["buckets"]] = r["n"]
     if not counts[1].any():
         return np.zeros(1 << BITS)
     shares = (counts + smoothing) / (counts + smoothing).sum(axis=1, keepdims=True)
     return np.log(shares[1]) - np.log(shares[0])
 
 
+def _sifted(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``doc_id`` is among ``ids``, and a few others: a bit per hash, sent to all tasks.
+
+    The filter has 2^SIFT bits however many ids there are: 2 MB. The more ids, the more others pass.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << SIFT))
+    bits = ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+    bits = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    mine = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SIFT))
+    rows = rows.where("doc_id IS NOT NULL").withColumn("place", mine)
+    rows = rows.withColumn("bucket", F.bitmap_bucket_number("place"))
+    rows = rows.join(F.broadcast(bits), "bucket")
+    byte = "CAST(conv(hex(substring(bits, CAST(bitmap_bit_position(place) DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    return rows.where(f"shiftright({byte}, CAST(bitmap_bit_position(place) % 8 AS INT)) & 1 = 1").select("doc_id", "text")
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, 1 << BITS), dtype=np.int64)
+    counts = np.zeros(1 << BITS, dtype=np.int64)
     for batch in sliced(batches):
-        for text, trusted in zip(texts(batch), batch.column("trusted").to_pylist(), strict=True):
-            here = np.bincount(_buckets(text), minlength=1 << BITS) if len(text) > 20_000 else None
-            if here is not None:
-                counts[0] += here
-                counts[1] += here * trusted
-            else:
-                buckets, n = np.unique(_buckets(text), return_counts=True)
-                counts[0, buckets] += n
-                counts[1, buckets] += n * trusted
-    used = np.flatnonzero(counts[0])
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used, pa.int32()), pa.array(counts[0, used]), pa.array(counts[1, used])],
-        ["bucket", "raw", "trusted"],
+        held: list[np.ndarray] = []
+        size = 0
+        for text in texts(batch):
+            held.append(_buckets(text))
+            size += len(held[-1])
+            if size > 1 << 20:
+                counts += np.bincount(np.concatenate(held), minlength=1 << BITS)
+                held, size = [], 0
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=1 << BITS)
+    yield _packed(counts, TaskContext.get().partitionId() % LOTS)
+
+
+def _packed(counts: np.ndarray, lot: int) -> pa.RecordBatch:
+    """Counts above zero, a row for each chunk of buckets that has some."""
+    used = np.flatnonzero(counts)
+    chunks, first = np.unique(used // CHUNK, return_index=True)
+    edges = pa.array(np.append(first, len(used)), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(chunks, pa.int32()),
+            pa.array(np.full(len(chunks), lot), pa.int32()),
+            pa.ListArray.from_arrays(edges, pa.array(used, pa.int32())),
+            pa.ListArray.from_arrays(edges, pa.array(counts[used], pa.int64())),
+        ],
+        ["chunk", "lot", "buckets", "n"],
     )
 
 
+def _added(rows: pa.Table) -> pa.Table:
+    counts = np.zeros(1 << BITS, dtype=np.int64)
+    for batch in rows.to_batches():
+        np.add.at(counts, batch.column("buckets").flatten().to_numpy(), batch.column("n").flatten().to_numpy())
+    side = rows.column("side")[0].as_py()
+    found = pa.Table.from_batches([_packed(counts, 0)])
+    return found.append_column("side", pa.array([side] * len(found), pa.int32()))
+
+
 def _measures(text: bytes, memory: _Hashes) -> tuple[int, int, int, int, int]:
     words = text.split()
     lines = [line for line in text.split(b"\n") if line.strip()]

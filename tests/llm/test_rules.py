@@ -101,3 +101,23 @@ def test_all_trusted_documents_count(spark, documents):
     rows = [(i, f"text {i} of many") for i in range(20_050)]
     labels = spark.createDataFrame([(i, 1, 0) for i, _ in rows], LABELS)
     assert not rules.ratios(documents(rows), labels).any()
+
+
+def test_filter_keeps_every_id_and_drops_most_others(spark):
+    rows = spark.range(5000).selectExpr("IF(id = 17, NULL, id) AS doc_id", "CAST(id AS STRING) AS text")
+    ids = spark.range(0, 5000, 3).toDF("id")
+    kept = {r.doc_id for r in rules._sifted(rows, ids).collect()}
+    assert kept >= set(range(0, 5000, 3)) and len(kept) < 1700
+    assert rules._sifted(rows, ids.limit(0)).count() == 0
+
+
+def test_ratios_do_not_hang_on_how_spark_joins(spark, documents):
+    rows, labels = documents([(k, f"some words {k % 7} here") for k in range(60)]), [(k, int(k % 3 == 0)) for k in range(40)]
+    labels = spark.createDataFrame([(k, q, 0) for k, q in labels], "doc_id long, quality int, toxic int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = []
+    for limit in ("-1", "100m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        found.append(rules.ratios(rows, labels))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert (found[0] == found[1]).all() and found[0].any()
