@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from acceptance.inputs import (
@@ -20,6 +21,7 @@ from acceptance.inputs import (
     table,
 )
 from hindcast.contract import LIVE, PREVIOUS_RUNS
+from hindcast.errors import QuarantinedError
 from hindcast.operators.changes import freshness as freshness_of
 from hindcast.operators.changes import latest_manifest as manifest_of
 from hindcast.operators.changes import mark_changes
@@ -30,7 +32,6 @@ from hindcast.plans.curate import curate_live, curate_previous_runs
 from hindcast.plans.report import quarantined
 from hindcast.session import shared_folder
 from hindcast.settings import Backfill, layouts
-from hindcast.sources import storage
 from hindcast.sources.lake import Lake
 from hindcast.streaming.ingest import ingest, ingest_stream
 
@@ -335,21 +336,12 @@ QUALIFY row_number() OVER (PARTITION BY as_of, m.product, interval_start, series
   ORDER BY m.fetched_at DESC) = 1"""
 
 
-def _write_raw(lake, responses):
-    """Bodies as the files a poller keeps, one per response."""
-    stamp = F.date_format("fetched_at", "yyyyMMdd'T'HHmmss'Z'")
-    day = F.date_format("fetched_at", "yyyy-MM-dd")
-    name = F.concat(F.lit("raw/"), "product", F.lit("/date="), day, F.lit("/fetched="), stamp, F.lit(".json"))
-    for row in responses.select(name.alias("name"), "body").toLocalIterator():
-        storage.write_text(lake.spark, lake.path(row.name), row.body)
-
-
 def two_streams(spark, sf):
     """One lake fed by a stream over raw files and one over landed responses, each with a progress
     of its own."""
     lake = Lake(spark, shared_folder(spark, "lake"))
     responses = polled_responses(spark, sf)
-    _write_raw(lake, responses.where(F.col("fetched_at") < AS_OF))
+    lake.keep_raw(responses.where(F.col("fetched_at") < AS_OF))
     lake.land_responses(responses.where(F.col("fetched_at") >= AS_OF), "landing")
     for landed in (False, True):
         where = shared_folder(spark, "progress")
@@ -361,7 +353,8 @@ def two_streams(spark, sf):
 def raw_files(spark, sf):
     """Responses kept as files, scanned with what their names and bodies say."""
     lake = Lake(spark, shared_folder(spark, "lake"))
-    _write_raw(lake, daily_responses(spark, sf))
+    lake.keep_raw(daily_responses(spark, sf))
+    lake.keep_raw(daily_responses(spark, sf).withColumn("body", F.lit("[]")))  # never replaces one
     found = _values(spark, lake.raw_files())
     return plain(found.select("product", "fetched_at", "rows", "dropped", "problem"))
 
@@ -506,6 +499,58 @@ def previous_runs_lake(spark, sf):
     return _backfilled(lake)
 
 
+def raw_previous_runs(spark, sf):
+    """The same responses kept as files under the names of previous runs, found and ingested."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    lake.keep_raw(_past(spark, sf))
+    where = shared_folder(spark, "progress")
+    ingest(lake, products(backfill=LEADS), where, kind=PREVIOUS_RUNS)
+    return _backfilled(lake)
+
+
+class _DiesOnce(Lake):
+    """A lake whose first write of postings fails, as if the job were lost there."""
+
+    alive = False
+
+    def write_postings(self, rows):
+        if not self.alive:
+            self.alive = True
+            raise OSError("lost")
+        super().write_postings(rows)
+
+
+def failed_runs(spark, sf):
+    """What each run of two streams fails for: its own refused responses, all of them, also after a
+    run that died between refusing and publishing."""
+    lake = _DiesOnce(spark, shared_folder(spark, "lake"))
+    spoiled = _spoiled(spark, sf)
+    lake.keep_raw(spoiled.where("product IN ('click', 'view')"))
+    lake.land_responses(spoiled.where("product NOT IN ('click', 'view')"), "landing")
+    files, table = shared_folder(spark, "progress"), shared_folder(spark, "progress")
+    found = None
+    runs = [("files", files, False), ("table", table, True), ("replay", files, False), ("idle", table, True)]
+    for name, where, landed in runs:
+        refused = ()
+        try:
+            ingest(lake, products(), where, unit="batch", landed=landed)
+        except QuarantinedError as error:
+            refused = error.batches
+        except StreamingQueryException:
+            refused = None  # died
+        if refused:
+            mine = lake.quarantine().where(F.col("batch").isin(list(refused)))
+            mine = mine.select(F.lit(name).alias("run"), "product", "fetched_at", "problem")
+            found = mine if found is None else found.unionByName(mine)
+    return plain(found)
+
+
+FAILED_RUNS_SQL = """SELECT DISTINCT CASE WHEN event_type IN ('click', 'view') THEN 'replay' ELSE 'table' END AS run,
+  event_type AS product, date_trunc('day', ts) + INTERVAL 1 DAY AS fetched_at,
+  'time is not unixtime for n1' AS problem
+FROM events WHERE day(date_trunc('day', ts) + INTERVAL 1 DAY) % 8 = 1"""
+
+
 def previous_runs_refetched(spark, sf):
     """An older fetch of the same days, with other values, arrives last: the newer one stands."""
     lake = Lake(spark, shared_folder(spark, "lake"))
@@ -586,6 +631,8 @@ CASES = {
     "late_ingest": (late_ingest, LATE_SQL),
     "curated_lake": (curated_lake, CURATED_LAKE_SQL),
     "previous_runs_lake": (previous_runs_lake, PREVIOUS_RUNS_SQL),
+    "raw_previous_runs": (raw_previous_runs, PREVIOUS_RUNS_SQL),
+    "failed_runs": (failed_runs, FAILED_RUNS_SQL),
     "previous_runs_refetched": (previous_runs_refetched, PREVIOUS_RUNS_SQL),
     "two_streams": (two_streams, STREAM_SQL),
     "late_ingest_direct": (late_ingest_direct, LATE_SQL),

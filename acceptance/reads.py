@@ -24,6 +24,7 @@ from hindcast.operators.sets import excess, union_by_name
 from hindcast.operators.vintages import (
     join_zone_series,
     lead_table,
+    overlap_join,
     revisions,
     unpivot_leads,
     with_units,
@@ -388,7 +389,42 @@ FROM d GROUP BY ALL HAVING sum(n) > 0"""
 POSTINGS_SQL = """SELECT interval_start, interval_minutes, series, value, posted_at, ingested_at,
   source FROM lake WHERE """
 
+
+def _hours_and_quarters(spark, sf):
+    """Hourly sums per event type, and means of quarters of an hour that begin five minutes late."""
+    e = events(spark, sf)
+    value = F.round(F.col("value") * 100).cast("long")
+    hours = e.groupBy(F.col("event_type").alias("series"), F.date_trunc("hour", "ts").alias("interval_start"))
+    hours = hours.agg((F.sum(value) / 100).alias("value")).withColumn("interval_minutes", F.lit(60))
+    quarter = F.floor((F.unix_seconds("ts") - 300) / 900) * 900 + 300
+    quarters = e.groupBy(F.col("event_type").alias("series"), F.timestamp_seconds(quarter).alias("interval_start"))
+    quarters = quarters.agg((F.sum(value) / 100).alias("value")).withColumn("interval_minutes", F.lit(15))
+    return hours, quarters
+
+
+def resolutions(spark, sf):
+    """Each hour with the mean of the quarters that overlap it, weighted by shared minutes."""
+    hours, quarters = _hours_and_quarters(spark, sf)
+    found = overlap_join(hours, quarters, ["series"], bin_minutes=90)
+    return plain(found.withColumn("other_value", F.round("other_value", 6)))
+
+
+RESOLUTIONS_SQL = """WITH e AS (SELECT event_type AS series, ts, CAST(round(value * 100) AS BIGINT) AS v FROM events),
+h AS (SELECT series, date_trunc('hour', ts) AS interval_start, sum(v) / 100 AS value, 60 AS interval_minutes
+  FROM e GROUP BY ALL),
+q AS (SELECT series, time_bucket(INTERVAL 15 MINUTE, ts - INTERVAL 5 MINUTE) + INTERVAL 5 MINUTE AS begin,
+  sum(v) / 100 AS value FROM e GROUP BY ALL),
+p AS (SELECT h.series, h.interval_start, q.value, (least(epoch_us(h.interval_start) + 3600000000,
+    epoch_us(q.begin) + 900000000) - greatest(epoch_us(h.interval_start), epoch_us(q.begin))) / 6e7 AS shared
+  FROM h JOIN q ON h.series = q.series AND q.begin < h.interval_start + INTERVAL 1 HOUR
+    AND q.begin + INTERVAL 15 MINUTE > h.interval_start)
+SELECT h.series, h.interval_start, any_value(h.value)::DOUBLE AS value, any_value(interval_minutes) AS interval_minutes,
+  round(sum(p.value * shared) / sum(shared), 6) AS other_value, coalesce(sum(shared), 0) AS shared_minutes
+FROM h LEFT JOIN p ON h.series = p.series AND h.interval_start = p.interval_start
+GROUP BY h.series, h.interval_start"""
+
 CASES = {
+    "resolutions": (resolutions, RESOLUTIONS_SQL),
     "snapshot": (_snapshot(), _snapshot_sql()),
     "snapshot_live": (_snapshot(sources=["live"]), _snapshot_sql("source = 'live'")),
     "snapshot_second_clock": (

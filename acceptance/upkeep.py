@@ -17,14 +17,14 @@ from acceptance.inputs import (
     plain,
     table,
 )
-from acceptance.reads import RANK_SQL, SNAPSHOT_SQL
+from acceptance.reads import POSTINGS_SQL, RANK_SQL, SNAPSHOT_SQL
 from hindcast.functions.columns import stamp
 from hindcast.operators import checks
 from hindcast.operators.calendar import coverage_gaps as gaps
 from hindcast.operators.calendar import latest_windows
 from hindcast.operators.calendar import window_plan as plan
 from hindcast.operators.changes import alarm_hours as alarms
-from hindcast.operators.reads import snapshot
+from hindcast.operators.reads import postings, snapshot
 from hindcast.plans.catalog import (
     expected_series,
     merge_entries,
@@ -105,6 +105,43 @@ def compacted_snapshot(spark, sf):
     return plain(known)
 
 
+def _units(spark, sf):
+    """Events with the day and the unit they would be posted in: six hours of polls, or a backfill."""
+    block = F.date_trunc("hour", "posted_at")
+    live = F.concat(F.lit("part-"), stamp(block - F.make_dt_interval(hours=F.hour("posted_at") % 6)))
+    unit = F.when(F.col("source") == "live", live).otherwise(F.lit("previous-runs"))
+    return _named(spark, sf).withColumns({"date": F.to_date("interval_start"), "posting": unit})
+
+
+def flat_compacted_snapshot(spark, sf):
+    """A lake of one file per posting and day, merged in two runs, new files in between, each day then
+    one file."""
+    kept = Lake(spark, shared_folder(spark, "lake"))
+    rows = _units(spark, sf)
+    early = F.col("posted_at") < AS_OF
+    kept.write_flat(rows.where(early | (F.col("source") != "live")))
+    now = NOW + timedelta(days=36500)
+    compact(kept, now=now)
+    kept.write_flat(rows.where(~early & (F.col("source") == "live")))
+    compact(kept, now=now + timedelta(hours=2))
+    files = kept.curated_files().groupBy("date").agg(F.count("*").alias("files"), F.max("posting").alias("name"))
+    merged = kept.curated().join(files.where("files = 1 AND name LIKE 'merged-%'"), "date", "left_semi")
+    known = snapshot(merged.drop("product", "posting"), FIRST, BEYOND, as_of=AS_OF, max_days=None)
+    return plain(known)
+
+
+def postings_while_merging(spark, sf):
+    """Every version, read from a lake where merged units and what they replace lie side by side."""
+    kept = Lake(spark, shared_folder(spark, "lake"))
+    kept.write_flat(_units(spark, sf))
+    before = kept.curated_files().count()
+    compact(kept, now=NOW + timedelta(days=36500), delete_sources=False)
+    if kept.curated_files().count() <= before:
+        raise AssertionError("sources were meant to stay")
+    rows = kept.curated().drop("product", "posting")
+    return plain(postings(rows, FIRST, BEYOND, as_of=BEYOND, max_days=None))
+
+
 def lake_snapshot(spark, sf):
     """The whole way: rows landed in a lake, its catalog published, and read through it."""
     kept = Lake(spark, shared_folder(spark, "lake"))
@@ -279,6 +316,11 @@ CASES = {
         compacted_snapshot,
         f"WITH {LAKE_SQL} {SNAPSHOT_SQL} posted_at <= TIMESTAMP '2024-01-15 12:00:00' {RANK_SQL}",
     ),
+    "flat_compacted_snapshot": (
+        flat_compacted_snapshot,
+        f"WITH {LAKE_SQL} {SNAPSHOT_SQL} posted_at <= TIMESTAMP '2024-01-15 12:00:00' {RANK_SQL}",
+    ),
+    "postings_while_merging": (postings_while_merging, f"WITH {LAKE_SQL} {POSTINGS_SQL} true"),
     "lake_snapshot": (
         lake_snapshot,
         f"""WITH {LAKE_SQL} {SNAPSHOT_SQL} posted_at <= TIMESTAMP '2024-01-15 12:00:00'

@@ -30,4 +30,13 @@ class MissingBodyError(LakeError):
 
 
 class QuarantinedError(LakeError):
-    """Responses of a run were not as declared; the others are published."""
+    """Responses of a run were not as declared; the others are published. ``batches`` names the
+    quarantine's batches that hold them."""
+
+    def __init__(self, message: str, batches: tuple[str, ...] = ()) -> None:
+        super().__init__(message)
+        self.batches = batches
+
+
+class BusyError(LakeError):
+    """Other writers kept changing a document while it was to be published."""

@@ -111,3 +111,49 @@ def with_units(rows: DataFrame, variables: DataFrame) -> DataFrame:
     return rows.withColumn("variable", variable_of(F.col("series"))).join(
         variables.select("variable", "unit"), "variable", "left"
     )
+
+
+def overlap_join(
+    rows: DataFrame, other: DataFrame, keys: Sequence[str], *, value: str = "value", bin_minutes: int = 1440
+) -> DataFrame:
+    """Bring another resolution to these rows' intervals: each row with ``other_value``, the mean of the
+    other table's values weighted by the minutes they share with it, and ``shared_minutes``.
+
+    Both tables say how long a row's interval is by ``interval_minutes``. Rows that share nothing with
+    the other table, or a key with none of its rows, keep null and 0. Nulls and other values that are
+    not finite count as not there; equal rows are each brought their own.
+
+    Intervals are cut at the edges of bins and joined by key and bin, so that work goes with the
+    pairs that overlap, not with all of a key's rows; what a row shares is added up over its bins.
+    """
+    step = bin_minutes * 60
+    interval = [*keys, "interval_start", "interval_minutes"]
+    left = rows.select(*interval).distinct()  # rows of one interval share the same
+    left = left.withColumns({"_start": F.col("interval_start"), "_minutes": F.col("interval_minutes")})
+    left = _binned(left, step)
+    right = other.where(finite(F.col(value))).select(*interval, F.col(value).alias("_v"))
+    right = _binned(right, step).withColumnsRenamed({"_from": "_other_from", "_to": "_other_to"})
+    shared = F.least("_to", "_other_to") - F.greatest("_from", "_other_from")
+    pairs = left.join(right, [*keys, "_bin"]).withColumn("_shared", shared).where("_shared > 0")
+    sums = pairs.groupBy(
+        *keys, F.col("_start").alias("interval_start"), F.col("_minutes").alias("interval_minutes")
+    ).agg(F.sum("_shared").alias("_shared"), F.sum(F.col("_shared") * F.col("_v")).alias("_sum"))
+    return rows.join(sums, interval, "left").select(
+        *rows.columns,
+        (F.col("_sum") / F.col("_shared")).alias("other_value"),
+        (F.coalesce("_shared", F.lit(0)) / 60.0).alias("shared_minutes"),
+    )
+
+
+def _binned(rows: DataFrame, step: int) -> DataFrame:
+    """One row per bin of ``step`` seconds that an interval touches, with its part of the interval."""
+    begin = F.unix_micros("interval_start") / F.lit(1_000_000.0)
+    rows = rows.withColumn("_begin", begin).withColumn("_end", F.col("_begin") + F.col("interval_minutes") * 60)
+    rows = rows.where("_end > _begin").withColumn(
+        "_bin", F.expr(f"explode(sequence(CAST(floor(_begin / {step}) AS BIGINT), CAST(ceil(_end / {step}) AS BIGINT) - 1))")
+    )
+    return rows.select(
+        *[c for c in rows.columns if c not in ("_begin", "_end", "interval_start", "interval_minutes")],
+        F.expr(f"greatest(_begin, _bin * {step})").alias("_from"),
+        F.expr(f"least(_end, (_bin + 1) * {step})").alias("_to"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -19,6 +20,7 @@ from hindcast.contract import (
     readable_contract,
 )
 from hindcast.errors import (
+    BusyError,
     CatalogNotFoundError,
     IncompatibleContractError,
     UnknownProductError,
@@ -160,21 +162,38 @@ def _canonical(entry: str):
 
 
 def publish_catalog(
-    spark: SparkSession, root: str, products: Sequence[Product], now: datetime
+    spark: SparkSession, root: str, products: Sequence[Product], now: datetime, *, tries: int = 20
 ) -> bool:
-    """Write the catalog if anything but its timestamp changed; True when written."""
+    """Write the catalog if anything but its timestamp changed; True when written.
+
+    Readers get the old document or the new one. Of several publishers at a time each merges its
+    products into what the others have written: one that comes second looks and merges again, up to
+    ``tries`` times.
+    """
     uri = catalog_path(root)
     new = declared_entries(spark, products)
-    old = new.limit(0)
-    missing = not storage.exists(spark, uri)
-    if not missing:
-        doc = json.loads(storage.read_text(spark, uri))
+    for attempt in range(tries):
+        seen = storage.read_text(spark, uri) if storage.exists(spark, uri) else None
+        text = _next_catalog(spark, seen, new, now)
+        if text is None:
+            return False
+        if storage.publish(spark, uri, seen, text):
+            return True
+        time.sleep(min(0.05 * 2**attempt, 5.0))
+    raise BusyError(f"{uri} is being written by others")
+
+
+def _next_catalog(spark: SparkSession, seen: str | None, new: DataFrame, now: datetime) -> str | None:
+    """The document after the one seen; None if it would say the same."""
+    old, missing = new.limit(0), seen is None
+    if seen is not None:
+        doc = json.loads(seen)
         old = entries(spark, Catalog(doc["contract_version"], doc["generated_at"], doc["products"]))
         missing = doc["contract_version"] != CONTRACT_VERSION
     merged = merge_entries(old, new).orderBy("product").toJSON().collect()
     rows = [json.loads(row) for row in merged]
     if not missing and not any(row["changed"] for row in rows):
-        return False
+        return None
     doc = {
         "contract_version": CONTRACT_VERSION,
         "generated_at": now.isoformat(),
@@ -184,5 +203,4 @@ def publish_catalog(
             for row in rows
         },
     }
-    storage.write_text(spark, uri, json.dumps(doc, indent=2, ensure_ascii=False) + "\n")
-    return True
+    return json.dumps(doc, indent=2, ensure_ascii=False) + "\n"

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.contract import FORECAST
@@ -56,50 +57,116 @@ def compact(
     min_age_minutes: int = MIN_AGE_MINUTES,
     max_partitions: int | None = None,
     target_bytes: int = 256 * 1024 * 1024,
+    delete_sources: bool = True,
 ) -> Compaction:
     """Merge partitions that hold two or more old enough units, oldest day first.
 
     The merged unit is written and compared with its sources, row by row, before any source is
-    deleted, so a run that dies leaves extra rows at most, and the read rule sees through those.
-    Units an earlier run merged but did not get to delete are recognised by their rows. Partitions
-    with a file off the contract, or a null where none may be, are left alone and reported.
-
-    Work goes on day folder by day folder, ``FOLDERS`` at a time, so the driver lists the files of
-    so many and keeps one row of counts per merged partition. Only a caller that passes
-    ``max_partitions`` bounds a run; the next one goes on where it stopped. Lakes in the flat layout
-    are read but not merged.
+    deleted. A record in ``compactions/`` says which units :meth:`Lake.curated` leaves out: first the
+    merged ones, then, from one moment to the next, their sources instead, until these are gone. So
+    every read, of versions too, sees each row once, and a run that dies at any point leaves a lake
+    that reads as before; the next run clears up after it. With ``delete_sources=False`` it is left to
+    the next run to delete them, so that reads that have begun can end.
+
+    Units an earlier writer without such records merged but did not get to delete are recognised by
+    their rows. Partitions with a file off the contract, or a null where none may be, are left alone
+    and reported.
+
+    Work goes on day folder by day folder, ``FOLDERS`` at a time, first those of this package's own
+    layout, then flat ones, so the driver lists the files of so many and keeps one row of counts per
+    merged partition. Only a caller that passes ``max_partitions`` bounds a run; the next one goes on
+    where it stopped. One run at a time may work on a lake.
+
+    In the flat layout a partition becomes one file, or several of about ``target_bytes``, named a
+    second apart; such files are only merged again together with new ones.
     """
     target = f"merged-{now.astimezone(UTC):%Y%m%dT%H%M%SZ}"
     instant(now)  # refuses a naive stamp even if there is nothing to merge
     outcomes: list[dict] = []
-    folders = lake.day_folders()
-    for k in range(0, len(folders), FOLDERS):
-        most = None if max_partitions is None else max_partitions - len(outcomes)
-        some = [folder for _, _, folder in folders[k : k + FOLDERS]]
-        with Scratch(lake.spark, "compact") as scratch:
-            done, more = _compact_some(
-                lake, scratch, some, target, now, min_age_minutes, most, target_bytes
-            )
-        outcomes += done
-        if more:
-            return Compaction(_outcomes(lake, outcomes), True)
+    clear_up(lake)
+    for layout in (OWN, FLAT):
+        folders = lake.day_folders(flat=layout is FLAT)
+        for k in range(0, len(folders), FOLDERS):
+            most = None if max_partitions is None else max_partitions - len(outcomes)
+            some = [folder for _, _, folder in folders[k : k + FOLDERS]]
+            record = f"{target}-{layout.name}-{k}.json"
+            with Scratch(lake.spark, "compact") as scratch:
+                done, more = _compact_some(
+                    lake, scratch, layout, some, target, record, now, min_age_minutes, most,
+                    target_bytes, delete_sources,
+                )
+            outcomes += done
+            if more:
+                return Compaction(_outcomes(lake, outcomes), True)
     return Compaction(_outcomes(lake, outcomes), False)
 
 
+@dataclass(frozen=True)
+class _Layout:
+    """Where the files of a partition and its units lie, and how their rows are read."""
+
+    name: str
+
+    def folder(self, lake: Lake, partition: Partition) -> str:
+        product = partition[0] if self.name == "flat" else f"product={partition[0]}"
+        return lake.path("curated", product, f"date={partition[1]}")
+
+    def unit(self, lake: Lake, unit: tuple[str, date, str]) -> str:
+        last = f"{unit[2]}.parquet" if self.name == "flat" else f"posting={unit[2]}"
+        return f"{self.folder(lake, unit[:2])}/{last}"
+
+    def rows(self, lake: Lake, partitions: list[Partition]) -> DataFrame:
+        folders = [self.folder(lake, p) for p in partitions]
+        if self.name == "flat":
+            return lake.flat_days(folders)
+        return lake.own_days(folders).withColumn("_row", F.col("_metadata.row_index"))
+
+
+OWN, FLAT = _Layout("own"), _Layout("flat")
+
+
+def clear_up(lake: Lake) -> None:
+    """Delete the units that records of compactions hide, then empty the records; those that are
+    empty already, and so have been seen by every read since, go."""
+    for name, length, _ in storage.states(lake.spark, lake.path("compactions")):
+        if length:
+            _delete_hidden(lake, name)
+        else:
+            storage.delete_below(
+                lake.spark, lake.path("compactions", name), guard=lake.path("compactions")
+            )
+
+
+def _hide(lake: Lake, record: str, layout: _Layout, units: list[tuple[str, date, str]]) -> None:
+    """From now on reads leave out these units, and none that the record named before."""
+    lines = [
+        json.dumps({"product": p, "date": str(d), "posting": u, "layout": layout.name}) for p, d, u in units
+    ]
+    storage.replace_text(lake.spark, lake.path("compactions", record), "\n".join(lines))
+
+
+def _delete_hidden(lake: Lake, record: str) -> None:
+    for layout in (OWN, FLAT):
+        units = [u for u in lake.hidden_units([record]) if u["layout"] == layout.name]
+        _delete(lake, layout, [(u["product"], u["date"], u["posting"]) for u in units])
+    storage.replace_text(lake.spark, lake.path("compactions", record), "")
+
+
 def _compact_some(
-    lake: Lake, scratch: Scratch, folders: list[str], target: str, now: datetime,
-    min_age_minutes: int, most: int | None, target_bytes: int,
+    lake: Lake, scratch: Scratch, layout: _Layout, folders: list[str], target: str, record: str,
+    now: datetime, min_age_minutes: int, most: int | None, target_bytes: int, delete_sources: bool,
 ) -> tuple[list[dict], bool]:
     """Outcomes of some day folders, and whether more was due than ``most``."""
-    listing = scratch.keep(_units_to_merge(lake, folders, now, min_age_minutes))
+    listing = scratch.keep(_units_to_merge(lake, layout, folders, now, min_age_minutes))
     due = (
         listing.groupBy(*PARTITION)
         .agg(
             F.count_distinct("posting").alias("units"),
             F.sum("length").alias("bytes"),
             F.bool_or(F.col("posting") == target).alias("clash"),
+            F.count_if(~F.col("posting").startswith("merged-")).alias("unmerged"),
         )
-        .where("units >= 2")
+        .where((F.col("units") >= 2) & ((F.col("unmerged") > 0) | (F.col("bytes") <= target_bytes)))
         .orderBy("date", "product")
         .collect()  # no more than the folders
     )
@@ -111,24 +178,35 @@ def _compact_some(
         raise ValueError(f"{target} is already there; merge again a second later")
 
     chosen = [(p.product, p.date) for p in due]
-    named = {_folder(lake, partition): partition for partition in chosen}
+    named = {layout.folder(lake, partition): partition for partition in chosen}
     skipped = {named[f] for f in off_contract(lake.spark, list(named))}
     readable = [p for p in chosen if p not in skipped]
     units = _only(listing, readable).select(*UNIT).distinct()
-    facts = scratch.keep(_facts(lake, units, readable))
+    facts = scratch.keep(_facts(lake, layout, units, readable))
     nulls = facts.where("nulls > 0").select(*PARTITION).distinct().collect()
     skipped |= {(p.product, p.date) for p in nulls}
     good = [p for p in chosen if p not in skipped]
     units = _only(units, good)
-    leftovers = _leftovers(lake, _only(facts, good), scratch)
+    leftovers = _leftovers(lake, layout, _only(facts, good), scratch)
     sources = units.join(leftovers, [*UNIT], "left_anti")
 
     rows: dict[Partition, int] = {}
     if good:
-        total = sum(p.bytes for p in due if (p.product, p.date) not in skipped)
-        _merge(lake, sources, good, target, max(len(good), -(-total // target_bytes)))
-        rows = _checked(lake, sources, good, target)
-        _delete(lake, [tuple(u) for u in units.select(*UNIT).collect()])
+        sizes = {(p.product, p.date): p.bytes for p in due if (p.product, p.date) in good}
+        if layout is FLAT:
+            names = {p: _names(now, -(-size // target_bytes)) for p, size in sizes.items()}
+        else:
+            names = {p: [target] for p in sizes}
+        merged = [(*p, name) for p, some in names.items() for name in some]
+        _hide(lake, record, layout, merged)
+        if layout is FLAT:
+            _merge_flat(lake, sources, names)
+        else:
+            _merge(lake, sources, good, target, max(len(good), -(-sum(sizes.values()) // target_bytes)))
+        rows = _checked(lake, layout, sources, merged, good)
+        _hide(lake, record, layout, [tuple(u) for u in units.select(*UNIT).collect()])
+        if delete_sources:
+            _delete_hidden(lake, record)
     left = {
         (p.product, p.date): p["count"] for p in leftovers.groupBy(*PARTITION).count().collect()
     }
@@ -145,26 +223,25 @@ def _compact_some(
     ], more
 
 
-def _folder(lake: Lake, partition: Partition) -> str:
-    return lake.path("curated", f"product={partition[0]}", f"date={partition[1]}")
+def _names(now: datetime, many: int) -> list[str]:
+    return [f"merged-{now.astimezone(UTC) + timedelta(seconds=k):%Y%m%dT%H%M%SZ}" for k in range(max(many, 1))]
 
 
-def _delete(lake: Lake, units: list[tuple[str, date, str]]) -> None:
+def _delete(lake: Lake, layout: _Layout, units: list[tuple[str, date, str]]) -> None:
     """Remove units, several at a time: most of the time goes into waiting for the store."""
 
     def remove(unit: tuple[str, date, str]) -> None:
-        folder = f"{_folder(lake, unit[:2])}/posting={unit[2]}"
-        storage.delete_below(lake.spark, folder, guard=lake.path("curated"))
+        storage.delete_below(lake.spark, layout.unit(lake, unit), guard=lake.path("curated"))
 
     with ThreadPoolExecutor(DELETES) as pool:
         list(pool.map(remove, units))
 
 
-def _facts(lake: Lake, units: DataFrame, partitions: list[Partition]) -> DataFrame:
+def _facts(lake: Lake, layout: _Layout, units: DataFrame, partitions: list[Partition]) -> DataFrame:
     """Per unit, from one scan: rows with a null where none may be, and when they were ingested."""
     if not partitions:
         return units.select(*UNIT, *[F.lit(0).cast("long").alias(c) for c in ("nulls", "first", "last")])
-    rows = _rows(lake, units, partitions)
+    rows = _rows(lake, layout, units, partitions)
     return rows.groupBy(*UNIT).agg(
         F.count_if(any_null(FORECAST.fieldNames())).alias("nulls"),
         F.min(F.unix_micros("ingested_at")).alias("first"),
@@ -173,17 +250,18 @@ def _facts(lake: Lake, units: DataFrame, partitions: list[Partition]) -> DataFra
 
 
 def _units_to_merge(
-    lake: Lake, folders: list[str], now: datetime, min_age_minutes: int
+    lake: Lake, layout: _Layout, folders: list[str], now: datetime, min_age_minutes: int
 ) -> DataFrame:
     """Files of units none of whose files may still be in the making."""
-    files = lake.curated_files(folders).where(F.col("own") & F.col("posting").rlike(MERGEABLE))
+    files = lake.curated_files(folders).where(F.col("own") == F.lit(layout is OWN))
+    files = files.where(F.col("posting").rlike(MERGEABLE))
     newest = files.groupBy(*UNIT).agg(F.max("modified_at").alias("modified_at"))
     return files.drop("own").join(
         older_than(newest, now, min_age_minutes).select(*UNIT), [*UNIT], "left_semi"
     )
 
 
-def _leftovers(lake: Lake, units: DataFrame, scratch: Scratch) -> DataFrame:
+def _leftovers(lake: Lake, layout: _Layout, units: DataFrame, scratch: Scratch) -> DataFrame:
     """Units whose every row, with multiplicity, is in the partition's newest merged unit.
 
     Units ingested wholly after the merged one are ruled out by that, which in the normal case is
@@ -206,10 +284,10 @@ def _leftovers(lake: Lake, units: DataFrame, scratch: Scratch) -> DataFrame:
         return suspects.select(*UNIT)
     columns = [*PARTITION, *FORECAST.fieldNames()]
     held = (
-        _rows(lake, held_units, partitions).groupBy(*columns).agg(F.count("*").alias("_held"))
+        _rows(lake, layout, held_units, partitions).groupBy(*columns).agg(F.count("*").alias("_held"))
     )
     found = (
-        _rows(lake, suspects.select(*UNIT), partitions)
+        _rows(lake, layout, suspects.select(*UNIT), partitions)
         .groupBy(*columns, "posting")
         .agg(F.count("*").alias("_n"))
         .join(held, columns, "left")
@@ -238,7 +316,7 @@ def _merge(
 ) -> None:
     """Write the sources' rows sorted by key. Ranges of the sort order make even files whatever
     a partition's size; the row number splits even a run of equal rows."""
-    rows = _rows(lake, sources, partitions, _salt=F.col("_metadata.row_index") % 1024)
+    rows = _rows(lake, OWN, sources, partitions).withColumn("_salt", F.col("_row") % 1024)
     lake.write_postings(
         rows.repartitionByRange(ranges, *SORT, "_salt")
         .sortWithinPartitions(*SORT)
@@ -246,13 +324,21 @@ def _merge(
     )
 
 
-def _rows(
-    lake: Lake, units: DataFrame, partitions: list[Partition], **extra: Column
-) -> DataFrame:
+def _merge_flat(lake: Lake, sources: DataFrame, names: dict[Partition, list[str]]) -> None:
+    """Write each partition's rows as its files, sorted by key; several share the keys by hash."""
+    rows = _rows(lake, FLAT, sources, list(names))
+    shape = "array<struct<product: string, date: date, names: array<string>>>"
+    listed = [{"product": p, "date": d, "names": some} for (p, d), some in names.items()]
+    # Broadcast: a row per partition of this lot.
+    rows = rows.join(F.broadcast(frame(lake.spark, listed, shape)), [*PARTITION])
+    lot = "pmod(xxhash64(interval_start, series, posted_at, _row), size(names))"
+    lake.write_flat(rows.withColumn("posting", F.expr(f"names[CAST({lot} AS INT)]")))
+
+
+def _rows(lake: Lake, layout: _Layout, units: DataFrame, partitions: list[Partition]) -> DataFrame:
     """The rows of the given units, all of which lie in the given partitions; only those days'
     folders are listed."""
-    table = lake.own_days([_folder(lake, p) for p in partitions])
-    table = table.withColumns(extra) if extra else table
+    table = layout.rows(lake, partitions)
     return table.join(units.select(*UNIT).distinct(), [*UNIT], "left_semi")
 
 
@@ -262,16 +348,22 @@ def _only(rows: DataFrame, partitions: list[Partition]) -> DataFrame:
 
 
 def _checked(
-    lake: Lake, sources: DataFrame, partitions: list[Partition], target: str
-) -> dict[Partition, int]:
+    lake: Lake, layout: _Layout, sources: DataFrame, merged: list[tuple[str, date, str]],
+    partitions: list[Partition],
+) -> dict[Partition, int]:
     """Rows per merged partition, once each is shown to hold exactly its sources' rows, with
     multiplicity: every distinct row is counted on both sides."""
-    written = sources.select(*PARTITION, F.lit(target).alias("posting")).distinct()
-    merged = F.col("posting") == target
+    shape = "array<struct<product: string, date: date, posting: string>>"
+    listed = [{"product": p, "date": d, "posting": u} for p, d, u in merged]
+    written = frame(lake.spark, listed, shape)
+    both = sources.select(*UNIT, F.lit(False).alias("after")).unionByName(
+        written.withColumn("after", F.lit(True))
+    )
     balance = (
-        _rows(lake, sources.unionByName(written), partitions)
+        layout.rows(lake, partitions)
+        .join(both, [*UNIT])
         .groupBy(*PARTITION, *FORECAST.fieldNames())
-        .agg(F.count_if(merged).alias("after"), F.count_if(~merged).alias("before"))
+        .agg(F.count_if("after").alias("after"), F.count_if(~F.col("after")).alias("before"))
     )
     sides = balance.groupBy(*PARTITION).agg(
         F.sum("after").alias("rows"), F.count_if(F.col("after") != F.col("before")).alias("wrong")

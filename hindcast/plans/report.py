@@ -96,7 +96,8 @@ def raise_if_quarantined(bad: DataFrame, shown: int = 20) -> None:
     if rows:
         causes = "; ".join(f"{r.product} {r.raw_key}: {r.problem}" for r in rows[:shown])
         more = " and more" if len(rows) > shown else ""
-        raise QuarantinedError(f"responses not as declared: {causes}{more}")
+        batches = tuple(sorted(r.batch for r in bad.select("batch").distinct().collect()))
+        raise QuarantinedError(f"responses not as declared: {causes}{more}", batches)
 
 
 def coverage(lake: Lake) -> DataFrame:
@@ -106,7 +107,8 @@ def coverage(lake: Lake) -> DataFrame:
 
 def publish_manifests(lake: Lake, products: Sequence[Product]) -> None:
     """Write ``latest.json`` and ``previous_runs.json`` for readers that look for files. Each is
-    one small document per product, made from one row."""
+    one small document per product, made from one row, and takes the place of the one before at
+    once: a reader gets either whole."""
     utc = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     options = {"timestampFormat": utc}
     newest = manifests(lake, products)
@@ -125,7 +127,7 @@ def publish_manifests(lake: Lake, products: Sequence[Product]) -> None:
 
 def _write(lake: Lake, product: str, name: str, doc: dict) -> None:
     text = json.dumps(doc, indent=2, sort_keys=True) + "\n"
-    storage.write_text(lake.spark, lake.path("manifests", product, name), text)
+    storage.replace_text(lake.spark, lake.path("manifests", product, name), text)
 
 
 def freshness_report(lake: Lake, products: Sequence[Product], now: datetime) -> DataFrame:

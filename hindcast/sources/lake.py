@@ -7,7 +7,11 @@
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -15,10 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hindcast.contract import FORECAST, LIVE, PREVIOUS_RUNS
+from hindcast.contract import FORECAST, LIVE, PREVIOUS_RUNS, PRODUCT_PATTERN
 from hindcast.functions.columns import instant, parse_stamp, stamp
 from hindcast.session import configure
+from hindcast.settings import frame
 from hindcast.sources import storage
+from hindcast.sources.raw import FORMAT, NamedFiles
 
 CURATED_TABLE = T.StructType(
     [
@@ -79,7 +85,38 @@ class Lake:
         With a day range only those days' folders are listed, so a read costs nothing for the
         rest of the product's history. The scan is lazy: a filter on ``interval_start`` or
         ``posted_at`` still skips row groups.
+
+        Units that a compaction has written but not yet put in place, and those it has replaced but
+        not yet deleted, are left out: every row is read once at any moment of it. If that changed
+        while files were listed, they are listed again.
         """
+        while True:
+            records = self._compactions()
+            rows = self._listed(products, first, last)
+            if records == self._compactions():
+                break
+        hidden = self.hidden_units([name for name, length, _ in records if length])
+        if not hidden:
+            return rows
+        units = frame(self.spark, hidden, "array<struct<product: string, date: date, posting: string>>")
+        return rows.join(units, ["product", "date", "posting"], "left_anti").select(*rows.columns)
+
+    def _compactions(self) -> list[tuple[str, int, int]]:
+        return storage.states(self.spark, self.path("compactions"))
+
+    def hidden_units(self, records: Sequence[str]) -> list[dict]:
+        """The units that records of compactions name."""
+        lines = [
+            line
+            for name in records
+            for line in storage.read_text(self.spark, self.path("compactions", name)).splitlines()
+        ]
+        found = [json.loads(line) for line in lines]
+        return [u | {"date": date.fromisoformat(u["date"])} for u in found]
+
+    def _listed(
+        self, products: Sequence[str] | None, first: date | None, last: date | None
+    ) -> DataFrame:
         wanted = self.curated_products() if products is None else list(products)
         base = self.path("curated")
         there = set(storage.children(self.spark, base))
@@ -141,12 +178,50 @@ class Lake:
             .parquet(self.path("curated"))
         )
 
-    def day_folders(self) -> list[tuple[str, str, str]]:
-        """``(day, product, folder)`` of this package's own layout, the oldest day first. Only names
-        of folders are listed."""
+    def write_flat(self, rows: DataFrame) -> None:
+        """Write one file per product, day and posting, ``curated/<p>/date=<d>/<posting>.parquet``, in
+        place of any of that name. Files are written aside by the tasks and then renamed."""
+        unit = ("product", "date", "posting")
+        order = ("interval_start", "series", "posted_at", "ingested_at")
+        aside = self.path("_aside", uuid.uuid4().hex)
+        (
+            rows.select(*CURATED_TABLE.fieldNames())
+            .repartition(*unit)
+            .sortWithinPartitions(*unit, *order)
+            .write.option("compression", "zstd")
+            .partitionBy(*unit)
+            .parquet(aside)
+        )
+        pattern = re.compile(r"/product=([^/]+)/date=([^/]+)/posting=([^/]+)/[^/]+$")
+        files = {f: pattern.search(f).groups() for f in storage.files_below(self.spark, aside)}
+        if len(set(files.values())) < len(files):
+            raise RuntimeError("a posting came out as several files")
+        moves = [(f, self.path("curated", p, f"date={d}", f"{u}.parquet")) for f, (p, d, u) in files.items()]
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda names: storage.move(self.spark, *names), moves))
+        storage.delete_below(self.spark, aside, guard=self.path("_aside"))
+
+    def flat_days(self, folders: Sequence[str]) -> DataFrame:
+        """The rows of some day folders of the flat layout, in one scan."""
+        if not folders:
+            return empty(self.spark, CURATED_TABLE)
+        reader = self.spark.read.schema(FORECAST).option("recursiveFileLookup", "true")
+        path = F.col("_metadata.file_path")
+        pattern = r"/([^/]+)/date=(\d{4}-\d{2}-\d{2})/([^/]+)\.parquet$"
+        return reader.option("pathGlobFilter", "*.parquet").parquet(*folders).select(
+            *FORECAST.fieldNames(),
+            F.regexp_extract(path, pattern, 1).alias("product"),
+            F.to_date(F.regexp_extract(path, pattern, 2)).alias("date"),
+            F.regexp_extract(path, pattern, 3).alias("posting"),
+            F.col("_metadata.row_index").alias("_row"),
+        )
+
+    def day_folders(self, flat: bool = False) -> list[tuple[str, str, str]]:
+        """``(day, product, folder)`` of this package's own layout, or of the flat one, the oldest day
+        first. Only names of folders are listed."""
         base, found = self.path("curated"), []
         for name in storage.children(self.spark, base):
-            if name.startswith("product="):
+            if name.startswith("product=") != flat and not name.startswith(("_", ".")):
                 days = storage.children(self.spark, f"{base}/{name}")
                 product = name.removeprefix("product=")
                 found += [
@@ -223,6 +298,13 @@ class Lake:
         ]
         return name_parts(reduce(DataFrame.unionByName, files))
 
+    def keep_raw(self, responses: DataFrame) -> None:
+        """Write each body as a file under the name :func:`raw_name` gives it. Written by the tasks;
+        a file of that name that is there already stays as it is."""
+        self.spark.dataSource.register(NamedFiles)
+        files = responses.select(raw_name().alias("name"), "body").where("body IS NOT NULL")
+        files.write.format(FORMAT).option("root", self.root).mode("append").save()
+
     def land_responses(self, responses: DataFrame, batch: str) -> None:
         """Keep bodies before anything parses them. Nothing landed is ever replaced: landing a
         batch again adds only what is not there yet.
@@ -321,6 +403,20 @@ def with_raw_key(landed: DataFrame) -> DataFrame:
     return landed.withColumn("raw_key", key).drop("batch")
 
 
+def raw_name() -> Column:
+    """The path of a response below the lake's root, from ``product``, ``kind``, ``fetched_at`` and, of
+    previous runs, ``first`` and ``last``. :func:`name_parts` takes it apart again."""
+    fetched = stamp(F.col("fetched_at"))
+    live = F.concat(F.lit("fetched="), fetched)
+    past = F.concat(F.lit("previous-runs-"), "first", F.lit("_"), "last", F.lit("-"), fetched)
+    name = F.when(F.col("kind") == LIVE, live).otherwise(past)
+    day = F.concat(F.lit("date="), F.to_date("fetched_at").cast("string"))
+    product = F.when(F.col("product").rlike(f"^{PRODUCT_PATTERN}$"), F.col("product")).otherwise(
+        F.raise_error(F.concat(F.lit("not a product key: "), F.col("product")))
+    )
+    return F.concat_ws("/", F.lit("raw"), product, day, F.concat(name, F.lit(".json.gz")))
+
+
 def name_parts(files: DataFrame) -> DataFrame:
     """Split the names responses are kept under into product, kind, fetch time and days."""
     key = F.col("raw_key")

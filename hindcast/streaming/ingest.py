@@ -28,6 +28,7 @@ def ingest_stream(
     unit: str = "posting",
     landed: bool = False,
     max_files_per_batch: int = 10_000,
+    ran: list[str] | None = None,
 ) -> StreamingQuery:
     """Work through the responses of one kind that have arrived since the last run, then stop.
 
@@ -36,7 +37,8 @@ def ingest_stream(
     replay after a failure changes nothing. The id names the stream, by a mark kept with its
     checkpoint, so several streams may feed a lake and a lost checkpoint starts a new one.
     Responses that are not as declared go to the quarantine and do not hold up the rest;
-    :func:`ingest` says so in the end. Polls may arrive in any order.
+    :func:`ingest` says so in the end. Polls may arrive in any order. The names of the batches that
+    this run works on, replays included, are added to ``ran``.
     """
     stream = _stream_name(lake, checkpoint, kind)
     reader = lake.spark.readStream.option("maxFilesPerTrigger", max_files_per_batch)
@@ -54,6 +56,8 @@ def ingest_stream(
     def curate(rows: DataFrame, batch_id: int) -> None:
         responses = with_raw_key(rows) if landed else name_parts(rows)
         batch = f"{stream}-{batch_id}"
+        if ran is not None:
+            ran.append(batch)
         if kind == PREVIOUS_RUNS:
             curate_previous_runs(lake, products, responses, batch)
         else:
@@ -71,15 +75,17 @@ def ingest_stream(
 def ingest(lake: Lake, products: Sequence[Product], checkpoint: str, **how) -> DataFrame:
     """Run :func:`ingest_stream` to its end and return what it has done so far, batch by batch.
 
-    If responses were quarantined in this run, it fails with all their causes, after the others
-    have been published.
+    If a batch that this run worked on quarantined responses, also one that an earlier run had begun,
+    it fails with all their causes, after the others have been published. What other streams refuse
+    meanwhile does not concern it.
     """
-    before = lake.quarantine().select("batch").distinct().collect()
-    query = ingest_stream(lake, products, checkpoint, **how)
+    ran: list[str] = []
+    query = ingest_stream(lake, products, checkpoint, **how, ran=ran)
     query.awaitTermination()
-    known = [r.batch for r in before]
-    raise_if_quarantined(lake.quarantine().where(~F.col("batch").isin(known)))
-    stream = _stream_name(lake, checkpoint, how.get("kind", LIVE))
+    kind = how.get("kind", LIVE)
+    mine = sorted({f"{batch}-{kind}" for batch in ran})
+    raise_if_quarantined(lake.quarantine().where(F.col("batch").isin(mine)))
+    stream = _stream_name(lake, checkpoint, kind)
     mine = F.col("batch").startswith(f"{stream}-")
     return lake.polls().where(mine).groupBy("product", "batch").agg(
         F.count("*").alias("polls"),

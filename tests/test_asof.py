@@ -1,5 +1,5 @@
 import random
-from datetime import timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from helpers import VALID, MORNING, forecast, row
@@ -11,6 +11,7 @@ from hindcast.operators.vintages import (
     hour_starting,
     join_zone_series,
     lead_table,
+    overlap_join,
     revisions,
     unpivot_leads,
 )
@@ -212,3 +213,29 @@ def test_preceding_hour_variables_move_back(spark):
     )
     joined = join_zone_series(rows, load).collect()
     assert [(r.series, r.load) for r in joined] == [("precipitation:X", 7.0)]
+
+
+def test_overlap_join_weighs_by_shared_time(spark):
+    def at(hour, minute=0):
+        return datetime(2025, 6, 20, hour, minute, tzinfo=UTC)
+
+    shape = "series string, interval_start timestamp, interval_minutes int, value double"
+    hours = spark.createDataFrame(
+        [("a", at(1), 60, 1.0), ("a", at(1), 60, 1.0), ("a", at(5), 60, 2.0), ("b", at(1), 60, 3.0), (None, at(1), 60, 4.0),
+         ("a", None, 60, 5.0), ("long", at(0), 4000, 6.0)], shape,
+    )
+    parts = spark.createDataFrame(
+        [("a", at(0, 50), 15, 10.0), ("a", at(1, 5), 15, 20.0), ("a", at(1, 50), 15, 40.0), ("a", at(1, 20), 15, None),
+         ("a", at(1, 35), 15, float("nan")), ("a", at(2), 15, 99.0), (None, at(1), 15, 7.0), ("long", at(0), 3000, 2.0),
+         ("long", at(0, 10), 0, 9.0)], shape,
+    )
+    for bins in (7, 60, 1440):
+        found = overlap_join(hours, parts, ["series"], bin_minutes=bins)
+        got = {(r.series, r.value): (r.other_value and round(r.other_value, 9), r.shared_minutes) for r in found.collect()}
+        assert found.count() == 7 and found.columns == [*hours.columns, "other_value", "shared_minutes"]
+        want = (5 * 10 + 15 * 20 + 10 * 40) / 30
+        assert got == {
+            ("a", 1.0): (round(want, 9), 30.0), ("a", 2.0): (None, 0.0), ("b", 3.0): (None, 0.0), (None, 4.0): (None, 0.0),
+            ("a", 5.0): (None, 0.0), ("long", 6.0): (2.0, 3000.0),
+        }
+    assert overlap_join(hours, parts.limit(0), ["series"]).where("other_value IS NOT NULL").count() == 0

@@ -1,8 +1,10 @@
+import gzip
 import json
 from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import (
+    AFTERNOON,
     MORNING,
     SMALL,
     live_response,
@@ -12,6 +14,7 @@ from helpers import (
     write_raw,
     write_raw_past,
 )
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from hindcast.errors import BatchMixUpError, MissingBodyError, QuarantinedError
@@ -23,9 +26,11 @@ from hindcast.operators.changes import (
     one_per_poll,
 )
 from hindcast.operators.reads import snapshot
+from hindcast.operators.responses import zone_values
 from hindcast.plans.curate import curate_live, curate_previous_runs
-from hindcast.settings import GFS_SEAMLESS
+from hindcast.settings import GFS_SEAMLESS, layouts
 from hindcast.sources.lake import Lake
+from hindcast.sources.raw import NamedFilesWriter
 from hindcast.streaming.freshness import hourly_ages
 from hindcast.streaming.ingest import ingest, ingest_stream
 
@@ -326,3 +331,83 @@ def test_freshness_and_alarm(spark):
     breach = [False, True, True, False, True, True, False]
     alarm = [False, False, True, False, False, True, False]
     assert got == list(zip(breach, alarm, strict=True))
+
+
+# -- bodies kept as files, and runs that know their own failures -------------------------------
+
+
+def test_bodies_are_kept_as_they_came(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    body = '[{"é": 1}]\n\n'
+    rows = responses(spark, body, "[]", product="small")
+    past = responses(spark, "{}", product="small", kind="previous_runs", first=date(2025, 6, 1), last=date(2025, 6, 3))
+    lake.keep_raw(rows.unionByName(past))
+    names = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.gz"))
+    day = "raw/small/date=2025-06-20"
+    assert names == [
+        f"{day}/fetched=20250620T021000Z.json.gz",
+        f"{day}/fetched=20250620T031000Z.json.gz",
+        f"{day}/previous-runs-2025-06-01_2025-06-03-20250620T021000Z.json.gz",
+    ]
+    assert gzip.decompress((tmp_path / names[0]).read_bytes()).decode() == body
+    assert [p.name for p in tmp_path.rglob("_*") if p.is_file()] == []
+    found = {(r.kind, r.first, r.body) for r in lake.raw_files().collect()}
+    assert found == {("live", None, body), ("live", None, "[]"), ("previous_runs", date(2025, 6, 1), "{}")}
+    lake.keep_raw(responses(spark, "other", product="small"))
+    assert gzip.decompress((tmp_path / names[0]).read_bytes()).decode() == body
+
+
+def test_a_failed_write_of_bodies_leaves_none(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    bad = responses(spark, "[]", product="../evil").unionByName(responses(spark, "[]", product="small"))
+    with pytest.raises(Exception, match="not a product key"):
+        lake.keep_raw(bad.coalesce(1))
+    assert [p for p in tmp_path.rglob("*.gz") if not p.name.startswith("_")] == []
+
+
+def test_the_writer_commits_once_and_aborts(tmp_path):
+    writer = NamedFilesWriter(f"file:{tmp_path}")
+    rows = [{"name": "raw/a/x.json", "body": "1"}, {"name": "raw/a/y.json.gz", "body": "2"}]
+    first, second = writer.write(iter(rows)), writer.write(iter(rows))
+    writer.abort([second, None])
+    writer.commit([first, None])
+    assert sorted(p.name for p in (tmp_path / "raw/a").iterdir()) == ["x.json", "y.json.gz"]
+    writer.commit([writer.write(iter([{"name": "raw/a/x.json", "body": "3"}]))])
+    assert (tmp_path / "raw/a/x.json").read_text() == "1"
+    with pytest.raises(ValueError, match="not a name"):
+        writer.write(iter([{"name": "raw/../x", "body": ""}]))
+
+
+def test_a_replayed_batch_fails_for_what_it_refused(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, tmp_path / "lake")
+    lake.keep_raw(responses(spark, "junk", product="small"))
+    real = Lake.write_postings
+
+    def dies(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(Lake, "write_postings", dies)
+    with pytest.raises(StreamingQueryException):
+        ingest(lake, [SMALL], str(tmp_path / "progress"))
+    assert lake.quarantine().count() == 1
+    monkeypatch.setattr(Lake, "write_postings", real)
+    with pytest.raises(QuarantinedError, match="small"):
+        ingest(lake, [SMALL], str(tmp_path / "progress"))
+    ingest(lake, [SMALL], str(tmp_path / "progress"))
+
+
+def test_what_another_stream_refuses_is_not_this_runs_failure(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, tmp_path / "lake")
+    lake.keep_raw(responses(spark, json.dumps(live_response(product=SMALL)), product="small"))
+    real = Lake.write_postings
+
+    def meanwhile(self, rows):
+        bad = responses(spark, "junk", product="small", fetched=AFTERNOON)
+        shape = zone_values(bad, layouts(spark, [SMALL], "live"), "live").where("problem IS NOT NULL")
+        columns = ("product", F.lit("live").alias("kind"), "fetched_at", "raw_key", "problem")
+        self.log_quarantine(shape.select(*columns), "other-stream-0-live")
+        real(self, rows)
+
+    monkeypatch.setattr(Lake, "write_postings", meanwhile)
+    ingest(lake, [SMALL], str(tmp_path / "progress"))
+    assert lake.quarantine().count() == 1

@@ -24,6 +24,7 @@ from helpers import (
 )
 from pyspark.sql import functions as F
 
+from hindcast.errors import BusyError
 from hindcast.operators import checks, reads
 from hindcast.operators.calendar import (
     coverage_gaps,
@@ -362,3 +363,171 @@ def test_bags_respect_multiplicity(spark):
     assert excess(right, left).collect()[0].a == 3
     wide = union_by_name(left, right.drop("b"))
     assert wide.where("b IS NULL").count() == 6
+
+
+# -- compaction: flat layout, and reads while it runs ------------------------------------------
+
+
+@pytest.fixture
+def flat(spark, tmp_path):
+    """The same four rows as files named after their posting, as another writer lays them out."""
+    lake = Lake(spark, tmp_path)
+    hour = timedelta(hours=1)
+    units = {
+        "part-20250620T021000Z": [row(VALID, SERIES, 1, MORNING), row(VALID + hour, SERIES, 2, MORNING)],
+        "part-20250620T144000Z": [row(VALID, SERIES, 1.5, AFTERNOON)],
+        "previous-runs": [row(VALID, SERIES, 0.5, MORNING - DAY, ingested=MORNING, source="previous_runs")],
+    }
+    for unit, rows in units.items():
+        write_flat(lake, unit, rows)
+    return lake
+
+
+def write_flat(lake, unit, rows):
+    df = forecast(lake.spark, rows).withColumn("product", F.lit(HILLS)).withColumn("posting", F.lit(unit))
+    lake.write_flat(df.withColumn("date", F.to_date("interval_start")))
+
+
+def flat_files(lake):
+    return sorted(str(p.relative_to(lake.path("curated"))) for p in Path(lake.path("curated")).rglob("*.parquet"))
+
+
+def test_flat_files_are_named_after_their_posting(flat):
+    assert flat_files(flat) == [
+        f"{HILLS}/date=2025-06-20/{u}.parquet"
+        for u in ("part-20250620T021000Z", "part-20250620T144000Z", "previous-runs")
+    ]
+    write_flat(flat, "previous-runs", [row(VALID, SERIES, 7, MORNING - DAY, source="previous_runs")])
+    assert len(flat_files(flat)) == 3 and flat.curated([HILLS]).where("value = 7").count() == 1
+    assert not os.listdir(flat.path("_aside"))
+
+
+def test_flat_lakes_are_compacted_to_one_file(spark, flat):
+    before, rows = answers(flat), bag(flat)
+    done = compact(flat, now=LATER).by_product().collect()[0]
+    assert (done.partitions_merged, done.units_in, done.rows, done.leftovers_removed) == (1, 3, 4, 0)
+    assert answers(flat) == before and bag(flat) == rows
+    assert flat_files(flat) == [f"{HILLS}/date=2025-06-20/merged-20990101T000000Z.parquet"]
+    table = pq.read_table(next(Path(flat.root).rglob("merged-*.parquet")), partitioning=None)
+    order = list(zip(*(table[c].to_pylist() for c in ("interval_start", "series", "posted_at")), strict=True))
+    assert order == sorted(order)
+    write_flat(flat, "part-20250620T144000Z", [row(VALID, SERIES, 1.5, AFTERNOON)])  # a leftover
+    write_flat(flat, "part-20250620T184000Z", [row(VALID, SERIES, 3, AFTERNOON + timedelta(hours=4))])
+    done = compact(flat, now=LATER + DAY).by_product().collect()[0]
+    assert (done.units_in, done.leftovers_removed, done.rows) == (3, 1, 5)
+    assert len(bag(flat)) == 5 and len(flat_files(flat)) == 1
+
+
+def test_large_flat_partitions_become_several_files_once(spark, flat):
+    many = [row(VALID, f"s{k}:Bay", k, AFTERNOON) for k in range(300)]
+    write_flat(flat, "part-20250620T144000Z", many)
+    rows = bag(flat)
+    size = sum(os.path.getsize(p) for p in Path(flat.path("curated")).rglob("*.parquet"))
+    compact(flat, now=LATER, target_bytes=size // 3)
+    names = flat_files(flat)
+    assert len(names) in (3, 4) and all("/merged-2099" in n for n in names) and bag(flat) == rows
+    assert compact(flat, now=LATER + DAY, target_bytes=200).partitions.count() == 0
+    assert flat_files(flat) == names
+
+
+@pytest.mark.parametrize("kind", ["lake", "flat"])
+def test_versions_are_read_once_while_sources_wait(kind, request):
+    lake = request.getfixturevalue(kind)
+    before, rows = answers(lake), bag(lake)
+    compact(lake, now=LATER, delete_sources=False)
+    assert len(units(lake)) == 4  # three sources and what they became
+    assert bag(lake) == rows and answers(lake) == before
+    assert {r.posting for r in lake.curated().collect()} == {"merged-20990101T000000Z"}
+    assert compact(lake, now=LATER + DAY).partitions.count() == 0
+    assert lake.curated_files().count() == 1 and bag(lake) == rows
+    compact(lake, now=LATER + DAY)
+    assert not storage.states(lake.spark, lake.path("compactions"))
+
+
+@pytest.mark.parametrize("kind", ["lake", "flat"])
+@pytest.mark.parametrize("where", ["_checked", "_delete_hidden", "clear_up"])
+def test_a_run_that_dies_changes_nothing(kind, where, request, monkeypatch):
+    lake = request.getfixturevalue(kind)
+    rows = bag(lake)
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        if where == "clear_up":  # the run after one that died
+            compact(lake, now=LATER, delete_sources=False)
+        patched.setattr(f"hindcast.plans.compact.{where}", dies)
+        with pytest.raises(OSError, match="lost"):
+            compact(lake, now=LATER)
+    assert bag(lake) == rows
+    compact(lake, now=LATER + DAY)
+    assert bag(lake) == rows and lake.curated_files().count() == 1
+
+
+def test_a_listing_that_a_compaction_overtakes_is_repeated(lake, monkeypatch):
+    rows, listed, real = bag(lake), [], Lake._listed
+
+    def slow(self, *args):
+        found = real(self, *args)
+        if not listed:
+            listed.append(1)
+            compact(lake, now=LATER, delete_sources=False)
+        return found
+
+    monkeypatch.setattr(Lake, "_listed", slow)
+    assert bag(lake) == rows
+    assert {r.posting for r in lake.curated([HILLS]).collect()} == {"merged-20990101T000000Z"}
+
+
+def test_both_layouts_of_a_product_are_compacted_apart(spark, lake):
+    write_flat(lake, "part-20250620T021000Z", [row(VALID, "flat:Bay", 1, MORNING)])
+    write_flat(lake, "part-20250620T144000Z", [row(VALID, "flat:Bay", 2, AFTERNOON)])
+    rows = bag(lake)
+    done = compact(lake, now=LATER).by_product().collect()[0]
+    assert done.partitions_merged == 2 and bag(lake) == rows and lake.curated_files().count() == 2
+
+
+# -- documents replaced as a whole ---------------------------------------------------------------
+
+
+def test_a_writer_that_dies_leaves_the_old_document(spark, tmp_path, monkeypatch):
+    uri = str(tmp_path / "doc.json")
+    storage.replace_text(spark, uri, "old")
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(storage, "move", dies)
+        with pytest.raises(OSError, match="lost"):
+            storage.replace_text(spark, uri, "new")
+    assert storage.read_text(spark, uri) == "old"
+    assert [name for name, _, _ in storage.states(spark, str(tmp_path))] == ["doc.json"]
+
+
+def test_of_two_publishers_one_looks_again(spark, tmp_path, monkeypatch):
+    second = replace(SMALL, key="second")
+    real, calls = storage.publish, []
+
+    def overtaken(spark, uri, seen, text, **how):
+        calls.append(seen)
+        if len(calls) == 1:  # another publisher is faster
+            assert catalogs.publish_catalog(spark, str(tmp_path), [second], LATER)
+        return real(spark, uri, seen, text, **how)
+
+    monkeypatch.setattr(storage, "publish", overtaken)
+    assert catalogs.publish_catalog(spark, str(tmp_path), [SMALL], LATER)
+    assert len(calls) == 3 and calls[0] is None and calls[2] is not None
+    assert set(catalogs.load_catalog(spark, str(tmp_path)).products) == {"second", "small"}
+
+
+def test_publishers_exclude_each_other_but_not_for_ever(spark, tmp_path):
+    uri, mark = str(tmp_path / "doc"), str(tmp_path / "_doc.writing")
+    assert storage.create(spark, mark) and not storage.create(spark, mark)
+    assert not storage.publish(spark, uri, None, "x")
+    assert not storage.publish(spark, uri, None, "x", patience=-1)  # takes the mark away
+    assert storage.publish(spark, uri, None, "x") and not storage.publish(spark, uri, None, "y")
+    assert storage.publish(spark, uri, "x", "y") and storage.read_text(spark, uri) == "y"
+    storage.create(spark, str(tmp_path / "manifests/__catalog.json.writing"))
+    with pytest.raises(BusyError):
+        catalogs.publish_catalog(spark, str(tmp_path), [SMALL], LATER, tries=2)
