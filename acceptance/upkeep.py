@@ -34,6 +34,7 @@ from hindcast.plans.catalog import (
 )
 from hindcast.plans.compact import compact
 from hindcast.plans.curate import land_forecast
+from hindcast.plans.verify import verify_lake
 from hindcast.reader import ForecastReader
 from hindcast.session import shared_folder
 from hindcast.settings import Point, Product
@@ -79,6 +80,24 @@ SELECT 'events' AS product, * FROM (
   UNION ALL SELECT 'posted_after_ingested', count(*) FILTER (posted_at > ingested_at), NULL FROM lake)"""
 
 
+def verify_remembered(spark, sf):
+    """A lake verified, added to, and verified again: only the days that changed are scanned."""
+    kept = Lake(spark, shared_folder(spark, "lake"))
+    rows = _units(spark, sf)
+    early = F.col("posted_at") < AS_OF
+    kept.write_postings(rows.where(early).repartition("date"))
+    kinds = events(spark, sf).where("event_type <> 'signup'").select("event_type").distinct()
+    collected = Product(
+        key="events", name="events", model="events",
+        variables={r.event_type: "1" for r in kinds.collect()},
+        zones={f"Z{k}": [Point("p", 0.0, 0.0)] for k in range(8)},
+    )
+    publish_catalog(spark, kept.root, [collected], NOW)
+    verify_lake(kept, remember=True)
+    kept.write_postings(rows.where(~early).withColumn("posting", F.concat("posting", F.lit("-2"))).repartition("date"))
+    return verify_lake(kept, remember=True)
+
+
 def unknown_series(spark, sf):
     found = checks.unknown_series(_named(spark, sf), expected_series(_catalogued(spark, sf)))
     return found.select("series")
@@ -308,6 +327,10 @@ FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1"""
 
 CASES = {
     "verify_report": (verify_report, VERIFY_SQL),
+    "verify_remembered": (
+        verify_remembered,
+        f"{VERIFY_SQL} UNION ALL SELECT 'events', 'no_curated_files', 0, NULL UNION ALL SELECT 'events', 'missing_columns', 0, ''",
+    ),
     "unknown_series": (
         unknown_series,
         f"WITH {LAKE_SQL} SELECT DISTINCT series FROM lake WHERE series LIKE 'signup:%'",

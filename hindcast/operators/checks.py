@@ -50,62 +50,81 @@ def live_postings(rows: DataFrame) -> DataFrame:
     return distinct.groupBy("product").agg(F.count("posted_at").alias("n"))
 
 
-def verify(rows: DataFrame, expected: DataFrame) -> DataFrame:
-    """``(product, check, n, sample)``: how often each rule is broken, zero when it holds, and
-    the counts of rows, series and live postings.
+def facts(rows: DataFrame, *by: str) -> DataFrame:
+    """What a report is made of, as ``(product, *by, fact, value, n)``, from one scan.
 
-    Only the search for repeated keys shuffles more than one row per task and group.
+    Rows are brought together once, by key and posting; all else is counted from that. Facts of parts
+    of a table add up to those of the whole if no key is in two parts, as with parts by valid day.
     """
-    products = expected.select("product").distinct()
-    totals = rows.groupBy("product").agg(
-        F.count("*").alias("rows"),
-        F.count_if(any_null(FORECAST.fieldNames())).alias("null_in_required_column"),
-        F.count_if(F.col("posted_at") > F.col("ingested_at")).alias("posted_after_ingested"),
+    keyed = rows.groupBy("product", *by, *BUSINESS_KEY, "posted_at").agg(
+        F.count("*").alias("_n"),
+        F.count_if(F.col("source") == LIVE).alias("_live"),
+        F.count_if(F.col("source") == PREVIOUS_RUNS).alias("_past"),
+        F.count_if(any_null(FORECAST.fieldNames())).alias("_nulls"),
+        F.count_if(F.col("posted_at") > F.col("ingested_at")).alias("_late"),
+        F.collect_set(F.struct("schema_version")).alias("_versions"),
     )
-    counted = totals.unpivot(
-        "product",
-        ["rows", "null_in_required_column", "posted_after_ingested"],
-        "check",
-        "n",
-    )
-    repeats = (
-        repeated_keys(rows)
-        .groupBy("product")
-        .agg(
-            F.count("*").alias("key_repeated_in_posting"),
-            F.count_if("same_source").alias("key_repeated_in_posting_and_source"),
-        )
-        .unpivot(
-            "product",
-            ["key_repeated_in_posting", "key_repeated_in_posting_and_source"],
-            "check",
-            "n",
+    same = F.greatest("_live", "_past", F.col("_n") - F.col("_live") - F.col("_past")) > 1
+
+    def fact(name: str, n: Column | str, value: Column | None = None) -> Column:
+        text = F.lit(None) if value is None else value
+        n = F.col(n) if isinstance(n, str) else n
+        return F.struct(
+            F.lit(name).alias("fact"), text.cast("string").alias("value"), n.cast("long").alias("n")
         )
+
+    one = F.lit(1)
+    found = F.array(
+        fact("rows", "_n"),
+        fact("null_in_required_column", "_nulls"),
+        fact("posted_after_ingested", "_late"),
+        fact("key_repeated_in_posting", F.col("_n") > 1),
+        fact("key_repeated_in_posting_and_source", same),
+        fact("series", one, F.col("series")),
+        fact("live_posting", (F.col("_live") > 0) & F.col("posted_at").isNotNull(), F.unix_micros("posted_at")),
     )
-    series = (
-        rows.select("product", "series").distinct().groupBy("product").agg(F.count("*").alias("n"))
+    versions = F.transform("_versions", lambda v: fact("version", one, v["schema_version"]))
+    every = keyed.select("product", *by, F.inline(F.concat(found, versions))).where("n > 0")
+    return every.groupBy("product", *by, "fact", "value").agg(F.sum("n").alias("n"))
+
+
+def report(found: DataFrame, expected: DataFrame) -> DataFrame:
+    """``(product, check, n, sample)`` from facts and the catalog's series."""
+    products = expected.select("product").distinct()
+    total = found.groupBy("product", "fact", "value").agg(F.sum("n").alias("n"))
+    counted = (
+        total.where(F.col("fact").isin(*COUNTED))
+        .groupBy("product", F.col("fact").alias("check"))
+        .agg(F.sum("n").alias("n"))
     )
-    version = F.col("schema_version")
-    versions = (
-        rows.select("product", version)
-        .distinct()
-        .where(~F.coalesce(version.isin(list(SUPPORTED_SCHEMA_VERSIONS)), F.lit(False)))
+    several = F.when(F.col("fact") == "series", "series").when(F.col("fact") == "live_posting", "live_postings")
+    distinct = total.select("product", several.alias("check")).where("check IS NOT NULL")
+    distinct = distinct.groupBy("product", "check").agg(F.count("*").alias("n"))
+    series = total.where("fact = 'series'").select("product", F.col("value").alias("series"))
+    version = F.col("value").alias("schema_version")
+    versions = total.where("fact = 'version'").select("product", version).where(
+        ~F.coalesce(F.col("schema_version").isin([str(v) for v in SUPPORTED_SCHEMA_VERSIONS]), F.lit(False))
     )
     parts = [
         counted,
-        repeats,
-        _named(series, "series"),
-        _named(live_postings(rows), "live_postings"),
-        _sampled(unknown_series(rows, expected), "series", "series_not_in_catalog"),
+        distinct,
+        _sampled(unknown_series(series, expected), "series", "series_not_in_catalog"),
         _sampled(versions, "schema_version", "unknown_schema_version"),
     ]
-    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     checks = products.select("product", F.explode(F.array(*[F.lit(c) for c in CHECKS])).alias("check"))
-    return checks.join(found, ["product", "check"], "full_outer").select(
+    return checks.join(every, ["product", "check"], "full_outer").select(
         "product", "check", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "sample"
     )
 
 
+def verify(rows: DataFrame, expected: DataFrame) -> DataFrame:
+    """``(product, check, n, sample)``: how often each rule is broken, zero when it holds, and
+    the counts of rows, series and live postings. The rows are scanned once.
+    """
+    return report(facts(rows), expected)
+
+
 RULES = (
     "null_in_required_column",
     "key_repeated_in_posting",
@@ -114,13 +133,10 @@ RULES = (
     "unknown_schema_version",
     "posted_after_ingested",
 )
+COUNTED = ("rows", *(r for r in RULES if r not in ("series_not_in_catalog", "unknown_schema_version")))
 CHECKS = ("rows", "series", "live_postings", *RULES)
 
 
-def _named(counts: DataFrame, check: str) -> DataFrame:
-    return counts.select("product", F.lit(check).alias("check"), "n")
-
-
 def _sampled(distinct: DataFrame, column: str, check: str) -> DataFrame:
     """How many distinct offenders, and the first few by name. The rest are only counted."""
     first = Window.partitionBy("product").orderBy(column)

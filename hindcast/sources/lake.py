@@ -51,6 +51,7 @@ QUARANTINE = (
     "product string, kind string, fetched_at timestamp, raw_key string, problem string, "
     "batch string"
 )
+DAY_FACTS = "files long, fact string, value string, n long, product string, date date"
 MANIFEST = (
     "product string, model string, schema_version int, last_posted_at timestamp, "
     "last_checked_at timestamp, valid_from timestamp, valid_to timestamp, "
@@ -268,6 +269,29 @@ class Lake:
             "length",
         )
 
+    def visible_files(self) -> DataFrame:
+        """:meth:`curated_files` without those of units that a compaction hides."""
+        hidden = self.hidden_units([name for name, length, _ in self._compactions() if length])
+        files = self.curated_files()
+        if not hidden:
+            return files
+        shape = "array<struct<product: string, date: date, posting: string>>"
+        return files.join(frame(self.spark, hidden, shape), ["product", "date", "posting"], "left_anti")
+
+    def day_facts(self) -> DataFrame:
+        """What :func:`hindcast.plans.verify.verify_lake` remembers of each day."""
+        return self._table("day_facts", DAY_FACTS)
+
+    def keep_day_facts(self, facts: DataFrame) -> None:
+        """Replace the facts of the days these rows are of."""
+        (
+            facts.repartition("product", "date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("product", "date")
+            .parquet(self.path("day_facts"))
+        )
+
     # -- raw -------------------------------------------------------------------------------
 
     def raw_files(self, days: Sequence[date] | None = None) -> DataFrame:

@@ -531,3 +531,35 @@ def test_publishers_exclude_each_other_but_not_for_ever(spark, tmp_path):
     storage.create(spark, str(tmp_path / "manifests/__catalog.json.writing"))
     with pytest.raises(BusyError):
         catalogs.publish_catalog(spark, str(tmp_path), [SMALL], LATER, tries=2)
+
+
+def test_remembered_days_give_the_same_report(spark, lake, monkeypatch):
+    write_catalog(lake.root)
+    scanned, real = [], checks.facts
+
+    def counting(rows, *by):
+        scanned.append(sorted(str(r.date) for r in rows.select("date").distinct().collect()) if by else None)
+        return real(rows, *by)
+
+    monkeypatch.setattr(checks, "facts", counting)
+
+    def same():
+        plain = {tuple(r) for r in verify_lake(lake).collect()}
+        assert {tuple(r) for r in verify_lake(lake, remember=True).collect()} == plain
+        return plain
+
+    first = same()
+    odd = [row(VALID + DAY, f"odd{i}:Bay", 1, MORNING, version=i) for i in range(3)] * 2
+    write(lake, "part-20250622T000000Z", odd)
+    assert same() != first
+    same()
+    compact(lake, now=LATER, delete_sources=False)
+    same()
+    compact(lake, now=LATER + DAY)
+    same()
+    days = [s for s in scanned if s is not None]
+    assert days[:2] == [["2025-06-20"], ["2025-06-21"]]  # and nothing the third time
+    assert days[2] == ["2025-06-20"]
+    storage.delete_below(spark, lake.path("curated", f"product={HILLS}", "date=2025-06-21"), guard=lake.path("curated"))
+    spark.catalog.clearCache()
+    assert ("series", 1) in {(r[1], r[2]) for r in same()}
