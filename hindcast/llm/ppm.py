@@ -21,9 +21,9 @@ to the whole model.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,8 @@ TOGETHER = 4_000_000
 #: Bytes of text whose keys and words are counted together, and those worked on at once.
 GROUP = 16_000_000
 PIECE = 4_000_000
+#: Symbols looked up, and bytes of text cut into words, at once.
+SMALL_PIECE = 1_000_000
 #: Bits of the symbol in a key and of each byte before it: 0 for none, otherwise the byte and one.
 BITS = 9
 #: Longest context whose keys are longs.
@@ -334,7 +336,7 @@ def _chances(keys: DataFrame, *, order: int, support: float) -> DataFrame:
     return found
 
 
-def _keyed(found: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _keyed(found: list[bytes], order: int, piece: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For pieces of a group: the number of the text, and the key, of every place."""
     symbols = np.frombuffer(b"".join(t + b"\0" for t in found), dtype=np.uint8).astype(np.int16)
     lengths = np.array([len(t) + 1 for t in found], dtype=np.int64)
@@ -344,14 +346,60 @@ def _keyed(found: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndar
     held[order:] = symbols + 1
     held[order + ends] = 0
     owner = np.repeat(np.arange(len(found), dtype=np.int32), lengths)
-    for start in range(0, len(symbols), PIECE):
-        key = symbols[start : start + PIECE].astype(np.int64)
+    for start in range(0, len(symbols), piece):
+        key = symbols[start : start + piece].astype(np.int64)
         alive = np.ones(len(key), dtype=bool)
         for k in range(1, order + 1):
             byte = held[order + start - k : order + start - k + len(key)]
             alive &= byte > 0
             key |= (byte * alive).astype(np.int64) << (BITS * k)
-        yield owner[start : start + PIECE], key
+        yield owner[start : start + piece], key
+
+
+def _words(found: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, and for every word its number and its text's."""
+    split = pc.ascii_split_whitespace(pa.array(found, pa.binary()).cast(pa.string()))
+    coded = split.flatten().dictionary_encode()
+    code = coded.indices.to_numpy()
+    owner = np.repeat(np.arange(len(found), dtype=np.int32), np.diff(split.offsets.to_numpy()))
+    real = pc.not_equal(coded.dictionary, "")  # what is before the first blank and after the last
+    number = (np.cumsum(real.to_numpy(zero_copy_only=False)) - 1).astype(np.int32)
+    kept_ones = real.to_numpy(zero_copy_only=False)[code]
+    return coded.dictionary.filter(real), number[code[kept_ones]], owner[kept_ones]
+
+
+class _Places:
+    """Where each key is in an array of distinct ones: tables indexed by hash, one after the other for
+    those that another key took the place of, so that a look-up is a few gathers and no search."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys, self.tables = keys, []
+        left = np.arange(len(keys), dtype=np.int32)
+        while len(left):
+            bits = max(4, (4 * len(left) - 1).bit_length())
+            table = np.zeros(1 << bits, dtype=np.int32)
+            slot = self._slots(keys[left], len(self.tables), bits)
+            table[slot] = left
+            self.tables.append(table)
+            left = left[table[slot] != left]
+
+    @staticmethod
+    def _slots(keys: np.ndarray, level: int, bits: int) -> np.ndarray:
+        odd = np.uint64(0x9E3779B97F4A7C15 * (2 * level + 1) & 0xFFFFFFFFFFFFFFFF)
+        return (keys.view(np.uint64) * odd) >> np.uint64(64 - bits)
+
+    def of(self, asked: np.ndarray) -> np.ndarray:
+        found, open_ones = np.zeros(len(asked), dtype=np.int32), np.arange(len(asked), dtype=np.int32)
+        for level, table in enumerate(self.tables):
+            some = asked[open_ones]
+            here = table[self._slots(some, level, len(table).bit_length() - 1)]
+            found[open_ones] = here
+            open_ones = open_ones[self.keys[here] != some]
+            if not len(open_ones):
+                return found
+        if len(asked):
+            raise KeyError(int(asked[open_ones[0]]))
+        return found
 
 
 def _group(row: int, found: list[bytes], learn: list[bool], order: int) -> Iterator[pa.RecordBatch]:
@@ -369,16 +417,12 @@ def _group(row: int, found: list[bytes], learn: list[bool], order: int) -> Itera
         len(starts), row=pa.array(np.full(len(starts), row)), key=pa.array(kinds[starts] >> 1),
         learnt=pa.array(np.add.reduceat(times * (kinds & 1), starts), pa.int64()),
     )
-    in_training, used = Counter(), {b""}
-    for text, learns in zip(found, learn, strict=True):
-        (in_training if learns else used).update(text.split())
-    in_training[b""] = sum(learn)
-    used = [*(used | in_training.keys())]
+    words, code, owner = _words(found)
+    used = pa.concat_arrays([words, pa.array([""])])
+    in_training = np.append(np.bincount(code[side[owner] > 0], minlength=len(words)), sum(learn))
     yield _filled(
-        len(used), row=pa.array(np.full(len(used), row)),
-        word=pa.array([w.decode() for w in used], pa.string()),
-        in_training=pa.array([in_training[w] for w in used], pa.int64()),
-    )
+        len(used), row=pa.array(np.full(len(used), row)), word=used, in_training=pa.array(in_training, pa.int64())
+    )
     packed = zstandard.ZstdCompressor(level=1).compress(b"".join(found))
     yield _filled(
         1, row=pa.array([row], pa.int64()), bytes=pa.array([packed], pa.binary()),
@@ -392,20 +436,24 @@ def _group_scores(group: pa.Table, model: pa.Table, order: int, n: int, v: int)
     whole = zstandard.ZstdDecompressor().decompress(group.column("bytes")[0].as_py())
     ends = np.cumsum([0, *lengths])
     found = [whole[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    known = model.filter(pc.is_valid(model.column("word")))
-    known = dict(zip(known.column("word").cast(pa.binary()).to_pylist(), known.column("c").to_pylist(), strict=True))
+    known = model.filter(pc.is_valid(model.column("word"))).combine_chunks()
     base, n_known = np.zeros(len(found)), np.zeros(len(found), dtype=np.int64)
-    for i, text in enumerate(found):
-        c = np.array([known.get(w, 0) for w in [*text.split(), b""]])
-        n_known[i] = np.count_nonzero(c)
-        base[i] = np.log10((c + 0.5) / (n + 0.5 * (v + 1))).sum()
+    cuts = np.searchsorted(ends, np.arange(0, ends[-1] + SMALL_PIECE, SMALL_PIECE))
+    for first, beyond in pairwise(np.unique([0, *cuts, len(found)]).tolist()):
+        some = found[first:beyond]
+        words, code, owner = _words(some)
+        asked = pa.concat_arrays([words, pa.array([""])])  # the end comes last
+        at = pc.index_in(asked, value_set=known.column("word"))
+        c = pc.fill_null(known.column("c").take(at), 0).to_numpy().astype(np.float64)
+        logs = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+        base[first:beyond] = np.bincount(owner, weights=logs[code], minlength=len(some)) + logs[-1]
+        n_known[first:beyond] = np.bincount(owner, weights=(c > 0)[code], minlength=len(some)) + (c[-1] > 0)
     model = model.filter(pc.is_valid(model.column("key")))
-    keys = model.column("key").to_numpy()
-    by = np.argsort(keys)
-    keys, chance = keys[by], model.column("chance").to_numpy()[by].astype(np.float64)
+    place = _Places(model.column("key").to_numpy())
+    chance = model.column("chance").to_numpy().astype(np.float64)
     scores = np.zeros(len(found))
-    for owner, key in _keyed(found, order):
-        scores += np.bincount(owner, weights=chance[np.searchsorted(keys, key)], minlength=len(found))
+    for owner, key in _keyed(found, order, SMALL_PIECE):
+        scores += np.bincount(owner, weights=chance[place.of(key)], minlength=len(found))
     return pa.table(
         {"row": np.arange(row, row + len(found)), "n_known": n_known, "base_score": base, "score": scores}
     )
