@@ -117,9 +117,11 @@ def fit(
     for k in (0, 1):  # at most ``sample`` rows each, so their ids can be broadcast
         one = usable.where(F.col("label") == k).orderBy(order, "doc_id").limit(sample)
         chosen = one if chosen is None else chosen.union(one)
-    got = short.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").collect()
+    # An id on many rows gives its least text, so what is collected is bounded too.
+    got = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    got = got.agg(F.min("text").alias("text")).collect()
     got.sort(key=lambda r: (r["doc_id"], r["label"], r["text"]))
-    by_class = [[r["text"].encode() for r in got if r["label"] == k][: 2 * sample] for k in (0, 1)]
+    by_class = [[r["text"].encode() for r in got if r["label"] == k] for k in (0, 1)]
     prior = (share.get(1, 0) + 1) / (sum(share.values()) + 2)
     nothing = (0.0,) * 4
     if min(map(len, by_class)) < 4:

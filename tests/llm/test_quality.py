@@ -74,3 +74,39 @@ def test_without_two_classes_the_score_is_the_share(spark, documents, labels):
     model = quality.fit(docs, spark.createDataFrame(labels, LABELS))
     scores = {r.score for r in quality.score(docs, model).collect()}
     assert len(scores) == 1 and scores.pop() >= 0.5
+
+
+def test_an_id_on_very_many_rows_teaches_once(spark):
+    rows = [(k, ("clear prose about rivers " if k % 2 else "buy cheap $$$ now ") * (3 + k % 5)) for k in range(80)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(80)], "doc_id long, quality int, toxic int")
+    plain = quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    again = [(3, rows[3][1])] * 500 + [(3, "z" + rows[3][1])] * 500
+    assert quality.fit(spark.createDataFrame(rows + again, "doc_id long, text string"), labels) == plain
+
+
+def test_scores_by_hand(spark):
+    """Sizes under both dictionaries, block by block, and the curve, computed without the library."""
+    import math
+
+    import zstandard
+
+    rows = [(k, ("clear prose about rivers and %d hills " % k if k % 2 else "buy %d cheap $$$ now! " % k) * (3 + k % 70)) for k in range(90)]
+    docs = spark.createDataFrame([*rows, (90, None), (91, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(90)], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels)
+
+    def size(text, dictionary, trained):
+        kind = zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT
+        held = zstandard.ZstdCompressionDict(dictionary, dict_type=kind)
+        made = zstandard.ZstdCompressor(level=3, dict_data=held, write_content_size=False, write_dict_id=False)
+        return sum(len(made.compress(text[i : i + 1024])) for i in range(0, len(text), 1024)) / len(text)
+
+    for r in quality.score(docs, model).join(docs, "doc_id").collect():
+        text = (r.text or " ").encode()
+        good, bad = size(text, model.good, model.trained[0]), size(text, model.bad, model.trained[1])
+        x = (bad - good, min(good, bad), min(good, bad) ** 2, math.log(len(text)))
+        z = model.weights[-1] + sum(
+            w * (v - c) / s for w, v, c, s in zip(model.weights, x, model.centre, model.scale, strict=False)
+        )
+        assert abs(r.score - 1 / (1 + math.exp(-z))) < 1e-9
+        assert r.predicted == (r.score >= 0.3)
