@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from hindcast.llm.common import column_or_null, kept, sliced
 
 #: Words whose tokens a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Pieces above this part of a sequence count as large.
 LARGE = 1 / 8
 #: Numbers of groups tried; the plan with the fewest sequences is taken.
@@ -136,7 +136,7 @@ def _cut(
     batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int, end: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
     tokens, last, step = _tokens(tokenizer), np.array([end], dtype="<u4").tobytes(), 4 * capacity
-    for batch in sliced(batches, 500):
+    for batch in sliced(batches, 200):
         from_doc, piece, start, length, crc, ids = [], [], [], [], [], []
         flat, edges = tokens.of(batch.column("text"))
         for i, (first, beyond) in enumerate(pairwise(edges.tolist())):
