@@ -2,9 +2,10 @@
 
 Each source's documents, in shuffled order, are one stream of words, cut into blocks of equal
 size. A van der Corput sequence runs over the unit interval, on which every source owns a stretch
-as wide as its share: the point of slot t says which source is next. Slots are numbered per
-source, and the k-th slot of a source takes its k-th block. A source smaller than its target
-starts again from its first block.
+as wide as the number of blocks that make up its target: the point of slot t says which source is
+next. Slots are numbered per source, and the k-th slot of a source takes its k-th block; what no
+slot asks for is not in the mix. A source smaller than its target starts again from its first
+block. Every source has at least as many slots as blocks, slots beyond its last block stay empty.
 """
 
 from __future__ import annotations
@@ -90,23 +91,20 @@ def targets(
 def schedule(goals: DataFrame, block: int) -> DataFrame:
     """Which source each slot serves: ``key``, ``slot``, ``nth`` (of the source, from 0).
 
-    2 ** bits slots cover all blocks. Point j / 2 ** bits belongs to the source on whose stretch
-    it lies and comes up in slot reversed_bits(j), so the stretches are expanded, not joined.
+    With n blocks in all there are 2 ** bits >= n slots. Point j / 2 ** bits belongs to the source
+    on whose stretch it lies and comes up in slot reversed_bits(j), so the stretches are expanded,
+    not joined. A stretch of b / n holds at least b points, as its ends are rounded alike.
     """
-    blocks = goals.agg(
-        F.sum(F.ceil(_wanted() / block)).alias("n"), F.sum("target").alias("t")
-    ).first()
-    bits = max(int(blocks["n"] or 0) - 1, 0).bit_length()
+    goals = goals.withColumn("blocks", F.ceil(_wanted() / block))
+    n = int(goals.agg(F.sum("blocks")).first()[0] or 0)
+    bits = max(n - 1, 0).bit_length()
     points = 1 << bits
     ends = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = F.sum("target").over(ends)
-    last = F.max("place").over(Window.partitionBy()) == F.col("place")
-    total = float(blocks["t"] or 0) or 1.0
+    # As decimals, for the product leaves the longs behind at some 10 ** 12 words.
+    upto = F.sum("blocks").over(ends).cast("decimal(18,0)")
     stretches = (
-        goals.withColumn(
-            "j_to",
-            F.when(last, F.lit(points)).otherwise(F.ceil(upto / total * points)).cast("long"),
-        )
+        goals.withColumn("upto", upto)
+        .withColumn("j_to", F.expr(f"(upto * {points}BD + {max(n - 1, 0)}BD) DIV {max(n, 1)}BD"))
         .withColumn("j_from", F.coalesce(F.lag("j_to").over(Window.orderBy("place")), F.lit(0)))
         .where("j_from < j_to")
     )
@@ -155,15 +153,14 @@ def mix(
 
     Columns: ``row``, ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copy`` (0
     for the first time through the source), ``slot``, ``word_from``, ``word_to``. The words of all
-    spans of a source are its target, rounded. A block beyond the schedule's last slot for its
-    source has a null slot and comes after all others. A document of which nothing is taken has
-    one row with null slot, span and copy. An empty table gives an empty mix.
+    spans of a source are its target, rounded. A document of which nothing is taken has one row
+    with null slot, span and copy. An empty table gives an empty mix. Documents are shuffled by
+    their ids, those without one by their place in ``sized``.
     """
     goals = kept(targets(sized, weights, share, limit), "mix-targets")
     lines = sized.select("row", "doc_id", "source", "size", _key().alias("key"))
-    order = F.md5(
-        F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    )
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), "row"))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), name))
     lines = lines.withColumn("hash", order).withColumn(
         "part", F.substring("hash", 1, PART_DIGITS)
     )
@@ -205,32 +202,37 @@ def mix(
         .withColumn("word_from", F.expr(f"greatest(at, block * {block}) - at"))
         .withColumn("word_to", F.expr(f"least(end, (block + 1) * {block}) - at"))
     )
-    taken = F.col("block").isNotNull()
-    spans = spans.select(
-        "row", "doc_id", "source", "size", "source_size", "target", "key", "block",
-        *[F.when(taken, F.col(c)).alias(c) for c in ("copy", "word_from", "word_to")],
-    )
     slots = schedule(goals, block).withColumnRenamed("nth", "block")
-    return spans.join(slots.hint("merge"), ["key", "block"], "left").drop("key", "block")
+    asked = F.col("slot").isNotNull()
+    return spans.join(slots.hint("merge"), ["key", "block"], "left").select(
+        "row", "doc_id", "source", "size", "source_size", "target", "slot",
+        *[F.when(asked, F.col(c)).alias(c) for c in ("copy", "word_from", "word_to")],
+    )
 
 
 def taken_words(spans: DataFrame) -> DataFrame:
-    """One row per document of a mix: how many of its words the mix takes, repeats counted."""
+    """One row per document of a mix: how many of its words the mix takes, repeats counted, and
+    the first slot that takes any (null if none does)."""
     words = F.coalesce(F.sum(F.expr("word_to - word_from")), F.lit(0))
     by = ["row", "doc_id", "size", "source_size", "target"]
-    return spans.groupBy(*by).agg(words.alias("taken")).drop("row")
+    return spans.groupBy(*by).agg(words.alias("taken"), F.min("slot").alias("first_slot")).drop("row")
 
 
-def mixture(docs: DataFrame, **how) -> DataFrame:
+def mixture(docs: DataFrame, *, ordered: bool = False, **how) -> DataFrame:
     """The mix itself: the documents' columns, one row for each time a document is taken.
 
     Where the mix ends inside a document, that copy's text holds the words taken, joined by a
-    space, and ``n_chars``, where there is one, counts them.
+    space, and ``n_chars``, where there is one, counts them. ``ordered`` sorts the rows by the
+    first slot of each take, which shuffles all texts once more.
     """
     sized = sizes(docs, with_rows=True)
-    spans = mix(sized, **how).where("copy IS NOT NULL")
-    takes = spans.groupBy("row", "copy").agg(F.max("word_to").alias("word_to"))
+    spans = mix(sized, **how).where("slot IS NOT NULL")
+    takes = spans.groupBy("row", "copy").agg(
+        F.max("word_to").alias("word_to"), F.min("slot").alias("slot")
+    )
     found = sized.join(takes, "row")
+    if ordered:
+        found = found.orderBy("slot", "row", "copy")
     words = F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0))
     text = F.array_join(F.slice(words, F.lit(1), F.col("word_to").cast("int")), " ")
     cut = F.when(F.col("word_to") < F.col("size"), text)

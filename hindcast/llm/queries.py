@@ -49,13 +49,28 @@ levels AS (SELECT *,
 goals AS (SELECT key, source_size, CASE WHEN most <= level * weight THEN most
     ELSE least(weight * max(level) FILTER (WHERE most > level * weight) OVER (), most) END AS target
   FROM levels),
-placed AS (SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS wanted,
+placed AS (SELECT key, doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS wanted,
     coalesce(sum(size) OVER (PARTITION BY key ORDER BY hash
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM sized JOIN goals USING (key))
+  FROM sized JOIN goals USING (key)),
+numbered AS (SELECT *, row_number() OVER (ORDER BY key, start, size, doc_id) AS k FROM placed),
+blocks AS (SELECT key, ceil(floor(target + 0.5) / 512)::BIGINT AS blocks FROM goals),
+upto AS (SELECT key, blocks, sum(blocks) OVER (ORDER BY key ROWS UNBOUNDED PRECEDING) AS upto,
+    sum(blocks) OVER () AS n FROM blocks),
+bits AS (SELECT *, CASE WHEN n <= 1 THEN 0 ELSE length(bin((n - 1)::BIGINT)) END AS bits FROM upto WHERE blocks > 0),
+points AS (SELECT key, bits, unnest(range((((upto - blocks) * (1::HUGEINT << bits::INT) + n - 1) // n)::BIGINT,
+    ((upto * (1::HUGEINT << bits::INT) + n - 1) // n)::BIGINT)) AS j FROM bits),
+slots AS (SELECT key, slot, row_number() OVER (PARTITION BY key ORDER BY slot) - 1 AS block FROM (
+  SELECT key, coalesce(list_sum([((j >> b) & 1) << (bits - 1 - b) for b in range(bits)]), 0)::BIGINT AS slot FROM points)),
+copies AS (SELECT *, start + copy * source_size AS begins, least(start + copy * source_size + size, wanted) AS upto
+  FROM numbered, (VALUES (0), (1)) AS c(copy)),
+asked AS (SELECT k, key, unnest(range((begins // 512)::BIGINT, ((upto - 1) // 512 + 1)::BIGINT)) AS block
+  FROM copies WHERE size > 0 AND begins < upto),
+firsts AS (SELECT k, min(slot) AS first_slot FROM asked JOIN slots USING (key, block) GROUP BY k)
 SELECT doc_id, size, source_size, target,
-  (least(size, greatest(0, wanted - start)) + least(size, greatest(0, wanted - source_size - start)))::BIGINT AS taken
-FROM placed"""
+  (least(size, greatest(0, wanted - start)) + least(size, greatest(0, wanted - source_size - start)))::BIGINT AS taken,
+  first_slot
+FROM numbered LEFT JOIN firsts USING (k)"""
 
 
 def op2_vectors(spark, sf_dir):

@@ -92,6 +92,60 @@ def test_slots_are_those_of_the_schedule(documents):
             assert abs(got - here * target / sum(total.values())) <= 8 * 8, source
 
 
+def test_nothing_but_what_slots_ask_for(documents, monkeypatch):
+    docs = documents(corpus())
+    sized = mixing.sizes(docs)
+    spans = mixing.mix(sized, block=8).collect()
+    assert all((r.slot is None) == (r.copy is None) == (r.word_to is None) for r in spans)
+    plain = mixing.schedule
+    monkeypatch.setattr(mixing, "schedule", lambda goals, block: plain(goals, block).where("slot >= 20"))
+    fewer = mixing.mix(sized, block=8).where("slot IS NOT NULL").collect()
+    words_of = sum(r.word_to - r.word_from for r in spans if r.slot is not None and r.slot >= 20)
+    assert sum(r.word_to - r.word_from for r in fewer) == words_of
+    monkeypatch.setattr(mixing, "schedule", lambda goals, block: plain(goals, block).where("false"))
+    assert {r.taken for r in mixing.taken_words(mixing.mix(sized)).collect()} == {0}
+    assert mixing.mixture(docs).collect() == []
+
+
+def test_slots_by_hand(spark):
+    """Bits of the points reversed, sources found by walking the stretches."""
+    targets = [700.0, 3.0, 0.0, 41.4, 260.0]
+    rows = [(f"0{i}", i, t) for i, t in enumerate(targets)]
+    goals = spark.createDataFrame(rows, "key string, place int, target double")
+    blocks = [-(-int(t + 0.5) // 8) for t in targets]
+    n = sum(blocks)
+    bits = (n - 1).bit_length()
+    owner = {}
+    for j in range(1 << bits):
+        at = next(i for i in range(5) if j * n < sum(blocks[: i + 1]) << bits)
+        owner[int(f"{j:0{bits}b}"[::-1], 2)] = at
+    seen, want = [0] * 5, []
+    for slot in sorted(owner):
+        want.append((f"0{owner[slot]}", slot, seen[owner[slot]]))
+        seen[owner[slot]] += 1
+    assert sorted(tuple(r) for r in mixing.schedule(goals, 8).collect()) == sorted(want)
+    assert all(s >= b for s, b in zip(seen, blocks, strict=True))
+
+
+def test_mixture_in_the_order_of_the_schedule(documents):
+    docs = documents(corpus(3))
+    first = {r.doc_id: r.first_slot for r in mixing.taken_words(mixing.mix(mixing.sizes(docs))).collect()}
+    seen = {}
+    for place, r in enumerate(mixing.mixture(docs, ordered=True).collect()):
+        seen.setdefault(r.doc_id, place)
+    slots = [first[i] for i in sorted(seen, key=seen.get)]
+    assert slots == sorted(slots)
+    assert set(seen) == {i for i, s in first.items() if s is not None}
+
+
+def test_documents_without_an_id(documents):
+    rows = [(None, "a b", "x") for _ in range(400)]
+    spans = mixing.mix(mixing.sizes(documents(rows)), block=4)
+    got = mixing.taken_words(spans).collect()
+    assert sum(r.taken for r in got) == 1200
+    assert {r.taken for r in got} == {2, 4}
+
+
 def test_mixture_has_the_words_taken(documents):
     rows = corpus(2)
     _, taken = brute(rows)
