@@ -204,7 +204,8 @@ def _scanned(
     )
     nothing = F.array().cast("array<string>")
     labels = F.array_union("base_labels", F.coalesce("own", nothing))
-    return found.join(matches, "row", "left").select(
+    # Notices grow with the documents and are never broadcast.
+    return found.join(matches.hint("merge"), "row", "left").select(
         "doc_id",
         "n_words",
         "n_base",
@@ -233,7 +234,7 @@ def _best(seen: DataFrame, longest: int) -> DataFrame:
     shared = F.expr("least(m.end, o.end) - greatest(m.start, o.start)")
     shorter = F.expr("least(m.end - m.start, o.end - o.start)")
     same = (F.col("m.row") == F.col("o.row")) & (F.col("m.cell") == F.col("o.cell"))
-    return mine.join(others, same & better & (2 * shared > shorter), "left_anti").drop("cell")
+    return mine.join(others.hint("merge"), same & better & (2 * shared > shorter), "left_anti").drop("cell")
 
 
 def _numbered(words: list[int]) -> list[tuple[int, int]]:
