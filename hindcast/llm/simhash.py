@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hindcast.llm.common import LOWER, column_or_null, kept, sliced, texts
+from hindcast.llm.common import LOWER, Scratch, column_or_null, kept, sliced, texts
 from hindcast.llm.components import components
 
 #: Generator of the Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
@@ -81,15 +81,21 @@ def near_duplicates(
     node, so copies add no links. Rows of a repeated id share that id; where a component has no id
     but null, its ``component_id`` is null. An empty table gives an empty result.
     """
-    prints = kept(fingerprints(docs, shingle=shingle, seed=seed), "fingerprints")
-    classes = _classes(prints, max_bits)
-    least = classes.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = classes.join(least, "component").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    # Both sides of a join are tables, so that adaptive execution can split a large component, or a
+    # fingerprint with very many copies; below an aggregate it could not.
+    scratch = Scratch(docs.sparkSession, "simhash")
+    with scratch:
+        prints = scratch.keep(fingerprints(docs, shingle=shingle, seed=seed))
+        classes = scratch.keep(_classes(prints, max_bits))
+        least = scratch.keep(classes.groupBy("component").agg(F.min("first").alias("component_id")))
+        named = classes.join(least.hint("merge"), "component")
+        named = scratch.keep(named.select("fingerprint", "component_id"))
+        found = prints.join(named.hint("merge"), "fingerprint").select(
+            "doc_id",
+            F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+            "component_id",
+        )
+        return kept(found, "simhash-result")
 
 
 def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
