@@ -18,7 +18,9 @@ Spark numbers the pieces of each length and joins them to their places.
 from __future__ import annotations
 
 import json
+import string
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterator
@@ -31,10 +33,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hindcast.llm.common import column_or_null, kept, sliced
+from hindcast.llm.common import column_or_null, kept
 
-#: Words whose tokens a Python worker remembers.
+#: Words whose tokens a Python worker remembers; as many older ones are kept until they are replaced.
 REMEMBERED = 150_000
+#: Bytes of text that a Python worker tokenises together.
+AT_ONCE = 1 << 20
+#: ASCII characters that are neither letters nor digits nor white space.
+MARKS = string.punctuation
 #: Pieces above this part of a sequence count as large.
 LARGE = 1 / 8
 #: Numbers of groups tried; the plan with the fewest sequences is taken.
@@ -63,12 +69,12 @@ def _splits_at_blanks(path: str) -> bool:
     )
 
 
-class _Tokens(dict):
+class _Tokens:
     """Token ids of words between white space, as little-endian unsigned 32-bit numbers.
 
     No pre-token crosses ASCII white space, so a text's ids are those of its words in a row. Words
-    of Latin-1 letters are one pre-token; the model itself takes them, which saves half the time.
-    A tokenizer that is made otherwise gets whole texts.
+    of Latin-1 letters are one pre-token and ASCII marks behind them another; the model itself takes
+    them, which saves half the time. A tokenizer that is made otherwise gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -80,29 +86,55 @@ class _Tokens(dict):
         as_characters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         #: What the model reads for each letter above ASCII.
         self.letters = {c: as_characters.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
-        self.older: dict[bytes, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.older.pop(word, None)
-        if ids is None:
-            if word[-1] in b".," and word[:-1].isalnum():  # the mark is a pre-token of its own
-                ids = self[word[:-1]] + self[word[-1:]]
-            else:
-                ids = np.array(self._ids(word.decode()), dtype="<u4").tobytes()
-        if len(self) >= REMEMBERED:  # words used since then come back from the older ones
-            self.older = dict(self)
-            self.clear()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
-    def _ids(self, word: str) -> list[int]:
-        if word.isalpha() and max(word) <= "\xff":
-            word = word.lower()
-            if not word.isascii():
-                word = word.translate(self.letters)
-            return [t.id for t in self.model.tokenize(word)]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word."""
+        found = list(map(self.recent.get, words))
+        rest = []
+        for i, word in enumerate(words):
+            if found[i] is None:
+                found[i] = self.older.get(word)
+                if found[i] is None:
+                    found[i] = self._of_letters(word)
+                if found[i] is None:
+                    rest.append(i)
+                elif len(word) <= 64:
+                    self.recent[word] = found[i]
+        if rest:  # all in one call
+            some = [words[i] for i in rest]
+            for i, word, ids in zip(rest, some, self._of_others(some), strict=True):
+                found[i] = ids
+                if len(word) <= 64:
+                    self.recent[word] = ids
+        if len(self.recent) >= REMEMBERED:  # words used since then come back from the older ones
+            self.older, self.recent = self.recent, {}
+        return found
+
+    def _of_letters(self, word: str) -> bytes | None:
+        """Ids of Latin-1 letters and the ASCII marks behind them; None for other words."""
+        head = word.rstrip(MARKS)
+        if not head.isalpha() or max(head) > "\xff":
+            return None
+        tail = word[len(head) :]
+        behind = self.marks.get(tail)
+        if behind is None:
+            (behind,) = self._of_others([tail])
+            if len(tail) <= 4 and len(self.marks) < REMEMBERED:
+                self.marks[tail] = behind
+        head = head.lower()
+        if not head.isascii():
+            head = head.translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(head)]).tobytes() + behind
+
+    def _of_others(self, words: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(coded.ids, dtype="<u4").tobytes()
+        sizes = np.bincount(np.array(coded.word_ids, dtype=np.int64), minlength=len(words))
+        ends = (4 * np.cumsum(sizes)).tolist()
+        return [ids[first:beyond] for first, beyond in pairwise([0, *ends])]
 
     def of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin (one more: where the last ends)."""
@@ -116,7 +148,7 @@ class _Tokens(dict):
         words = pc.ascii_split_whitespace(found)
         coded = words.flatten().dictionary_encode()
         # Python sees each distinct word of the texts once.
-        ids = [self[w] if w else b"" for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        ids = self.of_words(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         code = coded.indices.to_numpy()
         lengths = size[code]
@@ -132,11 +164,21 @@ def _tokens(path: str) -> _Tokens:
     return _Tokens(path)
 
 
+def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about ``AT_ONCE`` bytes of text, or one longer text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // AT_ONCE
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for first, beyond in pairwise(edges):
+            yield batch.slice(first, beyond - first)
+
+
 def _cut(
     batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int, end: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
     tokens, last, step = _tokens(tokenizer), np.array([end], dtype="<u4").tobytes(), 4 * capacity
-    for batch in sliced(batches, 200):
+    for batch in _by_size(batches):
         from_doc, piece, start, length, crc, ids = [], [], [], [], [], []
         flat, edges = tokens.of(batch.column("text"))
         for i, (first, beyond) in enumerate(pairwise(edges.tolist())):
