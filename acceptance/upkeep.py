@@ -39,7 +39,7 @@ from hindcast.reader import ForecastReader
 from hindcast.session import shared_folder
 from hindcast.settings import Point, Product
 from hindcast.sources.lake import Lake
-from hindcast.streaming.freshness import hourly_ages
+from hindcast.streaming.freshness import hourly_ages, hourly_alarms
 
 
 def _catalogued(spark, sf):
@@ -259,6 +259,33 @@ b AS (SELECT hour, max_age_minutes, coalesce(max_age_minutes > 240, true) AS bre
 SELECT *, breach AND coalesce(lag(breach) OVER (ORDER BY hour), true) AS alarm FROM b"""
 
 
+def streamed_alarms(spark, sf):
+    """The alarm product by product, from a stream of checks with holes, as its hours end."""
+    checks = events(spark, sf).select(
+        F.col("event_type").alias("product"), F.col("ts").alias("checked_at"),
+        (F.col("value") * 4).alias("age_minutes"),
+    )
+    folder = shared_folder(spark, "alarms")
+    # Whole days are missing.
+    checks.where(F.dayofweek("checked_at") != 1).write.parquet(f"{folder}/checks")
+    stream = spark.readStream.schema(checks.schema).parquet(f"{folder}/checks")
+    alarmed = hourly_alarms(stream, FIRST, threshold_min=240)
+    alarmed.writeStream.option("checkpointLocation", f"{folder}/state").option(
+        "path", f"{folder}/alarms"
+    ).trigger(availableNow=True).start().awaitTermination()
+    return plain(spark.read.schema(alarmed.schema).parquet(f"{folder}/alarms"))
+
+
+STREAMED_SQL = """WITH e AS (SELECT event_type AS product, date_trunc('hour', ts) AS hour, value * 4 AS age
+  FROM events WHERE dayofweek(ts) <> 0),
+h AS (SELECT product, CAST(TIMESTAMP '2024-01-01' + i * INTERVAL 1 HOUR AS TIMESTAMP) AS hour
+      FROM (SELECT DISTINCT product FROM e), range(0, 8784) t(i)
+      WHERE TIMESTAMP '2024-01-01' + (i + 2) * INTERVAL 1 HOUR <= (SELECT max(hour) FROM e)),
+b AS (SELECT product, hour, max(age) AS max_age_minutes, coalesce(max(age) > 240, true) AS breach
+      FROM h LEFT JOIN e USING (product, hour) GROUP BY 1, 2)
+SELECT *, breach AND coalesce(lag(breach) OVER (PARTITION BY product ORDER BY hour), true) AS alarm FROM b"""
+
+
 def hourly_age(spark, sf):
     return plain(hourly_ages(_checks_made(spark, sf)))
 
@@ -357,6 +384,7 @@ CASES = {
     ),
     "coverage_gaps": (coverage_gaps, GAPS_SQL),
     "alarm_hours": (alarm_hours, ALARM_SQL),
+    "streamed_alarms": (streamed_alarms, STREAMED_SQL),
     "hourly_ages": (
         hourly_age,
         HOURLY_SQL,

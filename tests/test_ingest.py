@@ -31,7 +31,7 @@ from hindcast.plans.curate import curate_live, curate_previous_runs
 from hindcast.settings import GFS_SEAMLESS, layouts
 from hindcast.sources.lake import Lake
 from hindcast.sources.raw import NamedFilesWriter
-from hindcast.streaming.freshness import hourly_ages
+from hindcast.streaming.freshness import hourly_ages, hourly_alarms
 from hindcast.streaming.ingest import ingest, ingest_stream
 
 HOUR = timedelta(hours=1)
@@ -313,6 +313,58 @@ def test_hourly_ages_as_a_stream(spark, tmp_path):
     assert got == [30.0, 62.0, 300.0]
 
 
+CHECKS = "product string, checked_at timestamp, age_minutes double"
+
+
+def closed_hours(spark, folder, batches, *, clock=None, **how):
+    """Hours given after each batch of checks (one file each), by one stream that is run again."""
+    found = []
+    for i, rows in enumerate([[], *batches]):
+        spark.createDataFrame(rows, CHECKS).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        if not i:  # the folder must exist
+            continue
+        stream = spark.readStream.schema(CHECKS).parquet(f"{folder}/in")
+        ticks = clock and spark.readStream.schema("timestamp timestamp").parquet(clock)
+        hourly_alarms(stream, MORNING.replace(minute=0), threshold_min=240, clock=ticks, **how).writeStream.option(
+            "checkpointLocation", f"{folder}/state"
+        ).option("path", f"{folder}/out").trigger(availableNow=True).start().awaitTermination()
+        kinds = "product string, hour timestamp, max_age_minutes double, breach boolean, alarm boolean"
+        out = spark.read.schema(kinds).parquet(f"{folder}/out").orderBy("product", "hour").collect()
+        since = [round((r.hour.timestamp() - MORNING.replace(minute=0).timestamp()) / 3600) for r in out]
+        found.append([(r.product, h, *r[2:]) for r, h in zip(out, since, strict=True)])
+    return found
+
+
+def test_alarms_as_hours_end(spark, tmp_path):
+    at = lambda p, h, age: (p, MORNING.replace(minute=9) + timedelta(hours=h), age)
+    nan = float("nan")
+    first = [at("a", 0, 10.0), at("a", 0, 5.0), at("b", 0, 241.0), at("b", 1, None), (None, MORNING, 1.0), ("a", None, 1.0)]
+    second = [at("a", 3, 240.0), at("a", 1, 300.0), at("a", -5, 1.0)]
+    third = [at("a", 0, 999.0), at("b", 4, nan), at("b", 4, 7.0), at("c", 6, 1.0)]
+    got = closed_hours(spark, tmp_path / "a", [first, second, third])
+    # the greatest hour less an hour's grace
+    assert got[0] == []
+    assert got[1] == [
+        ("a", 0, 10.0, False, False), ("a", 1, 300.0, True, False),
+        ("b", 0, 241.0, True, True), ("b", 1, None, True, True),
+    ]
+    added = [
+        ("a", 2, None, True, True), ("a", 3, 240.0, False, False), ("a", 4, None, True, False),
+        ("b", 2, None, True, True), ("b", 3, None, True, True), ("b", 4, 7.0, False, False),
+    ]
+    never = [("c", h, None, True, True) for h in range(5)]
+    assert got[2] == sorted(got[1] + added + never, key=lambda r: r[:2])
+
+
+def test_alarms_while_nobody_checks(spark, tmp_path):
+    ticks = [(MORNING.replace(minute=0) + timedelta(hours=h),) for h in range(4)]
+    spark.createDataFrame(ticks, "timestamp timestamp").write.parquet(str(tmp_path / "clock"))
+    one = [("a", MORNING, 10.0)]
+    (got,) = closed_hours(spark, tmp_path / "a", [one], clock=str(tmp_path / "clock"))
+    assert got == [("a", 0, 10.0, False, False), ("a", 1, None, True, False)]
+    assert closed_hours(spark, tmp_path / "b", [one]) == [[]]
+
+
 def test_freshness_and_alarm(spark):
     posted = spark.createDataFrame(
         [("a", MORNING), ("a", MORNING - HOUR), ("b", MORNING - 5 * HOUR)], "product string, posted_at timestamp"
