@@ -49,15 +49,25 @@ def finite(value: Column) -> Column:
 
 
 def matches_series(series: Column, wanted: Sequence[str]) -> Column:
-    """Exact names, or ``*`` wildcards; every other character stands for itself."""
+    """Exact names, or ``*`` wildcards; every other character stands for itself.
+
+    What stands before the first wildcard is compared as a prefix, which Parquet scans use to skip
+    row groups and pages; they could not use a pattern with escaped characters.
+    """
     exact = [name for name in wanted if "*" not in name]
     test = series.isin(exact) if exact else F.lit(False)
     for name in wanted:
         if "*" in name:
-            test = test | series.like(like_pattern(name))
+            test = test | _matches(series, name)
     return test
 
 
+def _matches(series: Column, name: str) -> Column:
+    prefix, _, rest = name.partition("*")
+    begins = series.startswith(prefix)
+    return begins & series.like(like_pattern(name)) if rest else begins
+
+
 def like_pattern(name: str) -> str:
     literal = "".join("\\" + ch if ch in "\\%_" else ch for ch in name)
     return literal.replace("*", "%")
