@@ -139,6 +139,44 @@ named AS (
 SELECT problem, count(*) AS responses, CAST(sum(rows) AS BIGINT) AS rows FROM named GROUP BY ALL"""
 
 
+def response_times(spark, sf):
+    """Responses whose valid times are spoiled by day of month: one point's differ, are more than its
+    values, are null, or an hour stands twice."""
+    day, body = F.dayofmonth("fetched_at"), F.col("body")
+    times = r'"time":\['
+    spoiled = (
+        F.when(day % 5 == 1, F.regexp_replace(body, f"^(.*{times})[^,]+", "$1-7.0"))  # the last point's
+        .when(day % 5 == 2, F.regexp_replace(body, f"^(.*?{times})", "$1-7.0,"))  # the first point's
+        .when(day % 5 == 3, F.regexp_replace(body, f"^(.*?{times})[^,]+", "$1null"))
+        .when(day % 5 == 4, F.regexp_replace(body, f"({times})([^,]+),[^,]+", "$1$2,$2"))
+        .otherwise(body)
+    )
+    found = _values(spark, daily_responses(spark, sf).withColumn("body", spoiled))
+    return found.groupBy("product", "problem").agg(
+        F.count("*").alias("responses"), F.sum("rows").alias("rows")
+    )
+
+
+TIMES_SQL = f"""WITH {DAILY_SQL},
+kept AS (SELECT product, fetched_at, variable, zone, hour(interval_start) AS hour FROM zoned
+         GROUP BY product, fetched_at, interval_start, variable, zone HAVING count(*) = 2),
+twice AS (SELECT DISTINCT product, fetched_at FROM kept WHERE hour IN (0, 1)
+          GROUP BY product, fetched_at, variable, zone HAVING count(*) = 2),
+counted AS (
+  SELECT r.product, r.fetched_at, count(variable) AS rows
+  FROM (SELECT DISTINCT product, fetched_at FROM zoned) r
+  LEFT JOIN kept USING (product, fetched_at) GROUP BY r.product, r.fetched_at),
+named AS (
+  SELECT product, CASE WHEN day(fetched_at) % 5 IN (0, 4) THEN rows END AS rows, CASE day(fetched_at) % 5
+    WHEN 1 THEN 'different valid times for w2'
+    WHEN 2 THEN 'values and valid times differ in number for n1'
+    WHEN 3 THEN 'valid times are missing for n1'
+    WHEN 4 THEN CASE WHEN (product, fetched_at) IN (SELECT (product, fetched_at) FROM twice)
+                THEN 'a business key repeats within one posting' END END AS problem FROM counted)
+SELECT product, problem, count(*) AS responses,
+  CAST(sum(rows) AS BIGINT) AS rows FROM named GROUP BY ALL"""
+
+
 def response_trim(spark, sf):
     """Responses cut to their first eight hours, then curated as usual."""
     rows = forecast_rows(_values(spark, trim(daily_responses(spark, sf), 8)), LIVE)
@@ -618,6 +656,7 @@ CASES = {
     "reweighted_rows": (reweighted_rows, REWEIGHTED_SQL),
     "response_summary": (response_summary, SUMMARY_SQL),
     "response_drift": (response_drift, DRIFT_SQL),
+    "response_times": (response_times, TIMES_SQL),
     "response_trim": (response_trim, TRIM_SQL),
     "response_roundtrip": (response_roundtrip, ROUNDTRIP_SQL),
     "zone_mean": (zone_mean, ZONE_MEAN_SQL),
