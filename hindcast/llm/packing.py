@@ -18,9 +18,8 @@ Spark numbers the pieces of each length and joins them to their places.
 from __future__ import annotations
 
 import json
-import string
+import os
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterator
@@ -35,12 +34,16 @@ from pyspark.sql import functions as F
 
 from hindcast.llm.common import column_or_null, kept
 
-#: Words whose tokens a Python worker remembers; as many older ones are kept until they are replaced.
-REMEMBERED = 150_000
+#: Parts of words whose tokens a Python worker remembers.
+REMEMBERED = 300_000
 #: Bytes of text that a Python worker tokenises together.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 21
+#: Bytes of words that the tokenizer gets in one call.
+IN_A_CALL = 1 << 17
+#: Letters of Latin-1, which normalisation leaves alone but for their case.
+LETTERS = r"[A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]"
 #: ASCII characters that are neither letters nor digits nor white space.
-MARKS = string.punctuation
+MARKS = r"[!-/:-@\[-`{-~]"
 #: Pieces above this part of a sequence count as large.
 LARGE = 1 / 8
 #: Numbers of groups tried; the plan with the fewest sequences is taken.
@@ -70,71 +73,100 @@ def _splits_at_blanks(path: str) -> bool:
 
 
 class _Tokens:
-    """Token ids of words between white space, as little-endian unsigned 32-bit numbers.
+    """Token ids of texts, as little-endian unsigned 32-bit numbers.
 
     No pre-token crosses ASCII white space, so a text's ids are those of its words in a row. Words
-    of Latin-1 letters are one pre-token and ASCII marks behind them another; the model itself takes
-    them, which saves half the time. A tokenizer that is made otherwise gets whole texts.
+    of Latin-1 letters are one pre-token and ASCII marks behind them another. Each distinct one of
+    a batch is looked up once; new ones go to the tokenizer many in a call, those of letters to one
+    with the same model that only cuts at blanks. A tokenizer that is made otherwise gets whole
+    texts.
     """
 
     def __init__(self, path: str) -> None:
+        # Spark gives a task one core: the tokenizer starts no threads of its own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = _splits_at_blanks(path)
-        self.model = self.tokenizer.model
+        self.of_model = Tokenizer(self.tokenizer.model)
+        self.of_model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         as_characters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        #: What the model reads for each letter above ASCII.
-        self.letters = {c: as_characters.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
-
-    def of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word."""
-        found = list(map(self.recent.get, words))
-        rest = []
-        for i, word in enumerate(words):
-            if found[i] is None:
-                found[i] = self.older.get(word)
-                if found[i] is None:
-                    found[i] = self._of_letters(word)
-                if found[i] is None:
-                    rest.append(i)
-                elif len(word) <= 64:
-                    self.recent[word] = found[i]
-        if rest:  # all in one call
-            some = [words[i] for i in rest]
-            for i, word, ids in zip(rest, some, self._of_others(some), strict=True):
-                found[i] = ids
-                if len(word) <= 64:
-                    self.recent[word] = ids
-        if len(self.recent) >= REMEMBERED:  # words used since then come back from the older ones
-            self.older, self.recent = self.recent, {}
-        return found
-
-    def _of_letters(self, word: str) -> bytes | None:
-        """Ids of Latin-1 letters and the ASCII marks behind them; None for other words."""
-        head = word.rstrip(MARKS)
-        if not head.isalpha() or max(head) > "\xff":
-            return None
-        tail = word[len(head) :]
-        behind = self.marks.get(tail)
-        if behind is None:
-            (behind,) = self._of_others([tail])
-            if len(tail) <= 4 and len(self.marks) < REMEMBERED:
-                self.marks[tail] = behind
-        head = head.lower()
-        if not head.isascii():
-            head = head.translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(head)]).tobytes() + behind
-
-    def _of_others(self, words: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(coded.ids, dtype="<u4").tobytes()
-        sizes = np.bincount(np.array(coded.word_ids, dtype=np.int64), minlength=len(words))
-        ends = (4 * np.cumsum(sizes)).tolist()
-        return [ids[first:beyond] for first, beyond in pairwise([0, *ends])]
+        #: What the model reads for each byte of a letter; blanks stay.
+        self.characters = np.arange(256, dtype="<u4")
+        for c in range(0x80, 0x100):
+            for byte, read in zip(chr(c).encode(), as_characters.pre_tokenize_str(chr(c))[0][0], strict=True):
+                self.characters[byte] = ord(read)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        #: Whether a token ends a word.
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        # Remembered parts of words, their ids in a row, the numbers of ids, the batch last used in.
+        self.parts = pa.array([], pa.string())
+        self.ids = np.empty(0, dtype="<u4")
+        self.sizes = np.empty(0, dtype=np.int64)
+        self.used = np.empty(0, dtype=np.int64)
+
+    def of_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in a row, the number of ids of each part there, and where each of ``parts`` is."""
+        at = pc.fill_null(pc.index_in(parts, value_set=self.parts), -1).to_numpy().astype(np.int64)
+        new = at < 0
+        at[new] = len(self.parts) + np.arange(new.sum())
+        more = parts.filter(pa.array(new))
+        ids, sizes = self._of_new(more)
+        known = pa.concat_arrays([self.parts, more])
+        ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        used = np.append(self.used, np.zeros(len(more), dtype=np.int64))
+        used[at] = self.used.max(initial=0) + 1
+        self._remember(known, ids, sizes, used)
+        return ids, sizes, at
+
+    def _remember(self, known: pa.Array, ids: np.ndarray, sizes: np.ndarray, used: np.ndarray) -> None:
+        """All but long parts; of too many, the half that was used last."""
+        keep = pc.binary_length(known).to_numpy() <= 64
+        if len(known) > REMEMBERED:
+            late = np.zeros(len(known), dtype=bool)
+            late[np.argsort(-used, kind="stable")[: REMEMBERED // 2]] = True
+            keep &= late
+        if not keep.all():
+            ids, _ = _gathered(ids, sizes, np.flatnonzero(keep))
+            known, sizes, used = known.filter(pa.array(keep)), sizes[keep], used[keep]
+        self.parts, self.ids, self.sizes, self.used = known, ids, sizes, used
+
+    def _of_new(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts in a row, and how many each has."""
+        if not len(parts):
+            return self.ids[:0], self.sizes[:0]
+        plain = pc.match_substring_regex(parts, f"^{LETTERS}+$").to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        found = []
+        for mask, method in ((plain, self._of_letters), (~plain, self._of_others)):
+            some = parts.filter(pa.array(mask))
+            for first, beyond in pairwise(_edges(pc.binary_length(some).to_numpy(), IN_A_CALL)):
+                found.append(method(some.slice(first, beyond - first)))
+        ids, sizes = (np.concatenate(x) for x in zip(*found, strict=True))
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return _gathered(ids, sizes, back)[0], sizes[back]
+
+    def _of_letters(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of small Latin-1 letters, which need no normalisation."""
+        in_one = pa.ListArray.from_arrays(pa.array([0, len(parts)], pa.int32()), parts)
+        (joined,) = pc.binary_join(in_one, " ")
+        coded = np.frombuffer(joined.as_buffer(), dtype=np.uint8)
+        text = self.characters[coded].tobytes().decode("utf-32-le")
+        (found,) = self.of_model.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(parts) or ends[-1] != len(ids):  # a model without a token for some end
+            return self._of_others(parts)
+        return ids, np.diff(ends, prepend=0)
+
+    def _of_others(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        coded = self.tokenizer.encode(parts.to_pylist(), is_pretokenized=True, add_special_tokens=False)
+        sizes = np.bincount(np.array(coded.word_ids, dtype=np.int64), minlength=len(parts))
+        return np.array(coded.ids, dtype="<u4"), sizes
 
     def of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin (one more: where the last ends)."""
@@ -147,18 +179,34 @@ class _Tokens:
             found = pc.ascii_lower(found)
         words = pc.ascii_split_whitespace(found)
         coded = words.flatten().dictionary_encode()
-        # Python sees each distinct word of the texts once.
-        ids = self.of_words(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        code = coded.indices.to_numpy()
-        lengths = size[code]
-        ends = np.cumsum(lengths)
-        first = (np.cumsum(size) - size)[code] - (ends - lengths)
-        flat = np.frombuffer(b"".join(ids), dtype="<u4")[np.repeat(first, lengths) + np.arange(lengths.sum())]
+        # Distinct words are letters and marks behind them, or something else and nothing.
+        cut = pc.extract_regex(coded.dictionary, f"^(?P<head>{LETTERS}+)(?P<tail>{MARKS}*)$")
+        heads = pc.if_else(cut.is_valid(), pc.utf8_lower(pc.struct_field(cut, "head")), coded.dictionary)
+        tails = pc.if_else(cut.is_valid(), pc.struct_field(cut, "tail"), "")
+        parts = pa.concat_arrays([heads, tails]).dictionary_encode()
+        ids, sizes, at = self.of_parts(parts.dictionary)
+        both = at[parts.indices.to_numpy()].reshape(2, -1).T
+        ids, _ = _gathered(ids, sizes, both.ravel())
+        flat, ends = _gathered(ids, sizes[both].sum(axis=1), coded.indices.to_numpy())
         offsets = words.offsets.to_numpy()
         return flat, np.append(0, ends)[offsets - offsets[0]]
 
 
+def _gathered(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of stretches of so many ids each, those at ``at`` in a row, and where each of them ends."""
+    here = sizes[at]
+    ends = np.cumsum(here)
+    place = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - here), here)
+    place += np.arange(len(place))
+    return ids[place], ends
+
+
+def _edges(sizes: np.ndarray, most: int) -> list[int]:
+    """Where to cut a row of such sizes into stretches of about ``most``, or one that is larger."""
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    return [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)] if len(sizes) else [0]
+
+
 @cache
 def _tokens(path: str) -> _Tokens:
     return _Tokens(path)
@@ -168,9 +216,7 @@ def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of about ``AT_ONCE`` bytes of text, or one longer text."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes, dtype=np.int64) // AT_ONCE
-        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for first, beyond in pairwise(edges):
+        for first, beyond in pairwise(_edges(sizes, AT_ONCE)):
             yield batch.slice(first, beyond - first)
 
 

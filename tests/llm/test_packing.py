@@ -1,13 +1,15 @@
+import itertools
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from hindcast.llm import packing
 
@@ -79,6 +81,54 @@ def test_round_trip(documents):
     assert all(made[r.sequence_id][r.offset : r.offset + r.length] == r.ids for r in got)
 
 
+def test_letters_reach_the_tokenizer_once(monkeypatch):
+    given_to, method = [], packing._Tokens._of_letters
+
+    def counted(self, parts):
+        given_to.append(len(parts))
+        return method(self, parts)
+
+    monkeypatch.setattr(packing._Tokens, "_of_letters", counted)
+    tokens = packing._Tokens(PATH)
+    words = ["".join(w) for w in itertools.product("bdfg", "aeiouäé", "lmnr")]
+    texts = [f"{w}, {w.title()} {w.upper()}... \"{w}\" {w}" for w in words]
+    tokenizer = Tokenizer.from_file(PATH)
+    for _ in range(2):
+        flat, edges = tokens.of(pa.array(texts))
+        got = [flat[a:b].tolist() for a, b in itertools.pairwise(edges.tolist())]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert given_to == [len(words)]  # one call, and none for what is remembered
+
+
+@pytest.mark.parametrize("remembered, in_a_call", [(0, 1), (6, 9), (1000, 1 << 18)])
+def test_ids_are_those_of_the_tokenizer(monkeypatch, remembered, in_a_call):
+    monkeypatch.setattr(packing, "REMEMBERED", remembered)
+    monkeypatch.setattr(packing, "IN_A_CALL", in_a_call)
+    rng, tokens, tokenizer = random.Random(6), packing._Tokens(PATH), Tokenizer.from_file(PATH)
+    characters = [*"abzABZ ßÀÖ×÷öøÿªµº\u00ad\u00b7ŒŁ漢ж\u0301\u0345\u200b\u00a0\x1c\x85\n\t\x00'.,<|>_-1²½"]
+    parts = [*characters, "the", "'s", "n't", "<|endoftext|>", "<|ENDOFTEXT|>", "İ", "</w>", "x" * 70]
+    for many in (0, 1, 40, 40, 40):
+        texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(many)] + [None, "", " "]
+        flat, edges = tokens.of(pa.array(texts, pa.string()))
+        got = [flat[a:b].tolist() for a, b in itertools.pairwise(edges.tolist())]
+        assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert len(tokens.parts) == len(tokens.sizes) == len(tokens.used) <= max(remembered, 0)
+        assert len(tokens.ids) == tokens.sizes.sum()
+    # a model that does not mark the ends of words
+    tokens = packing._Tokens(PATH)
+    tokens.last[:] = False
+    flat, _ = tokens.of(pa.array(["some words, École"]))
+    assert flat.tolist() == tokenizer.encode("some words, École", add_special_tokens=False).ids
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    other = Tokenizer(models.WordLevel({"?": 0, "a": 1, "b": 2}, unk_token="?"))
+    other.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    other.save(path := str(tmp_path / "other.json"))
+    flat, edges = packing._Tokens(path).of(pa.array(["a b", None, "c a"]))
+    assert flat.tolist() == [1, 2, 0, 1] and edges.tolist() == [0, 2, 2, 4]
+
+
 def test_empty_table_and_extra_columns(documents):
     assert packing.pack(documents([]), PATH).collect() == []
     docs = documents([(1, "a"), (2, "b")]).selectExpr("*", "9 AS length", "8 AS part", "7 AS piece")
